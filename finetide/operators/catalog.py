@@ -63,11 +63,12 @@ def updated_runs(current: DataFrame, updates: DataFrame) -> DataFrame:
     return joined.select(*[merged.get(c, F.col(c)).alias(c) for c in current.columns])
 
 
-def read_runs(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
-    """Run states stored as JSON, one per line or one per file; ``prefix`` selects files by name."""
+def read_runs(spark: SparkSession, path: str, prefix: str = "", one_per_file: bool = False) -> DataFrame:
+    """Run states stored as JSON lines, or ``one_per_file``; ``prefix`` selects files by name."""
     if not exists(spark, path):
         return spark.createDataFrame([], RUN_SCHEMA)
-    rows = spark.read.schema(RUN_SCHEMA).option("multiLine", "true").option("mode", "FAILFAST").json(path)
+    reader = spark.read.schema(RUN_SCHEMA).option("mode", "FAILFAST").option("multiLine", one_per_file)
+    rows = reader.json(path)
     return rows.filter(F.col("_metadata.file_name").startswith(prefix.replace("/", "_"))) if prefix else rows
 
 

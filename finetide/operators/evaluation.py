@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finetide.functions.text import word_count
-from finetide.operators.positions import sample_texts
+from finetide.operators.split import sample_texts
 
 METRICS_SCHEMA = "bench string, metric string, value double, error string"
 

@@ -14,9 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finetide.errors import DataError
-from finetide.functions.keys import seeded_key
-from finetide.functions.text import is_blank, text_or_none
-from finetide.operators.normalize import text_key
 from finetide.session import scratch_path
 
 # A top-k of this many bare order values fits one task; longer ones go by position.
@@ -33,16 +30,16 @@ def with_position(df: DataFrame, order_by: str | Sequence[str], name: str = "pos
     stored = spark.read.schema(df.schema).parquet(path)
     rows = stored.select(
         *df.columns,
-        part.alias("_part"),
-        F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.row_index").alias("_index"),
+        part.alias("_pos_part"),
+        F.col("_metadata.file_name").alias("_pos_file"),
+        F.col("_metadata.row_index").alias("_pos_index"),
     )
     # One row per written file, so this window and the broadcast stay small.
-    sizes = rows.groupBy("_part", "_file").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_part", "_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return rows.join(F.broadcast(offsets), "_file").select(
-        *df.columns, (F.col("_offset") + F.col("_index")).alias(name)
+    sizes = rows.groupBy("_pos_part", "_pos_file").agg(F.count("*").alias("_pos_n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_pos_part", "_pos_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pos_file", F.coalesce(F.sum("_pos_n").over(before), F.lit(0)).alias("_pos_offset"))
+    return rows.join(F.broadcast(offsets), "_pos_file").select(
+        *df.columns, (F.col("_pos_offset") + F.col("_pos_index")).alias(name)
     )
 
 
@@ -85,9 +82,3 @@ def cap_rows(df: DataFrame, order_col: str, cap: int) -> DataFrame:
     else:
         last = with_position(ids, order_col).filter(F.col("position") < cap).agg(F.max(order_col))
     return df.filter(F.col(order_col) <= last.scalar())
-
-
-def sample_texts(df: DataFrame, id_col: str, limit: int = 32, seed: int = 42) -> DataFrame:
-    """A seeded sample of at most ``limit`` rows with non-blank text, as (id, text)."""
-    texts = df.select(id_col, text_or_none(F.col(text_key(df))).alias("text"))
-    return texts.filter(~is_blank(F.col("text"))).orderBy(seeded_key(seed, F.col(id_col)), id_col).limit(limit)

@@ -8,14 +8,19 @@ Labelling is then a comparison with that pair and moves no row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finetide.errors import DataError
 from finetide.functions.keys import seeded_key
+from finetide.functions.text import is_blank, text_or_none
+from finetide.operators.normalize import text_key
 from finetide.specs import SPLIT_NAMES, SplitSpec
 
 PREFIX_DIGITS = 4
+TOP_K_TEXTS = 1_000
 
 
 def validation_rows(total: Column, train_split: float) -> Column:
@@ -25,13 +30,14 @@ def validation_rows(total: Column, train_split: float) -> Column:
     return F.when(total <= 1, F.lit(0)).otherwise(bounded).cast("bigint")
 
 
-def _ranked(id_col: str, seed: int) -> Column:
+def rank_of(id_col: str, seed: int) -> Column:
     return F.struct(seeded_key(seed, F.col(id_col)).alias("k"), F.col(id_col).alias("id"))
 
 
-def split_cut(ids: DataFrame, id_col: str, spec: SplitSpec) -> DataFrame:
-    """One row, one column: the last (hash, id) pair of the validation part; no row if empty."""
-    keyed = ids.select(_ranked(id_col, spec.seed).alias("rank"))
+def rank_cut(ids: DataFrame, id_col: str, seed: int, wanted: Callable[[Column], Column]) -> DataFrame:
+    """One row, one column: the last (hash, id) pair among the ``wanted`` lowest ones, a
+    function of the row count. No row if none is wanted."""
+    keyed = ids.select(rank_of(id_col, seed).alias("rank"))
     keyed = keyed.withColumn("prefix", F.substring("rank.k", 1, PREFIX_DIGITS))
     counts = keyed.groupBy("prefix").agg(F.count("*").alias("n"))
     # At most 16 ** PREFIX_DIGITS rows reach these two windows, whatever the table holds.
@@ -43,9 +49,8 @@ def split_cut(ids: DataFrame, id_col: str, spec: SplitSpec) -> DataFrame:
         F.sum("n").over(one_task).alias("total"),
     )
     before = F.col("upto") - F.col("n")
-    wanted = validation_rows(F.col("total"), spec.train_split)
     boundary = (
-        running.withColumn("wanted", wanted)
+        running.withColumn("wanted", wanted(F.col("total")))
         .filter((before < F.col("wanted")) & (F.col("wanted") <= F.col("upto")))
         .select("prefix", (F.col("wanted") - before).alias("need"))
     )
@@ -58,8 +63,13 @@ def split_cut(ids: DataFrame, id_col: str, spec: SplitSpec) -> DataFrame:
     )
 
 
+def split_cut(ids: DataFrame, id_col: str, spec: SplitSpec) -> DataFrame:
+    """Where the validation part ends."""
+    return rank_cut(ids, id_col, spec.seed, lambda total: validation_rows(total, spec.train_split))
+
+
 def label(df: DataFrame, id_col: str, cut: DataFrame, spec: SplitSpec) -> DataFrame:
-    held_out = F.coalesce(_ranked(id_col, spec.seed) <= cut.scalar(), F.lit(False))
+    held_out = F.coalesce(rank_of(id_col, spec.seed) <= cut.scalar(), F.lit(False))
     return df.withColumn("split", F.when(held_out, "validation").otherwise("train"))
 
 
@@ -75,6 +85,13 @@ def split_by_fraction(df: DataFrame, id_col: str, spec: SplitSpec = SplitSpec())
     return df.withColumn("split", F.when(held_out, "validation").otherwise("train"))
 
 
+def checked_splits(df: DataFrame) -> DataFrame:
+    """Fail, while the rows pass by, on a split name outside the allowed ones."""
+    message = F.concat(F.lit("split name not allowed: "), F.col("split"))
+    bad = F.raise_error(message).cast("string")
+    return df.withColumn("split", F.when(F.col("split").isin(*SPLIT_NAMES), F.col("split")).otherwise(bad))
+
+
 def take_split(df: DataFrame, name: str) -> DataFrame:
     """One split by name; a table without splits answers every name with itself."""
     if name not in SPLIT_NAMES:
@@ -84,6 +101,19 @@ def take_split(df: DataFrame, name: str) -> DataFrame:
     return df.filter(F.col("split") == name).drop("split")
 
 
+def sample_texts(df: DataFrame, id_col: str, limit: int = 32, seed: int = 42) -> DataFrame:
+    """A seeded sample of at most ``limit`` rows with non-blank text, as (id, text).
+
+    A small sample is a top-k; a large one is cut off like a split, without a sort.
+    """
+    texts = df.select(id_col, text_or_none(F.col(text_key(df))).alias("text"))
+    texts = texts.filter(~is_blank(F.col("text")))
+    if limit <= TOP_K_TEXTS:
+        return texts.orderBy(rank_of(id_col, seed)).limit(limit)
+    cut = rank_cut(texts.select(id_col), id_col, seed, lambda total: F.least(F.lit(limit), total))
+    return texts.filter(rank_of(id_col, seed) <= cut.scalar())
+
+
 def split_by_ids(df: DataFrame, held_out: DataFrame, id_col: str) -> dict[str, DataFrame]:
     """Rows in, and rows not in, an explicit list of ids."""
     ids = held_out.select(id_col)

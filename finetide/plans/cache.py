@@ -10,8 +10,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finetide.errors import DataError
 from finetide.operators.fingerprint import content_fingerprint
+from finetide.operators.split import checked_splits
 from finetide.sources import paths
 from finetide.specs import SPLIT_NAMES, DatasetSpec, Filters, SplitSpec
 
@@ -53,15 +53,11 @@ def save_splits(df: DataFrame, cache_dir: str, method: str, cache_key: str | Non
     spark = df.sparkSession
     data, manifest, name = _places(cache_dir)
     paths.remove(spark, manifest)
-    df.write.mode("overwrite").partitionBy("split").parquet(data)
+    checked_splits(df).write.mode("overwrite").partitionBy("split").parquet(data)
     stored = spark.read.schema(df.schema).parquet(data)
-    found = sorted(row["split"] for row in stored.select("split").distinct().collect())
-    unknown = set(found) - set(SPLIT_NAMES)
-    if unknown:
-        raise DataError(f"split names not allowed: {sorted(unknown)}", "split")
     fingerprint = content_fingerprint(stored).head()["fingerprint"]
-    # A validation part without rows leaves no folder, but it is a split all the same.
-    names = sorted(set(found) | {"train", "validation"})
+    # A train or validation part without rows leaves no folder, but it is a split all the same.
+    names = [n for n in SPLIT_NAMES if n != "test" or paths.exists(spark, f"{data}/split={n}")]
     entry = (fingerprint, method, names, "parquet", cache_key or name)
     spark.createDataFrame([entry], MANIFEST_SCHEMA).coalesce(1).write.json(manifest)
     return fingerprint

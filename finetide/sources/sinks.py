@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from finetide.errors import DataError
 from finetide.functions.text import strip, text_or_none
 from finetide.operators.normalize import text_key
-from finetide.operators.split import take_split
-from finetide.sources.paths import qualified
+from finetide.operators.split import checked_splits, take_split
+from finetide.sources.paths import exists
+from finetide.specs import SPLIT_NAMES
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -60,8 +61,6 @@ def write_trainer_layout(splits: DataFrame, out_dir: str, batch_size: int = 1) -
 
 def hand_off(splits: DataFrame, out_dir: str) -> dict[str, str]:
     """Columnar hand-off: one Parquet folder per split, written in a single pass."""
-    splits.write.mode("overwrite").partitionBy("split").parquet(out_dir)
-    spark = splits.sparkSession
-    names = spark.read.parquet(out_dir).select("split").distinct().collect()  # one row per split
-    root = qualified(spark, out_dir)
-    return {row["split"]: f"{root}/split={row['split']}" for row in names}
+    checked_splits(splits).write.mode("overwrite").partitionBy("split").parquet(out_dir)
+    folders = {name: f"{out_dir.rstrip('/')}/split={name}" for name in SPLIT_NAMES}
+    return {name: folder for name, folder in folders.items() if exists(splits.sparkSession, folder)}

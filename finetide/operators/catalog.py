@@ -115,7 +115,8 @@ def config_drift(stored: DataFrame, current: DataFrame) -> DataFrame:
     pairs = stored.select("run_id", config_key(F.col("config")).alias("original_hash")).join(
         current.select("run_id", config_key(F.col("config")).alias("new_hash")), "run_id"
     )
-    return pairs.filter("original_hash <> new_hash")
+    # A null-safe test, because Spark would guard a plain one by computing each hash once more.
+    return pairs.filter(~F.col("original_hash").eqNullSafe(F.col("new_hash")))
 
 
 def check_resume(stored: DataFrame, current: DataFrame) -> None:

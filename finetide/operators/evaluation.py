@@ -35,11 +35,11 @@ Writer = Callable[[DataFrame], DataFrame]  # (id, text) -> (id, output); null ou
 def perplexity(scores: DataFrame) -> DataFrame:
     """One row from (loss, n_tokens) per text. A text of n tokens predicts n-1 of them and
     weighs by that number; a text of fewer than two predicts none."""
-    predicted = F.col("n_tokens") - 1
-    usable = scores.filter(F.col("n_tokens") >= 2)
-    total = F.coalesce(F.sum(F.col("loss") * predicted), F.lit(0.0))
+    predicted = F.greatest(F.col("n_tokens") - 1, F.lit(0))
+    weighted = F.when(predicted > 0, F.col("loss") * predicted)
+    total = F.coalesce(F.sum(weighted), F.lit(0.0))
     weight = F.greatest(F.coalesce(F.sum(predicted), F.lit(0)), F.lit(1))
-    return usable.agg((total / weight).alias("avg_loss")).select(F.exp("avg_loss").alias("perplexity"), "avg_loss")
+    return scores.agg((total / weight).alias("avg_loss")).select(F.exp("avg_loss").alias("perplexity"), "avg_loss")
 
 
 def generation_quality(outputs: DataFrame) -> DataFrame:

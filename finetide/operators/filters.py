@@ -29,6 +29,13 @@ def passes(c: Column, filters: Filters) -> Column:
     return ok
 
 
+def with_quality(df: DataFrame, column: str, at_least: float, name: str = "score") -> DataFrame:
+    """Rows of at least the given quality, with the score. Exploding a one-element array
+    keeps Spark from pushing the test down, where the score would be computed again."""
+    score = F.explode_outer(F.array(quality(text_or_none(F.col(column))))).alias(name)
+    return df.select("*", score).filter(F.col(name) >= at_least)
+
+
 def filtered_columns(method: str) -> tuple[str, ...]:
     return ("prompt", "chosen", "rejected") if is_preference(method) else ("text",)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from finetide.operators.dedup import first_rows
@@ -28,10 +30,12 @@ def preprocess(
     so Spark runs it once. The texts are shuffled at most once, on the order column.
     """
     rows = normalize_columns(df, method, dataset or DatasetSpec(path=""), order_col)
-    rows = apply_filters(rows, filters, method)
-    kept = first_rows(rows, order_col)
+    kept = first_rows(apply_filters(rows, filters, method), order_col)
     cut = split_cut(kept, order_col, split)
-    return label(rows.join(kept, order_col, "left_semi"), order_col, cut, split)
+    # Rows in ``kept`` have passed both tests. Repeating the length test is cheap and spares
+    # the join the long texts; repeating the quality test would cost more than it spares.
+    candidates = apply_filters(rows, replace(filters, min_quality_score=0.0), method)
+    return label(candidates.join(kept, order_col, "left_semi"), order_col, cut, split)
 
 
 def preprocess_dataset(

@@ -9,12 +9,15 @@ from pyspark.sql.types import StructType
 from finetide.errors import DataError
 from finetide.functions.text import is_blank, strip
 from finetide.operators.positions import with_position
-from finetide.sources.paths import exists
+from finetide.sources.paths import exists, size
 from finetide.specs import DatasetSpec
 
 # The file names looked for under a dataset root, in this order.
 CANDIDATE_FILES = ("train.jsonl", "data.jsonl", "train.csv", "validation.jsonl")
 
+SPREAD_BYTES = 256 * 1024 * 1024
+SPREAD_TASK_BYTES = 1024 * 1024
+
 
 def read_jsonl(
     spark: SparkSession, path: str, schema: StructType | str | None = None, schema_mode: str = "union"
@@ -54,6 +57,15 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame, path: str) -> DataFrame:
+    """Deal out the rows of a small input, which a file of one row group or one unsplittable
+    file would leave to a single task. Larger inputs have splits enough and pass unchanged."""
+    spark = df.sparkSession
+    stored = size(spark, path)
+    tasks = min(spark.sparkContext.defaultParallelism, stored // SPREAD_TASK_BYTES)
+    return df.repartition(tasks) if tasks > 1 and stored <= SPREAD_BYTES else df
+
+
 def read_first_candidate(spark: SparkSession, root: str) -> DataFrame:
     """The first of the well-known files that exists under ``root``."""
     for name in CANDIDATE_FILES:
@@ -72,7 +84,7 @@ def load(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
         "parquet": read_parquet,
         "candidates": read_first_candidate,
     }
-    return readers[spec.format](spark, spec.path)
+    return spread(readers[spec.format](spark, spec.path), spec.path)
 
 
 def read_lines(spark: SparkSession, path: str, name: str = "value") -> DataFrame:

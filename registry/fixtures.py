@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from finetide.functions.text import word_count
 from finetide.operators.positions import with_position
+from finetide.sources.files import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sft(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), f"{sf_dir}/documents.parquet")
 
 
 def pair(spark: SparkSession, sf_dir: str) -> DataFrame:

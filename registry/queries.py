@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finetide.functions.keys import config_key
-from finetide.functions.text import normalize, quality, word_count
+from finetide.functions.text import normalize, word_count
 from finetide.operators import catalog, evaluation, generation, normalize as shapes, rl, rows
 from finetide.operators.dedup import deduplicate
-from finetide.operators.filters import apply_filters, length_between
+from finetide.operators.filters import apply_filters, length_between, with_quality
 from finetide.operators.fingerprint import content_fingerprint as fingerprint_of, split_stats as stats_of
 from finetide.operators.positions import batch_of, cap_rows, gather, with_position
 from finetide.operators.split import sample_texts, split_by_ids, split_exact as split_rows
@@ -149,8 +149,7 @@ def filter_length(spark, d):
 
 @query
 def filter_quality(spark, d):
-    docs = fx.sft(spark, d).select("doc_id", quality(F.col("text")).alias("score"))
-    return docs.filter("score >= 0.75")
+    return with_quality(fx.sft(spark, d), "text", 0.75).drop("text")
 
 
 @query

@@ -52,13 +52,14 @@ def rank_cut(ids: DataFrame, id_col: str, seed: int, wanted: Callable[[Column],
     boundary = (
         running.withColumn("wanted", wanted(F.col("total")))
         .filter((before < F.col("wanted")) & (F.col("wanted") <= F.col("upto")))
-        .select("prefix", (F.col("wanted") - before).alias("need"))
+        .select(F.struct("prefix", (F.col("wanted") - before).alias("need")))
+        .scalar()
     )
     within = Window.partitionBy("prefix").orderBy("rank")
     return (
-        keyed.join(F.broadcast(boundary), "prefix")  # boundary has at most one row
+        keyed.filter(F.col("prefix") == boundary.getField("prefix"))
         .withColumn("position", F.row_number().over(within))
-        .filter(F.col("position") == F.col("need"))
+        .filter(F.col("position") == boundary.getField("need"))
         .select("rank")
     )
 

@@ -1,21 +1,25 @@
-"""Artifact inventory: every file under a root with its size, SHA-256 and first bytes."""
+"""Artifact inventory: every file under a root with its size, SHA-256 and first bytes.
+
+Spark's own file sources skip empty files and names that start with a dot or underscore,
+and hold a file whole; an inventory needs the former and must not do the latter. So one
+task lists names and sizes, and the files are then hashed in parallel, chunk by chunk.
+"""
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finetide.sources.paths import qualified
+from finetide.errors import DataError
+from finetide.sources.paths import exists, qualified
 
 SAMPLE_BYTES = 512
-# Files up to this size are hashed by Spark from memory; longer ones are read in chunks.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
 CHUNK_BYTES = 8 * 1024 * 1024
+LISTED_BATCH = 10_000
 
 SCHEMA = "path string, size bigint, sha256 string, sample binary"
 
@@ -30,34 +34,51 @@ def described(files: DataFrame) -> DataFrame:
     )
 
 
-def _hash_in_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _opened(root: str):
+    """The file system of a root URI and the root's path in it."""
+    from pyarrow import fs
+
+    if root.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + root.removeprefix("file:").strip("/")
+    store, path = fs.FileSystem.from_uri(root)
+    return store, path.rstrip("/")
+
+
+def _list_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
 
+    for batch in batches:
+        for root in batch["root"]:
+            store, base = _opened(root)
+            found = store.get_file_info(fs.FileSelector(base, recursive=True))
+            for start in range(0, len(found), LISTED_BATCH):
+                files = [f for f in found[start : start + LISTED_BATCH] if f.type == fs.FileType.File]
+                rows = [(root, f.path[len(base) + 1 :], f.size) for f in files]
+                yield pd.DataFrame(rows, columns=["root", "path", "size"])
+
+
+def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for uri, size in zip(batch["path"], batch["length"]):
-            store, name = fs.FileSystem.from_uri(unquote(uri) if uri.startswith("file:") else uri)
+        for root, path, size in zip(batch["root"], batch["path"], batch["size"]):
+            store, base = _opened(root)
             total, sample = hashlib.sha256(), b""
-            with store.open_input_stream(name) as stream:
+            with store.open_input_stream(f"{base}/{path}") as stream:
                 while chunk := stream.read(CHUNK_BYTES):
                     if len(sample) < SAMPLE_BYTES:
                         sample = (sample + chunk)[:SAMPLE_BYTES]
                     total.update(chunk)
-            rows.append((uri, size, total.hexdigest(), sample))
+            rows.append((path, size, total.hexdigest(), sample))
         yield pd.DataFrame(rows, columns=["path", "size", "sha256", "sample"])
 
 
-def inventory(spark: SparkSession, root: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """All files under ``root``, paths relative to it. A file is one task's work, but never
-    more than a chunk of a long one is in memory."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    short = described(files.filter(F.col("length") <= whole_file_bytes).select("path", "content"))
-    long = files.filter(F.col("length") > whole_file_bytes).select("path", "length")
-    both = short.unionByName(long.mapInPandas(_hash_in_chunks, SCHEMA))
-    # Listed paths may spell the scheme with one slash or three; the folder part is the same.
-    folder = qualified(spark, root).split(":", 1)[-1].strip("/") + "/"
-    start = F.locate(folder, F.col("path")) + len(folder)
-    return both.withColumn("path", F.col("path").substr(start, F.length("path")))
+def inventory(spark: SparkSession, root: str) -> DataFrame:
+    """All files under ``root``, with paths relative to it."""
+    if not exists(spark, root):
+        raise DataError(f"no folder to take stock of: {root}", "path")
+    start = spark.createDataFrame([(qualified(spark, root),)], "root string").coalesce(1)
+    listed = start.mapInPandas(_list_files, "root string, path string, size bigint")
+    return listed.repartition("path").mapInPandas(_hash_files, SCHEMA)
 
 
 def upload_plan(files: DataFrame, modes: DataFrame) -> DataFrame:

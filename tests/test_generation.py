@@ -1,0 +1,166 @@
+import sys
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from finetide import DataError, GenerationSpec, SplitSpec
+from finetide.operators import generation as gen
+from finetide.plans.synthetic import generate_cached, seeds_from, synthetic_dataset
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def seeds(spark, values):
+    return gen.seed_table(spark, values) if values else seeds_from(spark, None)
+
+
+def echo():
+    return lambda prompt: (f"<{prompt.splitlines()[0]}>", 3)
+
+
+def shout():
+    return lambda prompts: [p.upper() for p in prompts]
+
+
+def test_round_robin_and_defaults(spark):
+    rows = gen.assign_seeds(seeds(spark, ["a", "b", "c"]), 7, []).orderBy("id").collect()
+    assert [r["seed"] for r in rows] == list("abcabca")
+    rows = gen.assign_seeds(seeds(spark, []), 4, gen.LOCAL_SEEDS).orderBy("id").collect()
+    assert [r["seed"] for r in rows] == gen.LOCAL_SEEDS + gen.LOCAL_SEEDS[:1]
+
+
+def test_many_seeds_are_not_broadcast(spark, monkeypatch, plan):
+    monkeypatch.setattr(gen, "BROADCAST_SEEDS", 2)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    df = gen.assign_seeds(seeds(spark, ["a", "b", "c"]), 7, [])
+    assert "BroadcastHashJoin" not in plan(df)
+    assert [r["seed"] for r in df.orderBy("id").collect()] == list("abcabca")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_single_stage(spark):
+    generate = gen.get_generator("openai")
+    rows = generate(seeds(spark, ["s", "t"]), 5, echo, delay=0).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(i, "<s>" if i % 2 == 0 else "<t>", 3) for i in range(5)]
+    assert generate(seeds(spark, ["s"]), 5, echo, delay=0).rdd.getNumPartitions() == 4
+    usage = gen.token_usage(generate(seeds(spark, ["s"]), 5, echo, delay=0)).collect()
+    assert usage == [(5, 15)]
+
+
+def test_retry_backs_off_and_gives_up(monkeypatch):
+    pauses, calls = [], []
+    monkeypatch.setattr(gen.time, "sleep", pauses.append)
+
+    def flaky(prompt):
+        calls.append(prompt)
+        if len(calls) < 3:
+            raise OSError("busy")
+        return None, None
+
+    assert gen.call_with_retry(flaky, "p", 3) == ("", 0)
+    assert pauses == [1, 2]
+
+    def broken(prompt):
+        raise OSError("down")
+
+    with pytest.raises(RuntimeError, match="after 2 tries: down"):
+        gen.call_with_retry(broken, "p", 2)
+    assert pauses == [1, 2, 1]
+
+
+def test_failing_service_fails_the_query(spark):
+    def connect():
+        def call(prompt):
+            raise OSError("down")
+
+        return call
+
+    requests = gen.assign_seeds(seeds(spark, ["s"]), 2, [])
+    with pytest.raises(PySparkException, match="down"):
+        gen.generate_single(requests, connect, max_retries=1, delay=0).collect()
+
+
+def test_two_stages(spark):
+    rows = gen.get_generator("self_instruct")(seeds(spark, [" ask "]), 3, shout).orderBy("id").collect()
+    text = "Instruction: ASK\nResponse: ANSWER THIS INSTRUCTION HELPFULLY:\n ASK \n\nRESPONSE:"
+    assert [tuple(r) for r in rows] == [(i, text) for i in range(3)]
+
+
+def test_model_gets_bounded_batches(spark):
+    def picky():
+        def model(prompts):
+            assert len(prompts) <= 4
+            return [f"batch of {len(prompts)}" for _ in prompts]
+
+        return model
+
+    requests = gen.assign_seeds(seeds(spark, ["s"]), 10, []).coalesce(1)
+    done = gen.complete(requests, F.col("seed"), "out", picky, 4).orderBy("id").collect()
+    assert [r["out"] for r in done] == ["batch of 4"] * 8 + ["batch of 2"] * 2
+
+
+def test_wrong_number_of_answers_fails(spark):
+    def short():
+        return lambda prompts: prompts[:-1]
+
+    with pytest.raises(PySparkException, match="returned"):
+        gen.complete(gen.assign_seeds(seeds(spark, ["s"]), 3, []), F.col("seed"), "o", short, 4).collect()
+
+
+def test_nothing_left_gives_the_stand_in(spark):
+    def endless():
+        return lambda prompts: ["x" * 5000 for _ in prompts]
+
+    rows = gen.generate_two_stage(gen.assign_seeds(seeds(spark, ["s"]), 3, []), endless).collect()
+    assert [r["text"] for r in rows] == [gen.FALLBACK_TEXT]
+
+
+def test_unknown_backend():
+    with pytest.raises(DataError, match="unheard"):
+        gen.get_generator("unheard")
+
+
+def test_raw_cache_calls_the_model_once(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def counting(folder=str(log)):
+        import uuid
+
+        def call(prompt):
+            open(f"{folder}/{uuid.uuid4().hex}", "w").close()
+            return f"made {uuid.uuid4().hex}", 1
+
+        return call
+
+    spec = GenerationSpec(n_samples=6, backend="openai")
+    root = str(tmp_path / "cache")
+    first = generate_cached(spec, seeds(spark, ["s"]), counting, root, delay=0).collect()
+    again = generate_cached(spec, seeds(spark, ["s"]), counting, root, delay=0).collect()
+    assert sorted(r["text"] for r in first) == sorted(r["text"] for r in again)
+    assert len(list(log.iterdir())) == 6
+    generate_cached(spec, seeds(spark, ["other"]), counting, root, delay=0)
+    assert len(list(log.iterdir())) == 12
+
+
+def test_end_to_end_is_cached_and_split(spark, tmp_path):
+    spec = GenerationSpec(n_samples=20)
+    root = str(tmp_path / "root")
+    rows = synthetic_dataset(spec, seeds(spark, ["a", "b"]), shout, root, SplitSpec(0.8))
+    assert rows.count() == 20 and rows.filter("split = 'validation'").count() == 4
+
+    def never():
+        raise AssertionError("the cache should have answered")
+
+    assert synthetic_dataset(spec, seeds(spark, ["a", "b"]), never, root, SplitSpec(0.8)).count() == 20
+
+
+def test_filters_are_optional_for_generated_rows(spark, tmp_path):
+    from finetide import Filters
+
+    spec = GenerationSpec(n_samples=20)
+    rows = synthetic_dataset(spec, seeds(spark, ["a", "b"]), shout, str(tmp_path / "f"), filters=Filters())
+    assert rows.count() == 2

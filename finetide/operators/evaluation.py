@@ -95,8 +95,10 @@ def run_benchmarks(
     write: Writer,
     max_samples: int | None = None,
     seed: int = 42,
+    more: dict[str, Callable[[], DataFrame]] | None = None,
 ) -> DataFrame:
-    """The named benchmarks over a seeded sample of ``rows``; an unknown name gets an error line."""
+    """The named benchmarks over a seeded sample of ``rows``; an unknown name gets an error
+    line. ``more`` adds benchmarks: functions that give a one-row result."""
     spark = rows.sparkSession
 
     def sample(bench: str) -> DataFrame:
@@ -117,6 +119,7 @@ def run_benchmarks(
         "perplexity": run_perplexity,
         "generation_quality": run_quality,
         "instruction_following": run_instruction,
+        **(more or {}),
     }
     tables = [long_metrics(known[n](), n) if n in known else error_line(spark, n) for n in names]
     return reduce(DataFrame.unionByName, tables)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,18 +65,31 @@ def seed_table(spark: SparkSession, seeds: list[str]) -> DataFrame:
     return spark.createDataFrame(list(enumerate(seeds)), "idx bigint, seed string")
 
 
-def assign_seeds(seeds: DataFrame, n_samples: int, defaults: list[str]) -> DataFrame:
-    """(id, seed) for ids 0..n-1: sample i takes seed i modulo the number of seeds.
+@dataclass(frozen=True)
+class SeedList:
+    """Seeds (idx, seed) with idx dense from 0, their number, and whether they may be broadcast."""
+
+    rows: DataFrame
+    count: int
+    small: bool
+
+    def requests(self, start: int, end: int) -> DataFrame:
+        """(id, seed) for ids start..end-1: sample i takes seed i modulo the number of seeds."""
+        samples = self.rows.sparkSession.range(start, end).withColumn("idx", F.pmod("id", F.lit(self.count)))
+        return samples.join(F.broadcast(self.rows) if self.small else self.rows, "idx").select("id", "seed")
+
 
-    ``seeds`` is (idx, seed) with idx dense from 0; without rows ``defaults`` stand in.
-    """
-    spark = seeds.sparkSession
+def seed_list(seeds: DataFrame, defaults: list[str]) -> SeedList:
+    """Count and weigh the seeds once; without any, ``defaults`` stand in."""
     size = seeds.agg(F.count("*").alias("n"), F.sum(F.octet_length("seed")).alias("bytes")).head()
     if size["n"] == 0:
-        return assign_seeds(seed_table(spark, defaults), n_samples, defaults)
+        return SeedList(seed_table(seeds.sparkSession, defaults), len(defaults), True)
     small = size["n"] <= BROADCAST_SEEDS and (size["bytes"] or 0) <= BROADCAST_SEED_BYTES
-    samples = spark.range(n_samples).withColumn("idx", F.pmod("id", F.lit(size["n"])))
-    return samples.join(F.broadcast(seeds) if small else seeds, "idx").select("id", "seed")
+    return SeedList(seeds, size["n"], small)
+
+
+def assign_seeds(seeds: DataFrame, n_samples: int, defaults: list[str]) -> DataFrame:
+    return seed_list(seeds, defaults).requests(0, n_samples)
 
 
 def call_with_retry(call: Transport, prompt: str, max_retries: int) -> tuple[str, int]:
@@ -136,15 +151,23 @@ def complete(df: DataFrame, prompt: Column, name: str, load: Callable[[], TextMo
     return df.withColumn("_prompt", prompt).mapInPandas(run, schema)
 
 
-def generate_two_stage(requests: DataFrame, load: Callable[[], TextModel], batch_size: int = 4) -> DataFrame:
+def two_stage_rows(requests: DataFrame, load: Callable[[], TextModel], batch_size: int = 4) -> DataFrame:
     """Instructions from seeds, responses from instructions: (id, text) of the rows that
-    pass the length test, or the one stand-in row if none does. Written once, then read."""
+    pass the length test."""
     asked = complete(requests, F.col("seed"), "instruction", load, batch_size)
     answered = complete(asked, answer_prompt(F.col("instruction")), "response", load, batch_size)
     text = record_text(F.col("instruction"), F.col("response"))
-    rows = written(answered.select("id", text.alias("text")).filter(generated_length_ok(F.col("text"))), "generated")
-    stand_in = requests.sparkSession.createDataFrame([(0, FALLBACK_TEXT)], rows.schema)
-    return stand_in if rows.isEmpty() else rows
+    return answered.select("id", text.alias("text")).filter(generated_length_ok(F.col("text")))
+
+
+def stand_in(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(0, FALLBACK_TEXT)], "id bigint, text string")
+
+
+def generate_two_stage(requests: DataFrame, load: Callable[[], TextModel], batch_size: int = 4) -> DataFrame:
+    """``two_stage_rows``, or the one stand-in row if none passes. Written once, then read."""
+    rows = written(two_stage_rows(requests, load, batch_size), "generated")
+    return stand_in(requests.sparkSession) if rows.isEmpty() else rows
 
 
 def token_usage(generated: DataFrame) -> DataFrame:
@@ -154,27 +177,34 @@ def token_usage(generated: DataFrame) -> DataFrame:
     )
 
 
-def _api_backend(name: str) -> Callable[..., DataFrame]:
-    def run(seeds: DataFrame, n_samples: int, plug_in: Callable[[], Transport], **options) -> DataFrame:
-        options.setdefault("delay", CALL_DELAYS[name])
-        return generate_single(assign_seeds(seeds, n_samples, API_SEEDS), plug_in, **options)
+@dataclass(frozen=True)
+class Backend:
+    """How a named generator turns (id, seed) requests into rows with its plug-in."""
+
+    default_seeds: list[str]
+    run: Callable[..., DataFrame]  # (requests, plug_in, **options) -> rows
+    has_stand_in: bool = False
 
-    return run
+    def generate(self, seeds: DataFrame, n_samples: int, plug_in: Callable, **options) -> DataFrame:
+        requests = assign_seeds(seeds, n_samples, self.default_seeds)
+        if self.has_stand_in:
+            return generate_two_stage(requests, plug_in, **options)
+        return self.run(requests, plug_in, **options)
 
 
-def _self_instruct(seeds: DataFrame, n_samples: int, plug_in: Callable[[], TextModel], **options) -> DataFrame:
-    return generate_two_stage(assign_seeds(seeds, n_samples, LOCAL_SEEDS), plug_in, **options)
+def _api(name: str) -> Backend:
+    return Backend(API_SEEDS, partial(generate_single, delay=CALL_DELAYS[name]))
 
 
-BACKENDS: dict[str, Callable[..., DataFrame]] = {
-    "openai": _api_backend("openai"),
-    "anthropic": _api_backend("anthropic"),
-    "self_instruct": _self_instruct,
+BACKENDS: dict[str, Backend] = {
+    "openai": _api("openai"),
+    "anthropic": _api("anthropic"),
+    "self_instruct": Backend(LOCAL_SEEDS, two_stage_rows, has_stand_in=True),
 }
 
 
-def get_generator(backend: str) -> Callable[..., DataFrame]:
-    """``generate(seeds, n_samples, plug_in, **options)`` for a backend; users may add theirs."""
-    if backend not in BACKENDS:
-        raise DataError(f"unknown generator backend: {backend}", "synthetic.backend")
-    return BACKENDS[backend]
+def get_backend(name: str) -> Backend:
+    """A registered generator; users may add theirs to ``BACKENDS``."""
+    if name not in BACKENDS:
+        raise DataError(f"unknown generator backend: {name}", "synthetic.backend")
+    return BACKENDS[name]

@@ -115,10 +115,8 @@ def sample_texts(df: DataFrame, id_col: str, limit: int = 32, seed: int = 42) ->
     return texts.filter(rank_of(id_col, seed) <= cut.scalar())
 
 
-def split_by_ids(df: DataFrame, held_out: DataFrame, id_col: str) -> dict[str, DataFrame]:
-    """Rows in, and rows not in, an explicit list of ids."""
-    ids = held_out.select(id_col)
-    return {
-        "train": df.join(ids, id_col, "left_anti"),
-        "validation": df.join(ids, id_col, "left_semi"),
-    }
+def split_by_ids(df: DataFrame, held_out: DataFrame, id_col: str) -> DataFrame:
+    """Add ``split`` from an explicit list of ids. One join that only adds a flag: ids may
+    repeat or name no row, and the table is read once for both parts."""
+    ids = held_out.select(id_col).filter(F.col(id_col).isNotNull())
+    return df.withColumn("split", F.when(F.col(id_col).isin(ids), "validation").otherwise("train"))

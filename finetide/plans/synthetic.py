@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from finetide.operators.dedup import deduplicate
 from finetide.operators.filters import apply_filters
 from finetide.operators.fingerprint import content_fingerprint
-from finetide.operators.generation import get_generator
+from finetide.operators.generation import get_backend, seed_list, stand_in
 from finetide.operators.split import split_exact
 from finetide.plans.cache import address, load_splits, save_splits
 from finetide.sources import paths
@@ -18,6 +18,8 @@ from finetide.sources.files import read_jsonl, read_lines
 from finetide.sources.sinks import write_jsonl
 from finetide.specs import Filters, GenerationSpec, SplitSpec
 
+WAVE_ROWS = 100_000
+
 
 def seeds_from(spark: SparkSession, path: str | None) -> DataFrame:
     """Seed prompts as (idx, seed): one per line of a text file, or none."""
@@ -35,17 +37,31 @@ def raw_cache_key(spark: SparkSession, spec: GenerationSpec, seeds: DataFrame, b
 
 
 def generate_cached(
-    spec: GenerationSpec, seeds: DataFrame, plug_in: Callable, cache_root: str, base_model: str = "", **options
+    spec: GenerationSpec,
+    seeds: DataFrame,
+    plug_in: Callable,
+    cache_root: str,
+    base_model: str = "",
+    wave_rows: int = WAVE_ROWS,
+    **options,
 ) -> DataFrame:
-    """Generated rows from the raw cache; the generator runs only if there are none yet."""
+    """Generated rows from the raw cache; the generator runs only for what is not there yet.
+
+    Samples are made and stored in waves. A job that dies resumes with the first wave not
+    finished, so no more than one wave of model calls is ever paid for twice.
+    """
     spark = seeds.sparkSession
-    generate = get_generator(spec.backend)
+    backend = get_backend(spec.backend)
     path = f"{cache_root.rstrip('/')}/raw/{raw_cache_key(spark, spec, seeds, base_model)}.jsonl"
-    if paths.exists(spark, f"{path}/_SUCCESS") and paths.size(spark, path) > 0:
-        return read_jsonl(spark, path)
-    rows = generate(seeds, spec.n_samples, plug_in, **options)
-    write_jsonl(rows, path, "overwrite")
-    return read_jsonl(spark, path, schema=rows.schema)
+    known = seed_list(seeds, backend.default_seeds)
+    for start in range(0, spec.n_samples, wave_rows):
+        wave = f"{path}/wave={start}-{min(start + wave_rows, spec.n_samples)}"
+        if not paths.exists(spark, f"{wave}/_SUCCESS"):
+            requests = known.requests(start, min(start + wave_rows, spec.n_samples))
+            write_jsonl(backend.run(requests, plug_in, **options), wave, "overwrite")
+    schema = backend.run(known.requests(0, 1), plug_in, **options).schema
+    rows = read_jsonl(spark, path, schema=schema).select(*schema.names)
+    return stand_in(spark) if backend.has_stand_in and rows.isEmpty() else rows
 
 
 def synthetic_dataset(

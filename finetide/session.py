@@ -47,9 +47,8 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise DataError("set spark.checkpoint.dir to a folder shared by the cluster", CHECKPOINT_DIR)
-    own = tempfile.mkdtemp(prefix="finetide-")
-    spark.conf.set(CHECKPOINT_DIR, own)
-    return own
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="finetide-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -66,15 +66,19 @@ def spread(df: DataFrame, path: str) -> DataFrame:
     return df.repartition(tasks) if tasks > 1 and stored <= SPREAD_BYTES else df
 
 
-def read_first_candidate(spark: SparkSession, root: str) -> DataFrame:
+def first_candidate(spark: SparkSession, root: str) -> DatasetSpec:
     """The first of the well-known files that exists under ``root``."""
     for name in CANDIDATE_FILES:
         path = f"{root.rstrip('/')}/{name}"
         if exists(spark, path):
-            return read_jsonl(spark, path) if name.endswith(".jsonl") else read_csv(spark, path)
+            return DatasetSpec(path=path, format=name.rsplit(".", 1)[-1])
     raise DataError(f"none of {', '.join(CANDIDATE_FILES)} under {root}", "dataset.path")
 
 
+def read_first_candidate(spark: SparkSession, root: str) -> DataFrame:
+    return load(spark, first_candidate(spark, root))
+
+
 def load(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     if not exists(spark, spec.path):
         raise DataError(f"dataset path not found: {spec.path}", "dataset.path")
@@ -115,5 +119,5 @@ def count_rows(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     elif spec.format == "csv":
         rows = read_csv(spark, spec.path)
     else:
-        raise DataError(f"rows of format {spec.format!r} cannot be counted", "dataset.format")
+        return count_rows(spark, first_candidate(spark, spec.path))
     return rows.agg(F.count("*").alias("n_rows"))

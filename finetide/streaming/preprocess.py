@@ -74,10 +74,6 @@ def deduplicate_stream(
     return thinned.dropDuplicates(["digest"])
 
 
-def split_stream(stream: DataFrame, id_col: str, spec: SplitSpec = SplitSpec()) -> DataFrame:
-    return split_by_fraction(stream, id_col, spec)
-
-
 def write_stream(stream: DataFrame, path: str, checkpoint: str, *partition_by: str) -> StreamingQuery:
     """Append everything available now to Parquet, then stop."""
     writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
@@ -86,6 +82,27 @@ def write_stream(stream: DataFrame, path: str, checkpoint: str, *partition_by: s
     return writer.outputMode("append").trigger(availableNow=True).start(path)
 
 
+def prepare_stream(
+    spark: SparkSession,
+    dataset: DatasetSpec,
+    schema: StructType | str,
+    order_col: str,
+    path: str,
+    checkpoint: str,
+    method: str = "sft",
+    filters: Filters = Filters(),
+    split: SplitSpec = SplitSpec(),
+    max_files: int = 1000,
+) -> StreamingQuery:
+    """A landing folder prepared end to end: normalised, filtered, each text once, split.
+
+    Run it again when files have arrived; it takes up where it stopped.
+    """
+    rows = read_stream(spark, dataset.path, schema, dataset.format, max_files)
+    kept = deduplicate_stream(preprocess_stream(rows, order_col, method, dataset, filters))
+    return write_stream(split_by_fraction(kept, order_col, split), path, checkpoint, "split")
+
+
 def write_capped(stream: DataFrame, order_col: str, cap: int, path: str, checkpoint: str) -> StreamingQuery:
     """Append at most ``cap`` rows in all: each batch gives its first rows by ``order_col``
     until the cap is reached. A batch writes its own folder, so a repeated one replaces it."""

@@ -299,8 +299,13 @@ ORACLES: dict[str, str] = {
                case when large then sha256(html) end as oid, case when large then strlen(html) end as size,
                case when not large then base64(encode(html)) end as content
         from (select *, contains(url, '/en/') as large from pages where contains(url, '/en/') or not contains(url, '/de/'))""",
+    "artifact_parts": """
+        with p as (select doc_id, source, unnest(range(1, ceil(n_chars / 1000)::bigint + 1)) as n from documents where n_chars > 0)
+        select doc_id, count(*)::integer as n_parts, string_agg(source || '/' || n, ' ' order by n) as parts
+        from p group by doc_id""",
     "stream_preprocess": f"select doc_id, text from documents where {passes('text', 10, 4096, 0.0)}",
     "stream_dedup": f"select distinct sha256({norm('text')}) as digest from documents where {passes('text', 10, 4096, 0.0)}",
+    "stream_prepared": f"select distinct sha256({norm('text')}) as digest from documents where {passes('text', 10, 4096, 0.0)}",
     "stream_split": """select doc_id, case when ('0x' || substr(sha256('42:' || doc_id::varchar), 1, 8))::bigint / 4294967296.0::double
         < (1 - 0.9::double) then 'validation' else 'train' end as split from documents""",
     "stream_capped": "select least(600, count(*)) as n_rows, least(600, count(distinct doc_id)) as n_ids from documents",

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finetide.functions import maps
 from finetide.functions.keys import config_key
 from finetide.functions.text import normalize, word_count
 from finetide.operators import catalog, evaluation, generation, normalize as shapes, rl, rows
@@ -16,7 +17,7 @@ from finetide.operators.dedup import deduplicate
 from finetide.operators.filters import apply_filters, length_between, with_quality
 from finetide.operators.fingerprint import content_fingerprint as fingerprint_of, split_stats as stats_of
 from finetide.operators.positions import batch_of, cap_rows, gather, with_position
-from finetide.operators.split import sample_texts, split_by_ids, split_exact as split_rows
+from finetide.operators.split import sample_texts, split_by_fraction, split_by_ids, split_exact as split_rows
 from finetide.plans.cache import load_splits, save_splits
 from finetide.plans.estimate import plan_estimate as estimate
 from finetide.plans.preprocess import preprocess, preprocess_dataset
@@ -26,9 +27,9 @@ from finetide.sources import artifacts, files, sinks
 from finetide.specs import DatasetSpec, Filters, GenerationSpec, SplitSpec
 from finetide.streaming.preprocess import (
     deduplicate_stream,
+    prepare_stream,
     preprocess_stream,
     read_stream,
-    split_stream,
     write_capped,
     write_stream,
 )
@@ -224,8 +225,7 @@ def split_exact_orders(spark, d):
 
 @query
 def split_semi_anti(spark, d):
-    parts = split_by_ids(fx.table(spark, d, "documents").select("doc_id"), fx.table(spark, d, "labels"), "doc_id")
-    return reduce(DataFrame.unionByName, [p.withColumn("split", F.lit(n)) for n, p in parts.items()])
+    return split_by_ids(fx.table(spark, d, "documents").select("doc_id"), fx.table(spark, d, "labels"), "doc_id")
 
 
 @query
@@ -396,7 +396,7 @@ def prompt_templates(spark, d):
 
 
 def single(spark: SparkSession, d: str) -> DataFrame:
-    generate = generation.get_generator("openai")
+    generate = generation.get_backend("openai").generate
     return generate(fx.seeds(spark, d), fx.sample_count(spark, d), fx.stub_transport, delay=0)
 
 
@@ -407,7 +407,7 @@ def generate_single(spark, d):
 
 @query
 def generate_two_stage(spark, d):
-    generate = generation.get_generator("self_instruct")
+    generate = generation.get_backend("self_instruct").generate
     return generate(fx.seeds(spark, d), fx.sample_count(spark, d), fx.stub_model)
 
 
@@ -420,8 +420,8 @@ def generation_usage(spark, d):
 def generation_cache(spark, d):
     spec = GenerationSpec(n_samples=fx.sample_count(spark, d), backend="anthropic")
     root = scratch_path(spark, "raw")
-    generate_cached(spec, fx.seeds(spark, d), fx.stub_transport, root, delay=0)
-    return generate_cached(spec, fx.seeds(spark, d), fx.stub_transport, root, delay=0)
+    generate_cached(spec, fx.seeds(spark, d), fx.stub_transport, root, wave_rows=400, delay=0)
+    return generate_cached(spec, fx.seeds(spark, d), fx.stub_transport, root, wave_rows=400, delay=0)
 
 
 @query
@@ -617,6 +617,20 @@ def artifact_modes(spark, d):
     return artifacts.upload_plan(pages.select("path", "content"), modes)
 
 
+@query
+def artifact_parts(spark, d):
+    """Part addresses from a header map, in numeric order and as many as the size needs."""
+    part = F.col("n_chars") / 1000
+    numbers = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(part).cast("int")))
+    address = F.transform(numbers, lambda n: F.concat("source", F.lit("/"), n.cast("string")))
+    headers = F.map_from_arrays(F.transform(numbers, lambda n: n.cast("string")), address)
+    docs = fx.table(spark, d, "documents").filter("n_chars > 0").select(
+        "doc_id", "n_chars", F.map_concat(headers, F.create_map(F.lit("chunk_size"), F.lit("1000"))).alias("header")
+    )
+    parts = maps.upload_parts(F.col("header"), F.col("n_chars"), 1000)
+    return docs.select("doc_id", F.size(parts).alias("n_parts"), F.array_join(parts, " ").alias("parts"))
+
+
 # Streaming
 
 
@@ -646,7 +660,18 @@ def stream_dedup(spark, d):
 
 @query
 def stream_split(spark, d):
-    return drained(spark, split_stream(landing(spark, d), "doc_id"), "split").select("doc_id", "split")
+    return drained(spark, split_by_fraction(landing(spark, d), "doc_id"), "split").select("doc_id", "split")
+
+
+@query
+def stream_prepared(spark, d):
+    """The whole stream from a landing folder; which copy of a text survives depends on
+    arrival, so the result names texts by digest."""
+    path, out = scratch_path(spark, "landing"), scratch_path(spark, "stream")
+    sinks.write_jsonl(fx.sft(spark, d).repartition(8, "doc_id"), path)
+    schema, progress = "doc_id bigint, text string", scratch_path(spark, "progress")
+    prepare_stream(spark, DatasetSpec(path=path), schema, "doc_id", out, progress, max_files=2).awaitTermination()
+    return spark.read.parquet(out).select(F.lower(F.hex("digest")).alias("digest"))
 
 
 @query

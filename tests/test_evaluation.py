@@ -51,6 +51,12 @@ def test_suite_samples_defaults_and_errors(spark):
     assert suite(spark, rows, ["generation_quality"], max_samples=50)[("generation_quality", "num_samples")] == 50.0
 
 
+def test_suite_takes_more_benchmarks(spark):
+    rows = spark.range(10).select("id", F.lit("t").alias("text"))
+    got = suite(spark, rows, ["size"], more={"size": lambda: rows.agg(F.count("*").alias("n"))})
+    assert got == {("size", "n"): 10.0}
+
+
 def test_suite_without_texts_uses_the_default_ones(spark):
     empty = spark.range(5).select("id", F.lit("  ").alias("text"))
     got = suite(spark, empty, ["generation_quality"])

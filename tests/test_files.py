@@ -68,7 +68,9 @@ def test_candidates_in_order(spark, tmp_path):
     put(tmp_path, "train.csv", "text\nc\n")
     assert files.read_first_candidate(spark, str(tmp_path)).collect() == [("c",)]
     put(tmp_path, "data.jsonl", '{"text": "d"}\n')
-    assert files.load(spark, DatasetSpec(path=str(tmp_path), format="candidates")).collect() == [("d",)]
+    spec = DatasetSpec(path=str(tmp_path), format="candidates")
+    assert files.load(spark, spec).collect() == [("d",)]
+    assert files.count_rows(spark, spec).collect() == [(1,)]
 
 
 def test_missing_path(spark, tmp_path):

@@ -42,7 +42,7 @@ def test_many_seeds_are_not_broadcast(spark, monkeypatch, plan):
 
 
 def test_single_stage(spark):
-    generate = gen.get_generator("openai")
+    generate = gen.get_backend("openai").generate
     rows = generate(seeds(spark, ["s", "t"]), 5, echo, delay=0).orderBy("id").collect()
     assert [tuple(r) for r in rows] == [(i, "<s>" if i % 2 == 0 else "<t>", 3) for i in range(5)]
     assert generate(seeds(spark, ["s"]), 5, echo, delay=0).rdd.getNumPartitions() == 4
@@ -84,7 +84,7 @@ def test_failing_service_fails_the_query(spark):
 
 
 def test_two_stages(spark):
-    rows = gen.get_generator("self_instruct")(seeds(spark, [" ask "]), 3, shout).orderBy("id").collect()
+    rows = gen.get_backend("self_instruct").generate(seeds(spark, [" ask "]), 3, shout).orderBy("id").collect()
     text = "Instruction: ASK\nResponse: ANSWER THIS INSTRUCTION HELPFULLY:\n ASK \n\nRESPONSE:"
     assert [tuple(r) for r in rows] == [(i, text) for i in range(3)]
 
@@ -120,7 +120,7 @@ def test_nothing_left_gives_the_stand_in(spark):
 
 def test_unknown_backend():
     with pytest.raises(DataError, match="unheard"):
-        gen.get_generator("unheard")
+        gen.get_backend("unheard")
 
 
 def test_raw_cache_calls_the_model_once(spark, tmp_path):
@@ -146,6 +146,44 @@ def test_raw_cache_calls_the_model_once(spark, tmp_path):
     assert len(list(log.iterdir())) == 12
 
 
+def test_a_dead_job_resumes_with_the_unfinished_wave(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def service(fail_at):
+        def connect(folder=str(log)):
+            import os
+
+            def call(prompt):
+                name = prompt.splitlines()[0]
+                if name == fail_at:
+                    raise OSError("down")
+                open(f"{folder}/{name}-{len(os.listdir(folder))}", "w").close()
+                return name, 1
+
+            return call
+
+        return connect
+
+    spec = GenerationSpec(n_samples=10, backend="anthropic")
+    source = seeds(spark, [f"s{i}" for i in range(10)])
+    options = dict(wave_rows=4, delay=0, max_retries=1, max_concurrency=1)
+    with pytest.raises(PySparkException, match="down"):
+        generate_cached(spec, source, service("s5"), str(tmp_path / "c"), **options)
+    rows = generate_cached(spec, source, service(None), str(tmp_path / "c"), **options).collect()
+    assert sorted((r["id"], r["text"]) for r in rows) == [(i, f"s{i}") for i in range(10)]
+    calls = [f.name.split("-")[0] for f in log.iterdir()]
+    assert all(calls.count(f"s{i}") == 1 for i in (0, 1, 2, 3, 8, 9))
+
+
+def test_stand_in_only_when_all_waves_are_empty(spark, tmp_path):
+    def endless():
+        return lambda prompts: ["x" * 5000 for _ in prompts]
+
+    rows = generate_cached(GenerationSpec(n_samples=5), seeds(spark, ["s"]), endless, str(tmp_path), wave_rows=2)
+    assert [r["text"] for r in rows.collect()] == [gen.FALLBACK_TEXT]
+
+
 def test_end_to_end_is_cached_and_split(spark, tmp_path):
     spec = GenerationSpec(n_samples=20)
     root = str(tmp_path / "root")

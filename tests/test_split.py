@@ -48,8 +48,9 @@ def test_split_by_name_and_ids(spark):
     assert sp.take_split(spark.range(3), "validation").count() == 3
     with pytest.raises(DataError):
         sp.take_split(df, "dev")
-    parts = sp.split_by_ids(spark.range(10), spark.range(3), "id")
-    assert (parts["train"].count(), parts["validation"].count()) == (7, 3)
+    ids = spark.createDataFrame([(1,), (1,), (2,), (None,), (99,)], "id bigint")
+    rows = sp.split_by_ids(spark.range(10), ids, "id").collect()
+    assert sorted(r["id"] for r in rows if r["split"] == "validation") == [1, 2] and len(rows) == 10
 
 
 def test_fraction_split_is_near_the_ratio(spark):

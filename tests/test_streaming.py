@@ -1,9 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from finetide import DataError, Filters
+from finetide import DataError, DatasetSpec, Filters
 from finetide.functions.text import digest
 from finetide.operators.dedup import deduplicate
+from finetide.operators.split import split_by_fraction
 from finetide.sources.sinks import write_csv, write_jsonl
 from finetide.streaming import preprocess as st
 
@@ -72,11 +73,20 @@ def test_repeats_are_dropped_before_the_shuffle():
 def test_preprocess_and_split(spark, tmp_path):
     path = landing(spark, tmp_path, rows(spark))
     stream = st.preprocess_stream(st.read_stream(spark, path, SCHEMA), "id", filters=Filters(min_length=23))
-    parts = drain(spark, st.split_stream(stream, "id"), tmp_path, "split")
+    parts = drain(spark, split_by_fraction(stream, "id"), tmp_path, "split")
     assert parts.count() == rows(spark).filter(F.length("text") >= 23).count()
     assert {r["split"] for r in parts.select("split").distinct().collect()} == {"train", "validation"}
 
 
+def test_prepared_end_to_end(spark, tmp_path):
+    spec = DatasetSpec(path=landing(spark, tmp_path, rows(spark).withColumnRenamed("text", "body")), text_column="body")
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    st.prepare_stream(spark, spec, "id bigint, body string", "id", out, progress).awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == deduplicate(rows(spark), "id").count()
+    assert set(got.columns) == {"id", "text", "digest", "split"}
+
+
 def test_cap_over_batches(spark, tmp_path):
     path = landing(spark, tmp_path, rows(spark))
     stream = st.read_stream(spark, path, SCHEMA, max_files=1)

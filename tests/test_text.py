@@ -72,3 +72,13 @@ def test_canonical_json_orders_keys_at_every_level(spark):
         assert row["got"] == row["want"]
     same = df.select(config_key(F.col("given")).alias("a"), config_key(F.col("want")).alias("b")).collect()
     assert all(r["a"] == r["b"] and len(r["a"]) == 16 for r in same)
+
+
+def test_numbered_values(spark):
+    from finetide.functions.maps import numbered_values, upload_parts
+
+    df = spark.sql("select map('10', 'c', '2', 'b', 'chunk_size', 'x', '01', 'a', '1a', 'y') as m, 25 as n")
+    assert df.select(numbered_values(F.col("m"))).collect()[0][0] == ["a", "b", "c"]
+    assert df.select(upload_parts(F.col("m"), F.col("n"), 10)).collect()[0][0] == ["a", "b", "c"]
+    with pytest.raises(Exception, match="expected 5"):
+        df.select(upload_parts(F.col("m"), F.col("n"), 5)).collect()

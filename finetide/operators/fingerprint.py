@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-from finetide.functions.keys import short_hash
+from finetide.functions.keys import KEY_LENGTH, short_hash
 
 HEX_DIGITS = 15  # 60 bits, so one value fits a bigint and a decimal sum never overflows
 
@@ -19,22 +22,43 @@ def _cell(df: DataFrame, name: str) -> Column:
     return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
 
+def _row_hash(df: DataFrame) -> Column:
+    return F.sha2(F.concat_ws("|", *[_cell(df, name) for name in sorted(df.columns)]), 256)
+
+
+def _sums(row: str) -> list[Column]:
+    def total(start: int) -> Column:
+        number = F.conv(F.substring(row, start, HEX_DIGITS), 16, 10).cast("decimal(20,0)")
+        return F.coalesce(F.sum(number), F.lit(0)).cast("string")
+
+    return [F.count("*").alias("n_rows"), total(1).alias("low"), total(1 + HEX_DIGITS).alias("high")]
+
+
 def content_fingerprint(df: DataFrame) -> DataFrame:
     """One row: ``n_rows`` and a 16-digit ``fingerprint`` of the multiset of rows.
 
     Rows are hashed where they lie and the hashes are added up, so neither row order nor
     partitioning matters and only sums are shuffled. ``split``, if present, counts in.
     """
-    row = F.sha2(F.concat_ws("|", *[_cell(df, name) for name in sorted(df.columns)]), 256)
+    sums = df.select(_row_hash(df).alias("row")).agg(*_sums("row"))
+    return sums.select("n_rows", short_hash(F.concat_ws(":", "n_rows", "low", "high")).alias("fingerprint"))
 
-    def total(start: int) -> Column:
-        number = F.conv(F.substring("row", start, HEX_DIGITS), 16, 10).cast("decimal(20,0)")
-        return F.coalesce(F.sum(number), F.lit(0)).cast("string")
 
-    sums = df.select(row.alias("row")).agg(
-        F.count("*").alias("n_rows"), total(1).alias("low"), total(1 + HEX_DIGITS).alias("high")
-    )
-    return sums.select("n_rows", short_hash(F.concat_ws(":", "n_rows", "low", "high")).alias("fingerprint"))
+def fingerprinted(df: DataFrame) -> tuple[DataFrame, Callable[[], str]]:
+    """``df`` unchanged, and a function that gives its fingerprint once ``df`` has been written.
+
+    The sums are taken while the rows pass to the writer, which saves reading them again.
+    They belong to the tasks that write, whose results count once however often they run.
+    """
+    seen = Observation()
+    watched = df.withColumn("_row_hash", _row_hash(df)).observe(seen, *_sums("_row_hash")).drop("_row_hash")
+
+    def result() -> str:
+        sums = seen.get
+        text = f"{sums['n_rows']}:{sums['low']}:{sums['high']}"
+        return hashlib.sha256(text.encode()).hexdigest()[:KEY_LENGTH]
+
+    return watched, result
 
 
 def split_stats(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finetide.operators.fingerprint import content_fingerprint
+from finetide.operators.fingerprint import fingerprinted
 from finetide.operators.split import checked_splits
 from finetide.sources import paths
 from finetide.specs import SPLIT_NAMES, DatasetSpec, Filters, SplitSpec
@@ -47,20 +47,19 @@ def save_splits(df: DataFrame, cache_dir: str, method: str, cache_key: str | Non
     """Write the splits and return their fingerprint.
 
     The old manifest goes first and the new one comes last, so a reader never meets a
-    half-written cache. The fingerprint is taken from the stored rows, not by running
-    the plan again.
+    half-written cache. The plan runs once: the fingerprint is taken during the write.
     """
     spark = df.sparkSession
     data, manifest, name = _places(cache_dir)
     paths.remove(spark, manifest)
-    checked_splits(df).write.mode("overwrite").partitionBy("split").parquet(data)
-    stored = spark.read.schema(df.schema).parquet(data)
-    fingerprint = content_fingerprint(stored).head()["fingerprint"]
+    rows, fingerprint = fingerprinted(checked_splits(df))
+    rows.write.mode("overwrite").partitionBy("split").parquet(data)
     # A train or validation part without rows leaves no folder, but it is a split all the same.
     names = [n for n in SPLIT_NAMES if n != "test" or paths.exists(spark, f"{data}/split={n}")]
-    entry = (fingerprint, method, names, "parquet", cache_key or name)
+    content_hash = fingerprint()
+    entry = (content_hash, method, names, "parquet", cache_key or name)
     spark.createDataFrame([entry], MANIFEST_SCHEMA).coalesce(1).write.json(manifest)
-    return fingerprint
+    return content_hash
 
 
 def load_splits(spark: SparkSession, cache_dir: str, expected_hash: str | None = None) -> DataFrame | None:

@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from finetide import DataError, DatasetSpec, Filters, SplitSpec
+from finetide.operators.fingerprint import content_fingerprint
 from finetide.operators.split import split_exact
 from finetide.plans.cache import data_cache_key, load_splits, save_splits
 from finetide.plans.estimate import plan_estimate
@@ -141,7 +142,9 @@ def test_cache_roundtrip_and_misses(spark, tmp_path):
     cache = str(tmp_path / "key1")
     assert load_splits(spark, cache) is None
     fingerprint = save_splits(df, cache, "sft")
-    assert sorted(map(tuple, load_splits(spark, cache, fingerprint).collect())) == sorted(map(tuple, df.collect()))
+    stored = load_splits(spark, cache, fingerprint)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.collect()))
+    assert content_fingerprint(stored).collect() == [(30, fingerprint)]
     assert load_splits(spark, cache, "0" * 16) is None
     assert save_splits(df.repartition(7), cache, "sft") == fingerprint
 

@@ -17,7 +17,8 @@ RUN_SCHEMA = (
     "git_commit string, data_hash string, checkpoint_path string, global_step bigint, "
     "metrics map<string,double>, error string, config_dir string"
 )
-CHECKPOINT_PATTERN = r"(?:^|/)checkpoint-([0-9]+)/?$"
+CHECKPOINT_PATTERN = r"^((?:.*/)?checkpoint-(?:[^/]*-)?([0-9]+))(?:/.*)?$"
+FINAL_PATTERN = r"^((?:.*/)?final)(?:/.*)?$"
 
 
 def utc_now() -> Column:
@@ -87,17 +88,24 @@ def find_run(runs: DataFrame, run_id: str) -> DataFrame:
     return runs.filter(F.col("run_id") == run_id)
 
 
-def latest_checkpoints(paths: DataFrame, recorded: DataFrame | None = None) -> DataFrame:
+def latest_checkpoints(
+    paths: DataFrame, recorded: DataFrame | None = None, recorded_must_exist: bool = False
+) -> DataFrame:
     """Per run the checkpoint folder with the highest number; names without one are ignored.
 
-    ``paths`` is (run_id, path). ``recorded`` (run_id, checkpoint_path) serves runs without
-    a numbered folder.
+    ``paths`` is (run_id, path): folders, or the files in them. ``recorded`` (run_id,
+    checkpoint_path) serves runs without a numbered folder, if need be only where ``paths``
+    shows it.
     """
-    step = F.regexp_extract("path", CHECKPOINT_PATTERN, 1).try_cast("bigint")
-    numbered = paths.select("run_id", "path", step.alias("step")).filter("step is not null")
-    best = numbered.groupBy("run_id").agg(F.max("step").alias("step"), F.max_by("path", "step").alias("checkpoint"))
+    step = F.regexp_extract("path", CHECKPOINT_PATTERN, 2).try_cast("bigint")
+    folder = F.regexp_extract("path", CHECKPOINT_PATTERN, 1)
+    numbered = paths.select("run_id", folder.alias("folder"), step.alias("step")).filter("step is not null")
+    best = numbered.groupBy("run_id").agg(F.max("step").alias("step"), F.max_by("folder", "step").alias("checkpoint"))
     if recorded is None:
         return best
+    if recorded_must_exist:
+        listed = paths.select("run_id", F.col("path").alias("checkpoint_path"))
+        recorded = recorded.join(listed, ["run_id", "checkpoint_path"], "left_semi")
     joined = recorded.select("run_id", "checkpoint_path").join(best, "run_id", "full")
     chosen = F.coalesce("checkpoint", "checkpoint_path").alias("checkpoint")
     return joined.select("run_id", "step", chosen).filter("checkpoint is not null")
@@ -105,8 +113,8 @@ def latest_checkpoints(paths: DataFrame, recorded: DataFrame | None = None) -> D
 
 def resume_checkpoint(paths: DataFrame) -> DataFrame:
     """Per run the numbered folder to resume from, or else the one called ``final``."""
-    final = paths.filter(F.col("path").rlike(r"(?:^|/)final/?$"))
-    return latest_checkpoints(paths, final.groupBy("run_id").agg(F.max("path").alias("checkpoint_path")))
+    final = paths.select("run_id", F.regexp_extract("path", FINAL_PATTERN, 1).alias("folder")).filter("folder <> ''")
+    return latest_checkpoints(paths, final.groupBy("run_id").agg(F.max("folder").alias("checkpoint_path")))
 
 
 def config_drift(stored: DataFrame, current: DataFrame) -> DataFrame:

@@ -101,15 +101,16 @@ def run_benchmarks(
     line. ``more`` adds benchmarks: functions that give a one-row result."""
     spark = rows.sparkSession
 
-    def sample(bench: str) -> DataFrame:
-        picked = sample_texts(rows, id_col, max_samples or DEFAULT_SAMPLES[bench], seed)
-        return picked.withColumnRenamed(id_col, "id")
+    def sample(bench: str, defaults: list[str]) -> DataFrame:
+        n = max_samples or DEFAULT_SAMPLES[bench]
+        picked = sample_texts(rows, id_col, n, seed).withColumnRenamed(id_col, "id")
+        return texts_or_defaults(picked, defaults[:n])
 
     def run_perplexity() -> DataFrame:
-        return perplexity(score(texts_or_defaults(sample("perplexity"), DEFAULT_TEXTS)))
+        return perplexity(score(sample("perplexity", DEFAULT_TEXTS)))
 
     def run_quality() -> DataFrame:
-        return generation_quality(write(texts_or_defaults(sample("generation_quality"), DEFAULT_PROMPTS)))
+        return generation_quality(write(sample("generation_quality", DEFAULT_PROMPTS)))
 
     def run_instruction() -> DataFrame:
         prompt = spark.createDataFrame([(0, INSTRUCTION_PROMPT)], "id bigint, text string")

@@ -72,13 +72,17 @@ def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["path", "size", "sha256", "sample"])
 
 
-def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """All files under ``root``, with paths relative to it."""
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """(root, path, size) of all files under ``root``, paths relative to it."""
     if not exists(spark, root):
-        raise DataError(f"no folder to take stock of: {root}", "path")
+        raise DataError(f"no folder to list: {root}", "path")
     start = spark.createDataFrame([(qualified(spark, root),)], "root string").coalesce(1)
-    listed = start.mapInPandas(_list_files, "root string, path string, size bigint")
-    return listed.repartition("path").mapInPandas(_hash_files, SCHEMA)
+    return start.mapInPandas(_list_files, "root string, path string, size bigint")
+
+
+def inventory(spark: SparkSession, root: str) -> DataFrame:
+    """All files under ``root`` with path, size, SHA-256 and first bytes."""
+    return list_files(spark, root).repartition("path").mapInPandas(_hash_files, SCHEMA)
 
 
 def upload_plan(files: DataFrame, modes: DataFrame) -> DataFrame:

@@ -78,6 +78,13 @@ def test_latest_checkpoint_is_numeric(spark):
     recorded = spark.createDataFrame([("a", "x"), ("c", "y"), ("d", None)], "run_id string, checkpoint_path string")
     got = {r["run_id"]: r["checkpoint"] for r in cat.latest_checkpoints(paths, recorded).collect()}
     assert got == {"a": "o/checkpoint-10", "c": "y"}
+    shown = spark.createDataFrame([("b", "p/final"), ("c", "y")], "run_id string, checkpoint_path string")
+    got = {r["run_id"]: r["checkpoint"] for r in cat.latest_checkpoints(paths, shown, True).collect()}
+    assert got == {"a": "o/checkpoint-10", "b": "p/final"}
+    inside = [("a", "o/checkpoint-9/model.bin"), ("a", "checkpoint-best-11/x/y"), ("a", "o/checkpoint-9"), ("b", "final/w")]
+    listed = spark.createDataFrame(inside, "run_id string, path string")
+    got = {r["run_id"]: r["checkpoint"] for r in cat.resume_checkpoint(listed).collect()}
+    assert got == {"a": "checkpoint-best-11", "b": "final"}
     resumed = {r["run_id"]: r["checkpoint"] for r in cat.resume_checkpoint(paths).collect()}
     assert resumed == {"a": "o/checkpoint-10", "b": "p/final"}
 

@@ -61,6 +61,8 @@ def test_suite_without_texts_uses_the_default_ones(spark):
     empty = spark.range(5).select("id", F.lit("  ").alias("text"))
     got = suite(spark, empty, ["generation_quality"])
     assert got[("generation_quality", "num_samples")] == len(ev.DEFAULT_PROMPTS)
+    got = suite(spark, empty, ["generation_quality"], max_samples=1)
+    assert got[("generation_quality", "num_samples")] == 1
 
 
 def test_flatten_keeps_numbers_and_booleans(spark):

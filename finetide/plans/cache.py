@@ -27,7 +27,7 @@ def data_cache_key(
     spark: SparkSession, dataset: DatasetSpec, method: str, filters: Filters = Filters(), split: SplitSpec = SplitSpec()
 ) -> str:
     """Changes with the method, any data setting, and the source's path or modification time."""
-    payload = {
+    payload: dict[str, Any] = {
         "method": method,
         "dataset": asdict(dataset),
         "filters": asdict(filters),

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from finetide.errors import DataError
 from finetide.functions.text import is_blank, strip
 from finetide.operators.positions import with_position
-from finetide.sources.paths import exists, size
+from finetide.sources.paths import exists
 from finetide.specs import DatasetSpec
 
 # The file names looked for under a dataset root, in this order.
@@ -57,12 +57,11 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame, path: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Deal out the rows of a small input, which a file of one row group or one unsplittable
     file would leave to a single task. Larger inputs have splits enough and pass unchanged."""
-    spark = df.sparkSession
-    stored = size(spark, path)
-    tasks = min(spark.sparkContext.defaultParallelism, stored // SPREAD_TASK_BYTES)
+    stored = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, stored // SPREAD_TASK_BYTES)
     return df.repartition(tasks) if tasks > 1 and stored <= SPREAD_BYTES else df
 
 
@@ -82,13 +81,13 @@ def read_first_candidate(spark: SparkSession, root: str) -> DataFrame:
 def load(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     if not exists(spark, spec.path):
         raise DataError(f"dataset path not found: {spec.path}", "dataset.path")
-    readers = {
-        "jsonl": read_jsonl,
-        "csv": read_csv,
-        "parquet": read_parquet,
-        "candidates": read_first_candidate,
-    }
-    return spread(readers[spec.format](spark, spec.path), spec.path)
+    if spec.format == "candidates":
+        return read_first_candidate(spark, spec.path)
+    if spec.format == "jsonl":
+        return spread(read_jsonl(spark, spec.path, spec.schema))
+    if spec.format == "csv":
+        return spread(read_csv(spark, spec.path, spec.multiline))
+    return spread(read_parquet(spark, spec.path))
 
 
 def read_lines(spark: SparkSession, path: str, name: str = "value") -> DataFrame:
@@ -117,7 +116,7 @@ def count_rows(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     elif spec.format == "parquet":
         rows = read_parquet(spark, spec.path)
     elif spec.format == "csv":
-        rows = read_csv(spark, spec.path)
+        rows = read_csv(spark, spec.path, spec.multiline)
     else:
         return count_rows(spark, first_candidate(spark, spec.path))
     return rows.agg(F.count("*").alias("n_rows"))

@@ -29,8 +29,3 @@ def qualified(spark: SparkSession, path: str) -> str:
 def modified_ms(spark: SparkSession, path: str) -> int | None:
     files, target = _target(spark, path)
     return files.getFileStatus(target).getModificationTime() if files.exists(target) else None
-
-
-def size(spark: SparkSession, path: str) -> int:
-    files, target = _target(spark, path)
-    return files.getContentSummary(target).getLength()

@@ -55,6 +55,8 @@ class DatasetSpec:
     rejected_column: str | None = None
     streaming: bool = False
     max_rows: int | None = None
+    schema: str | None = None  # DDL for JSONL; saves the pass that infers one
+    multiline: bool = True  # CSV cells may hold line breaks; costs the splitting of files
 
     def __post_init__(self) -> None:
         if self.format not in FORMATS:

@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sft(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), f"{sf_dir}/documents.parquet")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def pair(spark: SparkSession, sf_dir: str) -> DataFrame:

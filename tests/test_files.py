@@ -74,6 +74,13 @@ def test_candidates_in_order(spark, tmp_path):
     assert files.count_rows(spark, spec).collect() == [(1,)]
 
 
+def test_given_schema_needs_no_inference(spark, tmp_path):
+    path = put(tmp_path, "a.jsonl", '{"a": 1, "b": "x"}\n')
+    assert files.load(spark, DatasetSpec(path=path, schema="a string")).collect() == [("1",)]
+    single = put(tmp_path, "a.csv", "a,b\n1,2\n")
+    assert files.load(spark, DatasetSpec(path=single, format="csv", multiline=False)).collect() == [("1", "2")]
+
+
 def test_missing_path(spark, tmp_path):
     gone = str(tmp_path / "gone")
     with pytest.raises(DataError, match="not found"):

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -57,6 +58,18 @@ def test_expressions_agree_with_python(rows):
         assert row["quality"] == python_quality(text)
 
 
+def test_random_texts(spark):
+    rng = random.Random(11)
+    alphabet = SPACES * 3 + list("aAbBzZ09.,!") + list("éÉßäÄøØñçŁłΑαΩωЖжשمあ漢") + ["\U0001f600", "\U00010400", "\u200b", "\x00"]
+    values = ["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, t string")
+    c = F.col("t")
+    exprs = [tx.strip(c), tx.normalize(c), tx.words(c), tx.quality(c)]
+    for row in df.select("id", *exprs).collect():
+        text = values[row[0]]
+        assert tuple(row[1:]) == (text.strip(), python_normalize(text), text.split(), python_quality(text))
+
+
 def test_null_reads_none(spark):
     df = spark.createDataFrame([(None,), ("x",)], "t string")
     assert [r[0] for r in df.select(tx.text_or_none(F.col("t"))).collect()] == ["None", "x"]

@@ -62,10 +62,16 @@ def save_splits(df: DataFrame, cache_dir: str, method: str, cache_key: str | Non
     return content_hash
 
 
+def is_cached(spark: SparkSession, cache_dir: str) -> bool:
+    """Whether both the data and the manifest have been written to the end."""
+    data, manifest, _ = _places(cache_dir)
+    return paths.exists(spark, f"{manifest}/_SUCCESS") and paths.exists(spark, f"{data}/_SUCCESS")
+
+
 def load_splits(spark: SparkSession, cache_dir: str, expected_hash: str | None = None) -> DataFrame | None:
     """The cached rows with their ``split``, or None on any doubt about the cache."""
     data, manifest, name = _places(cache_dir)
-    if not (paths.exists(spark, f"{manifest}/_SUCCESS") and paths.exists(spark, f"{data}/_SUCCESS")):
+    if not is_cached(spark, cache_dir):
         return None
     entry = spark.read.schema(MANIFEST_SCHEMA).json(manifest).head()
     if entry is None or (entry["cache_key"] and entry["cache_key"] != name):

@@ -203,6 +203,7 @@ ORACLES: dict[str, str] = {
     "count_jsonl": "select count(*) as n_rows from documents",
     "count_csv": "select count(*) as n_rows from documents",
     "cache_roundtrip": SFT_SPLIT,
+    "prepare_cached": f"select doc_id, lang, split from ({split(kept('select * from documents', 'doc_id', ['text'], 'text'), 'doc_id', '*')})",
     "trainer_export": f"select {strip('text')} as text, split from ({SFT_SPLIT}) where {strip('text')} <> ''",
     "columnar_handoff": SFT_SPLIT,
     "cache_key": """select source, lang, substr(sha256('{"dataset":{"format":"jsonl","path":"' || source || '/' || lang
@@ -250,6 +251,18 @@ ORACLES: dict[str, str] = {
         select 'run-' || o_orderkey as run_id, 'loss' as name, o_totalprice as value from orders
         union all select 'run-' || o_orderkey, 'eval_items', coalesce(items, 0.0) from orders left join n on k = o_orderkey
         union all select 'run-' || o_orderkey, 'eval_quantity', quantity from orders join n on k = o_orderkey""",
+    "eval_run_metrics": f"""
+        with p as ({perplexity(f"select text from documents where {strip('text')} <> ''")}),
+        g as (select round(avg(len({words("(text || ' done')")})), 6) as v, count(*)::double as n
+              from documents where {strip('text')} <> ''),
+        e as (
+            select 'eval_perplexity_perplexity' as name, perplexity as value from p
+            union all select 'eval_perplexity_avg_loss', avg_loss from p
+            union all select 'eval_generation_quality_avg_output_length', v from g
+            union all select 'eval_generation_quality_num_samples', n from g)
+        select 'run-' || o_orderkey as run_id, 'loss' as name, o_totalprice as value from orders
+        union all select 'run-' || o_orderkey, 'eval_items', 0.0 from orders
+        union all select 'run-7', name, value from e where exists (select 1 from orders where o_orderkey = 7)""",
     "rl_prompts": "select doc_id, substr(text, 1, 256) as prompt from documents",
     "reward_length": f"select id, least(1.0::double, len({words('output')}) / 50.0::double) as reward from ({OUTPUTS})",
     "reward_length_chat": f"select id, least(1.0::double, len({words('output')}) / 50.0::double) as reward from ({OUTPUTS})",

@@ -19,7 +19,8 @@ from finetide.operators.fingerprint import content_fingerprint as fingerprint_of
 from finetide.operators.positions import batch_of, cap_rows, gather, with_position
 from finetide.operators.split import sample_texts, split_by_fraction, split_by_ids, split_exact as split_rows
 from finetide.plans.cache import load_splits, save_splits
-from finetide.plans.estimate import plan_estimate as estimate
+from finetide.plans.evaluate import evaluate_run
+from finetide.plans.prepare import plan_dataset, prepare
 from finetide.plans.preprocess import preprocess, preprocess_dataset
 from finetide.plans.synthetic import generate_cached, seeds_from, synthetic_dataset
 from finetide.session import scratch_path
@@ -344,6 +345,14 @@ def cache_roundtrip(spark, d):
     return load_splits(spark, cache, expected_hash=fingerprint)
 
 
+@query
+def prepare_cached(spark, d):
+    """Prepared twice; the second time comes from the cache."""
+    spec, root = DatasetSpec(path=f"{d}/documents.parquet", format="parquet"), scratch_path(spark, "prepared")
+    prepare(spark, spec, "doc_id", root)
+    return prepare(spark, spec, "doc_id", root).select("doc_id", "lang", "split")
+
+
 @query
 def trainer_export(spark, d):
     out = scratch_path(spark, "trainer")
@@ -372,8 +381,9 @@ def cache_key(spark, d):
 
 @query
 def plan_estimate(spark, d):
-    counted = files.count_rows(spark, DatasetSpec(path=f"{d}/documents.parquet", format="parquet"))
-    return estimate(counted, batch_size=4, gradient_accumulation_steps=2, epochs=3, num_gpus=2)
+    spec = DatasetSpec(path=f"{d}/documents.parquet", format="parquet")
+    settings = {"batch_size": 4, "gradient_accumulation_steps": 2, "epochs": 3, "num_gpus": 2}
+    return plan_dataset(spark, spec, scratch_path(spark, "plan"), **settings)
 
 
 # Generation
@@ -495,6 +505,21 @@ def metrics_merge(spark, d):
     return merged.select("run_id", F.explode(metrics).alias("name", "value"))
 
 
+@query
+def eval_run_metrics(spark, d):
+    """One run evaluated over all documents; the record keeps its old metrics."""
+    path = scratch_path(spark, "runs")
+    catalog.append_runs(fx.runs(spark, d), path)
+    names = ["perplexity", "generation_quality"]
+    evaluate_run(
+        spark, path, "run-7", fx.sft(spark, d), "doc_id", names, lambda texts: fx.scores(texts, "id"), stub_outputs,
+        scratch_path(spark, "results"), max_samples=fx.sample_count(spark, d),
+    )
+    states = catalog.latest_states(catalog.read_runs(spark, path))
+    metrics = states.select("run_id", F.explode("metrics").alias("name", "value"))
+    return metrics.withColumn("value", F.round("value", 6))
+
+
 @query
 def rl_prompts(spark, d):
     return rl.rl_prompts(fx.sft(spark, d), 256).select("doc_id", "prompt")

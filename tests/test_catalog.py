@@ -99,3 +99,27 @@ def test_drift(spark):
     assert row["run_id"] == "b" and row["original_hash"] != row["new_hash"]
     with pytest.raises(DataError, match="run b"):
         cat.check_resume(stored, moved)
+
+
+def test_evaluating_a_run_adds_to_its_metrics(spark, tmp_path):
+    from finetide.plans.evaluate import evaluate_run
+
+    path = str(tmp_path / "runs")
+    cat.append_runs(frame(spark, record("a") | {"metrics": {"loss": 1.0, "eval_perplexity_avg_loss": 9.0}}, record("b")), path)
+    texts = spark.range(20).select("id", F.lit("one two three").alias("text"))
+
+    def score(df):
+        return df.select("id", F.lit(0.5).alias("loss"), F.lit(3).alias("n_tokens"))
+
+    def write(df):
+        return df.select("id", F.lit("Response: x").alias("output"))
+
+    names = ["perplexity", "instruction_following", "nope"]
+    got = evaluate_run(spark, path, "a", texts, "id", names, score, write, str(tmp_path / "out"))
+    assert {r["error"] for r in got.collect()} == {None, "Unknown benchmark: nope"}
+    states = {r["run_id"]: r for r in cat.latest_states(cat.read_runs(spark, path)).collect()}
+    metrics = states["a"]["metrics"]
+    assert metrics["loss"] == 1.0 and metrics["eval_perplexity_avg_loss"] == 0.5
+    assert metrics["eval_instruction_following_passed"] == 1.0 and states["b"]["metrics"] == {}
+    with pytest.raises(DataError, match="not found"):
+        evaluate_run(spark, path, "zzz", texts, "id", names, score, write, str(tmp_path / "no"))

@@ -227,3 +227,25 @@ def test_upload_modes(spark):
     assert set(rows) == {"a", "c"}
     assert rows["a"]["key"] == "lfsFile" and rows["a"]["size"] == 100 and rows["a"]["content"] is None
     assert rows["c"]["mode"] == "regular" and "\n" not in rows["c"]["content"]
+
+
+def test_prepare_runs_the_plan_once_per_content(spark, tmp_path, monkeypatch):
+    from finetide.plans import prepare as pr
+
+    runs = []
+    real = pr.preprocess_dataset
+    monkeypatch.setattr(pr, "preprocess_dataset", lambda *a, **k: runs.append(1) or real(*a, **k))
+    rows = [{"id": i, "text": f"text number {i} is long enough"} for i in range(30)]
+    path = put(tmp_path, "a.jsonl", "\n".join(map(json.dumps, rows)))
+    spec, root = DatasetSpec(path=path), str(tmp_path / "cache")
+
+    assert pr.plan_dataset(spark, spec, root, batch_size=3).collect()[0]["data_cache_hit"] is False
+    assert pr.prepare(spark, spec, "id", root).count() == 30
+    assert pr.prepare(spark, spec, "id", root).count() == 30
+    assert len(runs) == 1
+    plan = pr.plan_dataset(spark, spec, root, batch_size=3).collect()[0]
+    assert plan["data_cache_hit"] is True and plan["estimated_steps"] == 10
+    os.utime(path, (1, 1))
+    assert pr.prepare(spark, spec, "id", root).count() == 30
+    assert pr.prepare(spark, spec, "id", root, filters=Filters(min_length=29)).count() == 20
+    assert len(runs) == 3

@@ -18,8 +18,8 @@ def first_rows(df: DataFrame, order_col: str, key: str | None = None) -> DataFra
     """The order values of the rows to keep: one per distinct normalised text."""
     column = F.col(key or text_key(df))
     return (
-        df.select(order_col, digest(text_or_none(column)).alias("digest"))
-        .groupBy("digest")
+        df.select(order_col, digest(text_or_none(column)).alias("_digest"))
+        .groupBy("_digest")
         .agg(F.min(order_col).alias(order_col))
         .select(order_col)
     )

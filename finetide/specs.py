@@ -53,7 +53,7 @@ class DatasetSpec:
     response_column: str | None = None
     chosen_column: str | None = None
     rejected_column: str | None = None
-    streaming: bool = False
+    streaming: bool = False  # accepted; max_rows and the streaming package say more
     max_rows: int | None = None
     schema: str | None = None  # DDL for JSONL; saves the pass that infers one
     multiline: bool = True  # CSV cells may hold line breaks; costs the splitting of files

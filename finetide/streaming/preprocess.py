@@ -32,7 +32,8 @@ def read_stream(
     if fmt == "jsonl":
         return source.option("mode", "FAILFAST").json(path)
     if fmt == "csv":
-        return source.csv(path, header=True, multiLine=True, quote='"', escape='"')
+        cells = source.csv(path, header=True, multiLine=True, quote='"', escape='"')
+        return cells.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in cells.columns])
     if fmt == "parquet":
         return source.parquet(path)
     raise DataError(f"format {fmt!r} cannot be streamed", "dataset.format")

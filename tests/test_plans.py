@@ -44,7 +44,7 @@ def test_main_plan(shuffled, quality):
     # The digest exchange runs once and serves the two other branches.
     assert text.count("ReusedExchange") >= 2
     # Only digests and ids are grouped; the one exchange of texts is on the id.
-    assert set(re.findall(r"hashpartitioning\((\w+)#", text)) == {"doc_id", "digest", "prefix"}
+    assert set(re.findall(r"hashpartitioning\((\w+)#", text)) == {"doc_id", "_digest", "prefix"}
     # With all build partitions small the join needs no sort.
     assert "ShuffledHashJoin" in text
     # A single task sees counts per prefix, never rows.
@@ -53,6 +53,22 @@ def test_main_plan(shuffled, quality):
     assert below and all("HashAggregate(keys=[prefix" in line and "count(1)" in line for line in below)
 
 
+def test_bucketed_source_needs_no_shuffle_of_texts(shuffled, tmp_path):
+    """A table bucketed by the order column is joined where it lies: only ids move."""
+    buckets = 8
+    documents(shuffled).write.bucketBy(buckets, "doc_id").option("path", str(tmp_path / "t")).saveAsTable("bucketed_docs")
+    df = preprocess(shuffled.table("bucketed_docs"), "doc_id")
+    want = sorted(map(tuple, preprocess(documents(shuffled), "doc_id").collect()))
+    assert sorted(map(tuple, df.collect())) == want
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in text
+    on_id = [line for line in text.split("\n") if "hashpartitioning(doc_id" in line]
+    initial = text.rsplit("== Initial Plan ==", 1)[-1]
+    assert initial.count("hashpartitioning(doc_id") == 1 and on_id
+    assert f", {buckets})" in on_id[0]
+    shuffled.sql("drop table bucketed_docs")
+
+
 def test_zero_quality_threshold_splits_no_words(spark, plan):
     text = plan(preprocess(documents(spark), "doc_id"))
     assert "split(" not in text

@@ -94,15 +94,16 @@ def assign_seeds(seeds: DataFrame, n_samples: int, defaults: list[str]) -> DataF
 
 def call_with_retry(call: Transport, prompt: str, max_retries: int) -> tuple[str, int]:
     """Up to ``max_retries`` tries, pausing 1, 2, 4 ... seconds between them."""
-    for attempt in range(max_retries):
+    pauses = [2**n for n in range(max(1, max_retries) - 1)]
+    while True:
         try:
             text, tokens = call(prompt)
-            return text or "", tokens or 0
         except Exception as error:
-            if attempt == max_retries - 1:
+            if not pauses:
                 raise RuntimeError(f"generation failed after {max_retries} tries: {error}") from error
-            time.sleep(2**attempt)
-    return "", 0
+            time.sleep(pauses.pop(0))
+        else:
+            return text or "", tokens or 0
 
 
 def generate_single(
@@ -151,10 +152,14 @@ def complete(df: DataFrame, prompt: Column, name: str, load: Callable[[], TextMo
     return df.withColumn("_prompt", prompt).mapInPandas(run, schema)
 
 
-def two_stage_rows(requests: DataFrame, load: Callable[[], TextModel], batch_size: int = 4) -> DataFrame:
+def two_stage_rows(
+    requests: DataFrame, load: Callable[[], TextModel], batch_size: int = 4, tasks: int | None = None
+) -> DataFrame:
     """Instructions from seeds, responses from instructions: (id, text) of the rows that
-    pass the length test."""
-    asked = complete(requests, F.col("seed"), "instruction", load, batch_size)
+    pass the length test. Prompts are small but each costs model time, so they are dealt
+    out to a fixed number of tasks, by default one per core."""
+    spread = requests.repartition(tasks or requests.sparkSession.sparkContext.defaultParallelism, "id")
+    asked = complete(spread, F.col("seed"), "instruction", load, batch_size)
     answered = complete(asked, answer_prompt(F.col("instruction")), "response", load, batch_size)
     text = record_text(F.col("instruction"), F.col("response"))
     return answered.select("id", text.alias("text")).filter(generated_length_ok(F.col("text")))
@@ -164,10 +169,10 @@ def stand_in(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(0, FALLBACK_TEXT)], "id bigint, text string")
 
 
-def generate_two_stage(requests: DataFrame, load: Callable[[], TextModel], batch_size: int = 4) -> DataFrame:
-    """``two_stage_rows``, or the one stand-in row if none passes. Written once, then read."""
-    rows = written(two_stage_rows(requests, load, batch_size), "generated")
-    return stand_in(requests.sparkSession) if rows.isEmpty() else rows
+def or_stand_in(rows: DataFrame) -> DataFrame:
+    """``rows``, or the one stand-in row if there are none. Written once, then read."""
+    stored = written(rows, "generated")
+    return stand_in(rows.sparkSession) if stored.isEmpty() else stored
 
 
 def token_usage(generated: DataFrame) -> DataFrame:
@@ -187,9 +192,8 @@ class Backend:
 
     def generate(self, seeds: DataFrame, n_samples: int, plug_in: Callable, **options) -> DataFrame:
         requests = assign_seeds(seeds, n_samples, self.default_seeds)
-        if self.has_stand_in:
-            return generate_two_stage(requests, plug_in, **options)
-        return self.run(requests, plug_in, **options)
+        rows = self.run(requests, plug_in, **options)
+        return or_stand_in(rows) if self.has_stand_in else rows
 
 
 def _api(name: str) -> Backend:

@@ -54,13 +54,14 @@ def generate_cached(
     backend = get_backend(spec.backend)
     path = f"{cache_root.rstrip('/')}/raw/{raw_cache_key(spark, spec, seeds, base_model)}.jsonl"
     known = seed_list(seeds, backend.default_seeds)
+    waves = []
     for start in range(0, spec.n_samples, wave_rows):
-        wave = f"{path}/wave={start}-{min(start + wave_rows, spec.n_samples)}"
-        if not paths.exists(spark, f"{wave}/_SUCCESS"):
-            requests = known.requests(start, min(start + wave_rows, spec.n_samples))
-            write_jsonl(backend.run(requests, plug_in, **options), wave, "overwrite")
-    schema = backend.run(known.requests(0, 1), plug_in, **options).schema
-    rows = read_jsonl(spark, path, schema=schema).select(*schema.names)
+        end = min(start + wave_rows, spec.n_samples)
+        made = backend.run(known.requests(start, end), plug_in, **options)
+        waves.append(f"{path}/{start}-{end}")
+        if not paths.exists(spark, f"{waves[-1]}/_SUCCESS"):
+            write_jsonl(made, waves[-1], "overwrite")
+    rows = read_jsonl(spark, waves, schema=made.schema)
     return stand_in(spark) if backend.has_stand_in and rows.isEmpty() else rows
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -62,13 +63,12 @@ def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for root, path, size in zip(batch["root"], batch["path"], batch["size"]):
             store, base = _opened(root)
-            total, sample = hashlib.sha256(), b""
             with store.open_input_stream(f"{base}/{path}") as stream:
-                while chunk := stream.read(CHUNK_BYTES):
-                    if len(sample) < SAMPLE_BYTES:
-                        sample = (sample + chunk)[:SAMPLE_BYTES]
-                    total.update(chunk)
-            rows.append((path, size, total.hexdigest(), sample))
+                sample = stream.read(SAMPLE_BYTES)
+                digest = hashlib.sha256(sample)
+                for chunk in iter(partial(stream.read, CHUNK_BYTES), b""):
+                    digest.update(chunk)
+            rows.append((path, size, digest.hexdigest(), sample))
         yield pd.DataFrame(rows, columns=["path", "size", "sha256", "sample"])
 
 

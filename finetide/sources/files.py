@@ -20,7 +20,7 @@ SPREAD_TASK_BYTES = 1024 * 1024
 
 
 def read_jsonl(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, schema_mode: str = "union"
+    spark: SparkSession, path: str | list[str], schema: StructType | str | None = None, schema_mode: str = "union"
 ) -> DataFrame:
     """JSON lines; blank lines are skipped and a malformed one fails the query.
 

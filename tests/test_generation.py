@@ -114,7 +114,7 @@ def test_nothing_left_gives_the_stand_in(spark):
     def endless():
         return lambda prompts: ["x" * 5000 for _ in prompts]
 
-    rows = gen.generate_two_stage(gen.assign_seeds(seeds(spark, ["s"]), 3, []), endless).collect()
+    rows = gen.get_backend("self_instruct").generate(seeds(spark, ["s"]), 3, endless).collect()
     assert [r["text"] for r in rows] == [gen.FALLBACK_TEXT]
 
 
@@ -176,6 +176,13 @@ def test_a_dead_job_resumes_with_the_unfinished_wave(spark, tmp_path):
     assert all(calls.count(f"s{i}") == 1 for i in (0, 1, 2, 3, 8, 9))
 
 
+def test_another_wave_size_mixes_nothing_in(spark, tmp_path):
+    spec = GenerationSpec(n_samples=10, backend="openai")
+    for size in (4, 3):
+        rows = generate_cached(spec, seeds(spark, ["s"]), echo, str(tmp_path), wave_rows=size, delay=0)
+        assert sorted(r["id"] for r in rows.collect()) == list(range(10))
+
+
 def test_stand_in_only_when_all_waves_are_empty(spark, tmp_path):
     def endless():
         return lambda prompts: ["x" * 5000 for _ in prompts]

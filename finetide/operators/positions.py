@@ -14,10 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finetide.errors import DataError
-from finetide.session import scratch_path
-
-# A top-k of this many bare order values fits one task; longer ones go by position.
-TOP_K_ROWS = 1_000_000
+from finetide.session import is_small, scratch_path
 
 
 def with_position(df: DataFrame, order_by: str | Sequence[str], name: str = "position") -> DataFrame:
@@ -73,11 +70,15 @@ def row_at(df: DataFrame, order_by: str, index: int) -> DataFrame:
 
 
 def cap_rows(df: DataFrame, order_col: str, cap: int) -> DataFrame:
-    """The first ``cap`` rows by ``order_col``: finds the last order value, then filters."""
+    """The first ``cap`` rows by ``order_col``: finds the last order value, then filters.
+
+    A top-k gathers up to ``cap`` values from every input split in one task, so only a
+    small table gets one; a large table's order values are ranked instead.
+    """
     if cap < 1:
         raise DataError("the row cap must be at least 1", "max_rows")
     ids = df.select(order_col)
-    if cap <= TOP_K_ROWS:
+    if is_small(ids):
         last = ids.orderBy(order_col).limit(cap).agg(F.max(order_col))
     else:
         last = with_position(ids, order_col).filter(F.col("position") < cap).agg(F.max(order_col))

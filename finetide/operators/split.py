@@ -17,10 +17,10 @@ from finetide.errors import DataError
 from finetide.functions.keys import seeded_key
 from finetide.functions.text import is_blank, text_or_none
 from finetide.operators.normalize import text_key
+from finetide.session import is_small
 from finetide.specs import SPLIT_NAMES, SplitSpec
 
 PREFIX_DIGITS = 4
-TOP_K_TEXTS = 1_000
 
 
 def validation_rows(total: Column, train_split: float) -> Column:
@@ -105,11 +105,12 @@ def take_split(df: DataFrame, name: str) -> DataFrame:
 def sample_texts(df: DataFrame, id_col: str, limit: int = 32, seed: int = 42) -> DataFrame:
     """A seeded sample of at most ``limit`` rows with non-blank text, as (id, text).
 
-    A small sample is a top-k; a large one is cut off like a split, without a sort.
+    A small table gets a top-k; from a large one, whose every input split would send a
+    top-k to the same task, the sample is cut off like the part of a split.
     """
     texts = df.select(id_col, text_or_none(F.col(text_key(df))).alias("text"))
     texts = texts.filter(~is_blank(F.col("text")))
-    if limit <= TOP_K_TEXTS:
+    if is_small(texts):
         return texts.orderBy(rank_of(id_col, seed)).limit(limit)
     cut = rank_cut(texts.select(id_col), id_col, seed, lambda total: F.least(F.lit(limit), total))
     return texts.filter(rank_of(id_col, seed) <= cut.scalar())

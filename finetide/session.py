@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from finetide.errors import DataError
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SMALL_BYTES = 256 * 1024 * 1024
 
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
@@ -55,6 +56,16 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate, from file sizes; plans no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether a single task could take in the whole table."""
+    return estimated_bytes(df) <= SMALL_BYTES
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, removed when the session's JVM ends."""
     path = f"{shared_dir(spark)}/finetide/{name}-{uuid.uuid4().hex}"

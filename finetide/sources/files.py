@@ -9,13 +9,13 @@ from pyspark.sql.types import StructType
 from finetide.errors import DataError
 from finetide.functions.text import is_blank, strip
 from finetide.operators.positions import with_position
+from finetide.session import estimated_bytes, is_small
 from finetide.sources.paths import exists
 from finetide.specs import DatasetSpec
 
 # The file names looked for under a dataset root, in this order.
 CANDIDATE_FILES = ("train.jsonl", "data.jsonl", "train.csv", "validation.jsonl")
 
-SPREAD_BYTES = 256 * 1024 * 1024
 SPREAD_TASK_BYTES = 1024 * 1024
 
 
@@ -60,9 +60,8 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Deal out the rows of a small input, which a file of one row group or one unsplittable
     file would leave to a single task. Larger inputs have splits enough and pass unchanged."""
-    stored = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    tasks = min(df.sparkSession.sparkContext.defaultParallelism, stored // SPREAD_TASK_BYTES)
-    return df.repartition(tasks) if tasks > 1 and stored <= SPREAD_BYTES else df
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, estimated_bytes(df) // SPREAD_TASK_BYTES)
+    return df.repartition(tasks) if tasks > 1 and is_small(df) else df
 
 
 def first_candidate(spark: SparkSession, root: str) -> DatasetSpec:

@@ -210,7 +210,6 @@ def eval_sample(spark, d):
 
 @query
 def eval_sample_large(spark, d):
-    """A sample size beyond the top-k range takes the other plan."""
     return sample_texts(fx.table(spark, d, "events").select("event_id", F.col("props").alias("text")), "event_id", 4000)
 
 

@@ -58,8 +58,10 @@ def test_fraction_split_is_near_the_ratio(spark):
     assert abs(n - 2000) < 200
 
 
-@pytest.mark.parametrize("limit", [1, 7, 999, 1001, 2500])
-def test_sample_is_the_lowest_ranks_of_non_blank_texts(spark, limit):
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("limit", [1, 7, 999, 2500])
+def test_sample_is_the_lowest_ranks_of_non_blank_texts(spark, limit, small, monkeypatch):
+    monkeypatch.setattr(sp, "is_small", lambda df: small)
     df = spark.range(2000).select("id", F.when(F.col("id") % 5 == 0, " 　").otherwise("t").alias("text"))
     want = sorted((i for i in range(2000) if i % 5), key=lambda i: (key(42, i), i))[:limit]
     assert sorted(r["id"] for r in sp.sample_texts(df, "id", limit).collect()) == sorted(want)
@@ -101,8 +103,8 @@ def test_batches(spark):
 
 def test_row_cap_by_both_plans(spark, monkeypatch):
     df = spark.range(100).select((99 - F.col("id")).alias("k"))
-    for limit in (1_000_000, 10):
-        monkeypatch.setattr(pos, "TOP_K_ROWS", limit)
+    for small in (True, False):
+        monkeypatch.setattr(pos, "is_small", lambda df, small=small: small)
         assert sorted(r["k"] for r in pos.cap_rows(df, "k", 25).collect()) == list(range(25))
         assert pos.cap_rows(df, "k", 500).count() == 100
     assert pos.cap_rows(df.limit(0), "k", 5).count() == 0

@@ -22,7 +22,9 @@ FINAL_PATTERN = r"^((?:.*/)?final)(?:/.*)?$"
 
 
 def utc_now() -> Column:
-    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    """The current time in ISO form, in UTC whatever the session's time zone."""
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
 def create_runs(configs: DataFrame) -> DataFrame:

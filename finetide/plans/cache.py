@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from finetide.operators.fingerprint import fingerprinted
 from finetide.operators.split import checked_splits
 from finetide.sources import paths
+from finetide.sources.sinks import storable
 from finetide.specs import SPLIT_NAMES, DatasetSpec, Filters, SplitSpec
 
 MANIFEST_SCHEMA = "hash string, method string, splits array<string>, format string, cache_key string"
@@ -52,7 +53,7 @@ def save_splits(df: DataFrame, cache_dir: str, method: str, cache_key: str | Non
     spark = df.sparkSession
     data, manifest, name = _places(cache_dir)
     paths.remove(spark, manifest)
-    rows, fingerprint = fingerprinted(checked_splits(df))
+    rows, fingerprint = fingerprinted(checked_splits(storable(df)))
     rows.write.mode("overwrite").partitionBy("split").parquet(data)
     # A train or validation part without rows leaves no folder, but it is a split all the same.
     names = [n for n in SPLIT_NAMES if n != "test" or paths.exists(spark, f"{data}/split={n}")]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 from finetide.errors import DataError
 from finetide.functions.text import strip, text_or_none
@@ -31,6 +32,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     )
 
 
+def storable(df: DataFrame) -> DataFrame:
+    """Columns of nothing but untyped nulls become strings: Parquet has no type for them."""
+    untyped = [f.name for f in df.schema.fields if isinstance(f.dataType, NullType)]
+    return df.withColumns({name: F.col(f"`{name}`").cast("string") for name in untyped})
+
+
 def trainer_texts(df: DataFrame) -> DataFrame:
     """What a trainer file holds: stripped, non-blank ``text`` (or the prompt for want of it)."""
     return df.select(strip(text_or_none(F.col(text_key(df)))).alias("text")).filter("text <> ''")
@@ -61,6 +68,6 @@ def write_trainer_layout(splits: DataFrame, out_dir: str, batch_size: int = 1) -
 
 def hand_off(splits: DataFrame, out_dir: str) -> dict[str, str]:
     """Columnar hand-off: one Parquet folder per split, written in a single pass."""
-    checked_splits(splits).write.mode("overwrite").partitionBy("split").parquet(out_dir)
+    checked_splits(storable(splits)).write.mode("overwrite").partitionBy("split").parquet(out_dir)
     folders = {name: f"{out_dir.rstrip('/')}/split={name}" for name in SPLIT_NAMES}
     return {name: folder for name, folder in folders.items() if exists(splits.sparkSession, folder)}

@@ -249,3 +249,12 @@ def test_prepare_runs_the_plan_once_per_content(spark, tmp_path, monkeypatch):
     assert pr.prepare(spark, spec, "id", root).count() == 30
     assert pr.prepare(spark, spec, "id", root, filters=Filters(min_length=29)).count() == 20
     assert len(runs) == 3
+
+
+def test_columns_of_untyped_nulls_are_stored_as_strings(spark, tmp_path):
+    df = split_exact(spark.range(4).withColumn("nothing", F.lit(None)), "id")
+    cache = str(tmp_path / "nulls")
+    save_splits(df, cache, "sft")
+    assert dict(load_splits(spark, cache).dtypes)["nothing"] == "string"
+    folders = sinks.hand_off(df, str(tmp_path / "out"))
+    assert sum(files.read_parquet(spark, p).count() for p in folders.values()) == 4

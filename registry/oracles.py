@@ -150,6 +150,11 @@ ORACLES: dict[str, str] = {
     ),
     "preprocess_pairs": split(kept(MERGED, "row_id", ["text"], "text"), "row_id", "row_id, text"),
     "preprocess_files": split(SFT_KEPT, "doc_id", "doc_id"),
+    "preprocess_short_rows": split(
+        kept("select c_custkey, c_name || ' ' || c_mktsegment as text from customer", "c_custkey", ["text"], "text"),
+        "c_custkey",
+        "c_custkey, text",
+    ),
     "normalize_sft": DOCS,
     "normalize_sft_merge": MERGED,
     "normalize_dpo": PREFERENCE,

@@ -82,6 +82,15 @@ def preprocess_files(spark, d):
     return preprocess_dataset(spark, DatasetSpec(path=path), "doc_id").select("doc_id", "split")
 
 
+@query
+def preprocess_short_rows(spark, d):
+    """Short rows from JSONL: one line per customer."""
+    path = scratch_path(spark, "short")
+    text = F.concat_ws(" ", "c_name", "c_mktsegment")
+    sinks.write_jsonl(fx.table(spark, d, "customer").select("c_custkey", text.alias("text")), path)
+    return preprocess_dataset(spark, DatasetSpec(path=path), "c_custkey")
+
+
 # Columns, filters, duplicates
 
 

@@ -1,0 +1,190 @@
+"""Every operator on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from finetide.llm import (
+    decontaminate,
+    embedding_dedup,
+    language_id,
+    mixing,
+    quality,
+    secrets_scan,
+    simhash,
+    substring_dedup,
+    token_store,
+    toxicity,
+)
+from finetide.llm.queries import tokenizer_path
+from finetide.session import scratch_path
+
+LONG = " ".join(f"word{i % 977} of a long text." for i in range(40_000))
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, "
+    "id long, row long, key string, size string, score string, label string, fp string, parts string, taken string"
+)
+ROWS = [
+    (1, "A plain text of a few words. It has two sentences.", "en", "s1"),
+    (2, None, "en", "s1"),
+    (3, "", None, "s2"),
+    (4, " \n\t ", "fr", None),
+    (5, "A plain text of a few words. It has two sentences.", "en", "s1"),
+    (5, "A plain text of a few words. It has two sentences.", "en", "s1"),
+    (None, "Un texte sans nom, avec des lettres é è ê.", "fr", "s2"),
+    (7, LONG, None, "s2"),
+    (8, "12345 67890 !!!", "en", None),
+    (9, "\U0001f600 " * 3 + "漢字 ασδ", "xx", "s/deep/path"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(*r, None if r[1] is None else len(r[1]), *[7] * 2, *["clash"] * 7) for r in ROWS]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    rows = [(1, 1, 0), (2, 0, 1), (5, 1, 0), (7, None, None), (None, 1, 1), (8, 0, 1), (8, 0, 1), (99, 1, 1)]
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    rows = [(1, "a plain text of"), (2, None), (3, ""), (None, "word1 of a long"), (4, "A plain, TEXT of"), (4, "a plain text of")]
+    return spark.createDataFrame(rows, "item_id long, text string")
+
+
+@pytest.fixture(scope="module")
+def no_items(spark):
+    return spark.createDataFrame([], "item_id long, text string")
+
+
+def ids(df, name="doc_id"):
+    return sorted((r[0] for r in df.select(name).collect()), key=lambda x: (x is not None, x or 0))
+
+
+ALL_IDS = sorted((r[0] for r in ROWS), key=lambda x: (x is not None, x or 0))
+
+
+def test_secrets(docs, empty):
+    out = secrets_scan.scan(docs)
+    assert ids(out) == ALL_IDS
+    assert out.filter(F.size("found") > 0).count() == 0
+    assert secrets_scan.scan(empty).count() == 0
+
+
+def test_contamination(docs, empty, items, no_items):
+    out = decontaminate.contamination(docs, items)
+    assert ids(out) == ALL_IDS
+    by = {r["doc_id"]: r for r in out.collect()}
+    assert by[1]["n_hit"] == 4 and by[1]["item_ids"] == ["1", "4", "4"]
+    assert by[7]["item_ids"] == ["null"] and by[2]["n_words"] == by[3]["n_words"] == by[4]["n_words"] == 0
+    assert by[9]["n_words"] == 5
+    assert decontaminate.contamination(docs, no_items).filter("n_hit > 0").count() == 0
+    assert decontaminate.contamination(empty, items).count() == 0
+    kept = decontaminate.clean_documents(docs, items)
+    assert kept.columns == docs.columns
+    assert ids(kept) == [x for x in ALL_IDS if x not in (1, 5)]
+
+
+def test_language(docs, empty):
+    models = language_id.train(docs)
+    out = {r["doc_id"]: r for r in language_id.predict(docs, models).collect()}
+    assert out[2]["lang_pred"] == out[3]["lang_pred"] == out[4]["lang_pred"] == out[8]["lang_pred"] == "und"
+    assert out[7]["lang_pred"] in models.langs and all(0 <= r["score"] <= 1 for r in out.values())
+    assert language_id.train(empty) is None
+    assert {r["lang_pred"] for r in language_id.predict(docs, None).collect()} == {"und"}
+    assert language_id.predict(empty, models).count() == 0
+
+
+def test_mixing(docs, empty):
+    out = mixing.mix(docs)
+    assert ids(out) == ALL_IDS
+    rows = out.collect()
+    assert all(r["taken"] <= 2 * r["size"] for r in rows)
+    assert mixing.mix(empty).count() == 0
+    taken = mixing.mixed_documents(docs)
+    assert taken.columns == docs.columns
+    words = taken.select(F.sum(F.size(mixing.words(F.col("text"))))).first()[0]
+    assert words == sum(r["taken"] for r in rows)
+    assert mixing.mixed_documents(empty).count() == 0
+
+
+def test_mixing_shares_ties(spark):
+    docs = spark.createDataFrame([(1, "a b c d", "x")] * 6 + [(2, "a b", "y")], "doc_id long, text string, source string")
+    rows = mixing.mix(docs).collect()
+    assert len({r["taken"] for r in rows if r["doc_id"] == 1}) == 1
+
+
+def test_substring(docs, empty):
+    out = substring_dedup.dedupe(docs, least_words=5)
+    assert out.columns == [*docs.columns, "n_sentences", "n_removed"]
+    by = {r["doc_id"]: r for r in out.collect()}
+    assert by[1]["n_removed"] == 0 and by[5]["n_removed"] == 2 and by[5]["text"] == ""
+    assert by[2]["text"] is None and by[3]["text"] == "" and by[7]["n_removed"] > 0
+    assert substring_dedup.dedupe(empty).count() == 0
+    assert ids(out) == ALL_IDS
+
+
+def test_toxicity(docs, empty, labels):
+    scorer = toxicity.train(docs, labels)
+    out = toxicity.score(docs, scorer)
+    assert ids(out) == ALL_IDS and all(0 <= r["score"] <= 1 for r in out.collect())
+    assert toxicity.score(empty, toxicity.train(empty, labels)).count() == 0
+    assert toxicity.train(docs, labels.limit(0)).bias == float("-inf")
+
+
+def test_token_store(spark, docs, empty):
+    path = scratch_path(spark, "tokens")
+    token_store.write_tokens(docs, path, tokenizer_path())
+    out = token_store.token_digests(spark, path)
+    assert ids(out) == ALL_IDS
+    rows = sorted(out.collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == ALL_IDS
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(rows, rows[1:], strict=False))
+    assert {r["doc_id"]: r["n_tokens"] for r in rows}[2] == 1
+    path = scratch_path(spark, "tokens")
+    token_store.write_tokens(empty, path, tokenizer_path())
+    assert token_store.token_digests(spark, path).count() == 0
+
+
+def test_simhash(docs, empty):
+    out = simhash.near_duplicates(docs)
+    assert ids(out) == ALL_IDS
+    by = {r["doc_id"]: r for r in out.collect()}
+    assert by[5]["component"] == 1 and by[2]["fp"] == by[3]["fp"] == by[4]["fp"] == 0 and by[4]["component"] == 2
+    assert simhash.near_duplicates(empty).count() == 0
+    kept = simhash.one_per_group(docs)
+    assert kept.columns == docs.columns and not {3, 4, 5} & set(ids(kept))
+    with pytest.raises(ValueError):
+        simhash.near_duplicates(docs, radius=4)
+
+
+def test_quality(docs, empty, labels):
+    out = quality.classify(docs, labels)
+    assert ids(out) == ALL_IDS and all(0 <= r["score"] <= 1 for r in out.collect())
+    assert quality.classify(empty, labels).count() == 0
+    assert quality.classify(docs, labels.limit(0)).count() == len(ROWS)
+    assert quality.good_documents(docs, labels).columns == docs.columns
+
+
+def test_embeddings(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 0.0, 0.0], 1), (2, [1.0, 0.0, 0.0], 1), (3, [2.0, 0.1, 0.0], 1), (4, [1.0, 0.0, 0.0], 2), (5, [1.0, 0.0, 0.0], None),
+        (6, None, 1), (7, [0.0, 0.0, 0.0], 1), (8, [1.0, None, 0.0], 1), (9, [nan, 1.0, 0.0], 1), (10, [inf, 1.0, 0.0], 1), (11, [], 1),
+        (12, [1.0, 0.0], 1), (None, [1.0, 0.0, 0.0], 1), (3, [2.0, 0.1, 0.0], 1), (14, [1e200, 0.0, 0.0], 1), (15, [-1.0, 0.0, 0.0], 1),
+    ]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    out = embedding_dedup.near_duplicates(table).collect()
+    assert len(out) == len(rows)
+    by = {r["vec_id"]: (r["n_links"], r["component"]) for r in out}
+    assert by[1] == (4, 1) and by[2] == (4, 1) and by[3] == (4, 1) and by[14] == (4, 1)
+    assert all(by[k] == (0, k) for k in (4, 5, 6, 7, 8, 9, 10, 11, 12, 15)) and by[None] == (0, None)
+    assert embedding_dedup.near_duplicates(table.limit(0)).count() == 0

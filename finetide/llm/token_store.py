@@ -9,8 +9,12 @@ of ids before it in its file; a file's own start is the sum of the files before
 
 from __future__ import annotations
 
+import os
+import re
+import sys
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +25,8 @@ from pyspark.sql import functions as F
 from finetide.llm.store import Stored
 
 END_ID = 2
-#: Words whose ids a task remembers.
-REMEMBERED = 400_000
+#: Words in a generation of a worker's memory.
+REMEMBERED = 200_000
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.bloom.filter.columns": "doc_id",
@@ -33,6 +37,29 @@ ORC_OPTIONS = {
 }
 
 
+#: White space other than the space and the line end.
+_OTHER_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+class Memory(dict):
+    """Ids of words as bytes, encoded when first met. Of two generations the older one is forgotten
+    when the newer is full, so words in use stay."""
+
+    def __init__(self, encode: Callable[[str], bytes], before: str) -> None:
+        super().__init__()
+        self.encode, self.before, self.old = encode, before, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.encode(self.before + word)
+        self[word] = ids
+        return ids
+
+
 class Encoder:
     """A tokenizer that remembers words.
 
@@ -42,42 +69,40 @@ class Encoder:
     """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads only contend
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.heads: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.heads, self.words = Memory(self.ids, ""), Memory(self.ids, " ")
         self.line_end = self.ids("\n")
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, known: dict[str, bytes], new: set[str], before: str) -> None:
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-        order = list(new)
-        for word, e in zip(order, self.tokenizer.encode_batch_fast([before + w for w in order], add_special_tokens=False), strict=True):
-            known[word] = np.array(e.ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
-        lines = [line.split(" ") for line in text.split("\n")]
-        parts = sum(map(len, lines))
-        if parts != len(text.split()):  # white space of another kind, at an end, or several in a row
-            return self.ids(text)
-        heads = {line[0] for line in lines}
-        words = {w for line in lines for w in line[1:]}
-        new = heads.difference(self.heads)
-        if new:
-            self._learn(self.heads, new, "")
-            new = heads.difference(self.heads)
-        more = words.difference(self.words)
-        if more:
-            self._learn(self.words, more, " ")
-            more = words.difference(self.words)
-        if new or more:  # the memory was emptied, and this text's words before
+        if (
+            not text or "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+            or text[0] in " \n" or text[-1] in " \n" or _OTHER_BLANKS.search(text)
+        ):
             return self.ids(text)
-        get = self.words.__getitem__
-        return self.line_end.join([self.heads[line[0]] + b"".join(map(get, line[1:])) for line in lines])
+        head, word, out = self.heads.__getitem__, self.words.__getitem__, []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            out.append(head(first) + b"".join(map(word, rest)))
+        return self.line_end.join(out)
+
+
+def encoder_of(path: str) -> Encoder:
+    """The worker process's encoder, which lives on from task to task where Spark reuses workers.
+
+    Functions reach workers by value with globals of their own, so it hangs on a module they share.
+    """
+    kept = sys.modules["tokenizers"].__dict__.setdefault("_kept_encoders", {}) if "tokenizers" in sys.modules else {}
+    if path not in kept:
+        encoder = Encoder(path)
+        kept = sys.modules["tokenizers"].__dict__.setdefault("_kept_encoders", {})
+        kept[path] = encoder
+    return kept[path]
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -90,7 +115,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     ordered = kept.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, before = Encoder(tokenizer_path), 0
+        encoder, before = encoder_of(tokenizer_path), 0
         tail = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for i in range(0, batch.num_rows, 1000):

@@ -13,8 +13,7 @@ import os
 import re
 import sys
 import zlib
-from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +24,10 @@ from pyspark.sql import functions as F
 from finetide.llm.store import Stored
 
 END_ID = 2
-#: Words in a generation of a worker's memory.
-REMEMBERED = 200_000
+#: Words in a generation of a worker's memory, words encoded at once, and texts encoded at once.
+REMEMBERED = 400_000
+LEARNED = 1000
+TEXTS = 200
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.bloom.filter.columns": "doc_id",
@@ -41,23 +42,33 @@ ORC_OPTIONS = {
 _OTHER_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
-class Memory(dict):
-    """Ids of words as bytes, encoded when first met. Of two generations the older one is forgotten
-    when the newer is full, so words in use stay."""
-
-    def __init__(self, encode: Callable[[str], bytes], before: str) -> None:
-        super().__init__()
-        self.encode, self.before, self.old = encode, before, {}
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.old = dict(self)
-            self.clear()
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self.encode(self.before + word)
-        self[word] = ids
-        return ids
+class Memory:
+    """Ids of words as bytes. Of two generations the older one is forgotten when the newer is
+    full, so words in use stay."""
+
+    def __init__(self, tokenizer, before: str, line_id: int) -> None:
+        self.tokenizer, self.before, self.line_id = tokenizer, before, line_id
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def of(self, words: set[str]) -> dict[str, bytes]:
+        """The memory, holding all of ``words``."""
+        if len(self.known) >= REMEMBERED:
+            self.old, self.known = self.known, {}
+        new = words.difference(self.known)
+        kept = new.intersection(self.old)
+        self.known.update((w, self.old[w]) for w in kept)
+        order = list(new - kept)
+        for i in range(0, len(order), LEARNED):
+            part = order[i : i + LEARNED]
+            # A line end between two words is a token of its own and occurs nowhere else.
+            joined = "\n".join([self.before + w for w in part])
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(ids == self.line_id)
+            raw = ids.tobytes()
+            starts, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(raw)]
+            self.known.update(zip(part, [raw[a:b] for a, b in zip(starts, ends, strict=True)], strict=True))
+        return self.known
 
 
 class Encoder:
@@ -73,23 +84,36 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.heads, self.words = Memory(self.ids, ""), Memory(self.ids, " ")
         self.line_end = self.ids("\n")
+        line_id = int(np.frombuffer(self.line_end, dtype="<u4")[0])
+        self.heads, self.words = (Memory(self.tokenizer, before, line_id) for before in ("", " "))
 
     def ids(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if (
-            not text or "  " in text or "\n\n" in text or " \n" in text or "\n " in text
-            or text[0] in " \n" or text[-1] in " \n" or _OTHER_BLANKS.search(text)
-        ):
-            return self.ids(text)
-        head, word, out = self.heads.__getitem__, self.words.__getitem__, []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            out.append(head(first) + b"".join(map(word, rest)))
-        return self.line_end.join(out)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [[line.split(" ") for line in t.split("\n")] if _plain(t) else None for t in texts]
+        heads, words = set(), set()
+        for lines in split:
+            for line in lines or ():
+                heads.add(line[0])
+                words.update(line[1:])
+        head, word = self.heads.of(heads).__getitem__, self.words.of(words).__getitem__
+        out = []
+        for text, lines in zip(texts, split, strict=True):
+            if lines is None:
+                out.append(self.ids(text))
+            else:
+                out.append(self.line_end.join([head(line[0]) + b"".join(map(word, line[1:])) for line in lines]))
+        return out
+
+
+def _plain(text: str) -> bool:
+    """Whether single spaces and line ends between words are all the white space of a text."""
+    return not (
+        not text or "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+        or text[0] in " \n" or text[-1] in " \n" or _OTHER_BLANKS.search(text)
+    )
 
 
 def encoder_of(path: str) -> Encoder:
@@ -118,9 +142,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
         encoder, before = encoder_of(tokenizer_path), 0
         tail = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
-                coded = [encoder.encode(t.as_py()) + tail for t in part.column(1)]
+            for i in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(i, TEXTS)
+                coded = [c + tail for c in encoder.encode(part.column(1).to_pylist())]
                 sizes = np.array([len(c) // 4 for c in coded], np.int64)
                 off = np.concatenate([[0], np.cumsum(sizes)])
                 values = pa.array(np.frombuffer(b"".join(coded), dtype="<u4").astype(np.int32))

@@ -53,12 +53,16 @@ def check_status(status: Column) -> Column:
 def updated_runs(current: DataFrame, updates: DataFrame) -> DataFrame:
     """State rows to append: current records with the fields that (run_id, ...) updates set.
 
-    Columns that no record has are ignored, as are updates without a record.
+    An update sets every column it has, to null as well. Of several updates of a run the latest
+    counts, by ``updated_at`` or, without that column, by their values. Columns that no record
+    has are ignored; an update of an unknown run fails the query.
     """
     known = [c for c in current.columns if c in updates.columns and c != "run_id"]
-    renamed = updates.select("run_id", *[F.col(c).alias(f"_new_{c}") for c in known])
-    joined = current.join(renamed, "run_id")
-    merged = {c: F.coalesce(F.col(f"_new_{c}"), F.col(c)) for c in known}
+    renamed = latest_states(updates).select("run_id", *[F.col(c).alias(f"_new_{c}") for c in known])
+    found = renamed.join(current.withColumn("_known", F.lit(True)), "run_id", "left")
+    unknown = F.raise_error(F.concat(F.lit("run not found: "), F.coalesce("run_id", F.lit("null"))))
+    joined = found.withColumn("run_id", F.when(F.col("_known"), F.col("run_id")).otherwise(unknown.cast("string")))
+    merged = {c: F.col(f"_new_{c}") for c in known}
     if "status" in merged:
         merged["status"] = check_status(merged["status"])
     if "updated_at" not in known:
@@ -76,18 +80,23 @@ def read_runs(spark: SparkSession, path: str, prefix: str = "", one_per_file: bo
 
 
 def latest_states(states: DataFrame, *tie_breakers: str) -> DataFrame:
-    """The last written state of each run. Spark keeps one row per run in each map task
-    before the shuffle, so a run with very many states costs no more than others."""
-    newest = Window.partitionBy("run_id").orderBy(F.desc("updated_at"), *[F.desc(c) for c in tie_breakers])
+    """The last written state of each run; states of the same time rank by ``tie_breakers``, or
+    without any by their whole content. Spark keeps one row per run in each map task before
+    the shuffle, so a run with very many states costs no more than others."""
+    order = [F.desc(c) for c in tie_breakers] or [F.desc(F.to_json(F.struct("*")))]
+    time = [F.desc("updated_at")] if "updated_at" in states.columns else []
+    newest = Window.partitionBy("run_id").orderBy(*time, *order)
     return states.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
 
 
-def list_runs(runs: DataFrame) -> DataFrame:
-    return runs.orderBy(F.desc("created_at"), "run_id")
+def list_runs(states: DataFrame) -> DataFrame:
+    """The current record of every run, newest run first."""
+    return latest_states(states).orderBy(F.desc("created_at"), "run_id")
 
 
-def find_run(runs: DataFrame, run_id: str) -> DataFrame:
-    return runs.filter(F.col("run_id") == run_id)
+def find_run(states: DataFrame, run_id: str) -> DataFrame:
+    """The current record of one run."""
+    return latest_states(states.filter(F.col("run_id") == run_id))
 
 
 def latest_checkpoints(
@@ -102,7 +111,10 @@ def latest_checkpoints(
     step = F.regexp_extract("path", CHECKPOINT_PATTERN, 2).try_cast("bigint")
     folder = F.regexp_extract("path", CHECKPOINT_PATTERN, 1)
     numbered = paths.select("run_id", folder.alias("folder"), step.alias("step")).filter("step is not null")
-    best = numbered.groupBy("run_id").agg(F.max("step").alias("step"), F.max_by("folder", "step").alias("checkpoint"))
+    # One row per run and map task passes to the shuffle; of equal numbers the last folder by name.
+    highest = Window.partitionBy("run_id").orderBy(F.desc("step"), F.desc("folder"))
+    best = numbered.withColumn("_n", F.row_number().over(highest)).filter("_n = 1")
+    best = best.select("run_id", "step", F.col("folder").alias("checkpoint"))
     if recorded is None:
         return best
     if recorded_must_exist:
@@ -121,10 +133,11 @@ def resume_checkpoint(paths: DataFrame) -> DataFrame:
 
 def config_drift(stored: DataFrame, current: DataFrame) -> DataFrame:
     """Runs whose current configuration is no longer the one stored, with both hashes.
-    Key order and number spelling do not count as a difference."""
-    pairs = stored.select("run_id", config_key(F.col("config")).alias("original_hash")).join(
-        current.select("run_id", config_key(F.col("config")).alias("new_hash")), "run_id"
-    )
+    Key order and number spelling do not count as a difference. Only configurations whose
+    text differs are parsed."""
+    pairs = stored.select("run_id", "config").join(current.select("run_id", F.col("config").alias("_new")), "run_id")
+    pairs = pairs.filter(~F.col("config").eqNullSafe(F.col("_new")))
+    pairs = pairs.select("run_id", config_key(F.col("config")).alias("original_hash"), config_key(F.col("_new")).alias("new_hash"))
     # A null-safe test, because Spark would guard a plain one by computing each hash once more.
     return pairs.filter(~F.col("original_hash").eqNullSafe(F.col("new_hash")))
 

@@ -15,14 +15,28 @@ from finetide.operators.normalize import text_key
 
 
 def first_rows(df: DataFrame, order_col: str, key: str | None = None) -> DataFrame:
-    """The order values of the rows to keep: one per distinct normalised text."""
+    """The order values of the rows to keep: one per distinct normalised text.
+
+    A null or repeated order value fails the query, wherever it occurs: rows could not be told
+    apart by it. That costs one exchange of order values beside the plan, none where the table
+    is bucketed by them.
+    """
     column = F.col(key or text_key(df))
-    return (
+    first = (
         df.select(order_col, digest(text_or_none(column)).alias("_digest"))
         .groupBy("_digest")
         .agg(F.min(order_col).alias(order_col))
         .select(order_col)
     )
+    message = F.concat(F.lit(f"{order_col} is null or repeats: "), F.col("_bad"))
+    checked = first.withColumn("_bad", bad_value(df, order_col).scalar())
+    return checked.filter(F.when(F.col("_bad").isNull(), True).otherwise(F.raise_error(message).cast("boolean"))).select(order_col)
+
+
+def bad_value(df: DataFrame, order_col: str) -> DataFrame:
+    """An order value that is null or there more than once, as text, or no row."""
+    counted = df.groupBy(order_col).agg(F.count("*").alias("_n")).filter(F.col(order_col).isNull() | (F.col("_n") > 1))
+    return counted.limit(1).select(F.coalesce(F.col(order_col).cast("string"), F.lit("null")).alias("_bad"))
 
 
 def deduplicate(df: DataFrame, order_col: str, key: str | None = None) -> DataFrame:

@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finetide.functions.text import word_count
-from finetide.operators.split import sample_texts
+from finetide.operators.split import rank_of, sample_texts
+from finetide.session import written
 
 METRICS_SCHEMA = "bench string, metric string, value double, error string"
 
-# Sample sizes per benchmark, and the texts scored when there are none.
+# Sample sizes per benchmark, the texts scored when there are none, and messages.
 DEFAULT_SAMPLES = {"perplexity": 10, "generation_quality": 5, "instruction_following": 3}
 DEFAULT_TEXTS = [
     "The quick brown fox jumps over the lazy dog.",
@@ -26,6 +27,7 @@ DEFAULT_TEXTS = [
 DEFAULT_PROMPTS = ["Explain AI in simple terms.", "What is LoRA?"]
 INSTRUCTION_PROMPT = "Instruction: List three colors.\nResponse:"
 RESPONSE_MARK = "Response:"
+UNKNOWN_BENCHMARK = "Unknown benchmark: "
 SAMPLE_CHARS = 200
 
 Scorer = Callable[[DataFrame], DataFrame]  # (id, text) -> (id, loss, n_tokens)
@@ -84,7 +86,7 @@ def long_metrics(one_row: DataFrame, bench: str) -> DataFrame:
 
 
 def error_line(spark: SparkSession, bench: str) -> DataFrame:
-    return spark.createDataFrame([(bench, None, None, f"Unknown benchmark: {bench}")], METRICS_SCHEMA)
+    return spark.createDataFrame([(bench, None, None, UNKNOWN_BENCHMARK + bench)], METRICS_SCHEMA)
 
 
 def run_benchmarks(
@@ -100,10 +102,14 @@ def run_benchmarks(
     """The named benchmarks over a seeded sample of ``rows``; an unknown name gets an error
     line. ``more`` adds benchmarks: functions that give a one-row result."""
     spark = rows.sparkSession
+    sizes = {b: max_samples or n for b, n in DEFAULT_SAMPLES.items() if b in names and b != "instruction_following"}
+    largest = max(sizes.values(), default=0)
+    # Drawn once at the largest size and stored; smaller samples are its first rows.
+    drawn = written(sample_texts(rows, id_col, largest, seed).withColumnRenamed(id_col, "id"), "sample") if sizes else None
 
     def sample(bench: str, defaults: list[str]) -> DataFrame:
-        n = max_samples or DEFAULT_SAMPLES[bench]
-        picked = sample_texts(rows, id_col, n, seed).withColumnRenamed(id_col, "id")
+        n = sizes[bench]
+        picked = drawn if n == largest else drawn.orderBy(rank_of("id", seed)).limit(n)
         return texts_or_defaults(picked, defaults[:n])
 
     def run_perplexity() -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, TimestampType
 
 from finetide.functions.keys import KEY_LENGTH, short_hash
 
@@ -17,11 +17,26 @@ HEX_DIGITS = 15  # 60 bits, so one value fits a bigint and a decimal sum never o
 def _cell(df: DataFrame, name: str) -> Column:
     """A cell as its length and text, so that no two different rows read alike."""
     c = F.col(f"`{name}`")
-    nested = isinstance(df.schema[name].dataType, (ArrayType, MapType, StructType))
-    text = F.to_json(c) if nested else c.cast("string")
+    kind = df.schema[name].dataType
+    text = F.to_json(_ordered(c, kind)) if isinstance(kind, (ArrayType, MapType, StructType)) else _ordered(c, kind).cast("string")
     return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
 
+def _ordered(c: Column, kind: DataType) -> Column:
+    """The value with instants as microseconds, whatever the session's time zone, and map entries in key order."""
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(c)
+    if isinstance(kind, ArrayType):
+        return F.transform(c, lambda x: _ordered(x, kind.elementType))
+    if isinstance(kind, MapType):
+        pairs = F.transform(F.map_entries(c), lambda e: F.struct(e["key"].alias("key"), _ordered(e["value"], kind.valueType).alias("value")))
+        return F.array_sort(pairs, lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+    if isinstance(kind, StructType):
+        fields = F.struct(*[_ordered(c.getField(f.name), f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(c.isNotNull(), fields)
+    return c
+
+
 def _row_hash(df: DataFrame) -> Column:
     return F.sha2(F.concat_ws("|", *[_cell(df, name) for name in sorted(df.columns)]), 256)
 

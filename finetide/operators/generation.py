@@ -47,6 +47,8 @@ CALL_DELAYS = {"openai": 0.5, "anthropic": 1.0}
 # Seeds beyond these sizes are joined by shuffle instead of broadcast.
 BROADCAST_SEEDS = 100_000
 BROADCAST_SEED_BYTES = 32 * 1024 * 1024
+# Requests of one seed that share a copy of it in such a shuffle.
+SEED_SHARE = 10_000
 
 
 def request_prompt(seed: Column) -> Column:
@@ -76,7 +78,13 @@ class SeedList:
     def requests(self, start: int, end: int) -> DataFrame:
         """(id, seed) for ids start..end-1: sample i takes seed i modulo the number of seeds."""
         samples = self.rows.sparkSession.range(start, end).withColumn("idx", F.pmod("id", F.lit(self.count)))
-        return samples.join(F.broadcast(self.rows) if self.small else self.rows, "idx").select("id", "seed")
+        if self.small:
+            return samples.join(F.broadcast(self.rows), "idx").select("id", "seed")
+        # Few large seeds would each meet all their requests in one task: copies of a seed share them.
+        copies = -(-(end - start) // (self.count * SEED_SHARE))
+        samples = samples.withColumn("copy", F.pmod(F.floor(F.col("id") / self.count), F.lit(copies)))
+        seeds = self.rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint"))))
+        return samples.join(seeds, ["idx", "copy"]).select("id", "seed")
 
 
 def seed_list(seeds: DataFrame, defaults: list[str]) -> SeedList:

@@ -12,9 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from finetide.errors import DataError
-from finetide.session import is_small, scratch_path
+from finetide.session import scratch_path
 
 
 def with_position(df: DataFrame, order_by: str | Sequence[str], name: str = "position") -> DataFrame:
@@ -31,15 +32,19 @@ def with_position(df: DataFrame, order_by: str | Sequence[str], name: str = "pos
         F.col("_metadata.file_name").alias("_pos_file"),
         F.col("_metadata.row_index").alias("_pos_index"),
     )
-    # One row per written file, so this window and the broadcast stay small.
+    # One row per written file, so this window stays small.
     sizes = rows.groupBy("_pos_part", "_pos_file").agg(F.count("*").alias("_pos_n"))
     before = Window.partitionBy(F.lit(0)).orderBy("_pos_part", "_pos_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pos_file", F.coalesce(F.sum("_pos_n").over(before), F.lit(0)).alias("_pos_offset"))
-    return rows.join(F.broadcast(offsets), "_pos_file").select(
+    return rows.join(offsets, "_pos_file").select(
         *df.columns, (F.col("_pos_offset") + F.col("_pos_index")).alias(name)
     )
 
 
+#: Ranges counted per round of a cap, and the rows that are few enough to rank.
+RANGES, RANKED_ROWS = 4096, 100_000
+
+
 def batch_of(df: DataFrame, batch_size: int, position: str = "position", name: str = "batch") -> DataFrame:
     """Number consecutive batches of ``batch_size`` rows; the last one may be short."""
     size = max(1, batch_size)
@@ -72,14 +77,40 @@ def row_at(df: DataFrame, order_by: str, index: int) -> DataFrame:
 def cap_rows(df: DataFrame, order_col: str, cap: int) -> DataFrame:
     """The first ``cap`` rows by ``order_col``: finds the last order value, then filters.
 
-    A top-k gathers up to ``cap`` values from every input split in one task, so only a
-    small table gets one; a large table's order values are ranked instead.
+    Numbers are counted in ranges, and the range in which the cap falls is counted again until
+    it holds few rows; only those are ranked. Order values of other types are range-sorted.
+    The order column must be unique; a null in it fails the query.
     """
     if cap < 1:
         raise DataError("the row cap must be at least 1", "max_rows")
-    ids = df.select(order_col)
-    if is_small(ids):
+    null = F.raise_error(F.lit(f"null in the order column {order_col}"))
+    value = F.when(F.col(order_col).isNull(), null.cast(df.schema[order_col].dataType)).otherwise(F.col(order_col))
+    ids = df.select(value.alias(order_col))
+    if isinstance(df.schema[order_col].dataType, NumericType):
+        ids, cap = _narrowed(ids, order_col, cap)
         last = ids.orderBy(order_col).limit(cap).agg(F.max(order_col))
     else:
         last = with_position(ids, order_col).filter(F.col("position") < cap).agg(F.max(order_col))
     return df.filter(F.col(order_col) <= last.scalar())
+
+
+def _narrowed(ids: DataFrame, order_col: str, cap: int) -> tuple[DataFrame, int]:
+    """The range of order values in which the ``cap``-th row falls, and the rows it still needs.
+
+    Each round reads the one column and gives ``RANGES`` counts at most.
+    """
+    while True:
+        low, high, n = ids.agg(F.min(order_col), F.max(order_col), F.count("*")).head()
+        if n <= max(cap, RANKED_ROWS) or low == high:
+            return ids, min(cap, max(n, 1))
+        share = (F.col(order_col).cast("double") - F.lit(float(low))) / F.lit(float(high) - float(low))
+        place = F.least(F.floor(share * RANGES), F.lit(RANGES - 1))
+        counts = sorted((r[0], r[1]) for r in ids.groupBy(place.alias("place")).count().collect())
+        before = 0
+        for chosen, count in counts:
+            if before + count >= cap:
+                break
+            before += count
+        if count == n:
+            return ids, cap
+        ids, cap = ids.filter(place == chosen), cap - before

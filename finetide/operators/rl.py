@@ -61,7 +61,7 @@ def tokenize(
     (``tokens``) without one; cut to ``max_length``, original columns dropped but ``keep``."""
     text = F.col(text_key(df))
     if tokenizer is None:
-        return df.select(*keep, F.slice(words(text), 1, max_length).alias("tokens"))
+        return df.select(*keep, F.slice(words(text_or_none(text)), 1, max_length).alias("tokens"))
 
     def ids(texts: pd.Series) -> pd.Series:
         return pd.Series([row[:max_length] for row in tokenizer(texts.tolist())])

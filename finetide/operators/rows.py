@@ -9,6 +9,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    NullType,
+    StringType,
+    StructField,
+    StructType,
+    VariantType,
+    _parse_datatype_string,
+)
+
 from finetide.errors import DataError
 
 
@@ -53,11 +66,30 @@ def from_columns(batches: DataFrame, columns: Mapping[str, str], keep: Sequence[
 
 def from_records(df: DataFrame, json_col: str, order_col: str) -> DataFrame:
     """Rows from JSON records with the first record's columns, in its order: keys that
-    only later records have are dropped, and keys they lack become null."""
+    only later records have are dropped, and keys they lack become null.
+
+    A column's type holds every record's values: numbers widen, and values of several kinds
+    are kept as their JSON text. A malformed record fails the query.
+    """
     by_order = df.select(order_col, json_col).orderBy(order_col)
     first = by_order.limit(1).select(json_col, F.json_object_keys(json_col).alias("keys")).head()
     if first is None:
         raise DataError("no records", "records")
-    schema = df.sparkSession.range(1).select(F.schema_of_json(F.lit(first[json_col]))).head()[0]
-    parsed = df.select(order_col, F.from_json(json_col, schema).alias("_record"))
-    return parsed.select(*[F.col("_record").getField(k).alias(k) for k in first["keys"]])
+    keys = first["keys"]
+    whole = df.select(F.parse_json(json_col).alias("v")).agg(F.schema_of_variant_agg("v")).head()[0]
+    found = _parse_datatype_string(whole.replace("OBJECT<", "STRUCT<"))
+    kinds = {f.name: _plain(f.dataType) for f in found.fields} if isinstance(found, StructType) else {}
+    schema = StructType([StructField(k, kinds.get(k, StringType())) for k in keys])
+    parsed = df.select(order_col, F.from_json(json_col, schema, {"mode": "FAILFAST"}).alias("_record"))
+    return parsed.select(*[F.col("_record").getField(k).alias(k) for k in keys])
+
+
+def _plain(kind: DataType) -> DataType:
+    """A type every value can be read in: text where the values are of several kinds."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _plain(f.dataType)) for f in kind.fields])
+    if isinstance(kind, ArrayType):
+        return ArrayType(_plain(kind.elementType))
+    if isinstance(kind, DecimalType):
+        return kind if kind.scale == 0 else DoubleType()
+    return StringType() if isinstance(kind, (NullType, VariantType)) else kind

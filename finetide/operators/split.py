@@ -17,7 +17,6 @@ from finetide.errors import DataError
 from finetide.functions.keys import seeded_key
 from finetide.functions.text import is_blank, text_or_none
 from finetide.operators.normalize import text_key
-from finetide.session import is_small
 from finetide.specs import SPLIT_NAMES, SplitSpec
 
 PREFIX_DIGITS = 4
@@ -30,14 +29,21 @@ def validation_rows(total: Column, train_split: float) -> Column:
     return F.when(total <= 1, F.lit(0)).otherwise(bounded).cast("bigint")
 
 
+def required(name: str) -> Column:
+    """The order value; a null one fails the query, for no comparison could place its row."""
+    message = F.lit(f"null in the order column {name}")
+    return F.when(F.col(name).isNull(), F.raise_error(message)).otherwise(F.col(name))
+
+
 def rank_of(id_col: str, seed: int) -> Column:
     return F.struct(seeded_key(seed, F.col(id_col)).alias("k"), F.col(id_col).alias("id"))
 
 
 def rank_cut(ids: DataFrame, id_col: str, seed: int, wanted: Callable[[Column], Column]) -> DataFrame:
     """One row, one column: the last (hash, id) pair among the ``wanted`` lowest ones, a
-    function of the row count. No row if none is wanted."""
-    keyed = ids.select(rank_of(id_col, seed).alias("rank"))
+    function of the row count. No row if none is wanted. A null id fails the query, as does
+    an id that lies on both sides of the cut."""
+    keyed = ids.select(required(id_col).alias(id_col)).select(rank_of(id_col, seed).alias("rank"))
     keyed = keyed.withColumn("prefix", F.substring("rank.k", 1, PREFIX_DIGITS))
     counts = keyed.groupBy("prefix").agg(F.count("*").alias("n"))
     # At most 16 ** PREFIX_DIGITS rows reach these two windows, whatever the table holds.
@@ -56,11 +62,14 @@ def rank_cut(ids: DataFrame, id_col: str, seed: int, wanted: Callable[[Column],
         .scalar()
     )
     within = Window.partitionBy("prefix").orderBy("rank")
+    repeated = F.raise_error(F.concat(F.lit(f"{id_col} repeats: "), F.col("rank.id").cast("string")))
+    again = F.col("rank") == F.col("following")
     return (
         keyed.filter(F.col("prefix") == boundary.getField("prefix"))
         .withColumn("position", F.row_number().over(within))
+        .withColumn("following", F.lead("rank").over(within))
         .filter(F.col("position") == boundary.getField("need"))
-        .select("rank")
+        .select(F.when(again, repeated.cast(keyed.schema["rank"].dataType)).otherwise(F.col("rank")).alias("rank"))
     )
 
 
@@ -103,15 +112,10 @@ def take_split(df: DataFrame, name: str) -> DataFrame:
 
 
 def sample_texts(df: DataFrame, id_col: str, limit: int = 32, seed: int = 42) -> DataFrame:
-    """A seeded sample of at most ``limit`` rows with non-blank text, as (id, text).
-
-    A small table gets a top-k; from a large one, whose every input split would send a
-    top-k to the same task, the sample is cut off like the part of a split.
-    """
+    """A seeded sample of at most ``limit`` rows with non-blank text, as (id, text), cut off
+    like the part of a split: ids must not be null, nor repeat at the cut."""
     texts = df.select(id_col, text_or_none(F.col(text_key(df))).alias("text"))
     texts = texts.filter(~is_blank(F.col("text")))
-    if is_small(texts):
-        return texts.orderBy(rank_of(id_col, seed)).limit(limit)
     cut = rank_cut(texts.select(id_col), id_col, seed, lambda total: F.least(F.lit(limit), total))
     return texts.filter(rank_of(id_col, seed) <= cut.scalar())
 

@@ -25,16 +25,23 @@ def address(payload: dict[str, Any]) -> str:
 
 
 def data_cache_key(
-    spark: SparkSession, dataset: DatasetSpec, method: str, filters: Filters = Filters(), split: SplitSpec = SplitSpec()
+    spark: SparkSession,
+    dataset: DatasetSpec,
+    method: str,
+    filters: Filters = Filters(),
+    split: SplitSpec = SplitSpec(),
+    order_col: str | None = None,
 ) -> str:
-    """Changes with the method, any data setting, and the source's path or modification time."""
+    """Changes with the method, any data setting, the order column, and the source: a data file
+    at any depth that is added, removed or overwritten gives another key."""
     payload: dict[str, Any] = {
         "method": method,
         "dataset": asdict(dataset),
         "filters": asdict(filters),
         "split": asdict(split),
         "path": paths.qualified(spark, dataset.path),
-        "modified": paths.modified_ms(spark, dataset.path),
+        "files": paths.content_state(spark, dataset.path),
+        "order": order_col,
     }
     return address(payload)
 

@@ -32,7 +32,7 @@ def evaluate_run(
 
     Scores are stored before they are used again, as a model would score anew.
     """
-    run = catalog.find_run(catalog.latest_states(catalog.read_runs(spark, runs_path)), run_id)
+    run = catalog.find_run(catalog.read_runs(spark, runs_path), run_id)
     if run.isEmpty():
         raise DataError(f"run not found: {run_id}", "run_id")
     results = evaluation.run_benchmarks(validation, id_col, names, score, write, max_samples, seed)

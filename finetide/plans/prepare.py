@@ -6,15 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from finetide.plans.cache import data_cache_key, is_cached, load_splits, save_splits
 from finetide.plans.estimate import plan_estimate
-from finetide.plans.preprocess import preprocess_dataset
+from finetide.plans.preprocess import filters_of, preprocess_dataset
 from finetide.sources.files import count_rows
-from finetide.specs import DatasetSpec, Filters, SplitSpec
+from finetide.specs import DatasetSpec, Filters, GenerationSpec, SplitSpec
 
 
 def cache_dir_of(
-    spark: SparkSession, dataset: DatasetSpec, method: str, cache_root: str, filters: Filters, split: SplitSpec
+    spark: SparkSession,
+    dataset: DatasetSpec,
+    method: str,
+    cache_root: str,
+    filters: Filters,
+    split: SplitSpec,
+    order_col: str | None,
 ) -> str:
-    return f"{cache_root.rstrip('/')}/processed/{data_cache_key(spark, dataset, method, filters, split)}"
+    key = data_cache_key(spark, dataset, method, filters, split, order_col)
+    return f"{cache_root.rstrip('/')}/processed/{key}"
 
 
 def prepare(
@@ -23,12 +30,14 @@ def prepare(
     order_col: str,
     cache_root: str,
     method: str = "sft",
-    filters: Filters = Filters(),
+    filters: Filters | None = None,
     split: SplitSpec = SplitSpec(),
+    generation: GenerationSpec | None = None,
 ) -> DataFrame:
     """The dataset's splits as stored rows. The main plan runs only if there is no whole
     cache of the same settings and source."""
-    cache = cache_dir_of(spark, dataset, method, cache_root, filters, split)
+    filters = filters_of(filters, generation)
+    cache = cache_dir_of(spark, dataset, method, cache_root, filters, split, order_col)
     stored = load_splits(spark, cache)
     if stored is not None:
         return stored
@@ -43,8 +52,10 @@ def plan_dataset(
     method: str = "sft",
     filters: Filters = Filters(),
     split: SplitSpec = SplitSpec(),
+    order_col: str | None = None,
     **settings,
 ) -> DataFrame:
-    """Estimates for a dataset, without preparing it. ``settings`` go to ``plan_estimate``."""
-    cache = cache_dir_of(spark, dataset, method, cache_root, filters, split)
+    """Estimates for a dataset, without preparing it. ``settings`` go to ``plan_estimate``; with
+    the ``order_col`` that ``prepare`` gets, the estimate knows whether its cache is there."""
+    cache = cache_dir_of(spark, dataset, method, cache_root, filters, split, order_col)
     return plan_estimate(count_rows(spark, dataset), cached=is_cached(spark, cache), **settings)

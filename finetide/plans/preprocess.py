@@ -6,13 +6,14 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from finetide.errors import DataError
 from finetide.operators.dedup import first_rows
 from finetide.operators.filters import apply_filters
 from finetide.operators.normalize import normalize_columns
 from finetide.operators.positions import cap_rows
 from finetide.operators.split import label, split_cut
 from finetide.sources.files import load
-from finetide.specs import DatasetSpec, Filters, SplitSpec
+from finetide.specs import DatasetSpec, Filters, GenerationSpec, SplitSpec
 
 
 def preprocess(
@@ -43,11 +44,19 @@ def preprocess_dataset(
     dataset: DatasetSpec,
     order_col: str,
     method: str = "sft",
-    filters: Filters = Filters(),
+    filters: Filters | None = None,
     split: SplitSpec = SplitSpec(),
+    generation: GenerationSpec | None = None,
 ) -> DataFrame:
-    """The same from files: any format takes the same path, with an optional row cap."""
+    """The same from files: any format takes the same path, with an optional row cap. Without
+    ``filters`` those of the run's generation settings hold, where it has some."""
+    if dataset.streaming:
+        raise DataError("a streaming dataset is prepared by streaming.preprocess.prepare_stream", "dataset.streaming")
     df = load(spark, dataset)
     if dataset.max_rows is not None:
         df = cap_rows(df, order_col, dataset.max_rows)
-    return preprocess(df, order_col, method, dataset, filters, split)
+    return preprocess(df, order_col, method, dataset, filters_of(filters, generation), split)
+
+
+def filters_of(filters: Filters | None, generation: GenerationSpec | None) -> Filters:
+    return filters or (generation.filters if generation else Filters())

@@ -31,7 +31,7 @@ def raw_cache_key(spark: SparkSession, spec: GenerationSpec, seeds: DataFrame, b
         "base_model": base_model,
         "synthetic": asdict(spec),
         "seeds": content_fingerprint(seeds).head()["fingerprint"],
-        "modified": paths.modified_ms(spark, spec.seed_prompts) if spec.seed_prompts else None,
+        "files": paths.content_state(spark, spec.seed_prompts) if spec.seed_prompts else None,
     }
     return address(payload)
 

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from finetide.errors import DataError
-
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-SMALL_BYTES = 256 * 1024 * 1024
 
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,17 +39,12 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    Only a local session without that setting gets a temporary folder of its own.
-    """
+    """The folder every executor can reach, as the cluster names it; else one in the warehouse,
+    which the session's own default file system holds."""
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise DataError("set spark.checkpoint.dir to a folder shared by the cluster", CHECKPOINT_DIR)
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="finetide-"))
-    return spark.sparkContext.getCheckpointDir()
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -61,11 +52,6 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether a single task could take in the whole table."""
-    return estimated_bytes(df) <= SMALL_BYTES
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, removed when the session's JVM ends."""
     path = f"{shared_dir(spark)}/finetide/{name}-{uuid.uuid4().hex}"

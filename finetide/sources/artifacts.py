@@ -1,8 +1,8 @@
 """Artifact inventory: every file under a root with its size, SHA-256 and first bytes.
 
-Spark's own file sources skip empty files and names that start with a dot or underscore,
-and hold a file whole; an inventory needs the former and must not do the latter. So one
-task lists names and sizes, and the files are then hashed in parallel, chunk by chunk.
+Spark lists the files it reads in parallel, but it skips empty files and names that start with
+a dot or underscore, and would hold a file whole. So its listing is completed folder by folder
+in tasks, and the files are hashed in tasks, chunk by chunk.
 """
 
 from __future__ import annotations
@@ -12,15 +12,15 @@ from collections.abc import Iterator
 from functools import partial
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finetide.errors import DataError
-from finetide.sources.paths import exists, qualified
+from finetide.session import written
+from finetide.sources.paths import exists, leaf_files, qualified
 
 SAMPLE_BYTES = 512
 CHUNK_BYTES = 8 * 1024 * 1024
-LISTED_BATCH = 10_000
 
 SCHEMA = "path string, size bigint, sha256 string, sample binary"
 
@@ -45,17 +45,24 @@ def _opened(root: str):
     return store, path.rstrip("/")
 
 
-def _list_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _skipped(path: str) -> bool:
+    return "/." in path or "/_" in path or path.endswith("._COPYING_")
+
+
+def _list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What lies directly in each folder: subfolders (size null), and the files Spark skips."""
     from pyarrow import fs
 
     for batch in batches:
-        for root in batch["root"]:
+        for root, folder in zip(batch["root"], batch["folder"]):
             store, base = _opened(root)
-            found = store.get_file_info(fs.FileSelector(base, recursive=True))
-            for start in range(0, len(found), LISTED_BATCH):
-                files = [f for f in found[start : start + LISTED_BATCH] if f.type == fs.FileType.File]
-                rows = [(root, f.path[len(base) + 1 :], f.size) for f in files]
-                yield pd.DataFrame(rows, columns=["root", "path", "size"])
+            found = store.get_file_info(fs.FileSelector(f"{base}/{folder}".rstrip("/")))
+            rows = [
+                (root, f.path[len(base) + 1 :], f.size if f.type == fs.FileType.File else None)
+                for f in found
+                if f.type == fs.FileType.Directory or not f.size or _skipped(f"/{folder}/{f.base_name}")
+            ]
+            yield pd.DataFrame(rows, columns=["root", "path", "size"]).astype({"size": "Int64"})
 
 
 def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -73,11 +80,36 @@ def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(root, path, size) of all files under ``root``, paths relative to it."""
+    """(root, path, size) of all files under ``root``, paths relative to it.
+
+    Folders of the files that Spark lists are looked into at once; folders that only show then,
+    for they hold nothing Spark reads, take a further round per level.
+    """
     if not exists(spark, root):
         raise DataError(f"no folder to list: {root}", "path")
-    start = spark.createDataFrame([(qualified(spark, root),)], "root string").coalesce(1)
-    return start.mapInPandas(_list_files, "root string, path string, size bigint")
+    base = qualified(spark, root)
+    listed = leaf_files(spark, root).select(_relative(base).alias("path"), F.col("length").alias("size"))
+    listed = written(listed.filter("size > 0").withColumn("root", F.lit(base)).select("root", "path", "size"), "listed")
+    names = F.slice(F.split("path", "/"), 1, F.size(F.split("path", "/")) - 1)
+    depths = F.sequence(F.lit(0), F.size(names))
+    parents = F.transform(depths, lambda n: F.array_join(F.slice(names, 1, n), "/"))
+    start = spark.createDataFrame([("",)], "folder string")
+    folders = written(listed.select(F.explode(parents).alias("folder")).union(start).distinct(), "folders")
+    seen, found = folders, listed
+    while folders.head(1):
+        lists = folders.select(F.lit(base).alias("root"), "folder").repartition("folder")
+        entries = written(lists.mapInPandas(_list_folders, "root string, path string, size bigint"), "entries")
+        extra = entries.filter("size is not null").join(listed.select("path"), "path", "left_anti")
+        found = found.unionByName(extra)
+        inner = entries.filter("size is null").select(F.col("path").alias("folder"))
+        folders = written(inner.join(seen, "folder", "left_anti"), "folders")
+        seen = seen.union(folders)
+    return found
+
+
+def _relative(base: str) -> Column:
+    """A listed path's part below the root; a root of one file has its own name."""
+    return F.substring("path", F.lit(len(base.rstrip("/")) + 2), F.length("path"))
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
@@ -85,18 +117,21 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
     return list_files(spark, root).repartition("path").mapInPandas(_hash_files, SCHEMA)
 
 
-def upload_plan(files: DataFrame, modes: DataFrame) -> DataFrame:
-    """Each file with its upload mode: ``regular`` unless the mode table says otherwise;
-    ignored files are dropped. Large-file entries carry hash and size, others their content."""
+def upload_plan(files: DataFrame, modes: DataFrame, contents: DataFrame) -> DataFrame:
+    """Each file with its upload mode: ``regular`` unless the mode table says otherwise; ignored
+    files are dropped. ``files`` is (path, size, sha256), as :func:`inventory` gives it. Large
+    files carry hash and size; only regular ones fetch their ``contents`` (path, content)."""
     joined = files.join(modes.select("path", F.col("mode").alias("_mode")), "path", "left")
     chosen = joined.withColumn("mode", F.coalesce("_mode", F.lit("regular"))).filter("mode <> 'ignored'")
     large = F.col("mode") == "lfs"
-    return chosen.select(
+    wanted = chosen.filter(~large).select("path").join(contents.select("path", "content"), "path")
+    # Spark breaks base64 into lines; consumers expect one.
+    coded = wanted.select("path", F.replace(F.base64("content"), F.lit("\r\n"), F.lit("")).alias("content"))
+    return chosen.join(coded, "path", "left").select(
         "path",
         F.when(large, "lfsFile").otherwise("file").alias("key"),
         "mode",
-        F.when(large, F.sha2("content", 256)).alias("oid"),
-        F.when(large, F.octet_length("content").cast("bigint")).alias("size"),
-        # Spark breaks base64 into lines; consumers expect one.
-        F.when(~large, F.replace(F.base64("content"), F.lit("\r\n"), F.lit(""))).alias("content"),
+        F.when(large, F.col("sha256")).alias("oid"),
+        F.when(large, F.col("size")).alias("size"),
+        "content",
     )

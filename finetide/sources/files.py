@@ -9,15 +9,12 @@ from pyspark.sql.types import StructType
 from finetide.errors import DataError
 from finetide.functions.text import is_blank, strip
 from finetide.operators.positions import with_position
-from finetide.session import estimated_bytes, is_small
-from finetide.sources.paths import exists
+from finetide.sources.paths import exists, leaf_files
 from finetide.specs import DatasetSpec
 
 # The file names looked for under a dataset root, in this order.
 CANDIDATE_FILES = ("train.jsonl", "data.jsonl", "train.csv", "validation.jsonl")
 
-SPREAD_TASK_BYTES = 1024 * 1024
-
 
 def read_jsonl(
     spark: SparkSession, path: str | list[str], schema: StructType | str | None = None, schema_mode: str = "union"
@@ -35,19 +32,24 @@ def read_jsonl(
 
 
 def _first_record_keys(spark: SparkSession, path: str) -> list[str]:
-    for file in sorted(spark.read.text(path).inputFiles()):
-        lines = spark.read.text(file).filter(~is_blank(F.col("value")))
+    """Keys of the first record in the first file by name that holds one; files are listed by
+    Spark and taken one name at a time."""
+    files = leaf_files(spark, path).filter("length > 0").select("path")
+    done = F.lit(True)
+    while file := files.filter(done).orderBy("path").head():
+        lines = spark.read.text(file["path"]).filter(~is_blank(F.col("value")))
         first = lines.select(F.json_object_keys("value").alias("keys")).head(1)
         if first:
             return first[0]["keys"]
+        done = F.col("path") > file["path"]
     raise DataError(f"no record in {path}", "dataset.path")
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """CSV with a header; every cell is a string and an empty or missing one is ``''``.
 
-    Quoted line breaks need ``multiline``, which reads each file in one task. Switch it off
-    for large files without such breaks, and Spark splits them.
+    Spark splits the files unless ``multiline`` is asked for, which quoted line breaks need and
+    which reads each file in one task. Cells beyond the header's are dropped.
     """
     rows = spark.read.csv(path, header=True, multiLine=multiline, quote='"', escape='"', inferSchema=False)
     return rows.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns])
@@ -57,11 +59,10 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a small input, which a file of one row group or one unsplittable
-    file would leave to a single task. Larger inputs have splits enough and pass unchanged."""
-    tasks = min(df.sparkSession.sparkContext.defaultParallelism, estimated_bytes(df) // SPREAD_TASK_BYTES)
-    return df.repartition(tasks) if tasks > 1 and is_small(df) else df
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal out the rows of an input that one row group or one unsplittable file would leave
+    to a single task, where the caller asks for it."""
+    return df.repartition(partitions) if partitions else df
 
 
 def first_candidate(spark: SparkSession, root: str) -> DatasetSpec:
@@ -83,10 +84,10 @@ def load(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     if spec.format == "candidates":
         return read_first_candidate(spark, spec.path)
     if spec.format == "jsonl":
-        return spread(read_jsonl(spark, spec.path, spec.schema))
+        return spread(read_jsonl(spark, spec.path, spec.schema), spec.partitions)
     if spec.format == "csv":
-        return spread(read_csv(spark, spec.path, spec.multiline))
-    return spread(read_parquet(spark, spec.path))
+        return spread(read_csv(spark, spec.path, spec.multiline), spec.partitions)
+    return spread(read_parquet(spark, spec.path), spec.partitions)
 
 
 def read_lines(spark: SparkSession, path: str, name: str = "value") -> DataFrame:

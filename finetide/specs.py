@@ -6,7 +6,8 @@ from dataclasses import dataclass, field
 
 from finetide.errors import DataError
 
-# Names and defaults users already have in their configurations.
+# Names users already have in their configurations. The defaults of the classes
+# below are fixed values too.
 FORMATS = ("jsonl", "csv", "parquet", "candidates")
 METHODS = ("sft", "lora", "qlora", "dpo", "ppo", "grpo")
 SPLIT_NAMES = ("train", "validation", "test")
@@ -53,16 +54,19 @@ class DatasetSpec:
     response_column: str | None = None
     chosen_column: str | None = None
     rejected_column: str | None = None
-    streaming: bool = False  # accepted; max_rows and the streaming package say more
+    streaming: bool = False  # refused by the batch plans: such a dataset goes to the streaming package
     max_rows: int | None = None
     schema: str | None = None  # DDL for JSONL; saves the pass that infers one
-    multiline: bool = True  # CSV cells may hold line breaks; costs the splitting of files
+    multiline: bool = False  # CSV cells may hold line breaks; costs the splitting of files
+    partitions: int | None = None  # deals the rows out over so many tasks after reading
 
     def __post_init__(self) -> None:
         if self.format not in FORMATS:
             raise DataError(f"unsupported format {self.format!r}", "dataset.format")
         if self.max_rows is not None and self.max_rows < 1:
             raise DataError("max_rows must be at least 1", "dataset.max_rows")
+        if self.partitions is not None and self.partitions < 1:
+            raise DataError("partitions must be at least 1", "dataset.partitions")
 
 
 @dataclass(frozen=True)

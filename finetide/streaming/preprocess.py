@@ -6,9 +6,6 @@ restart continues where the last committed batch ended.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -51,28 +48,61 @@ def preprocess_stream(
     return apply_filters(rows, filters, method)
 
 
-def _first_per_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop repeats within a batch, so a text that fills the stream is not shuffled whole."""
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        place = pa.table({"digest": table["digest"], "place": range(len(table))})
-        first = place.group_by("digest").aggregate([("place", "min")])["place_min"]
-        yield from table.take(first).to_batches()
-
-
 def deduplicate_stream(
     stream: DataFrame, key: str | None = None, event_time: str | None = None, delay: str | None = None
 ) -> DataFrame:
     """Let each normalised text through once, adding its ``digest``.
 
     The first copy to arrive survives, which is not always the one with the lowest order
-    value. State keeps every digest unless ``event_time`` and ``delay`` bound it.
+    value. Rows move to their digest's state, so this suits rows without long texts; whole
+    documents take :func:`write_deduplicated`. State keeps every digest unless ``event_time``
+    and ``delay`` bound it.
     """
-    keyed = stream.withColumn("digest", digest(text_or_none(F.col(key or text_key(stream)))))
-    thinned = keyed.mapInArrow(_first_per_digest, keyed.schema)
+    keyed = _with_digest(stream, key)
     if event_time and delay:
-        return thinned.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["digest"])
-    return thinned.dropDuplicates(["digest"])
+        return keyed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["digest"])
+    return keyed.dropDuplicates(["digest"])
+
+
+def _with_digest(rows: DataFrame, key: str | None = None) -> DataFrame:
+    return rows.withColumn("digest", digest(text_or_none(F.col(key or text_key(rows)))))
+
+
+def write_deduplicated(
+    stream: DataFrame,
+    order_col: str,
+    path: str,
+    checkpoint: str,
+    partition_by: tuple[str, ...] = (),
+    event_time: str | None = None,
+    delay: str | None = None,
+) -> StreamingQuery:
+    """Append each normalised text once, with its ``digest``: of a batch's copies the lowest
+    ``order_col``, of an earlier batch's the one already written.
+
+    A batch is thinned by the batch plan: only (digest, order value) pairs are grouped, reduced
+    before their shuffle, and then compared with the digests that are stored. Texts move once,
+    on the order column. ``event_time`` and ``delay`` leave stored rows out that are older than
+    the batch's oldest row by more than the delay. A repeated batch replaces its own folder.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = _with_digest(batch)
+        pairs = fresh.groupBy("digest").agg(F.min(order_col).alias(order_col))
+        if paths.exists(spark, path):
+            schema = f"digest binary, {event_time} timestamp, _batch bigint" if event_time else "digest binary, _batch bigint"
+            seen = spark.read.schema(schema).parquet(path).filter(F.col("_batch") < batch_id)
+            if event_time and delay:
+                oldest = batch.agg(F.min(event_time)).head()[0]
+                if oldest is not None:
+                    seen = seen.filter(F.col(event_time) >= F.lit(oldest) - F.expr(f"interval {delay}"))
+            pairs = pairs.join(seen.select("digest"), "digest", "left_anti")
+        kept = fresh.join(pairs.select(order_col), order_col, "left_semi")
+        kept.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/_batch={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
 
 
 def write_stream(stream: DataFrame, path: str, checkpoint: str, *partition_by: str) -> StreamingQuery:
@@ -94,14 +124,17 @@ def prepare_stream(
     filters: Filters = Filters(),
     split: SplitSpec = SplitSpec(),
     max_files: int = 1000,
+    event_time: str | None = None,
+    delay: str | None = None,
 ) -> StreamingQuery:
     """A landing folder prepared end to end: normalised, filtered, each text once, split.
 
-    Run it again when files have arrived; it takes up where it stopped.
+    Run it again when files have arrived; it takes up where it stopped. Texts are compared with
+    all that were written before, or with ``delay`` only with those of that time.
     """
     rows = read_stream(spark, dataset.path, schema, dataset.format, max_files)
-    kept = deduplicate_stream(preprocess_stream(rows, order_col, method, dataset, filters))
-    return write_stream(split_by_fraction(kept, order_col, split), path, checkpoint, "split")
+    kept = split_by_fraction(preprocess_stream(rows, order_col, method, dataset, filters), order_col, split)
+    return write_deduplicated(kept, order_col, path, checkpoint, ("split",), event_time, delay)
 
 
 def write_capped(stream: DataFrame, order_col: str, cap: int, path: str, checkpoint: str) -> StreamingQuery:

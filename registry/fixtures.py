@@ -17,7 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sft(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    tasks = spark.sparkContext.defaultParallelism  # the table may be a single row group
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), tasks)
 
 
 def pair(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +42,52 @@ def preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.join(rejected, "row_id")
 
 
+COPY_IDS = 1_000_000_000
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def disguised(text: str) -> Column:
+    """The same text in other case and spacing, so that it counts as a duplicate."""
+    swapped = F.translate(text, LETTERS + LETTERS.upper(), LETTERS.upper() + LETTERS)
+    return F.concat(F.lit("  "), F.replace(swapped, F.lit(" "), F.lit("   ")), F.lit("\n"))
+
+
+def with_copies(rows: DataFrame, id_col: str, **changes: Column) -> DataFrame:
+    """Every row again under a new id, with some columns changed."""
+    cells = [changes.get(c, F.col(c)).alias(c) for c in rows.columns if c != id_col]
+    copies = rows.select((F.col(id_col) + COPY_IDS).alias(id_col), *cells)
+    return rows.unionByName(copies.select(*rows.columns))
+
+
+def copied_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_copies(pair(spark, sf_dir), "row_id", prompt=disguised("prompt"), response=disguised("response"))
+
+
+def copied_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies with a disguised prompt and the answers swapped."""
+    rows = preference(spark, sf_dir)
+    return with_copies(rows, "row_id", prompt=disguised("prompt"), chosen=F.col("rejected"), rejected=F.col("chosen"))
+
+
+def short_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat_ws(" ", "c_name", "c_mktsegment")
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("bigint").alias("c_custkey"), text.alias("text"))
+    return with_copies(rows, "c_custkey", text=disguised("text"))
+
+
+def mixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON: ``wide`` is an integer first and a fraction later, ``kinds`` also text."""
+    half = (F.col("n_chars") / 2).cast("string")
+    whole = F.col("n_chars").cast("string")
+    wide = F.when(F.col("doc_id") % 3 == 1, half).otherwise(whole)
+    kinds = F.when(F.col("doc_id") % 5 == 2, F.concat(F.lit('"'), "lang", F.lit('"'))).otherwise(wide)
+    odd = F.when(F.col("doc_id") % 2 == 1, F.concat(F.lit(',"odd_source":"'), "source", F.lit('"'))).otherwise("")
+    record = F.concat(
+        F.lit('{"doc_id":'), F.col("doc_id").cast("string"), F.lit(',"wide":'), wide, F.lit(',"kinds":'), kinds, odd, F.lit("}")
+    )
+    return table(spark, sf_dir, "documents").select("doc_id", record.alias("record"))
+
+
 def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("seed"))
     return with_position(items, "item_id", "idx").select("idx", "seed")

@@ -69,6 +69,22 @@ PAIR = """
 PREFERENCE = f"""
     select p.row_id, p.prompt, p.response as chosen, r.text as rejected
     from ({PAIR}) p join conversations r on r.conv_id * 1000 + r.turn - 3 = p.row_id and r.role = 'assistant'"""
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+
+
+def disguised(c: str) -> str:
+    return f"'  ' || replace(translate({c}, '{LOWER}{LOWER.upper()}', '{LOWER.upper()}{LOWER}'), ' ', '   ') || chr(10)"
+
+
+PAIRS = f"""
+    select * from ({PAIR}) union all
+    select row_id + 1000000000, {disguised('prompt')}, {disguised('response')} from ({PAIR})"""
+PREFERENCES = f"""
+    select * from ({PREFERENCE}) union all
+    select row_id + 1000000000, {disguised('prompt')}, rejected, chosen from ({PREFERENCE})"""
+SHORT = f"""
+    with c as (select c_custkey::bigint as c_custkey, c_name || ' ' || c_mktsegment as text from customer)
+    select * from c union all select c_custkey + 1000000000, {disguised('text')} from c"""
 OUTPUTS = """
     select conv_id * 1000 + turn as id,
            case when (conv_id * 1000 + turn) % 3 = 0 then 'Response: ' || text else text end as output
@@ -98,6 +114,7 @@ def kept(source: str, id_col: str, texts: list[str], key: str, low: int = 10, hi
 
 SFT_KEPT = kept(DOCS, "doc_id", ["text"], "text")
 MERGED = f"select row_id, prompt || chr(10) || response as text from ({PAIR})"
+MERGED_PAIRS = f"select row_id, prompt || chr(10) || response as text from ({PAIRS})"
 SFT_SPLIT = split(SFT_KEPT, "doc_id", "doc_id, text")
 SINGLE = f"""
     select id, 'Instruction: ' || sha256(p) || chr(10) || 'Response: ok' as text, length(p) as tokens
@@ -144,14 +161,14 @@ ORACLES: dict[str, str] = {
         kept(DOCS, "doc_id", ["text"], "text", 200, 3000, 0.9), "doc_id", "doc_id", 0.8, 7
     ),
     "preprocess_dpo": split(
-        kept(PREFERENCE, "row_id", ["prompt", "chosen", "rejected"], "prompt"),
+        kept(PREFERENCES, "row_id", ["prompt", "chosen", "rejected"], "prompt", 80, 320),
         "row_id",
         "row_id, prompt, chosen, rejected",
     ),
-    "preprocess_pairs": split(kept(MERGED, "row_id", ["text"], "text"), "row_id", "row_id, text"),
+    "preprocess_pairs": split(kept(MERGED_PAIRS, "row_id", ["text"], "text", 80, 320), "row_id", "row_id, text"),
     "preprocess_files": split(SFT_KEPT, "doc_id", "doc_id"),
     "preprocess_short_rows": split(
-        kept("select c_custkey, c_name || ' ' || c_mktsegment as text from customer", "c_custkey", ["text"], "text"),
+        kept(SHORT, "c_custkey", ["text"], "text", 28),
         "c_custkey",
         "c_custkey, text",
     ),
@@ -160,7 +177,7 @@ ORACLES: dict[str, str] = {
     "normalize_dpo": PREFERENCE,
     "normalize_text": f"select doc_id, {norm('text')} as normalized, len({words('text')})::integer as n_words from documents",
     "rename_columns": f"select row_id, prompt as question, response as answer from ({PAIR})",
-    "map_rows": f"select doc_id, len({words('text')})::integer as n_words, substr(text, 1, 20) as head from documents",
+    "map_rows": f"select doc_id, len({words('text')})::integer as n_words, sha256(text) as digest from documents",
     "map_rows_callable": "select doc_id, length(text) as n_code_points from documents",
     "filter_rows": "select doc_id, source, n_chars from documents where lang = 'en'",
     "filter_rows_callable": "select doc_id from documents where regexp_matches(text, '[0-9]')",
@@ -170,8 +187,8 @@ ORACLES: dict[str, str] = {
     "filter_dpo": f"select row_id from ({PREFERENCE}) where "
     + " and ".join(passes(c, 60, 4096, 0.6) for c in ("prompt", "chosen", "rejected")),
     "dedup_text": f"{DOCS} where doc_id in (select min(doc_id) from documents group by sha256({norm('text')}))",
-    "dedup_prompt": f"""select row_id, prompt from ({PREFERENCE}) where row_id in
-        (select min(row_id) from ({PREFERENCE}) group by sha256({norm('prompt')}))""",
+    "dedup_prompt": f"""select row_id, prompt from ({PREFERENCES}) where row_id in
+        (select min(row_id) from ({PREFERENCES}) group by sha256({norm('prompt')}))""",
     "row_position": "select doc_id, lang, row_number() over (order by doc_id) - 1 as position from documents",
     "batch_assign": """select doc_id, position, floor(position / 256)::bigint as batch
         from (select doc_id, row_number() over (order by doc_id) - 1 as position from documents)""",
@@ -202,13 +219,17 @@ ORACLES: dict[str, str] = {
     "from_columns": """select vec_id, (position - 1)::integer as position, embedding[position]::double as component,
         embedding[position]::double * embedding[position]::double as square
         from (select vec_id, embedding, unnest(range(1, len(embedding) + 1)) as position from embeddings)""",
-    "from_records_first_row_schema": """select doc_id, n_chars, case when doc_id % 2 = 0 then lang end as lang
-        from documents""",
+    "from_records_first_row_schema": """
+        with d as (select doc_id, lang, case when doc_id % 3 = 1 then n_chars / 2.0::double else n_chars::double end as wide,
+                          case when doc_id % 3 = 1 then (n_chars / 2.0::double)::varchar else n_chars::varchar end as printed
+                   from documents)
+        select doc_id, wide, case when doc_id % 5 = 2 then lang else printed end as kinds from d""",
     "count_parquet": "select count(*) as n_rows from lineitem",
     "count_jsonl": "select count(*) as n_rows from documents",
     "count_csv": "select count(*) as n_rows from documents",
     "cache_roundtrip": SFT_SPLIT,
     "prepare_cached": f"select doc_id, lang, split from ({split(kept('select * from documents', 'doc_id', ['text'], 'text'), 'doc_id', '*')})",
+    "prepare_refreshed": f"select doc_id, lang, split from ({split(kept('select * from documents', 'doc_id', ['text'], 'text'), 'doc_id', '*')})",
     "trainer_export": f"select {strip('text')} as text, split from ({SFT_SPLIT}) where {strip('text')} <> ''",
     "columnar_handoff": SFT_SPLIT,
     "cache_key": """select source, lang, substr(sha256('{"dataset":{"format":"jsonl","path":"' || source || '/' || lang
@@ -277,7 +298,8 @@ ORACLES: dict[str, str] = {
     "tokenize_callable": """select doc_id, least(length(text), 64)::integer as n_tokens,
         list_sum(list_transform(range(1, least(length(text), 64) + 1), lambda i: ord(substr(text, i, 1))))::integer as id_sum
         from documents""",
-    "runs_list": f"select run_id, run_name, status, created_at, config from ({RUNS})",
+    "runs_list": f"""select run_id, run_name, case status when 'training' then 'failed' else status end as status,
+        created_at, config from ({RUNS})""",
     "runs_lookup": f"select run_id, run_name, status, created_at from ({RUNS}) where run_id = 'run-7'",
     "runs_latest_state": f"""
         with s as (
@@ -291,10 +313,12 @@ ORACLES: dict[str, str] = {
             select *, row_number() over (partition by run_id order by updated_at desc, global_step desc, status desc) as n
             from s) where n = 1""",
     "runs_update": f"""
-        with u as (select 'run-' || l_orderkey as run_id, (max(l_linenumber) * 100)::bigint as step,
-                          strftime(max(l_shipdate), {ISO}) as changed from lineitem group by l_orderkey)
-        select run_id, run_name, 'completed' as status, step as global_step, changed as updated_at, created_at
-        from ({RUNS}) join u using (run_id)""",
+        with u as (select 'run-' || l_orderkey as run_id, l_linenumber::bigint as n,
+                          strftime(l_shipdate, '%Y-%m-%d') || 'T' || l_linenumber as changed from lineitem),
+        last as (select * from (select *, row_number() over (partition by run_id order by changed desc) as k from u) where k = 1)
+        select r.run_id, run_name, 'completed' as status, n * 100 as global_step, changed as updated_at, created_at,
+               case when n % 2 = 0 then 'step-' || n end as checkpoint_path
+        from ({RUNS}) r join last using (run_id)""",
     "latest_checkpoint": f"""
         with c as (select 'run-' || l_orderkey as run_id, (max(l_linenumber) * 100)::bigint as step from lineitem
                    where l_returnflag <> 'R' group by l_orderkey)
@@ -309,6 +333,8 @@ ORACLES: dict[str, str] = {
             '{"data":{"seed":' || (o_custkey + 1) || ',"train_split":0.9},"method":"sft","priority":"' || o_orderpriority || '"}' as b
             from orders where o_orderstatus = 'F')
         select run_id, substr(sha256(a), 1, 16) as original_hash, substr(sha256(b), 1, 16) as new_hash from k""",
+    "artifact_inventory": """select n_nationkey, strlen(n_name) + 1 as size, sha256(n_name || chr(10)) as sha256,
+        n_name || chr(10) as sample from nation""",
     "artifact_pages": """select 'pages/' || page_id || '.html' as path, strlen(html) as size, sha256(html) as sha256,
         lower(hex(encode(html)))[1:1024] as sample from pages""",
     "artifact_modes": """
@@ -318,13 +344,16 @@ ORACLES: dict[str, str] = {
                case when not large then base64(encode(html)) end as content
         from (select *, contains(url, '/en/') as large from pages where contains(url, '/en/') or not contains(url, '/de/'))""",
     "artifact_parts": """
-        with p as (select doc_id, source, unnest(range(1, ceil(n_chars / 1000)::bigint + 1)) as n from documents where n_chars > 0)
-        select doc_id, count(*)::integer as n_parts, string_agg(source || '/' || n, ' ' order by n) as parts
-        from p group by doc_id""",
+        with p as (select doc_id, source, unnest(range(1, ceil(n_chars / 1000)::bigint + 1)) as n from documents),
+        s as (select doc_id, count(*)::integer as n_parts, string_agg(source || '/' || n, ' ' order by n) as parts
+              from p group by doc_id)
+        select doc_id, coalesce(n_parts, 0)::integer as n_parts, coalesce(parts, '') as parts
+        from documents left join s using (doc_id)""",
     "stream_preprocess": f"select doc_id, text from documents where {passes('text', 10, 4096, 0.0)}",
     "stream_dedup": f"select distinct sha256({norm('text')}) as digest from documents where {passes('text', 10, 4096, 0.0)}",
     "stream_prepared": f"select distinct sha256({norm('text')}) as digest from documents where {passes('text', 10, 4096, 0.0)}",
     "stream_split": """select doc_id, case when ('0x' || substr(sha256('42:' || doc_id::varchar), 1, 8))::bigint / 4294967296.0::double
         < (1 - 0.9::double) then 'validation' else 'train' end as split from documents""",
-    "stream_capped": "select least(600, count(*)) as n_rows, least(600, count(distinct doc_id)) as n_ids from documents",
+    "stream_capped": "select least(600, count(*)) as n_rows, least(600, count(distinct doc_id)) as n_ids, least(600, count(*)) as n_members from documents",
+    "stream_bounded": f"select distinct sha256({norm('props')}) as digest from events",
 }

@@ -32,10 +32,12 @@ from finetide.streaming.preprocess import (
     preprocess_stream,
     read_stream,
     write_capped,
+    write_deduplicated,
     write_stream,
 )
 from registry import fixtures as fx
 
+SHORTER = Filters(min_length=80, max_length=320)
 STRICT = Filters(min_length=200, max_length=3000, min_quality_score=0.9)
 ROW_CAP = 5000
 STREAM_CAP = 600
@@ -64,14 +66,14 @@ def preprocess_sft_strict(spark, d):
 
 @query
 def preprocess_dpo(spark, d):
-    return preprocess(fx.preference(spark, d), "row_id", method="dpo")
+    return preprocess(fx.copied_preference(spark, d), "row_id", method="dpo", filters=SHORTER)
 
 
 @query
 def preprocess_pairs(spark, d):
     """Prompt and response columns merged, then the whole plan."""
     spec = DatasetSpec(path="", prompt_column="prompt", response_column="response")
-    return preprocess(fx.pair(spark, d), "row_id", dataset=spec)
+    return preprocess(fx.copied_pair(spark, d), "row_id", dataset=spec, filters=SHORTER)
 
 
 @query
@@ -84,11 +86,10 @@ def preprocess_files(spark, d):
 
 @query
 def preprocess_short_rows(spark, d):
-    """Short rows from JSONL: one line per customer."""
+    """Short rows from JSONL: two lines per customer, some of them too short."""
     path = scratch_path(spark, "short")
-    text = F.concat_ws(" ", "c_name", "c_mktsegment")
-    sinks.write_jsonl(fx.table(spark, d, "customer").select("c_custkey", text.alias("text")), path)
-    return preprocess_dataset(spark, DatasetSpec(path=path), "c_custkey")
+    sinks.write_jsonl(fx.short_rows(spark, d), path)
+    return preprocess_dataset(spark, DatasetSpec(path=path), "c_custkey", filters=Filters(min_length=28))
 
 
 # Columns, filters, duplicates
@@ -127,7 +128,7 @@ def rename_columns(spark, d):
 @query
 def map_rows(spark, d):
     docs = fx.sft(spark, d)
-    columns = {"n_words": word_count(F.col("text")), "head": F.substring("text", 1, 20)}
+    columns = {"n_words": word_count(F.col("text")), "digest": F.sha2(F.col("text"), 256)}
     return rows.map_columns(docs, columns, remove=["text"])
 
 
@@ -180,7 +181,7 @@ def dedup_text(spark, d):
 
 @query
 def dedup_prompt(spark, d):
-    return deduplicate(fx.preference(spark, d), "row_id").select("row_id", "prompt")
+    return deduplicate(fx.copied_preference(spark, d), "row_id").select("row_id", "prompt")
 
 
 # Positions, splits, samples
@@ -272,7 +273,7 @@ def scan_jsonl(spark, d):
 def scan_csv(spark, d):
     path = scratch_path(spark, "csv")
     sinks.write_csv(fx.table(spark, d, "documents"), path)
-    return files.load(spark, DatasetSpec(path=path, format="csv"))
+    return files.load(spark, DatasetSpec(path=path, format="csv", multiline=True))
 
 
 @query
@@ -312,13 +313,9 @@ def from_columns(spark, d):
 
 @query
 def from_records_first_row_schema(spark, d):
-    """Records in which some keys come and go; the first record says which columns exist."""
-    even = F.col("doc_id") % 2 == 0
-    docs = fx.table(spark, d, "documents").select(
-        "doc_id", "n_chars", F.when(even, F.col("lang")).alias("lang"), F.when(~even, F.col("source")).alias("odd_source")
-    )
-    records = docs.select("doc_id", F.to_json(F.struct(*docs.columns)).alias("record"))
-    return rows.from_records(records, "record", "doc_id")
+    """Records with keys that come and go and values of several kinds; the first record says
+    which columns exist, all of them which types."""
+    return rows.from_records(fx.mixed_records(spark, d), "record", "doc_id")
 
 
 @query
@@ -337,7 +334,7 @@ def count_jsonl(spark, d):
 def count_csv(spark, d):
     path = scratch_path(spark, "csv")
     sinks.write_csv(fx.sft(spark, d), path)
-    return files.count_rows(spark, DatasetSpec(path=path, format="csv"))
+    return files.count_rows(spark, DatasetSpec(path=path, format="csv", multiline=True))
 
 
 def stored_splits(spark: SparkSession, d: str) -> DataFrame:
@@ -361,6 +358,18 @@ def prepare_cached(spark, d):
     return prepare(spark, spec, "doc_id", root).select("doc_id", "lang", "split")
 
 
+@query
+def prepare_refreshed(spark, d):
+    """Prepared from half of a folder, and again when a file with the rest has been added."""
+    source, root = scratch_path(spark, "source"), scratch_path(spark, "prepared")
+    docs = fx.table(spark, d, "documents").select("doc_id", "text", "lang")
+    spec = DatasetSpec(path=source, schema="doc_id bigint, text string, lang string")
+    sinks.write_jsonl(docs.filter("doc_id % 2 = 0"), f"{source}/day=1")
+    prepare(spark, spec, "doc_id", root)
+    sinks.write_jsonl(docs.filter("doc_id % 2 = 1"), f"{source}/day=1", "append")
+    return prepare(spark, spec, "doc_id", root).select("doc_id", "lang", "split")
+
+
 @query
 def trainer_export(spark, d):
     out = scratch_path(spark, "trainer")
@@ -577,7 +586,10 @@ def tokenize_callable(spark, d):
 @query
 def runs_list(spark, d):
     path = scratch_path(spark, "runs")
-    catalog.append_runs(fx.runs(spark, d), path)
+    runs = fx.runs(spark, d)
+    catalog.append_runs(runs, path)
+    late = runs.filter("status = 'training'").select("run_id", F.lit("failed").alias("status"), F.lit("9999").alias("updated_at"))
+    catalog.append_runs(catalog.updated_runs(runs, late), path)
     listed = catalog.list_runs(catalog.read_runs(spark, path))
     return listed.select("run_id", "run_name", "status", "created_at", "config")
 
@@ -594,19 +606,19 @@ def runs_latest_state(spark, d):
 
 @query
 def runs_update(spark, d):
-    """Completed line items update their runs; the column no record has is ignored."""
-    done = fx.table(spark, d, "lineitem").groupBy("l_orderkey").agg(
-        F.max("l_linenumber").cast("bigint").alias("n"), F.max("l_shipdate").alias("shipped")
-    )
-    updates = done.select(
+    """Every line item updates its run, the last shipped counts. Odd items clear the checkpoint;
+    the column no record has is ignored."""
+    number = F.col("l_linenumber").cast("bigint")
+    updates = fx.table(spark, d, "lineitem").select(
         fx.run_name("l_orderkey").alias("run_id"),
         F.lit("completed").alias("status"),
-        (F.col("n") * 100).alias("global_step"),
-        fx.iso("shipped").alias("updated_at"),
+        (number * 100).alias("global_step"),
+        F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T"), number.cast("string")).alias("updated_at"),
+        F.when(number % 2 == 0, F.concat(F.lit("step-"), number.cast("string"))).alias("checkpoint_path"),
         F.lit(1).alias("unknown_field"),
     )
     return catalog.updated_runs(fx.runs(spark, d), updates).select(
-        "run_id", "run_name", "status", "global_step", "updated_at", "created_at"
+        "run_id", "run_name", "status", "global_step", "updated_at", "created_at", "checkpoint_path"
     )
 
 
@@ -631,8 +643,14 @@ def config_drift(spark, d):
 
 @query
 def artifact_inventory(spark, d):
-    """The files of the given tables themselves."""
-    return artifacts.inventory(spark, d).select("path", "size", "sha256", F.octet_length("sample").alias("sample_size"))
+    """Nations as a folder of files each, and what is in them."""
+    root = scratch_path(spark, "nations")
+    nations = fx.table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("value"))
+    nations.repartition("n_nationkey").write.partitionBy("n_nationkey").text(root)
+    files = artifacts.inventory(spark, root)
+    key = F.regexp_extract("path", r"^n_nationkey=(\d+)/part-[^/]*\.txt$", 1)
+    named = files.filter(key != "").select(key.cast("int").alias("n_nationkey"), "size", "sha256", "sample")
+    return named.withColumn("sample", F.decode("sample", "UTF-8"))
 
 
 @query
@@ -647,7 +665,7 @@ def artifact_modes(spark, d):
     pages = fx.page_files(spark, d)
     english, german = F.contains("url", F.lit("/en/")), F.contains("url", F.lit("/de/"))
     modes = pages.select("path", F.when(english, "lfs").when(german, "ignored").alias("mode")).filter("mode is not null")
-    return artifacts.upload_plan(pages.select("path", "content"), modes)
+    return artifacts.upload_plan(artifacts.described(pages), modes, pages)
 
 
 @query
@@ -657,8 +675,10 @@ def artifact_parts(spark, d):
     numbers = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(part).cast("int")))
     address = F.transform(numbers, lambda n: F.concat("source", F.lit("/"), n.cast("string")))
     headers = F.map_from_arrays(F.transform(numbers, lambda n: n.cast("string")), address)
-    docs = fx.table(spark, d, "documents").filter("n_chars > 0").select(
-        "doc_id", "n_chars", F.map_concat(headers, F.create_map(F.lit("chunk_size"), F.lit("1000"))).alias("header")
+    header = F.map_concat(headers, F.create_map(F.lit("chunk_size"), F.lit("1000")))
+    empty = F.create_map().cast("map<string,string>")
+    docs = fx.table(spark, d, "documents").select(
+        "doc_id", "n_chars", F.when(F.col("n_chars") > 0, header).otherwise(empty).alias("header")
     )
     parts = maps.upload_parts(F.col("header"), F.col("n_chars"), 1000)
     return docs.select("doc_id", F.size(parts).alias("n_parts"), F.array_join(parts, " ").alias("parts"))
@@ -687,8 +707,9 @@ def stream_preprocess(spark, d):
 
 @query
 def stream_dedup(spark, d):
-    kept = drained(spark, deduplicate_stream(preprocess_stream(landing(spark, d), "doc_id")))
-    return kept.select(F.lower(F.hex("digest")).alias("digest"))
+    out, progress = scratch_path(spark, "stream"), scratch_path(spark, "progress")
+    write_deduplicated(preprocess_stream(landing(spark, d), "doc_id"), "doc_id", out, progress).awaitTermination()
+    return spark.read.parquet(out).select(F.lower(F.hex("digest")).alias("digest"))
 
 
 @query
@@ -711,4 +732,18 @@ def stream_prepared(spark, d):
 def stream_capped(spark, d):
     out = scratch_path(spark, "stream")
     write_capped(landing(spark, d), "doc_id", STREAM_CAP, out, scratch_path(spark, "progress")).awaitTermination()
-    return spark.read.parquet(out).agg(F.count("*").alias("n_rows"), F.count_distinct("doc_id").alias("n_ids"))
+    kept = spark.read.parquet(out).select("doc_id", "text")
+    known = kept.join(fx.sft(spark, d), ["doc_id", "text"], "left_semi")
+    counts = kept.agg(F.count("*").alias("n_rows"), F.count_distinct("doc_id").alias("n_ids"))
+    return counts.crossJoin(known.agg(F.count("*").alias("n_members")))  # one row each
+
+
+@query
+def stream_bounded(spark, d):
+    """Properties of events, each once within a bound that no event exceeds."""
+    path = scratch_path(spark, "landing")
+    events = fx.table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.col("props").alias("text"))
+    events.repartition(4).write.parquet(path)
+    stream = read_stream(spark, path, "ts timestamp, text string", "parquet", max_files=2)
+    kept = drained(spark, deduplicate_stream(stream, event_time="ts", delay="40000 days"))
+    return kept.select(F.lower(F.hex("digest")).alias("digest"))

@@ -131,3 +131,18 @@ def test_evaluating_a_run_adds_to_its_metrics(spark, tmp_path):
     assert metrics["eval_instruction_following_passed"] == 1.0 and states["b"]["metrics"] == {}
     with pytest.raises(DataError, match="not found"):
         evaluate_run(spark, path, "zzz", texts, "id", names, score, write, str(tmp_path / "no"))
+
+
+def test_updates_clear_fields_and_the_latest_counts(spark):
+    current = frame(spark, {**record("a"), "error": "boom"}, record("b"))
+    updates = spark.createDataFrame(
+        [("a", "training", "2030-01-01", None), ("a", "completed", "2030-01-02", None), ("b", "failed", "2030-01-01", "late")],
+        "run_id string, status string, updated_at string, error string",
+    )
+    rows = {r["run_id"]: r for r in cat.updated_runs(current, updates).collect()}
+    assert rows["a"]["status"] == "completed" and rows["a"]["error"] is None and rows["b"]["error"] == "late"
+    states = current.unionByName(cat.updated_runs(current, updates))
+    assert cat.list_runs(states).count() == 2
+    assert cat.find_run(states, "a").collect()[0]["status"] == "completed"
+    with pytest.raises(PySparkException, match="run not found"):
+        cat.updated_runs(current, spark.createDataFrame([("zz", "failed")], "run_id string, status string")).collect()

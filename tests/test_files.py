@@ -49,9 +49,9 @@ def test_jsonl_malformed_line_fails(spark, tmp_path):
 def test_csv_edges(spark, tmp_path):
     text = 'id,text\n1,"two\nlines"\n2,"a ""quoted"" word"\n3,\n4\n5,x,extra\n\n6,"  kept  "\n'
     path = put(tmp_path, "a.csv", text)
-    rows = {r["id"]: r["text"] for r in files.read_csv(spark, path).collect()}
+    rows = {r["id"]: r["text"] for r in files.read_csv(spark, path, multiline=True).collect()}
     assert rows == {"1": "two\nlines", "2": 'a "quoted" word', "3": "", "4": "", "5": "x", "6": "  kept  "}
-    assert files.count_rows(spark, DatasetSpec(path=path, format="csv")).collect() == [(6,)]
+    assert files.count_rows(spark, DatasetSpec(path=path, format="csv", multiline=True)).collect() == [(6,)]
 
 
 def test_csv_roundtrip_keeps_any_text(spark, tmp_path):
@@ -59,7 +59,7 @@ def test_csv_roundtrip_keeps_any_text(spark, tmp_path):
     df = spark.createDataFrame(list(enumerate(values)), "id int, text string")
     path = str(tmp_path / "t.csv")
     sinks.write_csv(df, path)
-    assert {int(r["id"]): r["text"] for r in files.read_csv(spark, path).collect()} == dict(enumerate(values))
+    assert {int(r["id"]): r["text"] for r in files.read_csv(spark, path, multiline=True).collect()} == dict(enumerate(values))
 
 
 def test_candidates_in_order(spark, tmp_path):
@@ -223,7 +223,7 @@ def test_inventory_sees_every_file(spark, tmp_path, monkeypatch):
 def test_upload_modes(spark):
     data = spark.createDataFrame([(n, bytearray(b"x" * 100)) for n in "abc"], "path string, content binary")
     modes = spark.createDataFrame([("a", "lfs"), ("b", "ignored")], "path string, mode string")
-    rows = {r["path"]: r for r in artifacts.upload_plan(data, modes).collect()}
+    rows = {r["path"]: r for r in artifacts.upload_plan(artifacts.described(data), modes, data).collect()}
     assert set(rows) == {"a", "c"}
     assert rows["a"]["key"] == "lfsFile" and rows["a"]["size"] == 100 and rows["a"]["content"] is None
     assert rows["c"]["mode"] == "regular" and "\n" not in rows["c"]["content"]
@@ -239,11 +239,11 @@ def test_prepare_runs_the_plan_once_per_content(spark, tmp_path, monkeypatch):
     path = put(tmp_path, "a.jsonl", "\n".join(map(json.dumps, rows)))
     spec, root = DatasetSpec(path=path), str(tmp_path / "cache")
 
-    assert pr.plan_dataset(spark, spec, root, batch_size=3).collect()[0]["data_cache_hit"] is False
+    assert pr.plan_dataset(spark, spec, root, order_col="id", batch_size=3).collect()[0]["data_cache_hit"] is False
     assert pr.prepare(spark, spec, "id", root).count() == 30
     assert pr.prepare(spark, spec, "id", root).count() == 30
     assert len(runs) == 1
-    plan = pr.plan_dataset(spark, spec, root, batch_size=3).collect()[0]
+    plan = pr.plan_dataset(spark, spec, root, order_col="id", batch_size=3).collect()[0]
     assert plan["data_cache_hit"] is True and plan["estimated_steps"] == 10
     os.utime(path, (1, 1))
     assert pr.prepare(spark, spec, "id", root).count() == 30
@@ -251,6 +251,27 @@ def test_prepare_runs_the_plan_once_per_content(spark, tmp_path, monkeypatch):
     assert len(runs) == 3
 
 
+def test_prepare_follows_the_leaf_files_of_a_folder(spark, tmp_path):
+    from finetide.plans import prepare as pr
+
+    def write(name, ids):
+        rows = [{"id": i, "text": f"text number {i} is long enough"} for i in ids]
+        return put(tmp_path, name, "\n".join(map(json.dumps, rows)))
+
+    write("src/day=1/a.jsonl", range(10))
+    spec, root = DatasetSpec(path=str(tmp_path / "src"), schema="id bigint, text string"), str(tmp_path / "cache")
+    count = lambda: pr.prepare(spark, spec, "id", root).count()
+    assert count() == 10
+    added = write("src/day=1/b.jsonl", range(10, 15))
+    assert count() == 15
+    write("src/day=1/b.jsonl", range(10, 12))
+    assert count() == 12
+    os.remove(added)
+    assert count() == 10
+    keys = {data_cache_key(spark, spec, "sft", order_col=c) for c in ("id", "text", None)}
+    assert len(keys) == 3
+
+
 def test_columns_of_untyped_nulls_are_stored_as_strings(spark, tmp_path):
     df = split_exact(spark.range(4).withColumn("nothing", F.lit(None)), "id")
     cache = str(tmp_path / "nulls")

@@ -47,10 +47,11 @@ def test_main_plan(shuffled, quality):
     assert set(re.findall(r"hashpartitioning\((\w+)#", text)) == {"doc_id", "_digest", "prefix"}
     # With all build partitions small the join needs no sort.
     assert "ShuffledHashJoin" in text
-    # A single task sees counts per prefix, never rows.
+    # A single task sees counts per prefix, never rows; of bad order values it sees one per task.
     lines = text.splitlines()
     below = [lines[n + 1] for n, line in enumerate(lines) if "SinglePartition" in line]
-    assert below and all("HashAggregate(keys=[prefix" in line and "count(1)" in line for line in below)
+    counts = [line for line in below if "LocalLimit 1" not in line]
+    assert counts and all("HashAggregate(keys=[prefix" in line and "count(1)" in line for line in counts)
 
 
 def test_bucketed_source_needs_no_shuffle_of_texts(shuffled, tmp_path):
@@ -63,9 +64,8 @@ def test_bucketed_source_needs_no_shuffle_of_texts(shuffled, tmp_path):
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in text
     on_id = [line for line in text.split("\n") if "hashpartitioning(doc_id" in line]
-    initial = text.rsplit("== Initial Plan ==", 1)[-1]
-    assert initial.count("hashpartitioning(doc_id") == 1 and on_id
-    assert f", {buckets})" in on_id[0]
+    # Order values are checked in their buckets; kept ids move to theirs.
+    assert on_id and all(f", {buckets})" in line for line in on_id)
     shuffled.sql("drop table bucketed_docs")
 
 

@@ -58,10 +58,8 @@ def test_fraction_split_is_near_the_ratio(spark):
     assert abs(n - 2000) < 200
 
 
-@pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("limit", [1, 7, 999, 2500])
-def test_sample_is_the_lowest_ranks_of_non_blank_texts(spark, limit, small, monkeypatch):
-    monkeypatch.setattr(sp, "is_small", lambda df: small)
+def test_sample_is_the_lowest_ranks_of_non_blank_texts(spark, limit):
     df = spark.range(2000).select("id", F.when(F.col("id") % 5 == 0, " 　").otherwise("t").alias("text"))
     want = sorted((i for i in range(2000) if i % 5), key=lambda i: (key(42, i), i))[:limit]
     assert sorted(r["id"] for r in sp.sample_texts(df, "id", limit).collect()) == sorted(want)
@@ -101,15 +99,37 @@ def test_batches(spark):
     assert sorted(r["batch"] for r in df.collect()) == [0] * 4 + [1] * 4 + [2] * 2
 
 
-def test_row_cap_by_both_plans(spark, monkeypatch):
-    df = spark.range(100).select((99 - F.col("id")).alias("k"))
-    for small in (True, False):
-        monkeypatch.setattr(pos, "is_small", lambda df, small=small: small)
-        assert sorted(r["k"] for r in pos.cap_rows(df, "k", 25).collect()) == list(range(25))
-        assert pos.cap_rows(df, "k", 500).count() == 100
+@pytest.mark.parametrize("ranked", [1, 100_000])
+def test_row_cap_by_numbers_and_by_names(spark, monkeypatch, ranked):
+    monkeypatch.setattr(pos, "RANKED_ROWS", ranked)
+    monkeypatch.setattr(pos, "RANGES", 4)
+    df = spark.range(100).select((F.lit(99) - F.col("id")).alias("k"))
+    df = df.withColumn("name", F.format_string("%03d", "k"))
+    for cap in (1, 25, 99):
+        assert sorted(r["k"] for r in pos.cap_rows(df, "k", cap).collect()) == list(range(cap))
+        assert sorted(r["k"] for r in pos.cap_rows(df, "name", cap).collect()) == list(range(cap))
+    assert pos.cap_rows(df, "k", 500).count() == 100
     assert pos.cap_rows(df.limit(0), "k", 5).count() == 0
 
 
+def test_null_and_repeated_order_values_fail(spark):
+    from finetide.operators.dedup import deduplicate
+    from finetide.plans.preprocess import preprocess
+
+    null = spark.createDataFrame([(1, "first long text"), (None, "second long text"), (3, "third long text")], "id int, text string")
+    same = spark.createDataFrame([(7, f"long text number {i}") for i in range(10)], "id int, text string")
+    copy = spark.createDataFrame([(7, "the same long text")] * 2 + [(8, "another long text")], "id int, text string")
+    for df in (null, same):
+        for plan in (sp.split_exact, lambda d, c: sp.sample_texts(d, c, 2), deduplicate, preprocess):
+            with pytest.raises(Exception, match="null in the order column|repeats"):
+                plan(df, "id").collect()
+    for plan in (deduplicate, preprocess):
+        with pytest.raises(Exception, match="repeats"):
+            plan(copy, "id").collect()
+    with pytest.raises(Exception, match="null in the order column"):
+        pos.cap_rows(null, "id", 2).collect()
+
+
 def test_fingerprint_ignores_order_and_sees_everything_else(spark):
     def of(rows, schema="a string, b string, split string"):
         return content_fingerprint(spark.createDataFrame(rows, schema)).collect()[0]["fingerprint"]

@@ -62,12 +62,36 @@ def test_bounded_state(spark, tmp_path):
     assert drain(spark, stream, tmp_path).count() == deduplicate(rows(spark), "id").count()
 
 
-def test_repeats_are_dropped_before_the_shuffle():
-    import pyarrow as pa
+def test_written_once_over_batches_and_restarts(spark, tmp_path):
+    path, out, progress = landing(spark, tmp_path, rows(spark).filter("id < 300")), str(tmp_path / "out"), str(tmp_path / "p")
 
-    batch = pa.record_batch({"id": [1, 2, 3, 4], "digest": [b"x", b"x", b"y", b"x"]})
-    out = pa.Table.from_batches(st._first_per_digest(iter([batch])))
-    assert sorted(out["id"].to_pylist()) == [1, 3]
+    def run():
+        stream = st.read_stream(spark, path, SCHEMA, max_files=2)
+        st.write_deduplicated(stream, "id", out, progress).awaitTermination()
+        return spark.read.parquet(out)
+
+    first = run().count()
+    landing(spark, tmp_path, rows(spark).filter("id >= 300"))
+    got = run()
+    want = {bytes(r[0]) for r in deduplicate(rows(spark), "id").select(digest(F.col("text"))).collect()}
+    digests = [bytes(r["digest"]) for r in got.select("digest").collect()]
+    assert len(digests) == len(want) > first and set(digests) == want
+
+
+def test_written_once_within_a_delay(spark, tmp_path):
+    hours = lambda n: F.timestamp_seconds(F.lit(n * 3600))
+    out, progress = str(tmp_path / "out"), str(tmp_path / "p")
+    for hour in (0, 1, 9):
+        path = landing(spark, tmp_path, spark.range(1).select(F.lit(hour).alias("id"), F.lit("one text").alias("text"), hours(hour).alias("ts")), 1)
+        stream = st.read_stream(spark, path, SCHEMA + ", ts timestamp")
+        st.write_deduplicated(stream, "id", out, progress, (), "ts", "2 hours").awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [0, 9]
+
+
+def test_no_python_in_the_stream_plan(spark, tmp_path):
+    path = landing(spark, tmp_path, rows(spark))
+    stream = st.deduplicate_stream(st.preprocess_stream(st.read_stream(spark, path, SCHEMA), "id"))
+    assert "Python" not in stream._jdf.queryExecution().analyzed().toString()
 
 
 def test_preprocess_and_split(spark, tmp_path):
@@ -84,7 +108,7 @@ def test_prepared_end_to_end(spark, tmp_path):
     st.prepare_stream(spark, spec, "id bigint, body string", "id", out, progress).awaitTermination()
     got = spark.read.parquet(out)
     assert got.count() == deduplicate(rows(spark), "id").count()
-    assert set(got.columns) == {"id", "text", "digest", "split"}
+    assert set(got.columns) == {"id", "text", "digest", "split", "_batch"}
 
 
 def test_cap_over_batches(spark, tmp_path):

@@ -27,3 +27,12 @@ def test_query_equals_sql(spark, duck, name):
     columns = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(columns)
     assert canonical([tuple(r) for r in df.collect()], df.columns) == canonical(result.fetchall(), columns)
+
+
+@pytest.mark.parametrize("name", ["dedup_prompt", "preprocess_dpo", "preprocess_pairs", "preprocess_short_rows"])
+def test_operators_have_something_to_drop(spark, name):
+    from registry import fixtures as fx
+
+    source = {"preprocess_pairs": fx.copied_pair, "preprocess_short_rows": fx.short_rows}.get(name, fx.copied_preference)
+    before, after = source(spark, DATA).count(), QUERIES[name](spark, DATA).count()
+    assert 0 < after < before

@@ -161,11 +161,11 @@ ORACLES: dict[str, str] = {
         kept(DOCS, "doc_id", ["text"], "text", 200, 3000, 0.9), "doc_id", "doc_id", 0.8, 7
     ),
     "preprocess_dpo": split(
-        kept(PREFERENCES, "row_id", ["prompt", "chosen", "rejected"], "prompt", 80, 320),
+        kept(PREFERENCES, "row_id", ["prompt", "chosen", "rejected"], "prompt", 60, 1600),
         "row_id",
         "row_id, prompt, chosen, rejected",
     ),
-    "preprocess_pairs": split(kept(MERGED_PAIRS, "row_id", ["text"], "text", 80, 320), "row_id", "row_id, text"),
+    "preprocess_pairs": split(kept(MERGED_PAIRS, "row_id", ["text"], "text", 60, 1600), "row_id", "row_id, text"),
     "preprocess_files": split(SFT_KEPT, "doc_id", "doc_id"),
     "preprocess_short_rows": split(
         kept(SHORT, "c_custkey", ["text"], "text", 28),

@@ -37,7 +37,7 @@ from finetide.streaming.preprocess import (
 )
 from registry import fixtures as fx
 
-SHORTER = Filters(min_length=80, max_length=320)
+SHORTER = Filters(min_length=60, max_length=1600)
 STRICT = Filters(min_length=200, max_length=3000, min_quality_score=0.9)
 ROW_CAP = 5000
 STREAM_CAP = 600

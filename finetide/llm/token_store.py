@@ -28,6 +28,8 @@ END_ID = 2
 REMEMBERED = 400_000
 LEARNED = 1000
 TEXTS = 200
+#: Marks that a unit may end with.
+MARKS = ".,;:!?#$%&*|"
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.bloom.filter.columns": "doc_id",
@@ -42,41 +44,15 @@ ORC_OPTIONS = {
 _OTHER_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
-class Memory:
-    """Ids of words as bytes. Of two generations the older one is forgotten when the newer is
-    full, so words in use stay."""
-
-    def __init__(self, tokenizer, before: str, line_id: int) -> None:
-        self.tokenizer, self.before, self.line_id = tokenizer, before, line_id
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def of(self, words: set[str]) -> dict[str, bytes]:
-        """The memory, holding all of ``words``."""
-        if len(self.known) >= REMEMBERED:
-            self.old, self.known = self.known, {}
-        new = words.difference(self.known)
-        kept = new.intersection(self.old)
-        self.known.update((w, self.old[w]) for w in kept)
-        order = list(new - kept)
-        for i in range(0, len(order), LEARNED):
-            part = order[i : i + LEARNED]
-            # A line end between two words is a token of its own and occurs nowhere else.
-            joined = "\n".join([self.before + w for w in part])
-            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.line_id)
-            raw = ids.tobytes()
-            starts, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(raw)]
-            self.known.update(zip(part, [raw[a:b] for a, b in zip(starts, ends, strict=True)], strict=True))
-        return self.known
-
-
 class Encoder:
     """A tokenizer that remembers words.
 
     The byte-level pre-tokenizer cuts before a space and around a line end that stand alone, so
-    where those are the only white space a text's ids are those of its words, each with the space
-    before it, and of its line ends. Other texts are encoded whole.
+    where those are the only white space a text's ids are those of its units: a word with the
+    space before it, or one with the line end before it. It also cuts between a letter and the
+    marks behind it, so a new unit's word and marks are encoded apart. Other texts are encoded
+    whole. Of two generations of units the older is forgotten when the newer is full, so units in
+    use stay.
     """
 
     def __init__(self, path: str) -> None:
@@ -85,27 +61,51 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.line_end = self.ids("\n")
-        line_id = int(np.frombuffer(self.line_end, dtype="<u4")[0])
-        self.heads, self.words = (Memory(self.tokenizer, before, line_id) for before in ("", " "))
+        self.line_id = int(np.frombuffer(self.line_end, dtype="<u4")[0])
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
+    def _learn(self, units: set[str]) -> None:
+        """Puts ``units`` in memory. A unit starts with a line end, or stands for one after a space."""
+        if len(self.known) >= REMEMBERED:
+            self.old, self.known = self.known, {}
+        new = units.difference(self.known)
+        old = self.old  # far larger than ``new``: looked up, not run through
+        self.known.update({u: old[u] for u in new if u in old})
+        new = [u for u in new if u not in old]
+        cores = {u: (c if (c := u.rstrip(MARKS)) and c[-1].isalpha() else u) for u in new}
+        order = [c for c in set(cores.values()) if c not in self.known]
+        for i in range(0, len(order), LEARNED):
+            part = order[i : i + LEARNED]
+            # A line end between two words is a token of its own and occurs nowhere else.
+            joined = "\n".join([c[1:] if c[:1] == "\n" else " " + c for c in part])
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(ids == self.line_id)
+            raw = ids.tobytes()
+            starts, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(raw)]
+            for core, a, b in zip(part, starts, ends, strict=True):
+                self.known[core] = self.line_end + raw[a:b] if core[:1] == "\n" else raw[a:b]
+        for unit, core in cores.items():
+            if unit != core:
+                tail = unit[len(core) :]
+                if tail not in self.marks:
+                    self.marks[tail] = self.ids(tail)
+                self.known[unit] = self.known[core] + self.marks[tail]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [[line.split(" ") for line in t.split("\n")] if _plain(t) else None for t in texts]
-        heads, words = set(), set()
-        for lines in split:
-            for line in lines or ():
-                heads.add(line[0])
-                words.update(line[1:])
-        head, word = self.heads.of(heads).__getitem__, self.words.of(words).__getitem__
-        out = []
-        for text, lines in zip(texts, split, strict=True):
-            if lines is None:
-                out.append(self.ids(text))
-            else:
-                out.append(self.line_end.join([head(line[0]) + b"".join(map(word, line[1:])) for line in lines]))
-        return out
+        split = [("\n" + t).replace("\n", " \n").split(" ")[1:] if _plain(t) else None for t in texts]
+        units: set[str] = set()
+        for own in split:
+            if own:
+                units.update(own)
+        self._learn(units)
+        get = self.known.__getitem__
+        skip = len(self.line_end)
+        return [self.ids(t) if own is None else b"".join(map(get, own))[skip:] for t, own in zip(texts, split, strict=True)]
 
 
 def _plain(text: str) -> bool:

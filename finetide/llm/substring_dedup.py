@@ -26,6 +26,10 @@ from finetide.llm.textcodes import WORD_BYTES, lowered, owner, span_hashes, span
 
 #: A run has this many words at least.
 LEAST_WORDS = 25
+#: A sentence of more words is taken in pieces: it is cut behind each word of which the hash ends
+#: in ``CUT_BITS`` zero bits, so that copies of a passage inside long sentences are cut alike.
+LONG_SENTENCE = 24
+CUT_BITS = 3
 _OTHER_BASE = 0xA0761D6478BD642F
 _STOPS = np.zeros(256, dtype=bool)
 _STOPS[[33, 46, 63]] = True
@@ -33,10 +37,11 @@ _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[32, 9, 11, 12, 13]] = True
 
 
-def sentences(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word starts, word ends, first word of each sentence and the end, each text's first sentence, sentence's text).
+def sentences(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(word starts, word hashes, first word of each sentence and the end, each text's first sentence, sentence's text).
 
-    A sentence ends after a stop with white space or the end behind it, and at a line's end.
+    A sentence ends after a stop with white space or the end behind it, and at a line's end; a
+    long one is several pieces, each counted as a sentence.
     """
     starts, ends, first = spans(low, off, WORD_BYTES)
     of = owner(first)
@@ -49,14 +54,19 @@ def sentences(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     new = np.ones(len(starts), dtype=bool)
     if len(starts) > 1:
         new[1:] = (of[1:] != of[:-1]) | (marks[starts[1:]] > marks[ends[:-1]])
+    hashes = span_hashes(low, starts, ends)
+    if len(starts) > 1:
+        number = np.cumsum(new) - 1
+        long = np.bincount(number)[number] > LONG_SENTENCE
+        new[1:] |= long[:-1] & (hashes[:-1] & np.uint64((1 << CUT_BITS) - 1) == 0)
     heads = np.flatnonzero(new)
     text = of[heads]
-    return starts, ends, np.append(heads, len(starts)), np.searchsorted(text, np.arange(len(off))), text
+    return starts, hashes, np.append(heads, len(starts)), np.searchsorted(text, np.arange(len(off))), text
 
 
 def text_runs(low: np.ndarray, off: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
     """(text, first sentence, last sentence, 64-bit hash, 32-bit hash, repeats one before in its text) per run."""
-    starts, ends, heads, first, text = sentences(low, off)
+    starts, words, heads, first, text = sentences(low, off)
     n = len(heads) - 1
     if n <= 0:
         return tuple(np.zeros(0, k) for k in (np.int64, np.int64, np.int64, np.int64, np.int32, bool))
@@ -72,7 +82,6 @@ def text_runs(low: np.ndarray, off: np.ndarray, least: int) -> tuple[np.ndarray,
     same = text[a] == text[b]
     pairs = np.unique(a[same] * n + b[same])
     a, b = pairs // n, pairs % n
-    words = span_hashes(low, starts, ends)
     h = span_hashes(words, left[a], right[b]).view(np.int64)
     g = (span_hashes(words, left[a], right[b], _OTHER_BASE) >> np.uint64(32)).astype(np.uint32).view(np.int32)
     of = text[a]

@@ -21,47 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finetide.llm.store import Stored
-from finetide.llm.textcodes import U64, WORD_BYTES, lowered, mixed, owner, span_hashes, spans, text_parts
+from finetide.llm.textcodes import U64, WORD_BYTES, gram_hashes, lowered, owner, span_hashes, spans, text_parts, winnowed
 
 SPAN = 13
 K = 5
 WINDOW = SPAN - K + 1
 FILTER_BITS = 22
-_STEP = U64(0xC2B2AE3D27D4EB4F)
-
-
-def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """A hash for each k neighbouring word hashes, never 0."""
-    n = len(words) - k + 1
-    if n <= 0:
-        return np.zeros(0, U64)
-    total = np.zeros(n, U64)
-    for j in range(k):
-        total = total * _STEP + words[j : j + n]
-    return mixed(total + U64(k)) | U64(1)
-
-
-def winnowed(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Where a k-gram is the least of a whole window of its own text; ``first``: each text's first word."""
-    n = len(grams) - WINDOW + 1
-    if n <= 0:
-        return np.zeros(len(grams), bool)
-    low, width = grams, 1
-    while 2 * width <= WINDOW:
-        low = np.minimum(low[:-width], low[width:])
-        width *= 2
-    rest = WINDOW - width
-    low = np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
-    of = owner(first)
-    low = np.where(of[:n] == of[SPAN - 1 : SPAN - 1 + n], low, U64(0))
-    pad = np.zeros(WINDOW - 1, U64)
-    high, width = np.concatenate([pad, low, pad]), 1
-    while 2 * width <= WINDOW:
-        high = np.maximum(high[:-width], high[width:])
-        width *= 2
-    rest = WINDOW - width
-    high = np.maximum(high[: len(high) - rest], high[rest:]) if rest else high
-    return high == grams
 
 
 def _items(items: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -97,7 +62,7 @@ def _items(items: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
                     grams, at = gram_hashes(hashes, len(words)), [0]
                 else:
                     grams = gram_hashes(hashes, K)
-                    at = np.flatnonzero(winnowed(grams, np.array([0, len(words)]))).tolist()
+                    at = np.flatnonzero(winnowed(grams, np.array([0, len(words)]), K, WINDOW)).tolist()
                 keys += [sequence] * len(at)
                 fps += [int(x) for x in grams[at].view(np.int64)]
                 places += at
@@ -136,7 +101,7 @@ def _hits(docs: DataFrame, id_col: str, text_col: str, slots: np.ndarray, short:
                         continue
                     passed = sent[(grams >> U64(1)) & mask]
                     # A whole item of K words lies in no window; then every k-gram is looked up.
-                    at = np.flatnonzero(passed & winnowed(grams, first) if length == K and K not in short else passed)
+                    at = np.flatnonzero(passed & winnowed(grams, first, K, WINDOW) if length == K and K not in short else passed)
                     at = at[of[at] == of[at + length - 1]]
                     for p, d in zip(at.tolist(), of[at].tolist(), strict=True):
                         a = max(int(first[d]), p - (SPAN - length) if length == K else p)

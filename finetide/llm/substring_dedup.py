@@ -22,14 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finetide.llm.store import Stored
-from finetide.llm.textcodes import WORD_BYTES, lowered, owner, span_hashes, spans, text_parts
+from finetide.llm.textcodes import WORD_BYTES, gram_hashes, lowered, owner, span_hashes, spans, text_parts, winnowed
 
 #: A run has this many words at least.
 LEAST_WORDS = 25
-#: A sentence of more words is taken in pieces: it is cut behind each word of which the hash ends
-#: in ``CUT_BITS`` zero bits, so that copies of a passage inside long sentences are cut alike.
+#: A sentence of more words is taken in pieces: it is cut before each word pair of the least hash
+#: in a window of so many. Copies of a passage inside long sentences are so cut alike, and no
+#: piece is longer than the window.
 LONG_SENTENCE = 24
-CUT_BITS = 3
+CUT_WINDOW = 12
 _OTHER_BASE = 0xA0761D6478BD642F
 _STOPS = np.zeros(256, dtype=bool)
 _STOPS[[33, 46, 63]] = True
@@ -58,7 +59,8 @@ def sentences(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     if len(starts) > 1:
         number = np.cumsum(new) - 1
         long = np.bincount(number)[number] > LONG_SENTENCE
-        new[1:] |= long[:-1] & (hashes[:-1] & np.uint64((1 << CUT_BITS) - 1) == 0)
+        cuts = winnowed(gram_hashes(hashes, 2), first, 2, CUT_WINDOW)
+        new[:-1] |= long[:-1] & cuts
     heads = np.flatnonzero(new)
     text = of[heads]
     return starts, hashes, np.append(heads, len(starts)), np.searchsorted(text, np.arange(len(off))), text

@@ -27,6 +27,7 @@ WORD_BYTES[128:] = True
 INK_BYTES = np.ones(256, dtype=bool)
 INK_BYTES[[32, 9, 10, 11, 12, 13]] = False
 
+_STEP = U64(0xC2B2AE3D27D4EB4F)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: dict[int, np.ndarray] = {}
 
@@ -118,3 +119,41 @@ def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, dtype=values.dtype if values.dtype.kind == "f" else np.int64)
     np.cumsum(values, out=total[1:])
     return total[first[1:]] - total[first[:-1]]
+
+
+def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    """A hash for each k neighbouring word hashes, never 0."""
+    n = len(words) - k + 1
+    if n <= 0:
+        return np.zeros(0, U64)
+    total = np.zeros(n, U64)
+    for j in range(k):
+        total = total * _STEP + words[j : j + n]
+    return mixed(total + U64(k)) | U64(1)
+
+
+def winnowed(grams: np.ndarray, first: np.ndarray, k: int, window: int) -> np.ndarray:
+    """Where a k-gram is the least of a whole window of its own text; ``first``: each text's first word.
+
+    Every run of ``window`` k-grams inside a text has one.
+    """
+    span = window + k - 1
+    n = len(grams) - window + 1
+    if n <= 0:
+        return np.zeros(len(grams), bool)
+    low, width = grams, 1
+    while 2 * width <= window:
+        low = np.minimum(low[:-width], low[width:])
+        width *= 2
+    rest = window - width
+    low = np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
+    of = owner(first)
+    low = np.where(of[:n] == of[span - 1 : span - 1 + n], low, U64(0))
+    pad = np.zeros(window - 1, U64)
+    high, width = np.concatenate([pad, low, pad]), 1
+    while 2 * width <= window:
+        high = np.maximum(high[:-width], high[width:])
+        width *= 2
+    rest = window - width
+    high = np.maximum(high[: len(high) - rest], high[rest:]) if rest else high
+    return high == grams

@@ -17,9 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finetide.llm.decontaminate import gram_hashes
 from finetide.llm.store import held_out
-from finetide.llm.textcodes import U64, WORD_BYTES, lowered, owner, span_hashes, spans, text_parts
+from finetide.llm.textcodes import U64, WORD_BYTES, gram_hashes, lowered, owner, span_hashes, spans, text_parts
 
 FEATURE_BITS = 20
 THRESHOLD = 0.7

@@ -1,0 +1,328 @@
+"""Each registered query against plain Python over the same whole tables, and held-out accuracy."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+from functools import cache
+
+import numpy as np
+import pytest
+import xxhash
+
+import corpus_pipeline
+from finetide.llm import embedding_dedup, secrets_scan, simhash, substring_dedup
+from finetide.llm.queries import QUERIES, tokenizer_path
+from finetide.session import scratch_path
+
+DATA = "/root/testdata/sf0.001"
+LARGER = "/root/testdata/sf0.01"
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+KEY = "|".join("".join(f"[{c}{c.upper()}]" for c in w) for w in ("password", "passwd", "secret", "token"))
+ASSIGN = re.compile(f"({KEY}|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+
+
+@cache
+def table(spark, name, folder=DATA):
+    return {r[0]: r for r in spark.read.parquet(f"{folder}/{name}.parquet").collect()}
+
+
+def result(spark, name, folder=DATA):
+    df = next(f for n, f in QUERIES.items() if n.startswith(f"{name}_"))(spark, folder)
+    return {r[0]: r for r in df.collect()}
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_secrets(spark):
+    got = result(spark, "op1", LARGER)
+    assert sum(r["n_assign"] for r in got.values()) > 0
+    for i, row in table(spark, "documents", LARGER).items():
+        found = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(row["text"]) if len(m[2]) >= 6]
+        found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", row["text"]) if len(m[0]) >= 20]
+        found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", row["text"]) if len(m[0]) >= 24]
+        counts = Counter(f[2] for f in found)
+        assert (got[i]["n_assign"], got[i]["n_access"], got[i]["n_hex"]) == tuple(counts[k] for k in ("assign", "access", "hex"))
+        assert got[i]["base_sha256"] == sha(",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(found)))
+
+
+def test_secret_kinds_and_queries(spark):
+    texts = [
+        "é PassWord = \"abcDEF12\" and AKIA" + "A1" * 8 + " x", "api_key:abc token='abc'", "ſecret=abcdef1 toKen=abcdef1", "0" * 23 + " " + "f" * 24,
+        "-----BEGIN RSA PRIVATE KEY----- ghp_" + "Z" * 36, "xoxb-1234567890 AIza" + "Q" * 35 + " eyJabcdefgh.abcdefgh.abcdefgh",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: [(s["kind"], s["start"]) for s in r["found"]] for r in secrets_scan.scan(docs).collect()}
+    assert got == {
+        0: [("assign", 2), ("access", 28)], 1: [], 2: [("assign", 15)], 3: [("hex", 24)],
+        4: [("private_key", 0), ("github", 32)], 5: [("slack", 0), ("google", 16), ("jwt", 56)],
+    }
+    queries = {r.kind: secrets_scan.trigram_query(r.pattern) for r in secrets_scan.BASE_RULES + secrets_scan.MORE_RULES}
+    assert queries["hex"] == [] and queries["access"] == [[frozenset({b"aki", b"kia"})]]
+    (alternatives,) = queries["assign"]
+    words = ({b"pas", b"ass", b"ssw", b"swo", b"wor", b"ord"}, {b"pas", b"ass", b"ssw", b"swd"}, {b"sec", b"cre", b"ret"}, {b"tok", b"ken"})
+    words += ({b"api", b"pik", b"ike", b"key"}, {b"api", b"i_k", b"_ke", b"key"})
+    assert all(any(w <= g for w in words) for g in alternatives) and all(any(w <= g for g in alternatives) for w in words)
+    assert queries["private_key"] and queries["github"] and queries["slack"]
+
+
+def windows(items):
+    found = defaultdict(set)
+    for i, row in items.items():
+        words = WORD.findall(lower(row["text"]))
+        n = min(13, len(words))
+        for k in range(len(words) - n + 1):
+            if n:
+                found[tuple(words[k : k + n])].add(str(i))
+    return found
+
+
+def contaminated(text, found):
+    words, hit, items = WORD.findall(lower(text)), set(), set()
+    for n in {len(w) for w in found}:
+        for k in range(len(words) - n + 1):
+            if ids := found.get(tuple(words[k : k + n])):
+                hit.update(range(k, k + n))
+                items |= ids
+    return len(words), len(hit), sorted(items)
+
+
+def test_contamination(spark):
+    got, found = result(spark, "op2", LARGER), windows(table(spark, "benchmark", LARGER))
+    for i, row in table(spark, "documents", LARGER).items():
+        n, hit, items = contaminated(row["text"], found)
+        want = (n, hit, len(items), sha(",".join(items)), hit > 0 and 20 * hit >= n)
+        assert tuple(got[i][c] for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")) == want
+    assert sum(r["contaminated"] for r in got.values()) > 0
+
+
+def test_contamination_by_short_items_and_edits(spark):
+    from finetide.llm.decontaminate import contamination
+
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(12)]
+    items = [" ".join(rng.choice(words, n)) for n in [1, 2, 3, 5, 5, 8, 12, 13, 14, 20, 40] * 2]
+    texts = []
+    for k in range(60):
+        parts = [" ".join(rng.choice(words, 10)), items[k % len(items)], items[(k * 7) % len(items)][: rng.integers(1, 60)]]
+        texts.append(" . ".join(parts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    found = windows({i: {"text": t} for i, t in enumerate(items)})
+    for r in contamination(docs, bench).collect():
+        assert (r["n_words"], r["n_hit"], r["item_ids"]) == contaminated(texts[r["doc_id"]], found)
+
+
+def fingerprint(text):
+    words = lower(text).encode().split()
+    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(linked, names):
+    """The smallest name each one reaches, by repeated minima over a boolean matrix."""
+    label = np.array(names)
+    while True:
+        low = np.array([min(label[i], label[linked[i]].min(initial=label[i])) for i in range(len(label))])
+        if (low == label).all():
+            return label
+        label = low
+
+
+def test_simhash(spark):
+    got, docs = result(spark, "op8"), table(spark, "documents")
+    ids = sorted(docs)
+    fps = np.array([fingerprint(docs[i]["text"]) for i in ids], dtype=np.uint64)
+    assert [got[i]["fingerprint"] for i in ids] == [f"{f:016x}" for f in fps]
+    want = groups(np.bitwise_count(fps[:, None] ^ fps[None]) <= 3, ids)
+    assert [got[i]["component_id"] for i in ids] == want.tolist()
+
+
+def test_simhash_links_in_dense_groups(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "PAIRS_HELD", 50)
+    rng = np.random.default_rng(2)
+    centres = rng.integers(0, 1 << 63, 30, dtype=np.uint64)
+    flips = [c ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, k).astype(np.uint64)) for c in centres for k in rng.integers(1, 4, 12)]
+    fps = np.unique(np.concatenate([centres, np.array(flips, np.uint64)]))
+    df = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp bigint")
+    want = groups(np.bitwise_count(fps[:, None] ^ fps[None]) <= 3, fps.view(np.int64).tolist())
+    from finetide.llm.components import components
+
+    got = dict(components(simhash.links(df), "a", "b").collect())
+    assert [got.get(int(f), int(f)) for f in fps.view(np.int64)] == want.tolist()
+
+
+@pytest.mark.parametrize("part_rows", [embedding_dedup.PART_ROWS, 40])
+def test_embeddings(spark, monkeypatch, part_rows):
+    monkeypatch.setattr(embedding_dedup, "PART_ROWS", part_rows)
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((40, 24))
+    x = np.concatenate([base, base[:8].repeat(12, axis=0) + 0.07 * rng.standard_normal((96, 24)), base[:3].repeat(20, axis=0)])
+    label = rng.integers(0, 2, len(x))
+    rows = [(int(i), [float(c) for c in v], int(k)) for i, (v, k) in enumerate(zip(x, label, strict=True))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (u @ u.T >= 0.93) & (label[:, None] == label[None])
+    np.fill_diagonal(linked, False)
+    want = groups(linked, list(range(len(x))))
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(table).collect()}
+    assert linked.sum() > 100
+    assert [got[i]["n_links"] for i in range(len(x))] == linked.sum(axis=1).tolist()
+    assert [got[i]["component"] for i in range(len(x))] == want.tolist()
+
+
+def test_mix_meets_targets(spark):
+    got, docs = result(spark, "op4", LARGER), table(spark, "documents", LARGER)
+    size = {i: len(re.findall("[^\x20\x09-\x0d]+", r["text"])) for i, r in docs.items()}
+    assert all(got[i]["size"] == n for i, n in size.items())
+    sums = Counter()
+    for i, n in size.items():
+        sums[docs[i]["source"]] += n
+    weight = dict(zip(sorted(sums), [3, 1, 2] * len(sums), strict=False))
+    target, total, rest = {}, 1.5 * sum(sums.values()), set(sums)
+    while over := [s for s in rest if (total - sum(target.values())) * weight[s] / sum(weight[r] for r in rest) > 2 * sums[s]]:
+        target.update((s, 2.0 * sums[s]) for s in over)
+        rest -= set(over)
+    left = total - sum(target.values())
+    target.update((s, left * weight[s] / sum(weight[r] for r in rest)) for s in rest)
+    taken = Counter()
+    for i, row in got.items():
+        source = docs[i]["source"]
+        assert row["target"] == pytest.approx(target[source]) and row["taken"] <= 2 * row["size"]
+        taken[source] += row["taken"]
+    assert all(abs(taken[s] - target[s]) <= 1 for s in sums)
+    assert got == result(spark, "op4", LARGER)
+
+
+def test_mix_prefers_quality(spark):
+    from finetide.llm.mixing import mix
+
+    rows = [(i, "word " * 20 if i % 2 else "w#!$% " * 20, "s") for i in range(400)] + [(1000, "w " * 100_000, "t")]
+    got = mix(spark.createDataFrame(rows, "doc_id int, text string, source string")).filter("source_size < 100000")
+    taken = {r["doc_id"]: r["taken"] for r in got.collect()}
+    assert sum(v for k, v in taken.items() if k % 2) >= sum(v for k, v in taken.items() if not k % 2)
+
+
+def passages(texts, n=50):
+    seen = defaultdict(set)
+    for i, text in texts.items():
+        words = WORD.findall(lower(text or ""))
+        for k in range(len(words) - n + 1):
+            seen[hash(tuple(words[k : k + n]))].add(i)
+    return sum(len(v) > 1 for v in seen.values())
+
+
+def test_passages_are_left_once(spark):
+    got = {i: r["text"] for i, r in result(spark, "op5", LARGER).items()}
+    docs = {i: r["text"] for i, r in table(spark, "documents", LARGER).items()}
+    assert passages(got) <= 0.01 * passages(docs)
+    repeated = Counter(d for d in docs.values())
+    assert all(got[i] for i, t in docs.items() if repeated[t] == 1 and len(t.split()) < substring_dedup.LEAST_WORDS and t)
+
+
+def test_planted_passages_go_and_other_texts_stay(spark):
+    rng = np.random.default_rng(8)
+    words = np.array([f"{a}{b}" for a in "bcdfghklm" for b in ("ara", "elo", "iti", "onu", "ust")])
+    prose = lambda n: " ".join(w + ("." if rng.random() < 0.12 else "") for w in rng.choice(words, n))
+    passage, unmarked = prose(60) + ".", " ".join(rng.choice(words, 70))
+    texts = {i: prose(120) for i in range(40)}
+    planted = {i: t + "\n" + passage + "\n" + prose(40) for i, t in texts.items() if i % 4 == 0}
+    planted |= {i: t + " " + unmarked + " " + prose(40) for i, t in texts.items() if i % 4 == 1}
+    docs = spark.createDataFrame(list((texts | planted).items()), "doc_id int, text string")
+    got = {r["doc_id"]: r for r in substring_dedup.dedupe(docs).collect()}
+    assert all(got[i]["text"] == t and not got[i]["n_removed"] for i, t in texts.items() if i not in planted)
+    assert passage in got[0]["text"] and unmarked in got[1]["text"]
+    assert not any(passage in got[i]["text"] for i in planted if i) and passages({i: r["text"] for i, r in got.items()}) == 0
+    assert all(got[i]["text"].startswith(texts[i][:300]) for i in planted)
+
+
+def tokens(texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    return [np.array([*e.ids, 2], dtype="<u4") for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_tokens(spark):
+    got, docs = result(spark, "op7"), table(spark, "documents")
+    start = 0
+    for i, ids in zip(sorted(docs), tokens([docs[i]["text"] for i in sorted(docs)]), strict=True):
+        assert tuple(got[i])[1:] == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
+def test_tokens_of_odd_texts_and_pruned_look_ups(spark):
+    from finetide.llm.token_store import read_tokens, write_tokens
+
+    texts = [
+        "a\x85 \x85b", "a  b", "a\n\nb", " a", "a ", "\ta b", "a \nb", "a\n b", "<|endoftext|> x <|endoftext|>\n<|endoftext|>", "it 's 's\nI'm",
+        "dog's, I'll; x!! ### a### 12, é. ...", "", "\n", "x\r\ny z", "\x1fa \x1fb c", "漢字 漢字\n😀 😀", "a　b c", "a\n!! b",
+    ] * 3
+    path = scratch_path(spark, "tokens")
+    write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), path, tokenizer_path())
+    stored = read_tokens(spark, path)
+    got = {r["doc_id"]: r["tokens"] for r in stored.collect()}
+    assert [got[i] for i in range(len(texts))] == [t.astype(int).tolist() for t in tokens(texts)]
+    one = stored.filter("doc_id = 7")
+    assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,7)]" in one._jdf.queryExecution().executedPlan().toString()
+    assert one.count() == 1
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = table(spark, "documents", LARGER), table(spark, "labels", LARGER)
+    outside = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    lang = result(spark, "op3", LARGER)
+    assert all(lang[i]["held_out"] == outside(i) for i in docs)
+    right = [lang[i]["lang_pred"] == r["lang"] for i, r in docs.items() if outside(i)]
+    assert np.mean(right) >= 0.98
+    quality = result(spark, "op9", LARGER)
+    kept = [quality[i]["accepted"] for i, r in labels.items() if outside(i) and r["quality"] == 1]
+    dropped = [not quality[i]["accepted"] for i, r in labels.items() if outside(i) and r["quality"] == 0]
+    assert np.mean(kept) >= 0.98 and np.mean(dropped) >= 0.95
+    toxic = result(spark, "op6", LARGER)
+    called = [r["toxic"] for i, r in labels.items() if outside(i) and toxic[i]["predicted"]]
+    found = [toxic[i]["predicted"] for i, r in labels.items() if outside(i) and r["toxic"]]
+    assert np.mean(called) >= 0.8 and np.mean(found) >= 0.6
+
+
+def test_pipeline_stage_by_stage(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    names = docs.columns
+    rows = {}
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        path = scratch_path(spark, f"try-{number}")
+        stage(spark, docs, DATA).write.parquet(path)
+        before, docs = docs, spark.read.parquet(path)
+        if number < 4:
+            assert docs.columns == names
+        rows[number] = docs.collect()
+        inputs = {r[0]: r for r in before.collect()}
+        kept = {r["doc_id"] for r in rows[number]}
+        if number == 0:
+            labels = table(spark, "labels")
+            assert all(i in kept for i, r in labels.items() if r["quality"] == 1) and len(kept) < len(inputs)
+        elif number == 1:
+            ids = sorted(inputs)
+            fps = np.array([fingerprint(inputs[i]["text"]) for i in ids], dtype=np.uint64)
+            assert kept == set(groups(np.bitwise_count(fps[:, None] ^ fps[None]) <= 3, ids).tolist())
+        elif number == 2:
+            found = windows(table(spark, "benchmark"))
+            shares = {i: contaminated(r["text"], found) for i, r in inputs.items()}
+            assert kept == {i for i, (n, hit, _) in shares.items() if not (hit and 20 * hit >= n)}
+        elif number == 3:
+            words = sum(len(r["text"].split()) for r in rows[number])
+            total = sum(len(re.findall("[^\x20\x09-\x0d]+", r["text"])) for r in inputs.values())
+            assert words == pytest.approx(1.5 * total, abs=len(inputs))
+        else:
+            assert len(rows[4]) == len(rows[3])
+            texts = [r["text"] for r in sorted(rows[3], key=lambda r: (r["doc_id"], r["text"].encode()))]
+            want = sorted((len(t), zlib.crc32(t.tobytes())) for t in tokens(texts))
+            assert sorted((r["n_tokens"], r["ids_crc32"]) for r in rows[4]) == want
+    assert len(corpus_pipeline.run(spark, DATA).collect()) == len(rows[4])

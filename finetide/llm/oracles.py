@@ -1,5 +1,76 @@
-"""DuckDB SQL for the queries of this subpackage that SQL can express."""
+"""DuckDB SQL for the queries of this subpackage that SQL can express over whole tables."""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from finetide.llm.mixing import MOST, SHARE, SYMBOLS, WEIGHTS
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def word_list(c: str) -> str:
+    return rf"regexp_extract_all(translate(coalesce({c}, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+DECONTAMINATION = f"""
+    with i as (select item_id, {word_list('text')} as w from benchmark),
+    iw as (select distinct item_id, n, array_to_string(w[k:k + n - 1], ' ') as win
+           from (select item_id, w, least(13, len(w)) as n, unnest(range(1, len(w) - least(13, len(w)) + 2)) as k
+                 from i where len(w) > 0)),
+    d as (select doc_id, {word_list('text')} as w from documents),
+    dw as (select doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') as win
+           from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as k
+                 from d, (select distinct n from iw) where len(w) >= n)),
+    hit as (select doc_id, item_id, n, k from dw join iw using (n, win)),
+    pos as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(k, k + n)) as p from hit) group by doc_id),
+    its as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+            from (select distinct doc_id, item_id::varchar as item from hit) group by doc_id)
+    select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+           sha256(coalesce(items, '')) as items_sha256,
+           coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+    from d left join pos using (doc_id) left join its using (doc_id)"""
+
+MIXING = rf"""
+    with t as (select doc_id, source, coalesce(text, '') as t from documents),
+    c as (select doc_id, source, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::bigint as size,
+                 1 - (length(t) - length(translate(t, '{SYMBOLS}', ''))) / greatest(length(t), 1)::double as share,
+                 (('0x' || substr(md5('17:' || doc_id::varchar), 1, 13))::bigint::double + 0.5::double) / 4503599627370496.0::double as u
+          from t),
+    k as (select doc_id, source, size,
+                 -ln(u) / greatest((share * share) * (share * share) * ((share * share) * (share * share)), 0.05::double) as key from c),
+    s as (select source, sum(size)::bigint as source_size,
+                 ([{", ".join(f"{w}.0::double" for w in WEIGHTS)}])[(row_number() over (order by source nulls last) - 1) % {len(WEIGHTS)} + 1] as weight
+          from k group by source),
+    o as (select *, {MOST}::double * source_size as cap, {SHARE}::double * sum(source_size) over () as total from s),
+    r as (select *, cap / weight as ratio,
+                 coalesce(sum(cap) over (order by cap / weight, source rows between unbounded preceding and 1 preceding), 0) as below,
+                 sum(weight) over (order by cap / weight, source rows between current row and unbounded following) as open from o),
+    l as (select arg_min((total - below) / open, ratio) as level from r where (total - below) / open <= ratio),
+    g as (select source, source_size, least(cap, level * weight) as target from o, l),
+    e as (select *, case when source_size > 0 then floor(target / source_size + 1e-9::double) else 0 end as epochs from g),
+    f as (select k.*, source_size, target, epochs, round(target - epochs * source_size) as rest,
+                 coalesce(sum(size) over (partition by k.source order by key rows between unbounded preceding and 1 preceding), 0) as before
+          from k join e on k.source is not distinct from e.source)
+    select doc_id, size, source_size, target,
+           (epochs * size + least(size, greatest(rest - before, 0)))::bigint as taken from f"""
+
+EMBEDDINGS = """
+    with recursive v as (
+        select vec_id, label, embedding::double[] as v from embeddings
+        where label is not null and len(embedding) > 0
+          and len(list_filter(embedding::double[], lambda x: x is null or not isfinite(x))) = 0
+          and len(list_filter(embedding::double[], lambda x: x <> 0)) > 0),
+    n as (select *, sqrt(list_dot_product(v, v)) as norm from v),
+    p as (select a.vec_id as a, b.vec_id as b from n a join n b
+          on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+          where list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.93::double),
+    r as (select vec_id as a, vec_id as b from embeddings union select r.a, p.b from r join p on r.b = p.a),
+    c as (select a, min(b) as component_id from r group by a),
+    l as (select a, count(*) as n_links from p group by a)
+    select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+    from embeddings join c on c.a = vec_id left join l on l.a = vec_id"""
+
+ORACLES: dict[str, str] = {
+    "op2_decontamination": DECONTAMINATION,
+    "op4_mixing": MIXING,
+    "op10_embedding_dedup": EMBEDDINGS,
+}

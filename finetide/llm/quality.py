@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finetide.llm.store import Stored, held_out
+from finetide.llm.store import Stored, bounded_sample, held_out
 from finetide.llm.textcodes import INK_BYTES, U64, gram_hashes, lowered, owner, span_hashes, spans, sums, text_parts
 
 #: A document is rejected when its posterior of being good is below this.
@@ -127,8 +127,7 @@ def train(
     """A classifier from at most ``most_rows`` labelled rows that are not held out, chosen by a hash of the id."""
     named = labels.filter(~held_out(id_col)).select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
     named = named.filter("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
-    ids = docs.select(F.col(id_col).alias("id")).distinct()
-    named = named.join(ids, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(most_rows)
+    named = named.join(bounded_sample(named.select("id"), most_rows), "id")
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = own.join(F.broadcast(named), "id").select("text", "label")  # at most most_rows ids
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from finetide.session import scratch_path
 
@@ -25,15 +26,19 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def crc_of_id(name: str):
-    """crc32 of the id's text modulo 3; null where the id is null."""
-    from pyspark.sql import functions as F
+def held_out(name: str) -> Column:
+    """Rows that no model may learn from: crc32 of the id's text modulo 3 is 1. A null id is not held out."""
+    crc = F.crc32(F.col(name).cast("string").cast("binary"))
+    return F.coalesce(crc % 3 == 1, F.lit(False))
 
-    return F.crc32(F.col(name).cast("string").cast("binary")) % 3
 
+def bounded_sample(ids: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` distinct values of the one column of ``ids``, those of the lowest hashes.
 
-def held_out(name: str):
-    """Rows that no model may learn from. A null id is not held out."""
-    from pyspark.sql import functions as F
-
-    return F.coalesce(crc_of_id(name) == 1, F.lit(False))
+    Values above a hash that leaves about half as many again are dropped where they lie, so the
+    tasks together hand on a bounded number, however many they are.
+    """
+    (name,) = ids.columns
+    share = min(1.0, 1.5 * most / max(ids.count(), 1))
+    low = F.shiftrightunsigned(F.xxhash64(name), 34) < int(share * (1 << 30)) if share < 1 else F.lit(True)
+    return ids.filter(low & F.col(name).isNotNull()).distinct().orderBy(F.xxhash64(name), name).limit(most)

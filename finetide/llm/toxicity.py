@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finetide.llm.store import held_out
+from finetide.llm.store import bounded_sample, held_out
 from finetide.llm.textcodes import U64, WORD_BYTES, gram_hashes, lowered, owner, span_hashes, spans, text_parts
 
 FEATURE_BITS = 20
@@ -88,17 +88,9 @@ def train(
     prior = named.agg(F.avg("label")).first()[0] or 0.0
     own = docs.filter(~held_out(id_col)).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     own = own.filter("id is not null and text is not null")
-    ids = own.select("id").distinct()
-    chosen = [
-        side.orderBy(F.xxhash64("id"), "id").limit(most).withColumn("toxic", F.lit(toxic))
-        for side, most, toxic in (
-            (named.filter("label = 1").select("id").join(ids, "id", "left_semi"), most_positive, True),
-            (ids, most_unlabelled, False),
-        )
-    ]
     groups = []
-    for side in chosen:
-        picked = own.join(F.broadcast(side), "id")  # at most most_positive or most_unlabelled ids
+    for ids, most in ((named.filter("label = 1").select("id"), most_positive), (own.select("id"), most_unlabelled)):
+        picked = own.join(F.broadcast(bounded_sample(ids, most)), "id")  # at most ``most`` ids
         rows = _featured(picked).toArrow().to_pandas().drop_duplicates("sketch")
         groups.append([np.asarray(x, np.int64) for x in rows["slots"]])
     positive, unlabelled = groups

@@ -203,7 +203,11 @@ def fingerprint_text(fp):
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is its group's smallest; columns stay as they are."""
-    found = near_duplicates(docs, id_col, text_col)
-    keep = Stored(found.filter(F.col(id_col) == F.col("component")).select(id_col).distinct(), "kept").df
-    return docs.join(keep, id_col, "left_semi").select(*docs.columns)
+    """The rows of ``docs`` whose id is its group's smallest; columns stay as they are.
+
+    Rows of a null id stay. Rows that repeat an id are one document: they stay if one of them does.
+    """
+    found = near_duplicates(docs, id_col, text_col).filter(F.col(id_col).isNotNull())
+    first = found.groupBy(id_col).agg(F.max(F.col(id_col) == F.col("component")).alias("first"))
+    later = Stored(first.filter(~F.coalesce("first", F.lit(False))).select(id_col), "later-copies").df
+    return docs.join(later, id_col, "left_anti").select(*docs.columns)

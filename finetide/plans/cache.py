@@ -20,7 +20,8 @@ MANIFEST_SCHEMA = "hash string, method string, splits array<string>, format stri
 
 
 def address(payload: dict[str, Any]) -> str:
-    text = json.dumps(payload, sort_keys=True, default=str)
+    """The content address of settings, equal to ``keys.config_key`` of their JSON text."""
+    text = json.dumps(payload, sort_keys=True, default=str, separators=(",", ":"), ensure_ascii=False)
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 

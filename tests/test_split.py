@@ -146,3 +146,34 @@ def test_fingerprint_ignores_order_and_sees_everything_else(spark):
 def test_split_stats(spark):
     df = sp.split_exact(spark.range(10), "id")
     assert sorted(map(tuple, split_stats(df).collect())) == [("train", 9, ["id"]), ("validation", 1, ["id"])]
+
+
+def test_fingerprint_is_the_same_in_every_zone(spark):
+    df = spark.range(20).select("id", F.timestamp_seconds(F.col("id") * 86_399).alias("at"))
+    df = df.withColumn("nested", F.array(F.struct("at"))).withColumn("m", F.create_map(F.lit("b"), "at", F.lit("a"), "at"))
+    turned = df.withColumn("m", F.create_map(F.lit("a"), "at", F.lit("b"), "at"))
+    seen = set()
+    for zone in ("UTC", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        seen |= {content_fingerprint(t).collect()[0]["fingerprint"] for t in (df, turned)}
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert len(seen) == 1
+
+
+def test_address_equals_the_configuration_key(spark):
+    import json
+
+    from finetide.functions.keys import config_key
+    from finetide.plans.cache import address
+
+    payload = {"b": [1, 2.5, None], "a": {"z": "é", "y": True}, "ratio": 0.9}
+    assert spark.range(1).select(config_key(F.lit(json.dumps(payload)))).head()[0] == address(payload)
+
+
+def test_few_large_seeds_share_their_requests(spark, monkeypatch):
+    from finetide.operators import generation as gen
+
+    monkeypatch.setattr(gen, "BROADCAST_SEEDS", 1)
+    monkeypatch.setattr(gen, "SEED_SHARE", 10)
+    got = gen.assign_seeds(gen.seed_table(spark, ["a", "b", "c"]), 500, []).collect()
+    assert sorted((r["id"], r["seed"]) for r in got) == [(i, "abc"[i % 3]) for i in range(500)]

@@ -45,7 +45,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the token files, and returns what is read back from them."""
     path = scratch_path(spark, "tokens")
-    token_store.write_tokens(docs, path, tokenizer_path())
+    # The workers also hold what earlier stages left in their processes, so they remember fewer words.
+    token_store.write_tokens(docs, path, tokenizer_path(), remembered=100_000)
     return token_store.token_digests(spark, path)
 
 

@@ -55,7 +55,8 @@ class Encoder:
     use stay.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
+        self.remembered = remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads only contend
         from tokenizers import Tokenizer
 
@@ -71,7 +72,7 @@ class Encoder:
 
     def _learn(self, units: set[str]) -> None:
         """Puts ``units`` in memory. A unit starts with a line end, or stands for one after a space."""
-        if len(self.known) >= REMEMBERED:
+        if len(self.known) >= self.remembered:
             self.old, self.known = self.known, {}
         new = units.difference(self.known)
         old = self.old  # far larger than ``new``: looked up, not run through
@@ -116,30 +117,31 @@ def _plain(text: str) -> bool:
     )
 
 
-def encoder_of(path: str) -> Encoder:
+def encoder_of(path: str, remembered: int) -> Encoder:
     """The worker process's encoder, which lives on from task to task where Spark reuses workers.
 
     Functions reach workers by value with globals of their own, so it hangs on a module they share.
     """
     kept = sys.modules["tokenizers"].__dict__.setdefault("_kept_encoders", {}) if "tokenizers" in sys.modules else {}
-    if path not in kept:
-        encoder = Encoder(path)
+    if (path, remembered) not in kept:
+        encoder = Encoder(path, remembered)
         kept = sys.modules["tokenizers"].__dict__.setdefault("_kept_encoders", {})
-        kept[path] = encoder
-    return kept[path]
+        kept[path, remembered] = encoder
+    return kept[path, remembered]
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> None:
     """Encodes the whole texts of ``docs``, appends ``end_id`` to each, and writes ORC files under ``path``.
 
     Rows are in ascending id order, null first, rows of one id by their text. A null text reads as
-    empty and has the end id alone. An empty table writes no row.
+    empty and has the end id alone. An empty table writes no row. A worker remembers up to twice
+    ``remembered`` words, at about 200 bytes each.
     """
     kept = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     ordered = kept.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, before = encoder_of(tokenizer_path), 0
+        encoder, before = encoder_of(tokenizer_path, remembered), 0
         tail = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for i in range(0, batch.num_rows, TEXTS):

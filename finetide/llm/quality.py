@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finetide.llm.store import Stored, bounded_sample, held_out
-from finetide.llm.textcodes import INK_BYTES, U64, gram_hashes, lowered, owner, span_hashes, spans, sums, text_parts
+from finetide.llm.textcodes import INK_BYTES, gram_hashes, lowered, owner, span_hashes, spans, sums, text_parts
 
 #: A document is rejected when its posterior of being good is below this.
 THRESHOLD = 0.5

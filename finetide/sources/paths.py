@@ -47,8 +47,3 @@ def content_state(spark: SparkSession, path: str) -> str | None:
     number = lambda start: F.conv(F.substring(file, start, 15), 16, 10).cast("decimal(20,0)")
     row = leaf_files(spark, path).agg(F.count("*"), F.sum("length"), F.sum(number(1)), F.sum(number(16))).head()
     return ":".join(str(value or 0) for value in row)
-
-
-def modified_ms(spark: SparkSession, path: str) -> int | None:
-    files, target = _target(spark, path)
-    return files.getFileStatus(target).getModificationTime() if files.exists(target) else None

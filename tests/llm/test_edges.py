@@ -103,6 +103,33 @@ def test_language(docs, empty):
     assert language_id.predict(empty, models).count() == 0
 
 
+def test_language_keeps_every_run(spark):
+    """More runs than 2**19 in a language, nearly all of them seen once."""
+    import numpy as np
+
+    letters = np.random.default_rng(4).integers(0x4E00, 0x9F00, (110, 10_000))
+    letters[1:9] = letters[0]
+    docs = spark.createDataFrame([(i, "".join(map(chr, row)), "zh") for i, row in enumerate(letters)], "doc_id int, text string, lang string")
+    own = ["   " + r["text"] for r in docs.filter(~language_id.held_out("doc_id")).collect()]
+    seen = {t[k : k + 4] for t in own for k in range(len(t) - 3)}
+    assert len(seen) > 1 << 19 and len(language_id.train(docs).keys) == len(seen)
+
+
+def test_language_by_table_is_the_same(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SLICE_ROWS", 20_000)
+    monkeypatch.setattr(language_id, "CHUNK_BYTES", 100_000)
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    docs = rows.union(spark.createDataFrame([(None, None, "en"), (-1, "", "en"), (-2, "漢字 😀 qxqzj", None)], rows.schema))
+    held, spread = language_id.train(docs), language_id.train(docs, held_runs=1)
+    assert isinstance(spread, language_id.SpreadModels) and held.langs == spread.langs and held.scale == spread.scale
+    want, got = ({r["doc_id"]: r for r in language_id.predict(docs, m).collect()} for m in (held, spread))
+    assert len(got) == docs.count() and got.keys() == want.keys()
+    for i, r in want.items():
+        assert got[i]["lang_pred"] == r["lang_pred"] and got[i]["rejected"] == r["rejected"]
+        assert got[i]["cost"] == pytest.approx(r["cost"], rel=1e-5) and got[i]["score"] == pytest.approx(r["score"], abs=1e-4)
+    assert language_id.predict(docs.limit(0), spread).count() == 0
+
+
 def test_mixing(docs, empty):
     out = mixing.mix(docs)
     assert ids(out) == ALL_IDS

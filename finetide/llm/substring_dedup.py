@@ -1,8 +1,11 @@
 """Repeated passages: runs of consecutive sentences, hashed and joined over the whole corpus.
 
-A run starts or ends at each sentence and takes as few further sentences as it needs to hold
-``least_words`` words, so a passage of whole sentences with that many words is covered by runs
-that lie within it, to its first and last sentence. A run that occurs in several documents stays
+A sentence of more than ``CUT_WINDOW`` words counts as several. A run starts or ends at each
+sentence and takes as few further sentences as it needs to hold ``least_words`` words; a third one
+has an end that follows from the words up to it and a window beyond. So a passage of whole sentences
+with that many words is covered by runs that lie within it, to its first and last sentence. One that
+starts and ends anywhere keeps about a dozen words at an end, where its copies may be cut unlike,
+and has a run from 50 words on. A run that occurs in several documents stays
 in the one with the least id; in one document it stays where it is first. All sentences of the
 other occurrences are removed.
 
@@ -29,8 +32,8 @@ LEAST_WORDS = 25
 #: A sentence of more words is taken in pieces: it is cut before each word pair of the least hash
 #: in a window of so many. Copies of a passage inside long sentences are so cut alike, and no
 #: piece is longer than the window.
-LONG_SENTENCE = 24
 CUT_WINDOW = 12
+LONG_SENTENCE = CUT_WINDOW
 _OTHER_BASE = 0xA0761D6478BD642F
 _STOPS = np.zeros(256, dtype=bool)
 _STOPS[[33, 46, 63]] = True
@@ -39,7 +42,7 @@ _BLANK[[32, 9, 11, 12, 13]] = True
 
 
 def sentences(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(word starts, word hashes, first word of each sentence and the end, each text's first sentence, sentence's text).
+    """(word starts, word hashes, first word of each sentence and the end, each text's first sentence, sentence's text, first words after a stop).
 
     A sentence ends after a stop with white space or the end behind it, and at a line's end; a
     long one is several pieces, each counted as a sentence.
@@ -55,7 +58,7 @@ def sentences(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     new = np.ones(len(starts), dtype=bool)
     if len(starts) > 1:
         new[1:] = (of[1:] != of[:-1]) | (marks[starts[1:]] > marks[ends[:-1]])
-    hashes = span_hashes(low, starts, ends)
+    hashes, stops = span_hashes(low, starts, ends), np.flatnonzero(new)
     if len(starts) > 1:
         number = np.cumsum(new) - 1
         long = np.bincount(number)[number] > LONG_SENTENCE
@@ -63,12 +66,31 @@ def sentences(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
         new[:-1] |= long[:-1] & cuts
     heads = np.flatnonzero(new)
     text = of[heads]
-    return starts, hashes, np.append(heads, len(starts)), np.searchsorted(text, np.arange(len(off))), text
+    return starts, hashes, np.append(heads, len(starts)), np.searchsorted(text, np.arange(len(off))), text, stops
+
+
+def _alike(words: np.ndarray, left: np.ndarray, right: np.ndarray, stops: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each sentence a run whose end depends on no word beyond ``least`` + ``CUT_WINDOW`` + 1 from its start.
+
+    It ends at the first stop from ``least`` words on, or else before the least word pair of the
+    next window, which is a cut, since the sentence around it is long.
+    """
+    grams = gram_hashes(words, 2)
+    number = np.flatnonzero(left + least + CUT_WINDOW <= len(grams))
+    if not len(number):
+        return number, number
+    place = left[number] + least
+    end = place + np.lib.stride_tricks.sliding_window_view(grams, CUT_WINDOW)[place].argmin(axis=1)
+    stop = np.append(stops, len(words))[np.searchsorted(stops, place)]
+    end = np.where(stop < place + CUT_WINDOW, stop, end)
+    to = np.searchsorted(right, end)
+    ok = right[np.minimum(to, len(right) - 1)] == end
+    return number[ok], to[ok]
 
 
 def text_runs(low: np.ndarray, off: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
     """(text, first sentence, last sentence, 64-bit hash, 32-bit hash, repeats one before in its text) per run."""
-    starts, words, heads, first, text = sentences(low, off)
+    starts, words, heads, first, text, stops = sentences(low, off)
     n = len(heads) - 1
     if n <= 0:
         return tuple(np.zeros(0, k) for k in (np.int64, np.int64, np.int64, np.int64, np.int32, bool))
@@ -80,7 +102,8 @@ def text_runs(low: np.ndarray, off: np.ndarray, least: int) -> tuple[np.ndarray,
     start = np.searchsorted(left, right - least, side="right") - 1
     ok = start >= 0
     backward = (start[ok], number[ok])
-    a, b = np.concatenate([forward[0], backward[0]]), np.concatenate([forward[1], backward[1]])
+    third = _alike(words, left, right, stops, least)
+    a, b = np.concatenate([forward[0], backward[0], third[0]]), np.concatenate([forward[1], backward[1], third[1]])
     same = text[a] == text[b]
     pairs = np.unique(a[same] * n + b[same])
     a, b = pairs // n, pairs % n
@@ -145,7 +168,7 @@ def _without(rows: DataFrame) -> DataFrame:
             out = texts.to_pylist()
             n_sentences, n_removed = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
             for i, j, data, off in text_parts(texts):
-                starts, _, heads, first, _ = sentences(lowered(data), off)
+                starts, _, heads, first, _, _ = sentences(lowered(data), off)
                 n_sentences[i:j] = np.diff(first)
                 for k in range(j - i):
                     spans_of = parts[i + k].as_py()

@@ -243,6 +243,25 @@ def test_planted_passages_go_and_other_texts_stay(spark):
     assert all(got[i]["text"].startswith(texts[i][:300]) for i in planted)
 
 
+def test_passages_between_parts_of_short_sentences_go(spark):
+    """51 words from inside one sentence to inside another, none of more than 22 words."""
+    rng = np.random.default_rng(9)
+    words = np.array([f"{a}{b}" for a in "bcdfghklm" for b in ("ara", "elo", "iti", "onu", "ust")])
+    prose = lambda n: " ".join(rng.choice(words, n))
+    shapes = [(15, 22, 14), (14, 11, 12, 14), (11, 9, 10, 9, 12), (16, 19, 16), (1, 20, 20, 10)]
+    texts, want = {}, {}
+    for case in range(60):
+        passage = ". ".join(prose(n) for n in shapes[case % len(shapes)])
+        for copy in range(3):
+            before, after = (int(k) for k in rng.integers(1, 6, 2))
+            texts[3 * case + copy] = f"{prose(18)}. {prose(before)} {passage} {prose(after)}. {prose(17)}."
+            want[3 * case + copy] = passage
+    docs = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.dedupe(docs).collect()}
+    assert all(want[i] in got[i] for i in texts if i % 3 == 0)
+    assert passages(got, 51) == 0 and all(len(got[i].split()) <= len(t.split()) - 25 for i, t in texts.items() if i % 3)
+
+
 def tokens(texts):
     from tokenizers import Tokenizer
 

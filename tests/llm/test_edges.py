@@ -115,6 +115,14 @@ def test_language_keeps_every_run(spark):
     assert len(seen) > 1 << 19 and len(language_id.train(docs).keys) == len(seen)
 
 
+def test_language_calibrates_without_texts_on_the_driver(spark, docs, monkeypatch):
+    kind, columns = type(docs), []
+    whole = kind.toArrow
+    monkeypatch.setattr(kind, "toArrow", lambda self: columns.extend(self.columns) or whole(self))
+    language_id.train(docs)
+    assert "costs" in columns and "text" not in columns
+
+
 def test_language_by_table_is_the_same(spark, monkeypatch):
     monkeypatch.setattr(language_id, "SLICE_ROWS", 20_000)
     monkeypatch.setattr(language_id, "CHUNK_BYTES", 100_000)

@@ -35,6 +35,8 @@ SHINGLE = 3
 SEED = 42
 REFERENCES = 16
 PAIRS_HELD = 1 << 21
+#: Buckets of more fingerprints are split in parts, and each two parts meet in a task of their own.
+BUCKET_ROWS = 20_000
 #: Widths of six blocks that make up 64 bits.
 BLOCKS = (11, 11, 11, 11, 10, 10)
 
@@ -146,13 +148,26 @@ def linked_members(keys: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> t
     return fps[own], fps[root]
 
 
+def _split(keyed: DataFrame, large: DataFrame) -> DataFrame:
+    """``keyed`` with a key for each two parts of the ``large`` buckets; two that hash alike are compared in vain."""
+    dealt = keyed.join(large, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).filter("parts = 1 or other <> part")
+    pair = F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other"))
+    return dealt.select(F.when(F.col("parts") == 1, F.col("key")).otherwise(pair).alias("key"), "fp")
+
+
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b) links over distinct fingerprints ``fp`` that join all fingerprints within the radius.
 
-    Buckets pass through a task in key order; only the members of one bucket are held together,
-    16 bytes each, and their links are folded to stars when they are many.
+    Buckets pass through a task in key order; only the members of one bucket, or of two parts of a
+    large one, are held together, 16 bytes each, and their links are folded to stars when they are many.
     """
     keyed = fps.select(F.explode(F.array(*bucket_keys(F.col("fp")))).alias("key"), "fp")
+    large = keyed.groupBy("key").agg(F.count("*").alias("rows")).filter(F.col("rows") > BUCKET_ROWS)
+    large = Stored(large.select("key", F.ceil(F.col("rows") / BUCKET_ROWS).cast("int").alias("parts")), "large-buckets").df
+    if large.take(1):
+        keyed = _split(keyed, large)
     keyed = keyed.repartition("key").sortWithinPartitions("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -159,6 +159,22 @@ def test_simhash_links_in_dense_groups(spark, monkeypatch):
     assert [got.get(int(f), int(f)) for f in fps.view(np.int64)] == want.tolist()
 
 
+def test_simhash_splits_a_large_bucket(spark, monkeypatch):
+    """2,000 fingerprints that agree in four blocks: no task compares more than two parts at once."""
+    monkeypatch.setattr(simhash, "BUCKET_ROWS", 100)
+    rng = np.random.default_rng(6)
+    fps = np.unique(rng.integers(0, 1 << 20, 2000, dtype=np.uint64) << np.uint64(44))
+    df = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp bigint")
+    keyed = df.selectExpr("1L as key", "fp")
+    parts = simhash._split(keyed, spark.createDataFrame([(1, 20)], "key bigint, parts int"))
+    assert max(r["count"] for r in parts.groupBy("key").count().collect()) <= 300
+    from finetide.llm.components import components
+
+    want = groups(np.bitwise_count(fps[:, None] ^ fps[None]) <= 3, fps.view(np.int64).tolist())
+    got = dict(components(simhash.links(df), "a", "b").collect())
+    assert [got.get(int(f), int(f)) for f in fps.view(np.int64)] == want.tolist()
+
+
 @pytest.mark.parametrize("part_rows", [embedding_dedup.PART_ROWS, 40])
 def test_embeddings(spark, monkeypatch, part_rows):
     monkeypatch.setattr(embedding_dedup, "PART_ROWS", part_rows)

@@ -69,8 +69,46 @@ EMBEDDINGS = """
     select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, vec_id = component_id as kept
     from embeddings join c on c.a = vec_id left join l on l.a = vec_id"""
 
+def crc32(c: str) -> str:
+    """The unsigned CRC-32 of an ASCII text, bit by bit."""
+    byte = "list_reduce([xor(c, b)] || range(8), lambda s, i: xor(s >> 1, 3988292384::bigint * (s & 1)))"
+    codes = f"list_transform(string_split({c}, ''), lambda x: ascii(x)::bigint)"
+    return f"xor(list_reduce([4294967295::bigint] || {codes}, lambda c, b: {byte}), 4294967295::bigint)"
+
+
+def merkle(levels: int = 5, upper: int = 3) -> str:
+    """Trees of up to 16 ** levels leaves a source and 16 ** upper sources, level by level."""
+    cell = lambda c: f"case when {c} is null then '-' else strlen({c}::varchar)::varchar || ':' || {c}::varchar end"
+    digest = lambda text: "sha256(" + " || ".join(cell(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lowered = f"translate(text, '{UPPER}', '{LOWER}')"
+    out = f"""
+    with leaves as (select doc_id, dense_rank() over (order by source nulls first) as tree, {digest('text')} as d,
+                           case when coalesce({crc32('doc_id::varchar')} % 5 = 0, false) then {digest(lowered)} else {digest('text')} end as f
+                    from documents),
+    placed as (select *, row_number() over (partition by tree order by doc_id nulls first, d) - 1 as ix, count(*) over (partition by tree) as n from leaves),
+    s0 as (select doc_id, d as leaf, tree, ix, '' as p, f from placed),
+    n0 as (select tree, ix, n, d from placed)"""
+    for k in range(levels + upper):
+        if k == levels:  # each tree has one node now: the subroots are the leaves of the tree of sources
+            out += f""",
+    s{k}t as (select s.doc_id, s.leaf, n.d as subroot, 0 as tree, s.tree - 1 as ix, s.p, s.f from s{k} s join n{k} n using (tree)),
+    n{k}t as (select 0 as tree, tree - 1 as ix, count(*) over () as n, d from n{k})"""
+        state, nodes, kept = (f"s{k}t", f"n{k}t", "subroot,") if k == levels else (f"s{k}", f"n{k}", "subroot," if k > levels else "")
+        out += f""",
+    r{k} as (select tree, ix // 16 as run, list(d order by ix) as ds, any_value(n) as n from {nodes} where n > 1 group by tree, run),
+    n{k + 1} as (select tree, run as ix, (n + 15) // 16 as n, sha256(array_to_string(ds, '')) as d from r{k} union all select * from {nodes} where n <= 1),
+    s{k + 1} as (select doc_id, leaf, {kept} tree, case when ds is null then ix else ix // 16 end as ix,
+                 case when ds is null then p else p || array_to_string(ds[:ix % 16] || ds[ix % 16 + 2:], '') end as p,
+                 case when ds is null then f else sha256(array_to_string(ds[:ix % 16] || [f] || ds[ix % 16 + 2:], '')) end as f
+                 from {state} left join (select tree as own, run, ds from r{k}) on tree = own and run = ix // 16)"""
+    last = levels + upper
+    return out + f"""
+    select doc_id, leaf, subroot, d as root, sha256(p) as proof_sha256, f as folded_root, f = d as verified from s{last} join n{last} using (tree)"""
+
+
 ORACLES: dict[str, str] = {
     "op2_decontamination": DECONTAMINATION,
     "op4_mixing": MIXING,
     "op10_embedding_dedup": EMBEDDINGS,
+    "op11_merkle": merkle(),
 }

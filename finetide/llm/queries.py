@@ -11,6 +11,7 @@ from finetide.llm import (
     decontaminate,
     embedding_dedup,
     language_id,
+    merkle,
     mixing,
     quality,
     secrets_scan,
@@ -102,6 +103,17 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "n_links", F.col("component").alias("component_id"), F.coalesce(F.col("vec_id") == F.col("component"), F.lit(False)).alias("kept"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of a fifth of the documents are lower-cased; each is proved against the original root."""
+    tampered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = merkle.proofs(_table(spark, sf_dir, "documents"), {"text": tampered}, chosen)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -112,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_decontamination, op3_language_id, op4_mixing, op5_substring_dedup,
-        op6_toxicity, op7_token_store, op8_simhash, op9_quality, op10_embedding_dedup, pipeline,
+        op6_toxicity, op7_token_store, op8_simhash, op9_quality, op10_embedding_dedup,
+        op11_merkle, pipeline,
     )
 }

@@ -106,9 +106,20 @@ def merkle(levels: int = 5, upper: int = 3) -> str:
     select doc_id, leaf, subroot, d as root, sha256(p) as proof_sha256, f as folded_root, f = d as verified from s{last} join n{last} using (tree)"""
 
 
+LINES = f"""
+    with t as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+    l as (select doc_id, ls[k] as line, k, translate(trim(ls[k], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') as key
+          from (select doc_id, ls, unnest(range(1, len(ls) + 1)) as k from t)),
+    shared as (select key, max(doc_id) as keeper from l where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+    marked as (select l.*, keeper is not null and doc_id <> keeper as gone from l left join shared using (key))
+    select doc_id, count(*) as n_lines, count_if(gone)::bigint as n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) order by k) filter (not gone), '')) as kept_sha256
+    from marked group by doc_id"""
+
 ORACLES: dict[str, str] = {
     "op2_decontamination": DECONTAMINATION,
     "op4_mixing": MIXING,
     "op10_embedding_dedup": EMBEDDINGS,
     "op11_merkle": merkle(),
+    "op12_line_dedup": LINES,
 }

@@ -11,6 +11,7 @@ from finetide.llm import (
     decontaminate,
     embedding_dedup,
     language_id,
+    line_dedup,
     merkle,
     mixing,
     quality,
@@ -114,6 +115,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedupe(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -125,6 +131,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_secret_scan, op2_decontamination, op3_language_id, op4_mixing, op5_substring_dedup,
         op6_toxicity, op7_token_store, op8_simhash, op9_quality, op10_embedding_dedup,
-        op11_merkle, pipeline,
+        op11_merkle, op12_line_dedup, pipeline,
     )
 }

@@ -116,10 +116,32 @@ LINES = f"""
            sha256(coalesce(string_agg(line, chr(10) order by k) filter (not gone), '')) as kept_sha256
     from marked group by doc_id"""
 
+COLLOCATIONS = f"""
+    with t as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') as t from documents),
+    p as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\\n\\x0B\\x0C\\r]')) as piece from t),
+    w as (select lang, regexp_extract_all(piece, '[^ \\t]+') as w from p),
+    totals as (select lang, sum(len(w))::bigint as n from w group by lang),
+    g as (select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase
+          from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from w, (values (1), (2), (3)) as ks(k) where len(w) >= k)),
+    f as (select lang, k, phrase, count(*) as f from g group by all having count(*) >= 10),
+    cut as (select lang, phrase, k, f as a, string_split(phrase, ' ') as w, unnest(range(1, k)) as at_word from f where k >= 2),
+    s as (select c.lang, c.phrase, c.a, at_word, x.f as l, y.f as r,
+                 (1000000::hugeint * c.a::hugeint * c.a::hugeint) // (x.f::hugeint * y.f::hugeint) as score
+          from cut c join f x on x.lang = c.lang and x.phrase = array_to_string(w[:at_word], ' ')
+                     join f y on y.lang = c.lang and y.phrase = array_to_string(w[at_word + 1:], ' ')),
+    worst as (select * from s qualify row_number() over (partition by lang, phrase order by score, at_word) = 1),
+    longer as (select lang, array_to_string(w[i:i + 1], ' ') as phrase, max(f) as f
+               from (select lang, f, string_split(phrase, ' ') as w, unnest([1, 2]) as i from f where k = 3) group by 1, 2),
+    kept as (select worst.* from worst left join longer using (lang, phrase)
+             where string_split(phrase, ' ')[3] is not null or longer.f is null or 100 * longer.f < 50 * a),
+    ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+    select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join totals using (lang) where rank <= 2000"""
+
 ORACLES: dict[str, str] = {
     "op2_decontamination": DECONTAMINATION,
     "op4_mixing": MIXING,
     "op10_embedding_dedup": EMBEDDINGS,
     "op11_merkle": merkle(),
     "op12_line_dedup": LINES,
+    "op13_collocations": COLLOCATIONS,
 }

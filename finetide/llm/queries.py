@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finetide.llm import (
+    collocations,
     decontaminate,
     embedding_dedup,
     language_id,
@@ -120,6 +121,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -131,6 +136,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_secret_scan, op2_decontamination, op3_language_id, op4_mixing, op5_substring_dedup,
         op6_toxicity, op7_token_store, op8_simhash, op9_quality, op10_embedding_dedup,
-        op11_merkle, op12_line_dedup, pipeline,
+        op11_merkle, op12_line_dedup, op13_collocations, pipeline,
     )
 }

@@ -1,15 +1,14 @@
 """Phrases whose words keep company: collocations by fingerprints of n-grams.
 
 A prefix polynomial over the words of a stretch of text gives the Rabin-Karp fingerprint of any
-n-gram as a difference of two sums, so numpy hashes all of them without a loop. Three passes read
-the texts:
+n-gram as a difference of two sums, so numpy hashes all of them without a loop. The texts are read
+once per phrase length and once more:
 
-1. Words are counted by fingerprint; what is frequent becomes a filter of fixed size.
-2. Pairs of frequent words are counted likewise.
-3. N-grams of which all words and pairs pass the filters are counted by two independent
-   fingerprints, with a pointer to a text that holds one. A filter lets too much pass, never too
-   little, so counts do not depend on its size; phrases that share the first fingerprint are told
-   apart by the second.
+1. Words are counted by fingerprint, and the frequent ones make a filter of fixed size; then pairs
+   of words that pass it, triples of pairs that pass theirs, and so on.
+2. N-grams that pass their length's filter are counted by two independent fingerprints, with a
+   pointer to a text that holds one. A filter lets too much pass, never too little, so counts do
+   not depend on its size; phrases that share the first fingerprint are told apart by the second.
 
 Only then is text touched: each frequent fingerprint is looked up in the one text it points to,
 where the phrase must be found again, and becomes words. Occurrences are added up per task before
@@ -40,7 +39,7 @@ UNKNOWN = "und"
 FILTER_BITS = 25
 _BITMAP_BITS = 15
 #: N-grams that a task holds before it adds them up, and rows it hands on at once.
-HELD = 2_000_000
+HELD = 1_500_000
 ROWS = 200_000
 #: Parts in which the candidates of a language are ranked first.
 RANKED_PARTS = 32
@@ -69,14 +68,20 @@ class Words:
         if n:
             self.joined[:-1] = (self.text[1:] == self.text[:-1]) & (stops[self.starts[1:]] == stops[self.ends[:-1]])
 
-    def whole(self, n: int, pairs: np.ndarray | None = None) -> np.ndarray:
-        """First words of the n-grams; with ``pairs``, of those whose every pair of words is marked."""
-        linked = self.joined if pairs is None else pairs
+    def whole(self, n: int) -> np.ndarray:
+        """First words of the n-grams."""
         ok = np.ones(max(len(self.starts) - n + 1, 0), bool)
         for k in range(n - 1):
-            ok &= linked[k : k + len(ok)]
+            ok &= self.joined[k : k + len(ok)]
         return np.flatnonzero(ok)
 
+    def passing(self, n: int, filter_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First words and first fingerprints of the n-grams that pass."""
+        at = self.whole(n)
+        h = self.prints(at, n)
+        ok = _passes(filter_, h)
+        return at[ok], h[ok]
+
     def prints(self, at: np.ndarray, n: int) -> np.ndarray:
         """The first fingerprint; it covers the language."""
         return mixed(span_hashes(self.hashes, at, at + n) ^ self.keys[self.text[at]]) >> self.shift
@@ -115,7 +120,7 @@ def _word_parts(batch: pa.RecordBatch, bits: int) -> Iterator[tuple[int, Words]]
 
 
 def _counts(docs: DataFrame, n: int, filter_: np.ndarray | None, least: int, bits: int) -> DataFrame:
-    """(h) of the frequent n-grams, for n of 1 or 2."""
+    """(h) of the frequent n-grams; ``filter_`` is that of the next shorter ones."""
 
     def added(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         h, count = np.unique(np.concatenate(parts), return_counts=True)
@@ -126,11 +131,10 @@ def _counts(docs: DataFrame, n: int, filter_: np.ndarray | None, least: int, bit
         held: list[np.ndarray] = []
         for batch in batches:
             for _, words in _word_parts(batch, bits):
-                if filter_ is None:
-                    at = words.whole(1)
-                else:
-                    frequent = _passes(filter_, words.prints(words.whole(1), 1))
-                    at = words.whole(n)
+                at = words.whole(n)
+                if filter_ is not None:
+                    frequent = np.zeros(len(words.starts), bool)
+                    frequent[words.passing(n - 1, filter_)[0]] = True
                     at = at[frequent[at] & frequent[at + 1]]
                 held.append(words.prints(at, n))
                 if sum(map(len, held)) >= HELD:
@@ -143,7 +147,7 @@ def _counts(docs: DataFrame, n: int, filter_: np.ndarray | None, least: int, bit
     return Stored(rows.groupBy("h").agg(F.sum("f").alias("f")).filter(F.col("f") >= least).select("h"), "frequent").df
 
 
-def _found(docs: DataFrame, words_filter: np.ndarray, pairs_filter: np.ndarray, most: int, least: int, bits: int) -> DataFrame:
+def _found(docs: DataFrame, filters: list[np.ndarray], least: int, bits: int) -> DataFrame:
     """(n, h, g, f, mark) of the frequent n-grams, and with n of 0 all words per language, h its key."""
     names = ["n", "h", "g", "f", "mark"]
 
@@ -161,7 +165,7 @@ def _found(docs: DataFrame, words_filter: np.ndarray, pairs_filter: np.ndarray,
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[np.ndarray, ...]]] = {n: [] for n in range(1, most + 1)}
+        held: dict[int, list[tuple[np.ndarray, ...]]] = {n: [] for n in range(1, len(filters) + 1)}
         sizes = dict.fromkeys(held, 0)
         totals: dict[int, int] = {}
         for batch in batches:
@@ -170,15 +174,8 @@ def _found(docs: DataFrame, words_filter: np.ndarray, pairs_filter: np.ndarray,
                 keys, of = np.unique(words.keys[words.text], return_inverse=True)
                 for key, count in zip(keys.view(np.int64).tolist(), np.bincount(of, minlength=len(keys)).tolist(), strict=True):
                     totals[key] = totals.get(key, 0) + count
-                linked = words.joined.copy()
-                at = words.whole(2)
-                linked[at] = _passes(pairs_filter, words.prints(at, 2))
-                for n in held:
-                    at = words.whole(n, linked)
-                    h = words.prints(at, n)
-                    if n == 1:
-                        known = _passes(words_filter, h)
-                        at, h = at[known], h[known]
+                for n, filter_ in enumerate(filters, 1):
+                    at, h = words.passing(n, filter_)
                     held[n].append((h, words.other_prints(at, n), marks[i + words.text[at]]))
                     sizes[n] += len(at)
                     if sizes[n] >= HELD:
@@ -244,9 +241,10 @@ def phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     lang, text = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     own = docs.select(F.xxhash64(F.col(id_col), lang, text).alias("mark"), F.xxhash64(lang).alias("key"), text.alias("text"))
     langs = Stored(docs.select(lang.alias("lang")).distinct().select("lang", F.xxhash64("lang").alias("key")), "languages").df
-    words_filter = fixed_filter(_counts(own, 1, None, least, bits), "h")
-    pairs_filter = fixed_filter(_counts(own, 2, words_filter, least, bits), "h")
-    found = _found(own, words_filter, pairs_filter, max_words, least, bits)
+    filters: list[np.ndarray] = []
+    for n in range(1, max_words + 1):
+        filters.append(fixed_filter(_counts(own, n, filters[-1] if filters else None, least, bits), "h"))
+    found = _found(own, filters, least, bits)
     totals = found.filter("n = 0").select(F.col("h").alias("key"), F.col("f").alias("n_words")).join(langs, "key").select("lang", "n_words")
     return _materialised(own, langs, found, bits), totals
 

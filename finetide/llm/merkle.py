@@ -164,9 +164,9 @@ def _placed(docs: DataFrame, id_col: str, source_col: str, digests: dict[str, Co
     """(tree, at, n, id, digests) per row: a source's tree is named by the place of its first row."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), *[c.alias(k) for k, c in digests.items()])
     rows = with_position(Stored(rows, "leaves").df, ["source", "id", "digest"], "place")
-    sources = Stored(rows.groupBy("source").agg(F.min("place").alias("tree"), F.count("*").alias("n")), "sources").df
-    joined = rows.join(sources.withColumnRenamed("source", "own"), F.col("source").eqNullSafe(F.col("own")))
-    return Stored(joined.select("tree", (F.col("place") - F.col("tree")).alias("at"), "n", "id", "source", *digests), "placed-leaves").df
+    sources = rows.groupBy(F.col("source").alias("own")).agg(F.min("place").alias("tree"), F.count("*").alias("n"))
+    joined = rows.join(sources, F.col("source").eqNullSafe(F.col("own")))  # both from the stored order
+    return joined.select("tree", (F.col("place") - F.col("tree")).alias("at"), "n", "id", "source", *digests)
 
 
 def proofs(

@@ -39,6 +39,16 @@ def bad_value(df: DataFrame, order_col: str) -> DataFrame:
     return counted.limit(1).select(F.coalesce(F.col(order_col).cast("string"), F.lit("null")).alias("_bad"))
 
 
-def deduplicate(df: DataFrame, order_col: str, key: str | None = None) -> DataFrame:
-    """Keep the row with the lowest ``order_col`` (unique, not null) of each text."""
-    return df.join(first_rows(df, order_col, key), order_col, "left_semi")
+def deduplicate(df: DataFrame, order_col: str, key: str | None = None, threshold: float | None = None) -> DataFrame:
+    """Keep the row with the lowest ``order_col`` (unique, not null) of each text, or with a
+    ``threshold`` of each group of near copies (see :mod:`finetide.operators.near_dedup`)."""
+    return df.join(kept_rows(df, order_col, key, threshold), order_col, "left_semi")
+
+
+def kept_rows(df: DataFrame, order_col: str, key: str | None = None, threshold: float | None = None) -> DataFrame:
+    """The order values of the rows that :func:`deduplicate` keeps."""
+    if threshold is None:
+        return first_rows(df, order_col, key)
+    from finetide.operators.near_dedup import near_first_rows
+
+    return near_first_rows(df, order_col, threshold, key)

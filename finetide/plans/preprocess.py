@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from finetide.errors import DataError
-from finetide.operators.dedup import first_rows
+from finetide.operators.dedup import kept_rows
 from finetide.operators.filters import apply_filters
 from finetide.operators.normalize import normalize_columns
 from finetide.operators.positions import cap_rows
@@ -24,14 +24,15 @@ def preprocess(
     filters: Filters = Filters(),
     split: SplitSpec = SplitSpec(),
 ) -> DataFrame:
-    """Rows that pass, first of each text, with their ``split``. One lazy plan.
+    """Rows that pass, first of each text, with their ``split``. One lazy plan, unless near copies
+    are asked for, whose groups are found in jobs of their own.
 
     The filter runs before duplicates are looked for: a filtered row must not claim a text.
     The exchange of (digest, order value) pairs is the same subplan wherever it is needed,
     so Spark runs it once. The texts are shuffled at most once, on the order column.
     """
     rows = normalize_columns(df, method, dataset or DatasetSpec(path=""), order_col)
-    kept = first_rows(apply_filters(rows, filters, method), order_col)
+    kept = kept_rows(apply_filters(rows, filters, method), order_col, threshold=filters.similarity)
     cut = split_cut(kept, order_col, split)
     # Rows in ``kept`` have passed both tests. Repeating the length test is cheap and spares
     # the join the long texts; repeating the quality test would cost more than it spares.

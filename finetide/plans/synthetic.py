@@ -87,6 +87,6 @@ def synthetic_dataset(
         return cached
     rows = generate_cached(spec, seeds, plug_in, cache_root, base_model, **options)
     if filters is not None:
-        rows = deduplicate(apply_filters(rows, filters, method), "id")
+        rows = deduplicate(apply_filters(rows, filters, method), "id", threshold=filters.similarity)
     save_splits(split_exact(rows, "id", split), cache_dir, method)
     return load_splits(spark, cache_dir)

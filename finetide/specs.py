@@ -24,8 +24,9 @@ def is_preference(method: str) -> bool:
 class Filters:
     min_length: int = 10
     max_length: int = 4096
-    dedup_threshold: float = 0.95  # accepted for compatibility; duplicates are exact
+    dedup_threshold: float = 0.95  # the similarity of near copies; without ``near_copies`` duplicates are exact
     min_quality_score: float = 0.0
+    near_copies: bool = False  # also drop texts that are similar by ``dedup_threshold``
 
     def __post_init__(self) -> None:
         if self.min_length < 1 or self.max_length < 1:
@@ -34,6 +35,11 @@ class Filters:
             if not 0.0 <= getattr(self, name) <= 1.0:
                 raise DataError(f"{name} must be between 0 and 1", f"filters.{name}")
 
+    @property
+    def similarity(self) -> float | None:
+        """The similarity from which texts count as copies; None: only equal ones do."""
+        return self.dedup_threshold if self.near_copies else None
+
 
 @dataclass(frozen=True)
 class SplitSpec:

@@ -112,9 +112,23 @@ def kept(source: str, id_col: str, texts: list[str], key: str, low: int = 10, hi
             select min({id_col}) from ({source}) where {test} group by sha256({norm(key)}))"""
 
 
+def near_kept(source: str, threshold: float) -> str:
+    """The least id of each group of texts linked by all pairs of similar shingle sets."""
+    shingle = "list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))"
+    return f"""
+        with recursive w as (select doc_id, {words(norm('text'))} as w from ({source})),
+        g as (select doc_id, list_distinct({shingle}) as g from w),
+        x as (select doc_id, len(g) as n, unnest(g) as s from g),
+        p as (select a.doc_id as a, b.doc_id as b from x a join x b on a.s = b.s and a.doc_id <> b.doc_id
+              group by a.doc_id, b.doc_id, a.n, b.n having count(*) / (a.n + b.n - count(*))::double >= {threshold}::double),
+        r as (select doc_id as a, doc_id as b from w union select r.a, p.b from r join p on r.b = p.a)
+        select a as doc_id from r group by a having min(b) = a"""
+
+
 SFT_KEPT = kept(DOCS, "doc_id", ["text"], "text")
 MERGED = f"select row_id, prompt || chr(10) || response as text from ({PAIR})"
 MERGED_PAIRS = f"select row_id, prompt || chr(10) || response as text from ({PAIRS})"
+NEAR_SOURCE = "select doc_id, text from documents where length(text) between 20 and 20000"
 SFT_SPLIT = split(SFT_KEPT, "doc_id", "doc_id, text")
 SINGLE = f"""
     select id, 'Instruction: ' || sha256(p) || chr(10) || 'Response: ok' as text, length(p) as tokens
@@ -187,6 +201,8 @@ ORACLES: dict[str, str] = {
     "filter_dpo": f"select row_id from ({PREFERENCE}) where "
     + " and ".join(passes(c, 60, 4096, 0.6) for c in ("prompt", "chosen", "rejected")),
     "dedup_text": f"{DOCS} where doc_id in (select min(doc_id) from documents group by sha256({norm('text')}))",
+    "dedup_approx": near_kept(DOCS, 0.8),
+    "preprocess_near": split(near_kept(NEAR_SOURCE, 0.85), "doc_id", "doc_id"),
     "dedup_prompt": f"""select row_id, prompt from ({PREFERENCES}) where row_id in
         (select min(row_id) from ({PREFERENCES}) group by sha256({norm('prompt')}))""",
     "row_position": "select doc_id, lang, row_number() over (order by doc_id) - 1 as position from documents",

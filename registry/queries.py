@@ -179,6 +179,19 @@ def dedup_text(spark, d):
     return deduplicate(fx.sft(spark, d), "doc_id")
 
 
+@query
+def dedup_approx(spark, d):
+    """The first of each group of near copies."""
+    return deduplicate(fx.sft(spark, d), "doc_id", threshold=0.8).select("doc_id")
+
+
+@query
+def preprocess_near(spark, d):
+    """The main plan with near copies removed at the configured similarity."""
+    filters = Filters(min_length=20, max_length=20_000, dedup_threshold=0.85, near_copies=True)
+    return preprocess(fx.sft(spark, d), "doc_id", filters=filters).select("doc_id", "split")
+
+
 @query
 def dedup_prompt(spark, d):
     return deduplicate(fx.copied_preference(spark, d), "row_id").select("row_id", "prompt")

@@ -1,9 +1,11 @@
-"""The split cache: Parquet by split, a manifest written last, and its content address."""
+"""The split cache: Parquet by split, published by a manifest, and its content address."""
 
 from __future__ import annotations
 
 import hashlib
 import json
+import time
+import uuid
 from dataclasses import asdict
 from typing import Any
 
@@ -16,7 +18,8 @@ from finetide.sources import paths
 from finetide.sources.sinks import storable
 from finetide.specs import SPLIT_NAMES, DatasetSpec, Filters, SplitSpec
 
-MANIFEST_SCHEMA = "hash string, method string, splits array<string>, format string, cache_key string"
+#: Hours for which folders that no manifest names any more are kept.
+KEEP_HOURS = 24.0
 
 
 def address(payload: dict[str, Any]) -> str:
@@ -47,46 +50,89 @@ def data_cache_key(
     return address(payload)
 
 
-def _places(cache_dir: str) -> tuple[str, str, str]:
-    root = cache_dir.rstrip("/")
-    return f"{root}/data", f"{root}/manifest", root.rsplit("/", 1)[-1]
+class Versions:
+    """Numbered manifests in a folder, each of which names data folders beside it.
+
+    Data are written into fresh folders and become visible with their manifest, which is published
+    only if its number is free. So readers see whole data only, what they have opened stays as it is,
+    and of two writers that started from the same number one wins and the other takes its manifest.
+    """
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def newest(self) -> int:
+        names = paths.listed(self.spark, f"{self.root}/manifests")
+        return max((int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[:1] != "."), default=0)
+
+    def read(self, number: int) -> dict[str, Any] | None:
+        """A manifest's entries, or None if there is none or it is no JSON object."""
+        if not number:
+            return None
+        try:
+            entry = json.loads(paths.read_text(self.spark, f"{self.root}/manifests/{number:08d}.json"))
+        except ValueError:
+            return None
+        return entry if isinstance(entry, dict) else None
+
+    def fresh(self, kind: str) -> str:
+        """The name of a folder no one else writes."""
+        return f"{kind}-{uuid.uuid4().hex}"
+
+    def publish(self, number: int, entry: dict[str, Any]) -> bool:
+        return paths.publish_text(self.spark, json.dumps(entry, sort_keys=True), f"{self.root}/manifests/{number:08d}.json")
+
+    def sweep(self, kept: list[str], keep_hours: float = KEEP_HOURS) -> None:
+        """Removes folders that are neither in ``kept`` nor changed of late: those of replaced
+        versions and of writers that died. Rows opened before stay readable until then."""
+        before = time.time() - 3600 * keep_hours
+        for name, changed in paths.listed(self.spark, self.root).items():
+            if name != "manifests" and name not in kept and changed < before:
+                paths.remove(self.spark, f"{self.root}/{name}")
 
 
 def save_splits(df: DataFrame, cache_dir: str, method: str, cache_key: str | None = None) -> str:
-    """Write the splits and return their fingerprint.
+    """Write the splits and return the cache's fingerprint.
 
-    The old manifest goes first and the new one comes last, so a reader never meets a
-    half-written cache. The plan runs once: the fingerprint is taken during the write.
+    A cache that is there is replaced for later readers. If another writer publishes meanwhile, its
+    rows stay, these go, and its fingerprint is returned: under one address both are the same. The
+    plan runs once: the fingerprint is taken during the write.
     """
     spark = df.sparkSession
-    data, manifest, name = _places(cache_dir)
-    paths.remove(spark, manifest)
+    versions = Versions(spark, cache_dir)
+    number = versions.newest() + 1
+    folder = versions.fresh("data")
+    data = f"{versions.root}/{folder}"
     rows, fingerprint = fingerprinted(checked_splits(storable(df)))
-    rows.write.mode("overwrite").partitionBy("split").parquet(data)
+    rows.write.partitionBy("split").parquet(data)
     # A train or validation part without rows leaves no folder, but it is a split all the same.
     names = [n for n in SPLIT_NAMES if n != "test" or paths.exists(spark, f"{data}/split={n}")]
     content_hash = fingerprint()
-    entry = (content_hash, method, names, "parquet", cache_key or name)
-    spark.createDataFrame([entry], MANIFEST_SCHEMA).coalesce(1).write.json(manifest)
+    key = cache_key or versions.root.rsplit("/", 1)[-1]
+    entry = {"hash": content_hash, "method": method, "splits": names, "format": "parquet", "cache_key": key, "data": folder}
+    if not versions.publish(number, entry):
+        paths.remove(spark, data)
+        return versions.read(versions.newest())["hash"]
+    versions.sweep([folder])
     return content_hash
 
 
 def is_cached(spark: SparkSession, cache_dir: str) -> bool:
-    """Whether both the data and the manifest have been written to the end."""
-    data, manifest, _ = _places(cache_dir)
-    return paths.exists(spark, f"{manifest}/_SUCCESS") and paths.exists(spark, f"{data}/_SUCCESS")
+    """Whether a version has been published."""
+    return Versions(spark, cache_dir).newest() > 0
 
 
 def load_splits(spark: SparkSession, cache_dir: str, expected_hash: str | None = None) -> DataFrame | None:
     """The cached rows with their ``split``, or None on any doubt about the cache."""
-    data, manifest, name = _places(cache_dir)
-    if not is_cached(spark, cache_dir):
+    versions = Versions(spark, cache_dir)
+    entry = versions.read(versions.newest())
+    if entry is None or (entry.get("cache_key") and entry["cache_key"] != versions.root.rsplit("/", 1)[-1]):
         return None
-    entry = spark.read.schema(MANIFEST_SCHEMA).json(manifest).head()
-    if entry is None or (entry["cache_key"] and entry["cache_key"] != name):
+    if expected_hash and entry.get("hash") != expected_hash:
         return None
-    if expected_hash and entry["hash"] != expected_hash:
+    folder, splits = entry.get("data"), entry.get("splits")
+    if not isinstance(folder, str) or "/" in folder or not splits or set(splits) - set(SPLIT_NAMES):
         return None
-    if not entry["splits"] or set(entry["splits"]) - set(SPLIT_NAMES):
+    if not paths.exists(spark, f"{versions.root}/{folder}/_SUCCESS"):
         return None
-    return spark.read.parquet(data).filter(F.col("split").isin(entry["splits"]))
+    return spark.read.parquet(f"{versions.root}/{folder}").filter(F.col("split").isin(splits))

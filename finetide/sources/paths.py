@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,45 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def listed(spark: SparkSession, folder: str) -> dict[str, float]:
+    """What lies directly in a folder: names with the seconds since 1970 of their last change."""
+    files, target = _target(spark, folder)
+    if not files.exists(target):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() / 1000.0 for s in files.listStatus(target)}
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, target = _target(spark, path)
+    stream = files.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, text: str, path: str) -> bool:
+    """A small file that is there as a whole or not at all, written only if no one else has; tells
+    whether it was. Of several writers the file system's rename lets one win."""
+    folder, name = path.rsplit("/", 1)
+    draft = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    files, target = _target(spark, draft)
+    stream = files.create(target, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    no_options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(files.makeQualified(target), files.makeQualified(jvm.org.apache.hadoop.fs.Path(path)), no_options)
+    except Py4JJavaError as error:
+        files.delete(target, False)
+        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    return True
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with scheme and without relative parts, as Spark itself would name it."""
     files, target = _target(spark, path)

@@ -159,10 +159,44 @@ def test_cache_roundtrip_and_misses(spark, tmp_path):
     save_splits(df, other, "sft", cache_key="key3")
     assert load_splits(spark, other) is None
 
-    paths.remove(spark, f"{cache}/manifest/_SUCCESS")
+    paths.remove(spark, f"{cache}/manifests/00000002.json")
+    put(tmp_path, f"{os.path.basename(cache)}/manifests/00000003.json", "half a manif")
     assert load_splits(spark, cache) is None
 
 
+def test_two_writers_and_a_reader_that_holds_rows(spark, tmp_path, monkeypatch):
+    from finetide.plans import cache as module
+
+    cache = str(tmp_path / "shared")
+    one, other = (split_exact(spark.range(n).withColumn("by", F.lit(n)), "id") for n in (20, 30))
+    first = save_splits(one, cache, "sft")
+    held = load_splits(spark, cache)
+    # The second writer starts from the same version as a third one, which publishes before it.
+    real, began = module.fingerprinted, []
+
+    def slow(df):
+        if not began:
+            began.append(True)
+            began.append(save_splits(other, cache, "sft"))
+        return real(df)
+
+    monkeypatch.setattr(module, "fingerprinted", slow)
+    assert save_splits(split_exact(spark.range(50).withColumn("by", F.lit(50)), "id"), cache, "sft") == began[1] != first
+    now = load_splits(spark, cache, began[1])
+    assert {r["by"] for r in now.collect()} == {30} and now.count() == 30
+    assert sorted(r["id"] for r in held.collect()) == list(range(20))
+    folders = lambda: sorted(n for n in os.listdir(cache) if n.startswith("data-"))
+    assert len(folders()) == 2  # the loser's rows are gone, the replaced ones not yet
+    module.Versions(spark, cache).sweep([now.inputFiles()[0].split("/")[-3]], keep_hours=0)
+    assert len(folders()) == 1 and load_splits(spark, cache).count() == 30
+
+
+def test_a_manifest_is_published_once(spark, tmp_path):
+    target = f"{tmp_path}/m/1.json"
+    assert paths.publish_text(spark, "é one", target) and not paths.publish_text(spark, "two", target)
+    assert paths.read_text(spark, target) == "é one" and set(paths.listed(spark, f"{tmp_path}/m")) == {"1.json"}
+
+
 def test_cache_of_one_row_keeps_an_empty_validation(spark, tmp_path):
     cache = str(tmp_path / "one")
     save_splits(split_exact(spark.range(1), "id"), cache, "sft")

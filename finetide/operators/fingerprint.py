@@ -37,8 +37,11 @@ def _ordered(c: Column, kind: DataType) -> Column:
     return c
 
 
-def _row_hash(df: DataFrame) -> Column:
-    return F.sha2(F.concat_ws("|", *[_cell(df, name) for name in sorted(df.columns)]), 256)
+def row_hash(df: DataFrame, more: dict[str, Column] | None = None) -> Column:
+    """The hash of a row, as if it also had the text columns ``more``."""
+    cells = {name: _cell(df, name) for name in df.columns}
+    cells |= {name: F.concat(F.length(c).cast("string"), F.lit(":"), c) for name, c in (more or {}).items()}
+    return F.sha2(F.concat_ws("|", *[cells[name] for name in sorted(cells)]), 256)
 
 
 def _sums(row: str) -> list[Column]:
@@ -55,7 +58,7 @@ def content_fingerprint(df: DataFrame) -> DataFrame:
     Rows are hashed where they lie and the hashes are added up, so neither row order nor
     partitioning matters and only sums are shuffled. ``split``, if present, counts in.
     """
-    sums = df.select(_row_hash(df).alias("row")).agg(*_sums("row"))
+    sums = df.select(row_hash(df).alias("row")).agg(*_sums("row"))
     return sums.select("n_rows", short_hash(F.concat_ws(":", "n_rows", "low", "high")).alias("fingerprint"))
 
 
@@ -66,7 +69,7 @@ def fingerprinted(df: DataFrame) -> tuple[DataFrame, Callable[[], str]]:
     They belong to the tasks that write, whose results count once however often they run.
     """
     seen = Observation()
-    watched = df.withColumn("_row_hash", _row_hash(df)).observe(seen, *_sums("_row_hash")).drop("_row_hash")
+    watched = df.withColumn("_row_hash", row_hash(df)).observe(seen, *_sums("_row_hash")).drop("_row_hash")
 
     def result() -> str:
         sums = seen.get

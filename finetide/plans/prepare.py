@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from finetide.plans.appended import Prepared
 from finetide.plans.cache import data_cache_key, is_cached, load_splits, save_splits
 from finetide.plans.estimate import plan_estimate
 from finetide.plans.preprocess import filters_of, preprocess_dataset
@@ -33,10 +34,14 @@ def prepare(
     filters: Filters | None = None,
     split: SplitSpec = SplitSpec(),
     generation: GenerationSpec | None = None,
+    appending: bool = False,
 ) -> DataFrame:
     """The dataset's splits as stored rows. The main plan runs only if there is no whole
-    cache of the same settings and source."""
+    cache of the same settings and source. ``appending``: the source is a folder that gains files,
+    of which only new ones are read (see :mod:`finetide.plans.appended`); the rows are the same."""
     filters = filters_of(filters, generation)
+    if appending:
+        return Prepared(spark, dataset, order_col, cache_root, method, filters, split).refreshed()
     cache = cache_dir_of(spark, dataset, method, cache_root, filters, split, order_col)
     stored = load_splits(spark, cache)
     if stored is not None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -9,7 +11,7 @@ from pyspark.sql.types import StructType
 from finetide.errors import DataError
 from finetide.functions.text import is_blank, strip
 from finetide.operators.positions import with_position
-from finetide.sources.paths import exists, leaf_files
+from finetide.sources.paths import exists, is_file, leaf_files
 from finetide.specs import DatasetSpec
 
 # The file names looked for under a dataset root, in this order.
@@ -17,7 +19,7 @@ CANDIDATE_FILES = ("train.jsonl", "data.jsonl", "train.csv", "validation.jsonl")
 
 
 def read_jsonl(
-    spark: SparkSession, path: str | list[str], schema: StructType | str | None = None, schema_mode: str = "union"
+    spark: SparkSession, path: str | list[str], schema: StructType | str | None = None, schema_mode: str = "union", **options: str
 ) -> DataFrame:
     """JSON lines; blank lines are skipped and a malformed one fails the query.
 
@@ -26,7 +28,7 @@ def read_jsonl(
     """
     if schema_mode not in ("union", "first_row"):
         raise DataError(f"unknown schema mode {schema_mode!r}", "schema_mode")
-    reader = spark.read.option("mode", "FAILFAST")
+    reader = spark.read.option("mode", "FAILFAST").options(**options)
     rows = (reader.schema(schema) if schema is not None else reader).json(path)
     return rows.select(*_first_record_keys(spark, path)) if schema_mode == "first_row" else rows
 
@@ -45,13 +47,13 @@ def _first_record_keys(spark: SparkSession, path: str) -> list[str]:
     raise DataError(f"no record in {path}", "dataset.path")
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], multiline: bool = False, **options: str) -> DataFrame:
     """CSV with a header; every cell is a string and an empty or missing one is ``''``.
 
     Spark splits the files unless ``multiline`` is asked for, which quoted line breaks need and
     which reads each file in one task. Cells beyond the header's are dropped.
     """
-    rows = spark.read.csv(path, header=True, multiLine=multiline, quote='"', escape='"', inferSchema=False)
+    rows = spark.read.options(**options).csv(path, header=True, multiLine=multiline, quote='"', escape='"', inferSchema=False)
     return rows.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns])
 
 
@@ -90,6 +92,21 @@ def load(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     return spread(read_parquet(spark, spec.path), spec.partitions)
 
 
+def load_files(spark: SparkSession, spec: DatasetSpec, paths: list[str]) -> DataFrame:
+    """Some of a dataset's files, with the columns that the folders between give."""
+    if spec.format == "candidates":
+        spec = first_candidate(spark, spec.path)
+    named = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]
+    base = {"basePath": spec.path} if not is_file(spark, spec.path) else {}
+    if spec.format == "jsonl":
+        rows = read_jsonl(spark, named, spec.schema, **base)
+    elif spec.format == "csv":
+        rows = read_csv(spark, named, spec.multiline, **base)
+    else:
+        rows = spark.read.options(**base).parquet(*named)
+    return spread(rows, spec.partitions)
+
+
 def read_lines(spark: SparkSession, path: str, name: str = "value") -> DataFrame:
     """Lines in file order as (idx, line), stripped, without blank ones; no path, no lines.
 

@@ -19,6 +19,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    files, target = _target(spark, path)
+    return files.exists(target) and files.getFileStatus(target).isFile()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     files, target = _target(spark, path)
     files.delete(target, True)

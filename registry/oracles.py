@@ -246,6 +246,7 @@ ORACLES: dict[str, str] = {
     "cache_roundtrip": SFT_SPLIT,
     "prepare_cached": f"select doc_id, lang, split from ({split(kept('select * from documents', 'doc_id', ['text'], 'text'), 'doc_id', '*')})",
     "prepare_refreshed": f"select doc_id, lang, split from ({split(kept('select * from documents', 'doc_id', ['text'], 'text'), 'doc_id', '*')})",
+    "prepare_appended": f"select doc_id, lang, split from ({split(kept('select * from documents', 'doc_id', ['text'], 'text'), 'doc_id', '*')})",
     "trainer_export": f"select {strip('text')} as text, split from ({SFT_SPLIT}) where {strip('text')} <> ''",
     "columnar_handoff": SFT_SPLIT,
     "cache_key": """select source, lang, substr(sha256('{"dataset":{"format":"jsonl","path":"' || source || '/' || lang

@@ -383,6 +383,18 @@ def prepare_refreshed(spark, d):
     return prepare(spark, spec, "doc_id", root).select("doc_id", "lang", "split")
 
 
+@query
+def prepare_appended(spark, d):
+    """A folder that gains files twice, earlier rows among the later ones; each file is read once."""
+    source, root = scratch_path(spark, "source"), scratch_path(spark, "prepared")
+    docs = fx.table(spark, d, "documents").select("doc_id", "text", "lang")
+    spec = DatasetSpec(path=source, schema="doc_id bigint, text string, lang string")
+    for part in (1, 2, 0):
+        sinks.write_jsonl(docs.filter(f"doc_id % 3 = {part}"), source, "append")
+        rows = prepare(spark, spec, "doc_id", root, appending=True)
+    return rows.select("doc_id", "lang", "split")
+
+
 @query
 def trainer_export(spark, d):
     out = scratch_path(spark, "trainer")

@@ -5,6 +5,7 @@ from finetide import DataError, DatasetSpec, Filters
 from finetide.functions.text import digest
 from finetide.operators.dedup import deduplicate
 from finetide.operators.split import split_by_fraction
+from finetide.sources import paths
 from finetide.sources.sinks import write_csv, write_jsonl
 from finetide.streaming import preprocess as st
 
@@ -88,6 +89,49 @@ def test_written_once_within_a_delay(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [0, 9]
 
 
+def test_earlier_output_is_not_read(spark, tmp_path):
+    """What was written may be gone: the state alone tells which texts have been seen."""
+    path, out, progress = landing(spark, tmp_path, rows(spark).filter("id < 300")), str(tmp_path / "out"), str(tmp_path / "p")
+
+    def run():
+        st.write_deduplicated(st.read_stream(spark, path, SCHEMA, max_files=2), "id", out, progress).awaitTermination()
+        return {bytes(r["digest"]) for r in spark.read.parquet(out).collect()}
+
+    first = run()
+    paths.remove(spark, out)
+    landing(spark, tmp_path, rows(spark).filter("id >= 100"))
+    second = run()
+    want = {bytes(r[0]) for r in deduplicate(rows(spark), "id").select(digest(F.col("text"))).collect()}
+    assert second and not first & second and first | second == want
+    # Pairs and answers of the last two batches stay, for a repeated batch.
+    kept = [n for n in paths.listed(spark, f"{progress}/digests/new")]
+    assert len(kept) <= 2
+
+
+def test_a_repeated_batch_finds_its_answer(spark, tmp_path):
+    """A batch that failed after its digests entered the state gives the same rows again."""
+    path, out, progress = landing(spark, tmp_path, rows(spark), 2), str(tmp_path / "out"), str(tmp_path / "p")
+    seen = st.Seen(f"{progress}/digests", "id", None)
+    batch = st._with_digest(spark.read.schema(SCHEMA).json(path))
+    pairs = batch.groupBy("digest").agg(F.min("id").alias("id"))
+    want = sorted(r["id"] for r in seen.new(pairs, 0).collect())
+    assert want == sorted(r["id"] for r in deduplicate(rows(spark), "id").collect())
+    st.write_deduplicated(st.read_stream(spark, path, SCHEMA), "id", out, progress).awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == want
+
+
+def test_late_rows_are_kept_within_a_delay(spark, tmp_path):
+    """A batch older than the ones before it loses nothing but copies."""
+    out, progress = str(tmp_path / "out"), str(tmp_path / "p")
+    batches = [[(1, "one text", 100)], [(2, "one text", 101), (3, "other text", 5)], [(4, "other text", 6), (5, "third text", 1)], [(6, "one text", 200)]]
+    for batch in batches:
+        df = spark.createDataFrame(batch, "id long, text string, h long").select("id", "text", F.timestamp_seconds(F.col("h") * 3600).alias("ts"))
+        path = landing(spark, tmp_path, df, 1)
+        stream = st.read_stream(spark, path, SCHEMA + ", ts timestamp")
+        st.write_deduplicated(stream, "id", out, progress, (), "ts", "2 hours").awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 3, 5, 6]
+
+
 def test_no_python_in_the_stream_plan(spark, tmp_path):
     path = landing(spark, tmp_path, rows(spark))
     stream = st.deduplicate_stream(st.preprocess_stream(st.read_stream(spark, path, SCHEMA), "id"))
@@ -126,5 +170,11 @@ def test_csv_stream_and_unknown_format(spark, tmp_path):
     stream = st.read_stream(spark, path, "id string, text string", "csv")
     got = drain(spark, stream, tmp_path)
     assert got.count() == 900 and got.filter("text = ''").count() == 1
+    broken = str(tmp_path / "broken")
+    write_csv(spark.createDataFrame([(1, "two\nlines")], SCHEMA), broken)
+    stream = st.read_stream(spark, broken, "id string, text string", "csv", multiline=True)
+    folder = tmp_path / "more"
+    folder.mkdir()
+    assert [r["text"] for r in drain(spark, stream, folder).collect()] == ["two\nlines"]
     with pytest.raises(DataError, match="orc"):
         st.read_stream(spark, path, SCHEMA, "orc")

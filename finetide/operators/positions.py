@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -21,24 +23,101 @@ from finetide.session import scratch_path
 def with_position(df: DataFrame, order_by: str | Sequence[str], name: str = "position") -> DataFrame:
     """Add the 0-based rank of each row by ``order_by``, whose values must be unique."""
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    spark = df.sparkSession
-    path = scratch_path(spark, "ordered")
+    path = scratch_path(df.sparkSession, "ordered")
     df.orderBy(*order).write.parquet(path)
+    rows = _stored_rows(df.sparkSession.read.schema(df.schema).parquet(path))
+    return rows.join(_offsets(rows), "_pos_file").select(*df.columns, (F.col("_pos_offset") + F.col("_pos_index")).alias(name))
+
+
+def _stored_rows(stored: DataFrame) -> DataFrame:
+    """Rows of sorted files with their file and their place in it."""
     part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("bigint")
-    stored = spark.read.schema(df.schema).parquet(path)
-    rows = stored.select(
-        *df.columns,
-        part.alias("_pos_part"),
-        F.col("_metadata.file_name").alias("_pos_file"),
-        F.col("_metadata.row_index").alias("_pos_index"),
-    )
-    # One row per written file, so this window stays small.
-    sizes = rows.groupBy("_pos_part", "_pos_file").agg(F.count("*").alias("_pos_n"))
+    place = [F.col("_metadata.file_name").alias("_pos_file"), F.col("_metadata.row_index").alias("_pos_index")]
+    return stored.select(*stored.columns, part.alias("_pos_part"), *place)
+
+
+def _offsets(rows: DataFrame, *more: Column) -> DataFrame:
+    """Per file the rows in the files before it. One row per file, so the window stays small."""
+    sizes = rows.groupBy("_pos_part", "_pos_file").agg(F.count("*").alias("_pos_n"), *more)
     before = Window.partitionBy(F.lit(0)).orderBy("_pos_part", "_pos_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pos_file", F.coalesce(F.sum("_pos_n").over(before), F.lit(0)).alias("_pos_offset"))
-    return rows.join(offsets, "_pos_file").select(
-        *df.columns, (F.col("_pos_offset") + F.col("_pos_index")).alias(name)
-    )
+    kept = [c for c in sizes.columns if c not in ("_pos_part", "_pos_file", "_pos_n")]
+    return sizes.select("_pos_file", "_pos_n", F.coalesce(F.sum("_pos_n").over(before), F.lit(0)).alias("_pos_offset"), *kept)
+
+
+class PositionIndex:
+    """A table stored in its order, with a line per file: rows before it, rows in it, first and last
+    order value. Built once by one range sort; a look-up then opens only the files that hold the
+    positions or values it asks for.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        self.rows = spark.read.parquet(f"{self.path}/rows")
+        # A line per file: Spark's own file list, which lies on the driver too, is longer.
+        self.files = spark.read.parquet(f"{self.path}/files").orderBy("_pos_offset").collect()
+
+    @classmethod
+    def build(cls, df: DataFrame, order_by: str, path: str) -> PositionIndex:
+        """Stores ``df`` in the order of ``order_by`` (unique) under ``path``, with its index."""
+        root = path.rstrip("/")
+        df.orderBy(order_by).write.parquet(f"{root}/rows")
+        rows = _stored_rows(df.sparkSession.read.parquet(f"{root}/rows"))
+        ends = [F.min(order_by).alias("first"), F.max(order_by).alias("last")]
+        _offsets(rows, *ends).coalesce(1).write.parquet(f"{root}/files")
+        return cls(df.sparkSession, root)
+
+    def __len__(self) -> int:
+        return sum(f["_pos_n"] for f in self.files)
+
+    def _opened(self, names: set[str]) -> DataFrame:
+        """The rows of some files, with their positions."""
+        if not names:
+            empty = self.spark.createDataFrame([], self.rows.schema)
+            return empty.withColumn("_position", F.lit(0).cast("bigint"))
+        stored = self.spark.read.schema(self.rows.schema).parquet(*[f"{self.path}/rows/{n}" for n in sorted(names)])
+        offset = F.create_map(*[F.lit(x) for f in self.files if f["_pos_file"] in names for x in (f["_pos_file"], f["_pos_offset"])])
+        place = offset[F.col("_metadata.file_name")] + F.col("_metadata.row_index")
+        return stored.select(*stored.columns, place.alias("_position"))
+
+    def row_at(self, index: int) -> DataFrame:
+        """The row at a position, counted from the end if negative; reads one file."""
+        index = index + len(self) if index < 0 else index
+        held = [f for f in self.files if f["_pos_offset"] <= index < f["_pos_offset"] + f["_pos_n"]]
+        if not held:
+            raise DataError(f"position out of range: {index}", "position")
+        return self._opened({held[0]["_pos_file"]}).filter(F.col("_position") == index).drop("_position")
+
+    def between(self, start: int, end: int) -> DataFrame:
+        """The rows from position ``start`` up to ``end``, as a slice gives them."""
+        start, end, _ = slice(start, end).indices(len(self))
+        names = {f["_pos_file"] for f in self.files if f["_pos_offset"] < end and f["_pos_offset"] + f["_pos_n"] > start}
+        return self._opened(names).filter(F.col("_position").between(start, end - 1)).drop("_position")
+
+    def numbered(self, name: str = "position") -> DataFrame:
+        """All rows with their positions."""
+        rows = _stored_rows(self.rows)
+        lines = self.spark.read.parquet(f"{self.path}/files").select("_pos_file", "_pos_offset")
+        return rows.join(lines, "_pos_file").select(*self.rows.columns, (F.col("_pos_offset") + F.col("_pos_index")).alias(name))
+
+    def gather(self, indices: DataFrame, ordinal: str, index: str) -> DataFrame:
+        """The rows at the given positions, one per request, duplicates and negatives allowed.
+
+        The files that are asked for are found first; a position outside the table fails the query.
+        """
+        total = len(self)
+        position = F.when(F.col(index) < 0, F.col(index) + total).otherwise(F.col(index)).cast("bigint")
+        message = F.concat(F.lit("position out of range: "), F.col(index).cast("string"))
+        checked = F.when(position.between(0, total - 1), position).otherwise(F.raise_error(message).cast("bigint"))
+        requests = indices.select(F.col(ordinal), checked.alias("_position"))
+        starts = np.array([f["_pos_offset"] for f in self.files], np.int64)
+
+        @F.pandas_udf("int")
+        def file_of(places: pd.Series) -> pd.Series:
+            return pd.Series(np.searchsorted(starts, places.to_numpy(), side="right") - 1)
+
+        asked = requests.select(file_of("_position").alias("at")).distinct()
+        names = {self.files[r["at"]]["_pos_file"] for r in asked.collect()}  # a number per file at most
+        return requests.join(self._opened(names), "_position").drop("_position")
 
 
 #: Ranges counted per round of a cap, and the rows that are few enough to rank.

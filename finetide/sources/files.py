@@ -124,6 +124,12 @@ def read_lines(spark: SparkSession, path: str, name: str = "value") -> DataFrame
     return ranked.select("idx", name)
 
 
+def read_numbered(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines with ``line``, their number over all files in the order of their names."""
+    lines = read_lines(spark, path)
+    return lines.select(F.col("idx").alias("line"), F.from_json("value", schema, {"mode": "FAILFAST"}).alias("row")).select("line", "row.*")
+
+
 def count_rows(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     """One row, ``n_rows``. Reads no cell values: lines for JSONL, footers for Parquet."""
     if not exists(spark, spec.path):

@@ -68,6 +68,12 @@ def publish_text(spark: SparkSession, text: str, path: str) -> bool:
     return True
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    files, source = _target(spark, path)
+    if not files.rename(source, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"could not move {path} to {target}")
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with scheme and without relative parts, as Spark itself would name it."""
     files, target = _target(spark, path)

@@ -213,6 +213,9 @@ ORACLES: dict[str, str] = {
         l as (select doc_id as ordinal, case when quality = 1 then doc_id
                 else (select count(*) from documents) - 1 - doc_id end as position from labels)
         select ordinal, doc_id, n_chars from l join p using (position)""",
+    "select_indexed": """with p as (select event_id, user_id, row_number() over (order by event_id) - 1 as at_row, count(*) over () as n from events),
+        o as (select o_orderkey, o_orderstatus, o_orderkey::bigint % (select count(*) from events) as place from orders)
+        select o_orderkey, event_id, user_id from o join p on at_row = case when o_orderstatus = 'F' then n - 1 - place else place end""",
     "capped_scan": "select event_id, user_id, event_type from events order by event_id limit 5000",
     "eval_sample": sample(32),
     "eval_sample_large": """select event_id, props as text from events
@@ -248,6 +251,8 @@ ORACLES: dict[str, str] = {
     "prepare_refreshed": f"select doc_id, lang, split from ({split(kept('select * from documents', 'doc_id', ['text'], 'text'), 'doc_id', '*')})",
     "prepare_appended": f"select doc_id, lang, split from ({split(kept('select * from documents', 'doc_id', ['text'], 'text'), 'doc_id', '*')})",
     "trainer_export": f"select {strip('text')} as text, split from ({SFT_SPLIT}) where {strip('text')} <> ''",
+    "trainer_export_ordered": f"""select row_number() over (partition by split order by doc_id) - 1 as line, {strip('text')} as text, split
+        from ({SFT_SPLIT}) where {strip('text')} <> ''""",
     "columnar_handoff": SFT_SPLIT,
     "cache_key": """select source, lang, substr(sha256('{"dataset":{"format":"jsonl","path":"' || source || '/' || lang
         || '.jsonl"},"method":"sft","train_split":0.9}'), 1, 16) as cache_key

@@ -16,7 +16,7 @@ from finetide.operators import catalog, evaluation, generation, normalize as sha
 from finetide.operators.dedup import deduplicate
 from finetide.operators.filters import apply_filters, length_between, with_quality
 from finetide.operators.fingerprint import content_fingerprint as fingerprint_of, split_stats as stats_of
-from finetide.operators.positions import batch_of, cap_rows, gather, with_position
+from finetide.operators.positions import PositionIndex, batch_of, cap_rows, gather, with_position
 from finetide.operators.split import sample_texts, split_by_fraction, split_by_ids, split_exact as split_rows
 from finetide.plans.cache import load_splits, save_splits
 from finetide.plans.evaluate import evaluate_run
@@ -221,6 +221,17 @@ def select_positions(spark, d):
     return gather(docs, "doc_id", picks, "ordinal", "pick")
 
 
+@query
+def select_indexed(spark, d):
+    """An event per order by position, through a stored index: the order's number, and the same
+    from the end where the order is finished."""
+    events = fx.table(spark, d, "events").select("event_id", "user_id")
+    index = PositionIndex.build(events, "event_id", scratch_path(spark, "indexed"))
+    place = F.col("o_orderkey").cast("bigint") % len(index)
+    pick = F.when(F.col("o_orderstatus") == "F", -1 - place).otherwise(place)
+    return index.gather(fx.table(spark, d, "orders").select("o_orderkey", pick.alias("pick")), "o_orderkey", "pick")
+
+
 @query
 def capped_scan(spark, d):
     return cap_rows(fx.table(spark, d, "events").select("event_id", "user_id", "event_type"), "event_id", ROW_CAP)
@@ -403,6 +414,15 @@ def trainer_export(spark, d):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def trainer_export_ordered(spark, d):
+    """Trainer files in document order, read back line by line."""
+    out = scratch_path(spark, "trainer")
+    paths = sinks.write_trainer_layout(stored_splits(spark, d), out, batch_size=4, order_col="doc_id")
+    parts = [files.read_numbered(spark, p, "text string").withColumn("split", F.lit(n)) for n, p in paths.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def columnar_handoff(spark, d):
     out = scratch_path(spark, "handoff")

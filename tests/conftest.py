@@ -33,6 +33,14 @@ def duck():
     return con
 
 
+@pytest.fixture
+def many_files(spark):
+    """As at scale, small shuffle partitions are not joined: sorted tables have several files."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

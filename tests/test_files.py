@@ -137,6 +137,40 @@ def test_trainer_layout(spark, tmp_path):
     assert sinks.trainer_texts(prompts.filter("prompt = 'b'")).collect() == [("b",)]
 
 
+@pytest.mark.parametrize("records", [0, 7])
+def test_trainer_files_keep_the_order(spark, tmp_path, many_files, records):
+    """Lines follow the order column over many files, whatever the partitioning of the rows."""
+    rows = spark.range(500).select(F.col("id"), F.format_string(" row %d\n", F.col("id") * 7 % 500).alias("text"), (F.col("id") * 7 % 500).alias("place"))
+    rows = rows.withColumn("text", F.when(F.col("place") % 11 == 0, " ").otherwise(F.col("text")))
+    splits = split_exact(rows, "id", SplitSpec(0.8, 1)).repartition(5)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", records)
+    try:
+        out = sinks.write_trainer_layout(splits, str(tmp_path / "t"), order_col="place")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    held = {r["place"] for r in splits.filter("split = 'validation'").collect()}
+    for name, want in (("train", set(range(500)) - held), ("validation", held)):
+        got = [r["text"] for r in files.read_numbered(spark, out[name], "text string").orderBy("line").collect()]
+        assert got == [f"row {k}" for k in sorted(want) if k % 11]
+        plain = [json.loads(line)["text"] for f in sorted(os.listdir(out[name])) if f.startswith("part-") for line in open(f"{out[name]}/{f}")]
+        assert plain == got
+    assert len(os.listdir(out["train"])) > 2 and set(os.listdir(tmp_path / "t")) == {"train.jsonl", "valid.jsonl"}
+    folders = sinks.hand_off(splits, str(tmp_path / "h"), order_col="place")
+    import pyarrow.parquet as pq
+
+    for path in folders.values():
+        found = [x for f in sorted(os.listdir(path)) if f.endswith(".parquet") for x in pq.ParquetFile(f"{path}/{f}").read()["place"].to_pylist()]
+        assert found == sorted(found)
+
+
+def test_trainer_files_replace_and_may_be_empty(spark, tmp_path):
+    out = str(tmp_path / "t")
+    sinks.write_trainer_layout(spark.createDataFrame([("a", "train"), ("b", "validation")], "text string, split string"), out)
+    paths_of = sinks.write_trainer_layout(spark.createDataFrame([("c", "train"), (" ", "validation")], "text string, split string"), out)
+    read = lambda p: [r["text"] for r in files.read_jsonl(spark, p, "text string").collect()]
+    assert read(paths_of["train"]) == ["c"] and read(paths_of["validation"]) == []
+
+
 def test_jsonl_keeps_nulls(spark, tmp_path):
     path = str(tmp_path / "n")
     sinks.write_jsonl(spark.createDataFrame([(1, None)], "a int, b string"), path)

@@ -177,3 +177,35 @@ def test_few_large_seeds_share_their_requests(spark, monkeypatch):
     monkeypatch.setattr(gen, "SEED_SHARE", 10)
     got = gen.assign_seeds(gen.seed_table(spark, ["a", "b", "c"]), 500, []).collect()
     assert sorted((r["id"], r["seed"]) for r in got) == [(i, "abc"[i % 3]) for i in range(500)]
+
+
+def test_position_index(spark, tmp_path, many_files):
+    rows = spark.range(1000).select((F.col("id") * 37 % 1000).alias("k"), F.concat(F.lit("v"), (F.col("id") * 37 % 1000).cast("string")).alias("v"))
+    index = pos.PositionIndex.build(rows.repartition(8), "k", str(tmp_path / "index"))
+    again = pos.PositionIndex(spark, str(tmp_path / "index"))
+    assert len(again) == 1000 and len(again.files) > 1
+    assert index.row_at(617).collect() == [(617, "v617")] and index.row_at(-1).collect() == [(999, "v999")]
+    for bad in (1000, -1001):
+        with pytest.raises(DataError, match="out of range"):
+            index.row_at(bad)
+    # A look-up opens the one file that holds the position, a slice those it touches.
+    assert len(index.row_at(617).inputFiles()) == 1 < len(index.rows.inputFiles())
+    first = index.files[0]["_pos_n"]
+    assert len(index.between(0, first).inputFiles()) == 1 and len(index.between(first - 1, first + 1).inputFiles()) == 2
+    assert sorted(r["k"] for r in index.between(-5, 10_000).collect()) == list(range(995, 1000))
+    assert index.between(5, 5).collect() == []
+    assert sorted(map(tuple, index.numbered("p").select("p", "k").collect())) == [(i, i) for i in range(1000)]
+    picks = spark.createDataFrame([(i, (i * 31) % 1000 if i % 2 else -1 - i) for i in range(300)], "o long, at long")
+    got = {r["o"]: r["k"] for r in index.gather(picks, "o", "at").collect()}
+    assert got == {i: (i * 31) % 1000 if i % 2 else 999 - i for i in range(300)}
+    near = spark.createDataFrame([(i, i % 3) for i in range(20)], "o long, at long")
+    assert len([f for f in index.gather(near, "o", "at").inputFiles() if "/index/rows/" in f]) == 1
+    with pytest.raises(PySparkException, match="out of range: 1000"):
+        index.gather(spark.createDataFrame([(0, 1000)], "o long, at long"), "o", "at").collect()
+
+
+def test_position_index_of_an_empty_table(spark, tmp_path):
+    index = pos.PositionIndex.build(spark.range(0), "id", str(tmp_path / "index"))
+    assert len(index) == 0 and index.numbered().collect() == [] and index.between(0, 5).collect() == []
+    requests = spark.createDataFrame([], "o long, at long")
+    assert index.gather(requests, "o", "at").collect() == []

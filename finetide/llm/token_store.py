@@ -4,30 +4,32 @@ The table is range-sorted by id and encoded in the sorted tasks, so each file ho
 and the files' names are in id order. Ids are integer lists, which ORC stores by run-length
 encoding in stripes that tasks read in parallel; row indexes and a Bloom filter on the document
 id let a look-up skip stripes and row groups by their metadata. Each row also keeps the number
-of ids before it in its file; a file's own start is the sum of the files before it.
+of ids its task wrote before it; a task's own start is the sum of the tasks before it.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import sys
+import types
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from finetide.llm.store import Stored
+from finetide.llm.textcodes import text_parts
 
 END_ID = 2
-#: Words in a generation of a worker's memory, words encoded at once, and texts encoded at once.
+#: Words in a generation of a worker's memory, and words encoded at once.
 REMEMBERED = 400_000
 LEARNED = 1000
-TEXTS = 200
 #: Marks that a unit may end with.
 MARKS = ".,;:!?#$%&*|"
 ORC_OPTIONS = {
@@ -40,19 +42,64 @@ ORC_OPTIONS = {
 }
 
 
-#: White space other than the space and the line end.
-_OTHER_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: White space other than the space and the line end, as it starts in UTF-8: single bytes, and pairs
+#: of bytes of which not all are white space, so that some texts are encoded whole without need.
+_OTHER_BLANKS = np.zeros(256, dtype=bool)
+_OTHER_BLANKS[[9, 11, 12, 13, 28, 29, 30, 31]] = True
+_BLANK_PAIRS = np.array([0xC285, 0xC2A0, 0xE19A, 0xE280, 0xE281, 0xE380])
+#: Third bytes after E2 80 that make white space.
+_BLANK_THIRDS = np.zeros(256, dtype=bool)
+_BLANK_THIRDS[[*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF]] = True
+
+
+def cuts_at_blanks(tokenizer) -> bool:
+    """Whether a tokenizer cuts texts before a space and around a line end, whatever is beside."""
+    settings = json.loads(tokenizer.to_str())
+    cutter = settings.get("pre_tokenizer") or {}
+    whole = settings.get("normalizer") or settings.get("truncation") or settings.get("padding")
+    plain = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
+    tokens = settings.get("added_tokens") or []
+    odd = any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or any(c.isspace() for c in t["content"]) for t in tokens)
+    return bool(plain and not whole and not odd)
+
+
+def plain_texts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Which texts have single spaces and line ends between words for all their white space."""
+    n = len(data)
+    bad = np.zeros(n + 1, np.int64)
+    if n:
+        blank = (data == 32) | (data == 10)
+        odd = _OTHER_BLANKS[data]
+        pair = np.zeros(n, bool)
+        pair[:-1] = np.isin(data[:-1].astype(np.int64) * 256 + data[1:], _BLANK_PAIRS)
+        e280 = np.flatnonzero(pair & (data == 0xE2))
+        e280 = e280[(data[e280 + 1] == 0x80) & (e280 + 2 < n)]
+        pair[e280] = _BLANK_THIRDS[data[e280 + 2]]
+        odd |= pair
+        odd[:-1] |= blank[:-1] & blank[1:]
+        edges = np.concatenate([off[:-1], off[1:] - 1])
+        edges = edges[(edges >= 0) & (edges < n)]
+        odd[edges] |= blank[edges]
+        np.cumsum(odd, out=bad[1:])
+    return (bad[off[1:]] == bad[off[:-1]]) & (off[1:] > off[:-1])
+
+
+def gathered(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """pool[start : start + size] of each span, one after the other."""
+    ends = np.cumsum(sizes)
+    return pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
 
 
 class Encoder:
     """A tokenizer that remembers words.
 
-    The byte-level pre-tokenizer cuts before a space and around a line end that stand alone, so
-    where those are the only white space a text's ids are those of its units: a word with the
-    space before it, or one with the line end before it. It also cuts between a letter and the
-    marks behind it, so a new unit's word and marks are encoded apart. Other texts are encoded
-    whole. Of two generations of units the older is forgotten when the newer is full, so units in
-    use stay.
+    Where the pre-tokenizer cuts before a space and around a line end that stand alone, and these are
+    all the white space of a text, its ids are those of its units: a word with the space before it,
+    or one with the line end before it. Arrow splits the texts and numbers the different units, so
+    Python sees each unit once per part of the texts, and numpy puts the ids together. Byte-level
+    pre-tokenizers also cut between a letter and the marks behind it, so a new unit's word and marks
+    are encoded apart. Other texts, and all texts of other tokenizers, are encoded whole. Of two
+    generations of units the older is forgotten when the newer is full, so units in use stay.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
@@ -62,7 +109,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.line_end = self.ids("\n")
-        self.line_id = int(np.frombuffer(self.line_end, dtype="<u4")[0])
+        self.by_unit = cuts_at_blanks(self.tokenizer) and len(self.line_end) == 4
+        self.line_id = int(np.frombuffer(self.line_end, dtype="<u4")[0]) if self.by_unit else -1
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
@@ -97,61 +145,79 @@ class Encoder:
                     self.marks[tail] = self.ids(tail)
                 self.known[unit] = self.known[core] + self.marks[tail]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [("\n" + t).replace("\n", " \n").split(" ")[1:] if _plain(t) else None for t in texts]
-        units: set[str] = set()
-        for own in split:
-            if own:
-                units.update(own)
-        self._learn(units)
-        get = self.known.__getitem__
-        skip = len(self.line_end)
-        return [self.ids(t) if own is None else b"".join(map(get, own))[skip:] for t, own in zip(texts, split, strict=True)]
-
-
-def _plain(text: str) -> bool:
-    """Whether single spaces and line ends between words are all the white space of a text."""
-    return not (
-        not text or "  " in text or "\n\n" in text or " \n" in text or "\n " in text
-        or text[0] in " \n" or text[-1] in " \n" or _OTHER_BLANKS.search(text)
-    )
+    def _by_unit(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of each text, all ids) of plain texts."""
+        # A line end is put before each text, whose id is left out at the end.
+        marked = pc.replace_substring(pc.binary_join_element_wise("\n", texts, ""), "\n", " \n")
+        lists = pc.split_pattern(marked, " ")
+        units = lists.flatten().dictionary_encode()
+        values = units.dictionary.to_pylist()
+        self._learn({u for u in values if u})
+        raw = [self.known[u] if u else b"" for u in values]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        pool, starts = np.frombuffer(b"".join(raw), dtype="<u4"), np.cumsum(sizes) - sizes
+        codes = units.indices.to_numpy(zero_copy_only=False)
+        ids = gathered(pool, starts[codes], sizes[codes])
+        before = np.concatenate([[0], np.cumsum(sizes[codes])])
+        off = lists.offsets.to_numpy(zero_copy_only=False) - lists.offsets[0].as_py()
+        keep = np.ones(len(ids), bool)
+        keep[before[off[:-1]]] = False
+        return np.diff(before[off]) - 1, ids[keep]
+
+    def encode(self, texts: pa.Array, end_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids of each text, all ids), of some neighbouring texts at a time, with ``end_id`` after each text."""
+        for i, j, data, off in text_parts(texts):
+            part = texts.slice(i, j - i)
+            plain = plain_texts(data, off) if self.by_unit else np.zeros(j - i, bool)
+            odd = np.flatnonzero(~plain & (off[1:] > off[:-1]))
+            sizes = np.zeros(j - i, np.int64)
+            ids, whole = np.zeros(0, "<u4"), []
+            if plain.any():
+                sizes[plain], ids = self._by_unit(part.filter(pa.array(plain)))
+            if len(odd):
+                whole = [np.frombuffer(self.ids(t), "<u4") for t in part.take(pa.array(odd)).to_pylist()]
+                sizes[odd] = [len(w) for w in whole]
+            starts = np.concatenate([[0], np.cumsum(sizes + 1)])
+            out = np.full(starts[-1], end_id, dtype="<u4")
+            places = starts[:-1][plain]
+            out[gathered(np.arange(len(out)), places, sizes[plain])] = ids
+            for k, w in zip(odd.tolist(), whole, strict=True):
+                out[starts[k] : starts[k] + len(w)] = w
+            yield sizes + 1, out
 
 
 def encoder_of(path: str, remembered: int) -> Encoder:
     """The worker process's encoder, which lives on from task to task where Spark reuses workers.
 
-    Functions reach workers by value with globals of their own, so it hangs on a module they share.
+    Functions reach workers by value with globals of their own, so it is kept in a module made for it.
     """
-    kept = sys.modules["tokenizers"].__dict__.setdefault("_kept_encoders", {}) if "tokenizers" in sys.modules else {}
+    kept = sys.modules.setdefault("_finetide_kept", types.ModuleType("_finetide_kept")).__dict__.setdefault("encoders", {})
     if (path, remembered) not in kept:
-        encoder = Encoder(path, remembered)
-        kept = sys.modules["tokenizers"].__dict__.setdefault("_kept_encoders", {})
-        kept[path, remembered] = encoder
+        kept[path, remembered] = Encoder(path, remembered)
     return kept[path, remembered]
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> None:
     """Encodes the whole texts of ``docs``, appends ``end_id`` to each, and writes ORC files under ``path``.
 
-    Rows are in ascending id order, null first, rows of one id by their text. A null text reads as
-    empty and has the end id alone. An empty table writes no row. A worker remembers up to twice
-    ``remembered`` words, at about 200 bytes each.
+    Rows are in ascending id order, null first, rows of one id by a hash of their text, so that rows
+    of one id may lie in several files. A null text reads as empty and has the end id alone. An empty
+    table writes no row. A worker remembers up to twice ``remembered`` words, at about 200 bytes each.
     """
-    kept = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    ordered = kept.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    kept = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("mark", F.xxhash64("text"))
+    order = ["doc_id", "mark", "text"]
+    ordered = kept.repartitionByRange("doc_id", "mark").sortWithinPartitions(*order).drop("mark")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = encoder_of(tokenizer_path, remembered), 0
-        tail = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for i in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(i, TEXTS)
-                coded = [c + tail for c in encoder.encode(part.column(1).to_pylist())]
-                sizes = np.array([len(c) // 4 for c in coded], np.int64)
+            row = 0
+            for sizes, ids in encoder.encode(batch.column(1), end_id):
                 off = np.concatenate([[0], np.cumsum(sizes)])
-                values = pa.array(np.frombuffer(b"".join(coded), dtype="<u4").astype(np.int32))
-                tokens = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), values)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(before + off[:-1]), tokens], names=["doc_id", "before", "tokens"])
+                tokens = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids.view("<i4")))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(sizes)), pa.array(before + off[:-1]), tokens], names=["doc_id", "before", "tokens"])
+                row += len(sizes)
                 before += int(off[-1])
 
     kind = kept.schema["doc_id"].dataType.simpleString()
@@ -164,8 +230,13 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 
 def token_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) per row, from the files under ``path``."""
-    stored = read_tokens(spark, path).select("doc_id", "before", "tokens", F.col("_metadata.file_name").alias("file"))
+    """(doc_id, start, n_tokens, ids_crc32) per row, from the files under ``path``.
+
+    Ids are counted through each writing task, whose number is in its files' names, so it does not
+    matter into how many files a task's rows were cut.
+    """
+    task = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("bigint").alias("task")
+    stored = read_tokens(spark, path).select("doc_id", "before", "tokens", task)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,12 +246,12 @@ def token_digests(spark: SparkSession, path: str) -> DataFrame:
             crc = np.fromiter((zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(off, off[1:], strict=False)), dtype=np.int64, count=len(off) - 1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(3), pa.array(np.diff(off).astype(np.int64)), pa.array(crc)],
-                names=["doc_id", "before", "file", "n_tokens", "ids_crc32"],
+                names=["doc_id", "before", "task", "n_tokens", "ids_crc32"],
             )
 
     kind = stored.schema["doc_id"].dataType.simpleString()
-    rows = Stored(stored.mapInArrow(run, f"doc_id {kind}, before bigint, file string, n_tokens bigint, ids_crc32 bigint"), "digests").df
-    files = rows.groupBy("file").agg(F.max(F.col("before") + F.col("n_tokens")).alias("n"))  # a row per file
-    ahead = F.sum("n").over(W.partitionBy(F.lit(0)).orderBy("file").rowsBetween(W.unboundedPreceding, -1))
-    starts = files.select("file", F.coalesce(ahead, F.lit(0)).alias("ahead"))
-    return rows.join(starts, "file").select("doc_id", (F.col("ahead") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+    rows = Stored(stored.mapInArrow(run, f"doc_id {kind}, before bigint, task bigint, n_tokens bigint, ids_crc32 bigint"), "digests").df
+    tasks = rows.groupBy("task").agg(F.max(F.col("before") + F.col("n_tokens")).alias("n"))  # a row per task
+    ahead = F.sum("n").over(W.partitionBy(F.lit(0)).orderBy("task").rowsBetween(W.unboundedPreceding, -1))
+    starts = tasks.select("task", F.coalesce(ahead, F.lit(0)).alias("ahead"))
+    return rows.join(starts, "task").select("doc_id", (F.col("ahead") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")

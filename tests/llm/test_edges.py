@@ -145,12 +145,33 @@ def test_mixing(docs, empty):
     assert all(r["taken"] <= 2 * r["size"] for r in rows)
     assert mixing.mix(empty).count() == 0
     taken = mixing.mixed_documents(docs)
-    assert taken.columns == docs.columns
+    assert taken.columns == docs.columns and taken.exceptAll(docs.union(docs)).count() == 0
     words = taken.select(F.sum(F.size(mixing.words(F.col("text"))))).first()[0]
-    assert words == sum(r["taken"] for r in rows)
+    assert abs(words - sum(r["taken"] for r in rows)) <= max(r["size"] for r in rows)
     assert mixing.mixed_documents(empty).count() == 0
 
 
+@pytest.mark.parametrize("ranked", [20_000, 5])
+def test_mixing_takes_whole_documents_and_orders_ties(spark, monkeypatch, ranked):
+    """A source of symbols only, whose keys are far apart, and one of null ids, all of one key."""
+    monkeypatch.setattr(mixing, "RANKED_ROWS", ranked)
+    monkeypatch.setattr(mixing, "BUCKETS", 7)
+    rows = [(i, "### $$$ " * (1 + i % 3), "marks") for i in range(300)]
+    rows += [(None, f"words of text {i} " * (1 + i % 4), "nameless") for i in range(300)]
+    rows += [(1000 + i, "plain words " * 20, "plain") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).join(docs.select("doc_id", "source").distinct(), "doc_id").groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"))
+    assert all(abs(r["taken"] - r["target"]) <= 1 for r in got.collect())
+    taken = mixing.mixed_documents(docs)
+    assert taken.exceptAll(docs.union(docs)).count() == 0
+    target = {r["source_size"]: r["target"] for r in mixing.mix(docs).collect()}
+    sums = docs.groupBy("source").agg(F.sum(F.size(mixing.words(F.col("text")))).alias("n"))
+    words = taken.groupBy("source").agg(F.sum(F.size(mixing.words(F.col("text")))).alias("words")).join(sums, "source").collect()
+    assert len(words) == 3 and all(abs(r["words"] - target[r["n"]]) <= 40 for r in words)
+    plan = [sorted(map(str, mixing.mixed_documents(d).collect())) for d in (docs, docs.repartition(7))]
+    assert plan[0] == plan[1]
+
+
 def test_mixing_shares_ties(spark):
     docs = spark.createDataFrame([(1, "a b c d", "x")] * 6 + [(2, "a b", "y")], "doc_id long, text string, source string")
     rows = mixing.mix(docs).collect()

@@ -52,7 +52,7 @@ def _items(items: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, fps, places, lists = [], [], [], []
+            keys, fps, places, least, lists = [], [], [], [], []
             for sequence, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 raw = [w.encode() for w in words]
                 data = np.frombuffer(b"".join(raw), np.uint8)
@@ -65,12 +65,15 @@ def _items(items: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
                     at = np.flatnonzero(winnowed(grams, np.array([0, len(words)]), K, WINDOW)).tolist()
                 keys += [sequence] * len(at)
                 fps += [int(x) for x in grams[at].view(np.int64)]
-                places += at
-                lists += [words] * len(at)
-            columns = [pa.array(keys, pa.string()), pa.array(fps, pa.int64()), pa.array(places, pa.int32()), pa.array(lists, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["sequence", "fp", "at", "words"])
-
-    found = classes.mapInArrow(prints, "sequence string, fp bigint, at int, words array<string>")
+                # A hit is extended by a window to each side at most: the words beyond stay behind.
+                heads = [max(0, p - SPAN) for p in at]
+                places += [p - h for p, h in zip(at, heads, strict=True)]
+                least += [min(SPAN, len(words))] * len(at)
+                lists += [words[h : p + K + SPAN] for p, h in zip(at, heads, strict=True)]
+            columns = [pa.array(keys, pa.string()), pa.array(fps, pa.int64()), pa.array(places, pa.int32()), pa.array(least, pa.int32()), pa.array(lists, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["sequence", "fp", "at", "least", "words"])
+
+    found = classes.mapInArrow(prints, "sequence string, fp bigint, at int, least int, words array<string>")
     return Stored(found, "item-prints").df, named.select("sequence", "item_id")
 
 
@@ -121,7 +124,7 @@ def _extended(joined: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, sequences, los, his = [], [], [], []
-            for row, at, before, text, sequence, place, item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for row, at, before, text, sequence, place, least, item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = text.split(" ")
                 lo, k = before, place
                 while lo > 0 and k > 0 and words[lo - 1] == item[k - 1]:
@@ -129,7 +132,7 @@ def _extended(joined: DataFrame) -> DataFrame:
                 hi, k = before, place
                 while hi < len(words) and k < len(item) and words[hi] == item[k]:
                     hi, k = hi + 1, k + 1
-                if hi > before and hi - lo >= min(SPAN, len(item)):
+                if hi > before and hi - lo >= least:
                     rows.append(row)
                     sequences.append(sequence)
                     los.append(at - before + lo)
@@ -150,22 +153,22 @@ def contamination(
     document's words inside any occurrence of a window, spans are their joint (lo, hi) word
     ranges, item_ids the items that have occurring windows, sorted as strings. Null and empty
     texts have no words and hit nothing; items without words never occur; a null item id counts
-    under the name "null"; repeated rows are counted each; an empty benchmark hits nothing.
+    under the name "null"; items of one id count as one; repeated documents are counted each; an empty benchmark hits nothing.
     """
     prints, named = _items(items, item_id_col, item_text_col)
     mask = (1 << FILTER_BITS) - 1
-    slots = [r[0] for r in prints.select(F.shiftright("fp", 1).bitwiseAND(F.lit(mask))).distinct().collect()]
-    lengths = prints.filter(F.size("words") < SPAN).select(F.size("words")).distinct()
+    slots = prints.select(F.shiftright("fp", 1).bitwiseAND(F.lit(mask)).alias("slot")).distinct().toArrow().column(0).to_numpy()
+    lengths = prints.filter(F.col("least") < SPAN).select("least").distinct()
     short = sorted(r[0] for r in lengths.collect())  # at most twelve
-    rows = Stored(_hits(docs, id_col, text_col, np.array(slots, np.int32), short), "document-prints").df
+    rows = Stored(_hits(docs, id_col, text_col, slots, short), "document-prints").df
     hits = rows.filter(F.size("hits") > 0).select("row", F.explode("hits").alias("hit"))
-    right = prints.select("fp", "sequence", F.col("at").alias("place"), F.col("words").alias("item"))
-    joined = hits.select("row", "hit.*").join(right, "fp").select("row", "at", "before", "words", "sequence", "place", "item")
+    right = prints.select("fp", "sequence", F.col("at").alias("place"), "least", F.col("words").alias("item"))
+    joined = hits.select("row", "hit.*").join(right, "fp").select("row", "at", "before", "words", "sequence", "place", "least", "item")
     found = Stored(_extended(joined).distinct(), "extended").df
     covered = found.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("parts")).select("row", _union("parts"))
     ids = named.select("sequence", F.coalesce("item_id", F.lit("null")).alias("item_id"))
     items_of = found.select("row", "sequence").distinct().join(ids, "sequence")
-    items_of = items_of.groupBy("row").agg(F.sort_array(F.collect_list("item_id")).alias("item_ids"))
+    items_of = items_of.groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
     marked = covered.join(items_of, "row")
     out = rows.select("row", "id", "n_words").join(marked, "row", "left")
     empty = F.array().cast("array<struct<lo:bigint,hi:bigint>>")

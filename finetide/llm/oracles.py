@@ -23,7 +23,7 @@ DECONTAMINATION = f"""
     hit as (select doc_id, item_id, n, k from dw join iw using (n, win)),
     pos as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(k, k + n)) as p from hit) group by doc_id),
     its as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
-            from (select distinct doc_id, item_id::varchar as item from hit) group by doc_id)
+            from (select distinct doc_id, coalesce(item_id::varchar, 'null') as item from hit) group by doc_id)
     select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
            sha256(coalesce(items, '')) as items_sha256,
            coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from finetide.llm.bitfilter import fixed_filter, passes
 from finetide.llm.store import Stored
 from finetide.llm.textcodes import U64, lowered, mixed, owner, span_hashes, spans, text_parts
 
@@ -35,9 +36,8 @@ LEAST_COUNT = 10
 INSIDE = 50
 TOP = 2000
 UNKNOWN = "und"
-#: Slots of a filter, as a power of two; Spark's bitmaps hold 2 ** 15.
+#: Bits of a filter, as a power of two.
 FILTER_BITS = 25
-_BITMAP_BITS = 15
 #: N-grams that a task holds before it adds them up, and rows it hands on at once.
 HELD = 1_500_000
 ROWS = 200_000
@@ -79,7 +79,7 @@ class Words:
         """First words and first fingerprints of the n-grams that pass."""
         at = self.whole(n)
         h = self.prints(at, n)
-        ok = _passes(filter_, h)
+        ok = passes(filter_, h)
         return at[ok], h[ok]
 
     def prints(self, at: np.ndarray, n: int) -> np.ndarray:
@@ -94,24 +94,6 @@ class Words:
         return b" ".join(raw).decode()
 
 
-def _passes(filter_: np.ndarray, prints: np.ndarray) -> np.ndarray:
-    slots = prints & U64((1 << FILTER_BITS) - 1)
-    return (filter_[slots >> U64(3)] >> (slots & U64(7)).astype(np.uint8)) & 1 > 0
-
-
-def fixed_filter(rows: DataFrame, name: str) -> np.ndarray:
-    """A bit for each slot that some value of the column falls in; 2 ** FILTER_BITS bits, whatever the rows."""
-    slot = F.col(name).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    bitmap = rows.groupBy(F.shiftright(slot, _BITMAP_BITS).alias("at")).agg(
-        F.bitmap_construct_agg(slot.bitwiseAND(F.lit((1 << _BITMAP_BITS) - 1))).alias("bits")
-    )
-    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    size = 1 << (_BITMAP_BITS - 3)
-    for at, bits in bitmap.collect():
-        out[at * size : (at + 1) * size] = np.frombuffer(bits, np.uint8)
-    return out
-
-
 def _word_parts(batch: pa.RecordBatch, bits: int) -> Iterator[tuple[int, Words]]:
     """(first row, its words) of some rows of (mark, key, text) at a time."""
     keys = batch.column(1).to_numpy(zero_copy_only=False).view(U64)
@@ -196,12 +178,12 @@ def _found(docs: DataFrame, filters: list[np.ndarray], least: int, bits: int) ->
 def _materialised(docs: DataFrame, langs: DataFrame, found: DataFrame, bits: int) -> DataFrame:
     """(lang, n, phrase, f): each fingerprint read in the text it points to."""
     grams = found.filter("n > 0")
-    pointed = fixed_filter(grams, "mark")
+    pointed = fixed_filter(grams, "mark", FILTER_BITS)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = batch.column(0).to_numpy(zero_copy_only=False).view(U64)
-            yield batch.filter(pa.array(_passes(pointed, marks)))
+            yield batch.filter(pa.array(passes(pointed, marks)))
 
     texts = docs.mapInArrow(kept, docs.schema)
     wanted = grams.groupBy("mark").agg(F.collect_list(F.struct("n", "h", "g", "f")).alias("wanted"))
@@ -243,7 +225,7 @@ def phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     langs = Stored(docs.select(lang.alias("lang")).distinct().select("lang", F.xxhash64("lang").alias("key")), "languages").df
     filters: list[np.ndarray] = []
     for n in range(1, max_words + 1):
-        filters.append(fixed_filter(_counts(own, n, filters[-1] if filters else None, least, bits), "h"))
+        filters.append(fixed_filter(_counts(own, n, filters[-1] if filters else None, least, bits), "h", FILTER_BITS))
     found = _found(own, filters, least, bits)
     totals = found.filter("n = 0").select(F.col("h").alias("key"), F.col("f").alias("n_words")).join(langs, "key").select("lang", "n_words")
     return _materialised(own, langs, found, bits), totals

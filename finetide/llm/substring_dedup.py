@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from finetide.llm.bitfilter import fixed_filter, passes
 from finetide.llm.store import Stored
 from finetide.llm.textcodes import WORD_BYTES, gram_hashes, lowered, owner, span_hashes, spans, text_parts, winnowed
 
@@ -34,6 +35,8 @@ LEAST_WORDS = 25
 #: piece is longer than the window.
 CUT_WINDOW = 12
 LONG_SENTENCE = CUT_WINDOW
+#: Bits of the filter of shared runs, as a power of two.
+FILTER_BITS = 27
 _OTHER_BASE = 0xA0761D6478BD642F
 _STOPS = np.zeros(256, dtype=bool)
 _STOPS[[33, 46, 63]] = True
@@ -116,14 +119,19 @@ def text_runs(low: np.ndarray, off: np.ndarray, least: int) -> tuple[np.ndarray,
     return of, a - first[of], b - first[of], h, g, again
 
 
-def runs(docs: DataFrame, least: int) -> DataFrame:
-    """(id, a, b, h, g, again) for every run of every text."""
+def runs(docs: DataFrame, least: int, shared: np.ndarray | None = None) -> DataFrame:
+    """(id, a, b, h, g, again) for every run of every text, or with a filter for those that pass it
+    or repeat one before in their text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for i, _, data, off in text_parts(batch.column(1)):
-                of, a, b, h, g, again = text_runs(lowered(data), off, least)
+                found = text_runs(lowered(data), off, least)
+                if shared is not None:
+                    kept = passes(shared, found[3]) | found[5]
+                    found = tuple(x[kept] for x in found)
+                of, a, b, h, g, again = found
                 columns = [ids.take(pa.array(of + i)), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(h), pa.array(g), pa.array(again)]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "a", "b", "h", "g", "again"])
 
@@ -136,6 +144,8 @@ def repeated(docs: DataFrame, least: int) -> DataFrame:
     found = runs(docs, least)
     shared = found.groupBy("h", "g").agg(F.min("id").alias("keeper"), F.max("id").alias("last"))
     shared = Stored(shared.filter("keeper < last").select("h", "g", "keeper"), "shared-runs").df
+    # Of the runs only those that may be shared are shuffled a second time.
+    found = runs(docs, least, fixed_filter(shared, "h", FILTER_BITS))
     later = found.select("id", "a", "b", "h", "g").join(shared, ["h", "g"]).filter("id > keeper").select("id", "a", "b")
     inside = found.filter("again").select("id", "a", "b")
     return later.union(inside).groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias("parts"))

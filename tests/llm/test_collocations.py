@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from finetide.llm import collocations
+from finetide.llm.bitfilter import fixed_filter, passes
 
 SCHEMA = "doc_id long, text string, lang string, h string, g string, n string, mark string, key string, phrase string, a string, l string, rank string"
 
@@ -85,6 +86,6 @@ def test_filter_has_a_bit_for_every_value(spark):
     import numpy as np
 
     values = [0, 1, 7, 8, -1, 1 << 40, -(1 << 62), 123_456_789_012]
-    bits = collocations.fixed_filter(spark.createDataFrame([(v,) for v in values], "v long"), "v")
-    assert collocations._passes(bits, np.array(values, np.int64).view(np.uint64)).all()
-    assert not collocations._passes(bits, np.array([2, 9, 1 << 20], np.uint64)).any()
+    bits = fixed_filter(spark.createDataFrame([(v,) for v in values], "v long"), "v", 25)
+    assert passes(bits, np.array(values, np.int64)).all()
+    assert not passes(bits, np.array([2, 9, 1 << 20], np.uint64)).any()

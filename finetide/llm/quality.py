@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finetide.llm.store import Stored, bounded_sample, held_out
+from finetide.llm.store import Stored, bounded_sample, held_out, one_each
 from finetide.llm.textcodes import INK_BYTES, gram_hashes, lowered, owner, span_hashes, spans, sums, text_parts
 
 #: A document is rejected when its posterior of being good is below this.
@@ -124,21 +124,22 @@ def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
     most_rows: int = 20000,
 ) -> Classifier:
-    """A classifier from at most ``most_rows`` labelled rows that are not held out, chosen by a hash of the id."""
+    """A classifier from at most ``most_rows`` labelled rows that are not held out, chosen by a hash of the id, one of each id."""
     named = labels.filter(~held_out(id_col)).select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
     named = named.filter("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
     named = named.join(bounded_sample(named.select("id"), most_rows), "id")
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = own.join(F.broadcast(named), "id").select("text", "label")  # at most most_rows ids
+    rows = own.join(F.broadcast(named), "id").select("id", "text", F.xxhash64("text").alias("mark"), "label")  # at most most_rows ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [statistics(data, off) for _, _, data, off in text_parts(batch.column(0))]
+            found = [statistics(data, off) for _, _, data, off in text_parts(batch.column(1))]
             if found:
                 values = pa.array(list(np.concatenate(found)), pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([values, batch.column(1)], names=["x", "label"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), values, batch.column(3)], names=["id", "mark", "x", "label"])
 
-    table = rows.mapInArrow(run, "x array<double>, label double").toArrow().to_pandas()
+    kind = f"id {rows.schema['id'].dataType.simpleString()}, mark bigint, x array<double>, label double"
+    table = one_each(rows.mapInArrow(run, kind), "mark").select("mark", "x", "label").toArrow().to_pandas().sort_values("mark")
     x = np.stack(table["x"].tolist()) if len(table) else np.zeros((0, FEATURES))
     return fit(x, (table["label"].to_numpy() > 0.5).astype(float))
 

@@ -42,3 +42,10 @@ def bounded_sample(ids: DataFrame, most: int) -> DataFrame:
     share = min(1.0, 1.5 * most / max(ids.count(), 1))
     low = F.shiftrightunsigned(F.xxhash64(name), 34) < int(share * (1 << 30)) if share < 1 else F.lit(True)
     return ids.filter(low & F.col(name).isNotNull()).distinct().orderBy(F.xxhash64(name), name).limit(most)
+
+
+def one_each(rows: DataFrame, mark: str) -> DataFrame:
+    """One row per ``id``, that of the least ``mark``: what comes of a sample of ids is as many rows at most."""
+    others = [F.col(c) for c in rows.columns if c != "id"]
+    least = rows.groupBy("id").agg(F.min_by(F.struct(*others), F.col(mark)).alias("row"))
+    return least.select("id", "row.*")

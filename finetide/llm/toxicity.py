@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finetide.llm.store import bounded_sample, held_out
+from finetide.llm.store import bounded_sample, held_out, one_each
 from finetide.llm.textcodes import U64, WORD_BYTES, gram_hashes, lowered, owner, span_hashes, spans, text_parts
 
 FEATURE_BITS = 20
@@ -61,16 +61,17 @@ def _featured(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists, sketches = [], []
-            for _, _, data, off in text_parts(batch.column(0)):
+            for _, _, data, off in text_parts(batch.column(1)):
                 slots, of, sketch = features(data, off)
                 edges = np.searchsorted(of, np.arange(len(off)))
                 lists += [slots[a:b].astype(np.int32) for a, b in zip(edges, edges[1:], strict=False)]
                 sketches.append(sketch.view(np.int64))
             if lists:
-                columns = [pa.array(lists, pa.list_(pa.int32())), pa.array(np.concatenate(sketches))]
-                yield pa.RecordBatch.from_arrays(columns, names=["slots", "sketch"])
+                columns = [batch.column(0), pa.array(lists, pa.list_(pa.int32())), pa.array(np.concatenate(sketches))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "slots", "sketch"])
 
-    return texts.select("text").mapInArrow(run, "slots array<int>, sketch bigint")
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.select("id", "text").mapInArrow(run, f"id {kind}, slots array<int>, sketch bigint")
 
 
 def train(
@@ -80,7 +81,7 @@ def train(
     """A scorer from rows that are not held out.
 
     At most ``most_positive`` texts labelled toxic and ``most_unlabelled`` texts of any kind are
-    used, chosen by a hash of the id. The class prior is the toxic share of the labels. Without
+    used, chosen by a hash of the id, one of each id. The class prior is the toxic share of the labels. Without
     a toxic text the scorer gives every text the score 0.
     """
     named = labels.filter(~held_out(id_col)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
@@ -91,7 +92,7 @@ def train(
     groups = []
     for ids, most in ((named.filter("label = 1").select("id"), most_positive), (own.select("id"), most_unlabelled)):
         picked = own.join(F.broadcast(bounded_sample(ids, most)), "id")  # at most ``most`` ids
-        rows = _featured(picked).toArrow().to_pandas().drop_duplicates("sketch")
+        rows = one_each(_featured(picked), "sketch").toArrow().to_pandas().sort_values("sketch").drop_duplicates("sketch")
         groups.append([np.asarray(x, np.int64) for x in rows["slots"]])
     positive, unlabelled = groups
     if not positive or not 0 < prior < 1:

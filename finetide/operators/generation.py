@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from contextlib import AbstractContextManager, nullcontext
 from dataclasses import dataclass
 from functools import partial
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from finetide.errors import DataError
 from finetide.functions.text import strip
 from finetide.operators.filters import generated_length_ok
+from finetide.operators.journal import Journal
 from finetide.session import written
 
 Transport = Callable[[str], tuple[str, int]]  # prompt -> (text, tokens used)
@@ -120,55 +122,81 @@ def generate_single(
     max_concurrency: int = 4,
     max_retries: int = 3,
     delay: float = 0.5,
+    journal: Journal | None = None,
 ) -> DataFrame:
     """One call per request: (id, text, tokens). Each task calls one at a time, so the
-    number of partitions bounds the calls in flight."""
+    number of partitions bounds the calls in flight. With a ``journal`` a task that starts
+    again asks only what it has no answer for."""
+    tasks = max(1, max_concurrency)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call = connect()
-        for batch in batches:
-            rows = []
-            for row_id, prompt in zip(batch["id"], batch["prompt"]):
-                rows.append((row_id, *call_with_retry(call, prompt, max_retries)))
-                if delay:
-                    time.sleep(delay)
-            yield pd.DataFrame(rows, columns=["id", "text", "tokens"])
+        with noted(journal, "single", tasks) as notes:
+            for batch in batches:
+                prompts = dict(zip(batch["id"].tolist(), batch["prompt"], strict=True))
+
+                def ask(ids: list[int]) -> list[tuple[str, int]]:
+                    found = [call_with_retry(call, prompts[i], max_retries) for i in ids]
+                    if delay:
+                        time.sleep(delay)
+                    return found
+
+                answers = notes.answers(list(prompts), ask)
+                yield pd.DataFrame([(i, *a) for i, a in zip(prompts, answers, strict=True)], columns=["id", "text", "tokens"])
 
     prompts = requests.select("id", request_prompt(F.col("seed")).alias("prompt"))
-    return prompts.repartition(max(1, max_concurrency), "id").mapInPandas(run, "id bigint, text string, tokens bigint")
+    return prompts.repartition(tasks, "id").mapInPandas(run, "id bigint, text string, tokens bigint")
+
+
+class _Unnoted:
+    """Asks without a journal."""
+
+    def answers(self, ids: list[int], ask: Callable[[list[int]], list], size: int = 1) -> list:
+        return [answer for start in range(0, len(ids), size) for answer in ask(ids[start : start + size])]
 
 
-def complete(df: DataFrame, prompt: Column, name: str, load: Callable[[], TextModel], batch_size: int) -> DataFrame:
-    """Add a model completion of ``prompt`` to (id, ...) rows, in batches of ``batch_size``."""
+def noted(journal: Journal | None, stage: str, tasks: int) -> AbstractContextManager:
+    return journal.of_task(stage, tasks) if journal else nullcontext(_Unnoted())
+
+
+def complete(
+    df: DataFrame, prompt: Column, name: str, load: Callable[[], TextModel], batch_size: int, journal: Journal | None = None, tasks: int = 0
+) -> DataFrame:
+    """Add a model completion of ``prompt`` to (id, ...) rows, in batches of ``batch_size``. Rows of
+    one id in a batch share its answer."""
     size = max(1, batch_size)
     kept = df.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = load()
-        for batch in batches:
-            prompts = batch.pop("_prompt").tolist()
-            outputs: list[str] = []
-            for start in range(0, len(prompts), size):
-                chunk = prompts[start : start + size]
-                answers = model(chunk)
-                if len(answers) != len(chunk):
-                    raise RuntimeError(f"model returned {len(answers)} texts for {len(chunk)} prompts")
-                outputs.extend(answers)
-            yield batch.assign(**{name: outputs})
+        with noted(journal, name, tasks) as notes:
+            for batch in batches:
+                ids = batch["id"].tolist()
+                prompts = dict(zip(ids, batch.pop("_prompt"), strict=True))
+
+                def ask(chunk: list[int]) -> list[str]:
+                    answers = model([prompts[i] for i in chunk])
+                    if len(answers) != len(chunk):
+                        raise RuntimeError(f"model returned {len(answers)} texts for {len(chunk)} prompts")
+                    return answers
+
+                answers = dict(zip(prompts, notes.answers(list(prompts), ask, size), strict=True))
+                yield batch.assign(**{name: [answers[i] for i in ids]})
 
     schema = df.select(*kept, F.lit("").alias(name)).schema
     return df.withColumn("_prompt", prompt).mapInPandas(run, schema)
 
 
 def two_stage_rows(
-    requests: DataFrame, load: Callable[[], TextModel], batch_size: int = 4, tasks: int | None = None
+    requests: DataFrame, load: Callable[[], TextModel], batch_size: int = 4, tasks: int | None = None, journal: Journal | None = None
 ) -> DataFrame:
     """Instructions from seeds, responses from instructions: (id, text) of the rows that
     pass the length test. Prompts are small but each costs model time, so they are dealt
     out to a fixed number of tasks, by default one per core."""
-    spread = requests.repartition(tasks or requests.sparkSession.sparkContext.defaultParallelism, "id")
-    asked = complete(spread, F.col("seed"), "instruction", load, batch_size)
-    answered = complete(asked, answer_prompt(F.col("instruction")), "response", load, batch_size)
+    tasks = tasks or requests.sparkSession.sparkContext.defaultParallelism
+    spread = requests.repartition(tasks, "id")
+    asked = complete(spread, F.col("seed"), "instruction", load, batch_size, journal, tasks)
+    answered = complete(asked, answer_prompt(F.col("instruction")), "response", load, batch_size, journal, tasks)
     text = record_text(F.col("instruction"), F.col("response"))
     return answered.select("id", text.alias("text")).filter(generated_length_ok(F.col("text")))
 
@@ -197,6 +225,7 @@ class Backend:
     default_seeds: list[str]
     run: Callable[..., DataFrame]  # (requests, plug_in, **options) -> rows
     has_stand_in: bool = False
+    notes: bool = False  # whether ``run`` takes a ``journal``
 
     def generate(self, seeds: DataFrame, n_samples: int, plug_in: Callable, **options) -> DataFrame:
         requests = assign_seeds(seeds, n_samples, self.default_seeds)
@@ -205,13 +234,13 @@ class Backend:
 
 
 def _api(name: str) -> Backend:
-    return Backend(API_SEEDS, partial(generate_single, delay=CALL_DELAYS[name]))
+    return Backend(API_SEEDS, partial(generate_single, delay=CALL_DELAYS[name]), notes=True)
 
 
 BACKENDS: dict[str, Backend] = {
     "openai": _api("openai"),
     "anthropic": _api("anthropic"),
-    "self_instruct": Backend(LOCAL_SEEDS, two_stage_rows, has_stand_in=True),
+    "self_instruct": Backend(LOCAL_SEEDS, two_stage_rows, has_stand_in=True, notes=True),
 }
 
 

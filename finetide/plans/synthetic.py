@@ -11,6 +11,7 @@ from finetide.operators.dedup import deduplicate
 from finetide.operators.filters import apply_filters
 from finetide.operators.fingerprint import content_fingerprint
 from finetide.operators.generation import get_backend, seed_list, stand_in
+from finetide.operators.journal import Journal
 from finetide.operators.split import split_exact
 from finetide.plans.cache import address, load_splits, save_splits
 from finetide.sources import paths
@@ -43,12 +44,14 @@ def generate_cached(
     cache_root: str,
     base_model: str = "",
     wave_rows: int = WAVE_ROWS,
+    journal_every: int = 1,
     **options,
 ) -> DataFrame:
     """Generated rows from the raw cache; the generator runs only for what is not there yet.
 
-    Samples are made and stored in waves. A job that dies resumes with the first wave not
-    finished, so no more than one wave of model calls is ever paid for twice.
+    Samples are made and stored in waves. A task or job that dies resumes in the first wave not
+    finished, with the answers its tasks have noted: after every ``journal_every`` answers, so no
+    more than that per task are paid for twice. 0 leaves the notes out.
     """
     spark = seeds.sparkSession
     backend = get_backend(spec.backend)
@@ -57,10 +60,13 @@ def generate_cached(
     waves = []
     for start in range(0, spec.n_samples, wave_rows):
         end = min(start + wave_rows, spec.n_samples)
-        made = backend.run(known.requests(start, end), plug_in, **options)
         waves.append(f"{path}/{start}-{end}")
+        notes = paths.qualified(spark, f"{path}.notes/{start}-{end}")
+        more = {"journal": Journal(notes, journal_every)} if backend.notes and journal_every else {}
+        made = backend.run(known.requests(start, end), plug_in, **options, **more)
         if not paths.exists(spark, f"{waves[-1]}/_SUCCESS"):
             write_jsonl(made, waves[-1], "overwrite")
+            paths.remove(spark, notes)
     rows = read_jsonl(spark, waves, schema=made.schema)
     return stand_in(spark) if backend.has_stand_in and rows.isEmpty() else rows
 

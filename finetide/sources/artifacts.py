@@ -35,7 +35,7 @@ def described(files: DataFrame) -> DataFrame:
     )
 
 
-def _opened(root: str):
+def opened(root: str):
     """The file system of a root URI and the root's path in it."""
     from pyarrow import fs
 
@@ -55,7 +55,7 @@ def _list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         for root, folder in zip(batch["root"], batch["folder"]):
-            store, base = _opened(root)
+            store, base = opened(root)
             found = store.get_file_info(fs.FileSelector(f"{base}/{folder}".rstrip("/")))
             rows = [
                 (root, f.path[len(base) + 1 :], f.size if f.type == fs.FileType.File else None)
@@ -69,7 +69,7 @@ def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for root, path, size in zip(batch["root"], batch["path"], batch["size"]):
-            store, base = _opened(root)
+            store, base = opened(root)
             with store.open_input_stream(f"{base}/{path}") as stream:
                 sample = stream.read(SAMPLE_BYTES)
                 digest = hashlib.sha256(sample)

@@ -1,6 +1,7 @@
 import sys
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark import cloudpickle
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -209,3 +210,67 @@ def test_filters_are_optional_for_generated_rows(spark, tmp_path):
     spec = GenerationSpec(n_samples=20)
     rows = synthetic_dataset(spec, seeds(spark, ["a", "b"]), shout, str(tmp_path / "f"), filters=Filters())
     assert rows.count() == 2
+
+
+def counting(folder, dies_after=None, how="error"):
+    """A service that notes every call in a file, and once dies in the middle."""
+
+    def connect():
+        made = [0]
+
+        def call(prompt):
+            import os
+            import uuid
+
+            if dies_after is not None and made[0] == dies_after and not os.path.exists(f"{folder}/died"):
+                open(f"{folder}/died", "w").close()
+                if how == "kill":
+                    os._exit(1)
+                raise OSError("gone")
+            made[0] += 1
+            with open(f"{folder}/call-{uuid.uuid4().hex}", "w") as file:
+                file.write(prompt)
+            return f"answer to {len(prompt)}", 1
+
+        return call
+
+    return connect
+
+
+@pytest.mark.parametrize("how", ["error", "kill"])
+def test_a_task_that_dies_asks_nothing_twice(spark, tmp_path, how):
+    import os
+
+    calls, root = tmp_path / "calls", str(tmp_path / "raw")
+    calls.mkdir()
+    spec, known = GenerationSpec(n_samples=40, backend="openai"), seeds(spark, [f"seed {i}" for i in range(40)])
+    generate = lambda service, **more: generate_cached(spec, known, service, root, wave_rows=25, delay=0, max_retries=1, **more)
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        generate(counting(str(calls), 4, how)).collect()
+    before = len(os.listdir(calls)) - 1
+    assert before >= 4
+    # The job starts again, in one case with another number of tasks.
+    rows = generate(counting(str(calls)), **({"max_concurrency": 3} if how == "kill" else {}))
+    assert sorted(r["id"] for r in rows.collect()) == list(range(40))
+    asked = [open(calls / f).read() for f in os.listdir(calls) if f.startswith("call-")]
+    # A worker that is killed may lose the one answer that it was about to note.
+    assert len(set(asked)) == 40 and len(asked) <= (40 if how == "error" else 43)
+    assert not [f for _, _, files in os.walk(f"{root}/raw") for f in files if f.endswith(".jsonl")]  # notes go with the wave
+
+
+def test_two_stage_answers_are_noted(spark, tmp_path):
+    from finetide.operators.journal import Journal
+
+    folder = tmp_path.as_uri().replace("file://", "file:")
+    requests = gen.assign_seeds(seeds(spark, ["a", "b", "c"]), 9, [])
+    first = gen.two_stage_rows(requests, lambda: lambda prompts: [f"{p} and more words" for p in prompts], 2, 3, Journal(f"{folder}/notes", 4))
+    want = sorted(map(tuple, first.collect()))
+
+    def closed():
+        def model(prompts):
+            raise RuntimeError("asked again")
+
+        return model
+
+    again = gen.two_stage_rows(requests, closed, 2, 3, Journal(f"{folder}/notes", 4))
+    assert sorted(map(tuple, again.collect())) == want and len(want) == 9

@@ -16,6 +16,8 @@ RECOMMENDED = {
     # At run time a join whose build partitions all stay below this size skips its sort.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The file inventory takes conditions on the path.
+    "spark.sql.python.filterPushdown.enabled": "true",
     # The digests a stream has seen outgrow executor heaps; this store keeps them on disk.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -1,8 +1,7 @@
 """Artifact inventory: every file under a root with its size, SHA-256 and first bytes.
 
-Spark lists the files it reads in parallel, but it skips empty files and names that start with
-a dot or underscore, and would hold a file whole. So its listing is completed folder by folder
-in tasks, and the files are hashed in tasks, chunk by chunk.
+Spark's own file sources skip empty files and names that start with a dot or underscore, and would
+hold a file whole. So the files are a data source of their own.
 """
 
 from __future__ import annotations
@@ -11,14 +10,18 @@ import hashlib
 from collections.abc import Iterator
 from functools import partial
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, StringStartsWith
+from pyspark.sql.types import StructType
 
 from finetide.errors import DataError
-from finetide.session import written
-from finetide.sources.paths import exists, leaf_files, qualified
+from finetide.sources.paths import exists, qualified
 
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+#: What a task takes of the files, in path order.
+FILES_PER_TASK = 200
+BYTES_PER_TASK = 256 * 1024 * 1024
 SAMPLE_BYTES = 512
 CHUNK_BYTES = 8 * 1024 * 1024
 
@@ -45,76 +48,104 @@ def opened(root: str):
     return store, path.rstrip("/")
 
 
-def _skipped(path: str) -> bool:
-    return "/." in path or "/_" in path or path.endswith("._COPYING_")
-
-
-def _list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """What lies directly in each folder: subfolders (size null), and the files Spark skips."""
-    from pyarrow import fs
-
-    for batch in batches:
-        for root, folder in zip(batch["root"], batch["folder"]):
-            store, base = opened(root)
-            found = store.get_file_info(fs.FileSelector(f"{base}/{folder}".rstrip("/")))
-            rows = [
-                (root, f.path[len(base) + 1 :], f.size if f.type == fs.FileType.File else None)
-                for f in found
-                if f.type == fs.FileType.Directory or not f.size or _skipped(f"/{folder}/{f.base_name}")
-            ]
-            yield pd.DataFrame(rows, columns=["root", "path", "size"]).astype({"size": "Int64"})
-
-
-def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for root, path, size in zip(batch["root"], batch["path"], batch["size"]):
-            store, base = opened(root)
-            with store.open_input_stream(f"{base}/{path}") as stream:
+class Slice(InputPartition):
+    """Neighbouring files in path order, few enough and small enough for a task."""
+
+    def __init__(self, files: list[tuple[str, int]]) -> None:
+        self.files = files
+
+
+class InventoryReader(DataSourceReader):
+    def __init__(self, options: dict[str, str]) -> None:
+        self.root = options["path"]
+        self.hashed = options.get("hashed", "true") == "true"
+        self.paths: set[str] | None = None
+        self.prefix = ""
+
+    def _found(self) -> list[tuple[str, int]]:
+        """(path below the root, size) of the files that the filters leave, in path order."""
+        from pyarrow import fs
+
+        store, base = opened(self.root)
+        if self.paths is not None:
+            infos = store.get_file_info([f"{base}/{p}" for p in self.paths])
+        elif store.get_file_info(base).type == fs.FileType.File:
+            infos, base = [store.get_file_info(base)], base.rsplit("/", 1)[0]
+        else:
+            folder = f"{base}/{self.prefix}".rsplit("/", 1)[0]  # folders beside the prefix's are not listed
+            infos = store.get_file_info(fs.FileSelector(folder, recursive=True, allow_not_found=True))
+        files = [(f.path[len(base) + 1 :], f.size) for f in infos if f.type == fs.FileType.File]
+        return sorted(f for f in files if f[0].startswith(self.prefix))
+
+    def partitions(self) -> list[InputPartition]:
+        slices: list[list[tuple[str, int]]] = [[]]
+        size = 0
+        for file in self._found():
+            if slices[-1] and (len(slices[-1]) >= FILES_PER_TASK or size + file[1] > BYTES_PER_TASK):
+                slices.append([])
+                size = 0
+            slices[-1].append(file)
+            size += file[1]
+        return [Slice(files) for files in slices]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        store, base = opened(self.root)
+        for path, size in partition.files:
+            if not self.hashed:
+                yield path, size, None, None
+                continue
+            full = f"{base}/{path}" if store.get_file_info(base).type.name == "Directory" else base
+            with store.open_input_stream(full) as stream:
                 sample = stream.read(SAMPLE_BYTES)
                 digest = hashlib.sha256(sample)
                 for chunk in iter(partial(stream.read, CHUNK_BYTES), b""):
                     digest.update(chunk)
-            rows.append((path, size, digest.hexdigest(), sample))
-        yield pd.DataFrame(rows, columns=["path", "size", "sha256", "sample"])
+            yield path, size, digest.hexdigest(), sample
+
+
+class FilteredReader(InventoryReader):
+    """Takes conditions on the path, so that other folders are neither listed nor read."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            on_path = getattr(f, "attribute", None) == ("path",)
+            if on_path and isinstance(f, EqualTo):
+                self.paths = {f.value} if self.paths is None else self.paths & {f.value}
+            elif on_path and isinstance(f, In):
+                self.paths = set(f.value) if self.paths is None else self.paths & set(f.value)
+            elif on_path and isinstance(f, StringStartsWith) and f.value.startswith(self.prefix):
+                self.prefix = f.value
+            else:
+                yield f
+
+
+class Inventory(DataSource):
+    """The files below a folder as rows, listed and hashed when the query runs."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "file_inventory"
+
+    def schema(self) -> str:
+        return SCHEMA
+
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return (FilteredReader if self.options.get("filtered") == "true" else InventoryReader)(dict(self.options))
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(root, path, size) of all files under ``root``, paths relative to it.
+def inventory(spark: SparkSession, root: str, hashed: bool = True) -> DataFrame:
+    """All files under ``root``, hidden and empty ones too, with path, size, SHA-256 and first bytes;
+    without ``hashed`` only path and size, and no file is opened.
 
-    Folders of the files that Spark lists are looked into at once; folders that only show then,
-    for they hold nothing Spark reads, take a further round per level.
+    A lazy scan: listing belongs to planning, as for any file source, hashing to the tasks, chunk by
+    chunk. Where ``spark.sql.python.filterPushdown.enabled`` is set, conditions on the path limit
+    what is listed.
     """
     if not exists(spark, root):
         raise DataError(f"no folder to list: {root}", "path")
-    base = qualified(spark, root)
-    listed = leaf_files(spark, root).select(_relative(base).alias("path"), F.col("length").alias("size"))
-    listed = written(listed.filter("size > 0").withColumn("root", F.lit(base)).select("root", "path", "size"), "listed")
-    names = F.slice(F.split("path", "/"), 1, F.size(F.split("path", "/")) - 1)
-    depths = F.sequence(F.lit(0), F.size(names))
-    parents = F.transform(depths, lambda n: F.array_join(F.slice(names, 1, n), "/"))
-    start = spark.createDataFrame([("",)], "folder string")
-    folders = written(listed.select(F.explode(parents).alias("folder")).union(start).distinct(), "folders")
-    seen, found = folders, listed
-    while folders.head(1):
-        lists = folders.select(F.lit(base).alias("root"), "folder").repartition("folder")
-        entries = written(lists.mapInPandas(_list_folders, "root string, path string, size bigint"), "entries")
-        extra = entries.filter("size is not null").join(listed.select("path"), "path", "left_anti")
-        found = found.unionByName(extra)
-        inner = entries.filter("size is null").select(F.col("path").alias("folder"))
-        folders = written(inner.join(seen, "folder", "left_anti"), "folders")
-        seen = seen.union(folders)
-    return found
-
-
-def _relative(base: str) -> Column:
-    """A listed path's part below the root; a root of one file has its own name."""
-    return F.substring("path", F.lit(len(base.rstrip("/")) + 2), F.length("path"))
-
-
-def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """All files under ``root`` with path, size, SHA-256 and first bytes."""
-    return list_files(spark, root).repartition("path").mapInPandas(_hash_files, SCHEMA)
+    spark.dataSource.register(Inventory)
+    reader = spark.read.format(Inventory.name()).option("hashed", str(hashed).lower())
+    return reader.option("filtered", spark.conf.get(PUSHDOWN, "false")).load(qualified(spark, root))
 
 
 def upload_plan(files: DataFrame, modes: DataFrame, contents: DataFrame) -> DataFrame:

@@ -355,8 +355,10 @@ ORACLES: dict[str, str] = {
             '{"data":{"seed":' || (o_custkey + 1) || ',"train_split":0.9},"method":"sft","priority":"' || o_orderpriority || '"}' as b
             from orders where o_orderstatus = 'F')
         select run_id, substr(sha256(a), 1, 16) as original_hash, substr(sha256(b), 1, 16) as new_hash from k""",
-    "artifact_inventory": """select n_nationkey, strlen(n_name) + 1 as size, sha256(n_name || chr(10)) as sha256,
-        n_name || chr(10) as sample from nation""",
+    "artifact_inventory": """select s_suppkey::bigint as s_suppkey, strlen(s_name) + 1 as size, sha256(s_name || chr(10)) as sha256,
+        s_name || chr(10) as sample from supplier""",
+    "artifact_listing": """select c_nationkey::bigint as c_nationkey, sum(strlen(c_custkey || ',' || c_name) + 1)::bigint as size
+        from customer where c_nationkey::varchar like '1%' group by 1""",
     "artifact_pages": """select 'pages/' || page_id || '.html' as path, strlen(html) as size, sha256(html) as sha256,
         lower(hex(encode(html)))[1:1024] as sample from pages""",
     "artifact_modes": """

@@ -688,16 +688,27 @@ def config_drift(spark, d):
 
 @query
 def artifact_inventory(spark, d):
-    """Nations as a folder of files each, and what is in them."""
-    root = scratch_path(spark, "nations")
-    nations = fx.table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("value"))
-    nations.repartition("n_nationkey").write.partitionBy("n_nationkey").text(root)
+    """Suppliers as a folder of files each, and what is in them."""
+    root = scratch_path(spark, "suppliers")
+    suppliers = fx.table(spark, d, "supplier").select("s_suppkey", F.col("s_name").alias("value"))
+    suppliers.repartition("s_suppkey").write.partitionBy("s_suppkey").text(root)
     files = artifacts.inventory(spark, root)
-    key = F.regexp_extract("path", r"^n_nationkey=(\d+)/part-[^/]*\.txt$", 1)
-    named = files.filter(key != "").select(key.cast("int").alias("n_nationkey"), "size", "sha256", "sample")
+    key = F.regexp_extract("path", r"^s_suppkey=(\d+)/part-[^/]*\.txt$", 1)
+    named = files.filter(key != "").select(key.cast("bigint").alias("s_suppkey"), "size", "sha256", "sample")
     return named.withColumn("sample", F.decode("sample", "UTF-8"))
 
 
+@query
+def artifact_listing(spark, d):
+    """The folders of the nations' customers whose number starts with 1, listed by the path alone."""
+    root = scratch_path(spark, "customers")
+    customers = fx.table(spark, d, "customer").select("c_nationkey", F.concat_ws(",", "c_custkey", "c_name").alias("value"))
+    customers.repartition("c_nationkey").write.partitionBy("c_nationkey").text(root)
+    files = artifacts.inventory(spark, root, hashed=False).filter(F.col("path").startswith("c_nationkey=1"))
+    key = F.regexp_extract("path", r"^c_nationkey=(\d+)/part-[^/]*\.txt$", 1)
+    return files.filter(key != "").groupBy(key.cast("bigint").alias("c_nationkey")).agg(F.sum("size").alias("size"))
+
+
 @query
 def artifact_pages(spark, d):
     described = artifacts.described(fx.page_files(spark, d))

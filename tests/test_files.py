@@ -288,6 +288,36 @@ def test_inventory_sees_every_file(spark, tmp_path, monkeypatch):
         assert row["sha256"] == hashlib.sha256(content).hexdigest()
 
 
+def test_inventory_is_lazy_and_filters_by_path(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(artifacts, "FILES_PER_TASK", 3)
+    for n in range(20):
+        put(tmp_path, f"d{n % 4}/f{n}", b"x" * n)
+    files = artifacts.inventory(spark, str(tmp_path))
+    put(tmp_path, "d0/later", b"late")
+    assert files.count() == 21  # listed when the query runs
+    assert files.rdd.getNumPartitions() == 7
+    near = files.filter(F.col("path").startswith("d2/"))
+    assert near.rdd.getNumPartitions() == 2 and near.count() == 5
+    one = files.filter("path = 'd1/f5'")
+    assert one.rdd.getNumPartitions() == 1 and [(r["size"], r["sha256"]) for r in one.collect()] == [(5, hashlib.sha256(b"xxxxx").hexdigest())]
+    assert files.filter("path in ('d1/f5', 'd3/f7', 'none')").count() == 2
+    assert files.filter("path = 'd1/f5' and path = 'd3/f7'").count() == 0
+    assert files.filter("path like 'd1/%' and size > 5").count() == 3
+    spark.conf.set(artifacts.PUSHDOWN, "false")
+    try:
+        assert artifacts.inventory(spark, str(tmp_path)).filter("path = 'd1/f5'").count() == 1
+    finally:
+        spark.conf.set(artifacts.PUSHDOWN, "true")
+    listed = artifacts.inventory(spark, str(tmp_path), hashed=False).collect()
+    assert len(listed) == 21 and all(r["sha256"] is None for r in listed)
+    alone = artifacts.inventory(spark, str(tmp_path / "d0" / "later")).collect()
+    assert [(r["path"], r["size"], bytes(r["sample"])) for r in alone] == [("later", 4, b"late")]
+    (tmp_path / "nothing").mkdir()
+    assert artifacts.inventory(spark, str(tmp_path / "nothing")).collect() == []
+    with pytest.raises(DataError, match="no folder"):
+        artifacts.inventory(spark, str(tmp_path / "gone"))
+
+
 def test_upload_modes(spark):
     data = spark.createDataFrame([(n, bytearray(b"x" * 100)) for n in "abc"], "path string, content binary")
     modes = spark.createDataFrame([("a", "lfs"), ("b", "ignored")], "path string, mode string")

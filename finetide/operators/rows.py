@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,13 +40,31 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
     return df.mapInPandas(run, schema)
 
 
-def filter_rows(df: DataFrame, predicate: Column | Callable[..., pd.Series], *inputs: str) -> DataFrame:
-    """Filter by a Column, or by a user's function of whole pandas columns ``inputs``."""
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str) -> DataFrame:
+    """Map by a user's function over Arrow batches as they come: nested, decimal and binary columns
+    pass through unchanged, and no column becomes a pandas object. Columns are matched by name."""
+    names = [f.name for f in StructType.fromDDL(schema).fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = fn(batch)
+            if missing := set(names) - set(out.schema.names):
+                raise DataError(f"the function gave no column {', '.join(sorted(missing))}", "schema")
+            table = pa.Table.from_batches([out]) if isinstance(out, pa.RecordBatch) else out
+            yield from table.select(names).to_batches()
+
+    return df.mapInArrow(run, schema)
+
+
+def filter_rows(df: DataFrame, predicate: Column | Callable[..., pd.Series], *inputs: str, arrow: bool = False) -> DataFrame:
+    """Filter by a Column, or by a user's function of whole columns ``inputs``: pandas series, or
+    with ``arrow`` Arrow arrays. A null answer drops the row."""
     if isinstance(predicate, Column):
         return df.filter(predicate)
     if not inputs:
         raise DataError("name the columns the predicate reads", "inputs")
-    return df.filter(F.pandas_udf(predicate, "boolean")(*inputs))
+    udf = F.arrow_udf if arrow else F.pandas_udf
+    return df.filter(udf(predicate, "boolean")(*inputs))
 
 
 def from_columns(batches: DataFrame, columns: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:

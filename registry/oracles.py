@@ -193,6 +193,8 @@ ORACLES: dict[str, str] = {
     "rename_columns": f"select row_id, prompt as question, response as answer from ({PAIR})",
     "map_rows": f"select doc_id, len({words('text')})::integer as n_words, sha256(text) as digest from documents",
     "map_rows_callable": "select doc_id, length(text) as n_code_points from documents",
+    "map_rows_arrow": "select vec_id, len(embedding)::bigint as n, embedding[1]::double as head, embedding[len(embedding)]::double as tail from embeddings",
+    "filter_rows_arrow": "select doc_id from documents where regexp_matches(text, '[0-9]')",
     "filter_rows": "select doc_id, source, n_chars from documents where lang = 'en'",
     "filter_rows_callable": "select doc_id from documents where regexp_matches(text, '[0-9]')",
     "filter_length": "select doc_id from documents where length(text) between 10 and 4096",
@@ -315,6 +317,10 @@ ORACLES: dict[str, str] = {
     "reward_length": f"select id, least(1.0::double, len({words('output')}) / 50.0::double) as reward from ({OUTPUTS})",
     "reward_length_chat": f"select id, least(1.0::double, len({words('output')}) / 50.0::double) as reward from ({OUTPUTS})",
     "reward_callable": f"select id, (length(output) - length(replace(output, chr(10), '')))::double as reward from ({OUTPUTS})",
+    "reward_arrow": f"select id, (length(output) - length(replace(output, chr(10), '')))::double as reward from ({OUTPUTS})",
+    "tokenize_arrow": """select doc_id, least(strlen(text), 64)::integer as n_tokens, coalesce(list_sum(list_transform(
+        range(1, least(strlen(text), 64) + 1), lambda i: ('0x' || substr(hex(encode(text)), (2 * i - 1)::bigint, 2))::integer)), 0)::integer as id_sum
+        from documents""",
     "tokenize_truncate": f"""select doc_id, array_to_string(w, ' ') as tokens, len(w)::integer as n_tokens
         from (select doc_id, ({words('text')})[1:128] as w from documents)""",
     "tokenize_callable": """select doc_id, least(length(text), 64)::integer as n_tokens,
@@ -322,6 +328,9 @@ ORACLES: dict[str, str] = {
         from documents""",
     "runs_list": f"""select run_id, run_name, case status when 'training' then 'failed' else status end as status,
         created_at, config from ({RUNS})""",
+    "runs_list_compacted": f"""select run_id, run_name, case status when 'training' then 'failed' else status end as status,
+        created_at, config from ({RUNS})""",
+    "run_ids": "select count(*) as n, count(*) as n_ids, count(*) as n_good, count(*) as n_now from orders",
     "runs_lookup": f"select run_id, run_name, status, created_at from ({RUNS}) where run_id = 'run-7'",
     "runs_latest_state": f"""
         with s as (

@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +23,11 @@ from finetide.operators.positions import PositionIndex, batch_of, cap_rows, gath
 from finetide.operators.split import sample_texts, split_by_fraction, split_by_ids, split_exact as split_rows
 from finetide.plans.cache import load_splits, save_splits
 from finetide.plans.evaluate import evaluate_run
+from finetide.plans.history import compact_runs, list_latest
 from finetide.plans.prepare import plan_dataset, prepare
 from finetide.plans.preprocess import preprocess, preprocess_dataset
 from finetide.plans.synthetic import generate_cached, seeds_from, synthetic_dataset
-from finetide.session import scratch_path
+from finetide.session import scratch_path, written
 from finetide.sources import artifacts, files, sinks
 from finetide.specs import DatasetSpec, Filters, GenerationSpec, SplitSpec
 from finetide.streaming.preprocess import (
@@ -140,6 +144,27 @@ def map_rows_callable(spark, d):
     return rows.map_rows(fx.sft(spark, d), lengths, "doc_id bigint, n_code_points bigint")
 
 
+@query
+def map_rows_arrow(spark, d):
+    """Vectors through an Arrow function: their length, and a nested column as it is."""
+
+    def measured(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sizes = pc.list_value_length(batch["embedding"]).cast(pa.int64())
+        return pa.RecordBatch.from_pydict({"embedding": batch["embedding"], "n": sizes, "vec_id": batch["vec_id"]})
+
+    vectors = fx.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    mapped = rows.map_arrow(vectors, measured, "vec_id bigint, embedding array<double>, n bigint")
+    return mapped.select("vec_id", "n", F.get("embedding", F.lit(0)).alias("head"), F.get("embedding", F.col("n").cast("int") - 1).alias("tail"))
+
+
+@query
+def filter_rows_arrow(spark, d):
+    def has_digit(text: pa.Array) -> pa.Array:
+        return pc.match_substring_regex(text, "[0-9]")
+
+    return rows.filter_rows(fx.sft(spark, d), has_digit, "text", arrow=True).select("doc_id")
+
+
 @query
 def filter_rows(spark, d):
     return rows.filter_rows(fx.table(spark, d, "documents"), F.col("lang") == "en").select("doc_id", "source", "n_chars")
@@ -609,6 +634,29 @@ def reward_callable(spark, d):
     return rl.reward_by(fx.outputs(spark, d), "output", by_lines).select("id", "reward")
 
 
+@query
+def reward_arrow(spark, d):
+    def by_lines(texts: pa.Array) -> pa.Array:
+        return pc.count_substring(texts, "\n")
+
+    return rl.reward_by(fx.outputs(spark, d), "output", by_lines, arrow=True).select("id", "reward")
+
+
+@query
+def tokenize_arrow(spark, d):
+    """Each text's bytes as ids, cut to 64."""
+
+    def utf8_bytes(texts: pa.Array) -> pa.Array:
+        raw = texts.cast(pa.binary())
+        values = pa.array(np.frombuffer(b"".join(raw.to_pylist()), np.uint8))
+        offsets = np.concatenate([[0], np.cumsum(pc.binary_length(raw).to_numpy(zero_copy_only=False))])
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
+
+    tokens = rl.tokenize(fx.sft(spark, d), 64, utf8_bytes, keep=("doc_id",), arrow=True)
+    total = F.aggregate("input_ids", F.lit(0), lambda acc, x: acc + x)
+    return tokens.select("doc_id", F.size("input_ids").alias("n_tokens"), total.alias("id_sum"))
+
+
 @query
 def tokenize_truncate(spark, d):
     tokens = rl.tokenize(fx.sft(spark, d), 128, keep=("doc_id",))
@@ -639,6 +687,31 @@ def runs_list(spark, d):
     return listed.select("run_id", "run_name", "status", "created_at", "config")
 
 
+@query
+def runs_list_compacted(spark, d):
+    """Run history through a snapshot, of which only later records are read as records."""
+    path = scratch_path(spark, "runs")
+    runs = fx.runs(spark, d)
+    catalog.append_runs(runs, path)
+    compact_runs(spark, path)
+    late = runs.filter("status = 'training'").select("run_id", F.lit("failed").alias("status"), F.lit("9999").alias("updated_at"))
+    catalog.append_runs(catalog.updated_runs(runs, late), path)
+    return list_latest(spark, path).select("run_id", "run_name", "status", "created_at", "config")
+
+
+@query
+def run_ids(spark, d):
+    """New run records: as many ids as orders, all different and well formed, all times in UTC and now."""
+    configs = fx.table(spark, d, "orders").select(fx.run_name("o_orderkey").alias("run_name"), F.lit("{}").alias("config"))
+    made = written(catalog.create_runs(configs), "created")
+    good = F.col("run_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(F.to_timestamp("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
+    return made.agg(
+        F.count("*").alias("n"), F.count_distinct("run_id").alias("n_ids"), F.count_if(good).alias("n_good"),
+        F.count_if(age.between(0, 3600) & F.col("created_at").endswith("+00:00")).alias("n_now"),
+    )
+
+
 @query
 def runs_lookup(spark, d):
     return catalog.find_run(fx.runs(spark, d), "run-7").select("run_id", "run_name", "status", "created_at")

@@ -146,3 +146,30 @@ def test_updates_clear_fields_and_the_latest_counts(spark):
     assert cat.find_run(states, "a").collect()[0]["status"] == "completed"
     with pytest.raises(PySparkException, match="run not found"):
         cat.updated_runs(current, spark.createDataFrame([("zz", "failed")], "run_id string, status string")).collect()
+
+
+def test_snapshots_leave_old_records_unread(spark, tmp_path):
+    from finetide.plans import history
+
+    path = str(tmp_path / "runs")
+    assert history.read_latest(spark, path).count() == 0
+    states = lambda n, time: frame(spark, *[record(f"r{i}", updated=f"2024-01-0{time}", error=f"at {time}") for i in n])
+    cat.append_runs(states(range(20), 2), path)
+    cat.append_runs(states(range(5), 3), path)
+    history.compact_runs(spark, path)
+    cat.append_runs(states(range(3, 25), 4).repartition(1), path)
+
+    def check():
+        got, want = history.read_latest(spark, path), cat.latest_states(cat.read_runs(spark, path))
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        return [f for f in got.inputFiles() if f.endswith(".json")]
+
+    assert len(check()) == 1 < len(cat.read_runs(spark, path).inputFiles())
+    history.compact_runs(spark, path)
+    assert check() == [] and history.read_latest(spark, path).count() == 25
+    assert [r["run_id"] for r in history.list_latest(spark, path).collect()] == [r["run_id"] for r in cat.list_runs(cat.read_runs(spark, path)).collect()]
+    # A late record with an older time changes nothing; other tie-breakers read all records.
+    cat.append_runs(states([1], 1).repartition(1), path)
+    assert len(check()) == 1
+    assert len(history.read_latest(spark, path, "global_step").inputFiles()) > 3
+    assert {r["error"] for r in history.read_latest(spark, path).filter("run_id = 'r1'").collect()} == {"at 3"}

@@ -2,6 +2,8 @@
 
 import random
 import re
+from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -131,3 +133,36 @@ def test_map_and_filter_with_callables(spark):
     assert sorted(map(tuple, mapped.collect())) == [(0, 1), (1, 2), (2, 3)]
     assert ids(ops.filter_rows(df, lambda s: s.str.len() > 1, "text")) == [1, 2]
     assert ops.map_columns(df, {"text": F.upper("text")}, remove=["text", "id"]).columns == ["text"]
+
+
+def test_arrow_functions_keep_types(spark):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    schema = "id bigint, price decimal(20,4), raw binary, tags array<struct<k:string,v:array<int>>>, seen timestamp, m map<string,decimal(8,2)>"
+    values = [
+        (1, Decimal("12345678901234.5678"), bytearray(b"\x00\xff"), [("a", [1, None]), ("b", None)], datetime(2024, 1, 2, 3, 4, 5, 6), {"x": Decimal("1.10")}),
+        (2, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(values, schema)
+    out = ops.map_arrow(df, lambda b: b, schema)
+    assert out.dtypes == df.dtypes and sorted(map(repr, out.collect())) == sorted(map(repr, df.collect()))
+    doubled = ops.map_arrow(df, lambda b: pa.table({"n": pc.add(b["id"], 1), "id": b["id"], "unused": b["price"]}), "id bigint, n bigint")
+    assert sorted(map(tuple, doubled.collect())) == [(1, 2), (2, 3)]
+    with pytest.raises(PySparkException, match="no column n"):
+        ops.map_arrow(df, lambda b: b, "id bigint, n bigint").collect()
+    assert ids(ops.filter_rows(df, lambda price: pc.greater(price, 5), "price", arrow=True)) == [1]
+    assert "ArrowEvalPython" in df.select("*").transform(lambda d: ops.filter_rows(d, lambda i: pc.greater(i, 1), "id", arrow=True))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_arrow_rewards_and_tokens(spark):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from finetide.operators import rl
+
+    df = texts(spark, ["a bb", "", None])
+    scored = rl.reward_by(df, "text", lambda t: pa.chunked_array([pc.utf8_length(t)]), arrow=True)
+    assert {r["id"]: r["reward"] for r in scored.collect()} == {0: 4.0, 1: 0.0, 2: 4.0}
+    tokens = rl.tokenize(df, 1, lambda t: pa.array([[1, 2, 3]] * len(t)), keep=("id",), arrow=True)
+    assert all(r["input_ids"] == [1] for r in tokens.collect()) and tokens.columns == ["id", "input_ids"]

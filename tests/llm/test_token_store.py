@@ -135,3 +135,19 @@ def test_every_document_of_the_query(spark):
     encoder = token_store.Encoder(tokenizer_path())
     texts = [r["text"] or "" for r in docs]
     assert by_encoder(encoder, texts) == encoded(tokenizer_path(), texts)
+
+
+def test_memory_compares_words_of_one_hash():
+    words = [b"one", b"two", b"four", b"six"]
+    data = np.frombuffer(b"".join(words), np.uint8)
+    off = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+    keys = np.array([7, 7, 7, 9], np.uint64)
+    memory = token_store.Memory(10)
+    for k in (0, 3):
+        memory.add(keys[k : k + 1], data, off[k : k + 1], off[k + 1 : k + 2], np.array([2]), np.array([k, 100 + k], "<u4"))
+    found = {int(w): ids[2 * i : 2 * i + 2].tolist() for at, _, ids in memory.find(keys, data, off) for i, w in enumerate(at)}
+    assert found == {0: [0, 100], 3: [3, 103]}
+    full = token_store.Memory(1)
+    for k in (0, 3):
+        full.add(keys[k : k + 1], data, off[k : k + 1], off[k + 1 : k + 2], np.array([1]), np.array([k], "<u4"))
+    assert len(full) == 1

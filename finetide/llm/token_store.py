@@ -28,9 +28,9 @@ from finetide.llm.textcodes import span_hashes, text_parts
 
 END_ID = 2
 #: Words that a worker remembers, words encoded at once, and bytes of text taken together.
-REMEMBERED = 1_500_000
+REMEMBERED = 800_000
 LEARNED = 1000
-PART_BYTES = 8 << 20
+PART_BYTES = 2 << 20
 #: Marks that a unit may end with.
 MARKS = ".,;:!?#$%&*|"
 ORC_OPTIONS = {
@@ -304,6 +304,7 @@ class Encoder:
             for k, w in zip(odd.tolist(), whole, strict=True):
                 out[starts[k] : starts[k] + len(w)] = w
             yield sizes + 1, out
+            pa.default_memory_pool().release_unused()  # what this part's strings took
 
 
 def encoder_of(path: str, remembered: int) -> Encoder:

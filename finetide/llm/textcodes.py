@@ -6,6 +6,7 @@ memory does not follow the size of a batch; one text is never cut.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +55,16 @@ def text_parts(column: pa.Array, limit: int = PART_BYTES) -> Iterator[tuple[int,
         j = min(n, max(i + 1, int(np.searchsorted(off, off[i] + limit, side="right")) - 1))
         yield i, j, data[off[i] : off[j]], off[i : j + 1] - off[i]
         i = j
+    hand_back()
+
+
+def hand_back() -> None:
+    """Gives freed memory back to the system: workers live on from task to task and would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def spans(data: np.ndarray, off: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from finetide.llm.store import Stored
-from finetide.llm.textcodes import span_hashes, text_parts
+from finetide.llm.textcodes import hand_back, span_hashes, text_parts
 
 END_ID = 2
 #: Words that a worker remembers, words encoded at once, and bytes of text taken together.
@@ -304,7 +304,7 @@ class Encoder:
             for k, w in zip(odd.tolist(), whole, strict=True):
                 out[starts[k] : starts[k] + len(w)] = w
             yield sizes + 1, out
-            pa.default_memory_pool().release_unused()  # what this part's strings took
+            hand_back()  # what this part's strings took
 
 
 def encoder_of(path: str, remembered: int) -> Encoder:

@@ -51,7 +51,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     id first, a null text as the end id alone."""
     path = scratch_path(spark, "tokens")
     # The workers also hold what earlier stages left in their processes, so they remember fewer words.
-    token_store.write_tokens(docs, path, tokenizer_path(), remembered=500_000)
+    token_store.write_tokens(docs, path, tokenizer_path(), remembered=300_000)
     return token_store.token_digests(spark, path)
 
 

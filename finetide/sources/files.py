@@ -16,6 +16,8 @@ from finetide.specs import DatasetSpec
 
 # The file names looked for under a dataset root, in this order.
 CANDIDATE_FILES = ("train.jsonl", "data.jsonl", "train.csv", "validation.jsonl")
+#: Files looked into in one job for a first record.
+FILES_AT_A_TIME = 4096
 
 
 def read_jsonl(
@@ -34,16 +36,22 @@ def read_jsonl(
 
 
 def _first_record_keys(spark: SparkSession, path: str) -> list[str]:
-    """Keys of the first record in the first file by name that holds one; files are listed by
-    Spark and taken one name at a time."""
+    """Keys of the first record in the first file by name that holds one.
+
+    Spark lists the files. One is looked into, then more at a time, so many files without a record
+    cost few jobs; the files of the round that has one are halved down to the first.
+    """
+    records = lambda names: spark.read.text(names).filter(~is_blank(F.col("value")))
     files = leaf_files(spark, path).filter("length > 0").select("path")
-    done = F.lit(True)
-    while file := files.filter(done).orderBy("path").head():
-        lines = spark.read.text(file["path"]).filter(~is_blank(F.col("value")))
-        first = lines.select(F.json_object_keys("value").alias("keys")).head(1)
-        if first:
-            return first[0]["keys"]
-        done = F.col("path") > file["path"]
+    done, some = F.lit(True), 1
+    while names := [r["path"] for r in files.filter(done).orderBy("path").limit(some).collect()]:
+        done, some = F.col("path") > names[-1], min(8 * some, FILES_AT_A_TIME)
+        if records(names).isEmpty():
+            continue
+        while len(names) > 1:
+            half = names[: len(names) // 2]
+            names = names[len(half) :] if records(half).isEmpty() else half
+        return records(names).select(F.json_object_keys("value").alias("keys")).head()["keys"]
     raise DataError(f"no record in {path}", "dataset.path")
 
 

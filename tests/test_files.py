@@ -40,6 +40,35 @@ def test_jsonl_blank_lines_and_late_keys(spark, tmp_path):
     assert files.count_rows(spark, DatasetSpec(path=path)).collect() == [(2,)]
 
 
+@pytest.mark.parametrize("first", [0, 1, 17, 29])
+def test_first_record_after_files_without_one(spark, tmp_path, first):
+    """The keys are those of the first file by name with a record."""
+    for k in range(30):
+        blank = k < first or k % 7 == 3
+        put(tmp_path, f"part-{k:02}.jsonl", "" if k % 5 == 4 and blank else "\n  \n" if blank else f'\n{{"k{k:02}": {k}}}\n{{"late": 1}}\n')
+    want = next(k for k in range(first, 30) if k % 7 != 3)
+    assert files._first_record_keys(spark, str(tmp_path)) == [f"k{want:02}"]
+
+
+def test_first_record_after_many_blank_files_costs_few_jobs(spark, tmp_path):
+    for k in range(200):
+        put(tmp_path, f"part-{k:03}.jsonl", "\n" if k < 190 else '{"a": 1}\n')
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("first-record", "first record")
+    try:
+        assert files._first_record_keys(spark, str(tmp_path)) == ["a"]
+        assert len(tracker.getJobIdsForGroup("first-record")) < 100  # a job per file would be 191 or more
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_first_record_of_none(spark, tmp_path):
+    put(tmp_path, "a.jsonl", "\n")
+    put(tmp_path, "b.jsonl", " \n")
+    with pytest.raises(DataError):
+        files._first_record_keys(spark, str(tmp_path))
+
+
 def test_jsonl_malformed_line_fails(spark, tmp_path):
     path = put(tmp_path, "a.jsonl", '{"a": 1}\n{"a": \n')
     with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):

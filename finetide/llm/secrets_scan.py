@@ -133,7 +133,7 @@ class Postings:
         if len(data) < 3 or not wanted:
             return
         codes = np.array([g[0] << 16 | g[1] << 8 | g[2] for g in wanted])
-        number = np.full(1 << 24, -1, dtype=np.int16) if not hasattr(Postings, "_table") else Postings._table
+        number = np.full(1 << 24, -1, dtype=np.int32) if not hasattr(Postings, "_table") else Postings._table
         number[codes] = np.arange(len(codes))
         Postings._table = number
         low = lowered(data).astype(np.int32)

@@ -93,6 +93,18 @@ def contaminated(text, found):
     return len(words), len(hit), sorted(items)
 
 
+def test_secret_index_of_very_many_trigrams():
+    """More trigrams than 16 bits can number."""
+    draw = np.random.default_rng(8)
+    wanted = [bytes([a, b, c]) for a in range(97, 123) for b in range(97, 123) for c in [*range(97, 123), *range(48, 58), *range(128, 158)]]
+    texts = [draw.integers(97, 123, n).astype(np.uint8).tobytes() for n in draw.integers(0, 90, 60)]
+    data, off = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    index = secrets_scan.Postings(wanted, data, off)
+    assert len(wanted) > 1 << 15
+    for gram in wanted:
+        assert index.lists[gram].tolist() == [k for k, t in enumerate(texts) if gram in t]
+
+
 def test_contamination(spark):
     got, found = result(spark, "op2", LARGER), windows(table(spark, "benchmark", LARGER))
     for i, row in table(spark, "documents", LARGER).items():

@@ -49,7 +49,10 @@ class TaskJournal:
     def _listed(self, folder: str) -> list[str]:
         from pyarrow import fs
 
-        found = self.store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+        try:
+            found = self.store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+        except FileNotFoundError:  # another task made the folder while this one looked
+            found = self.store.get_file_info(fs.FileSelector(folder))
         return [f.path for f in found if not f.base_name.startswith(".")]
 
     def _read(self, folder: str) -> None:

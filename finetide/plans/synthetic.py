@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,26 +52,47 @@ def generate_cached(
 
     Samples are made and stored in waves. A task or job that dies resumes in the first wave not
     finished, with the answers its tasks have noted: after every ``journal_every`` answers, so no
-    more than that per task are paid for twice. 0 leaves the notes out.
+    more than that per task are paid for twice. 0 leaves the notes out, and then a wave is a job.
+    As notes lose nothing, one job makes and stores as many missing waves as ``WAVE_ROWS`` hold.
     """
     spark = seeds.sparkSession
     backend = get_backend(spec.backend)
     path = f"{cache_root.rstrip('/')}/raw/{raw_cache_key(spark, spec, seeds, base_model)}.jsonl"
     known = seed_list(seeds, backend.default_seeds)
-    waves = []
-    for start in range(0, spec.n_samples, wave_rows):
-        end = min(start + wave_rows, spec.n_samples)
-        waves.append(f"{path}/{start}-{end}")
+    noted = backend.notes and journal_every
+    size = wave_rows * max(1, WAVE_ROWS // wave_rows) if noted else wave_rows
+    there = finished(spark, path)
+    missing = list(parts_between(there, spec.n_samples, size))
+    for start, end in missing:
         notes = paths.qualified(spark, f"{path}.notes/{start}-{end}")
-        more = {"journal": Journal(notes, journal_every)} if backend.notes and journal_every else {}
+        more = {"journal": Journal(notes, journal_every)} if noted else {}
         made = backend.run(known.requests(start, end), plug_in, **options, **more)
-        if not paths.exists(spark, f"{waves[-1]}/_SUCCESS"):
-            write_jsonl(made, waves[-1], "overwrite")
-            paths.remove(spark, notes)
-    rows = read_jsonl(spark, waves, schema=made.schema)
+        write_jsonl(made, f"{path}/{start}-{end}", "overwrite")
+        paths.remove(spark, notes)
+    schema = backend.run(known.requests(0, 0), plug_in, **options).schema
+    rows = read_jsonl(spark, [f"{path}/{start}-{end}" for start, end in there + missing], schema=schema)
     return stand_in(spark) if backend.has_stand_in and rows.isEmpty() else rows
 
 
+def finished(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """The id ranges stored whole below ``path``, without those that meet an earlier one: waves may
+    have had other sizes."""
+    ranges = [tuple(map(int, name.split("-"))) for name in paths.listed(spark, path) if re.fullmatch(r"\d+-\d+", name)]
+    apart: list[tuple[int, int]] = []
+    for start, end in sorted(ranges, key=lambda r: (r[0], -r[1])):
+        if (not apart or start >= apart[-1][1]) and paths.exists(spark, f"{path}/{start}-{end}/_SUCCESS"):
+            apart.append((start, end))
+    return apart
+
+
+def parts_between(there: list[tuple[int, int]], total: int, size: int) -> Iterator[tuple[int, int]]:
+    """What is missing of 0..total-1 beside the ranges that are there, in parts of ``size`` at most."""
+    start = 0
+    for low, high in [*there, (total, total)]:
+        yield from ((at, min(at + size, low)) for at in range(start, low, size))
+        start = high
+
+
 def synthetic_dataset(
     spec: GenerationSpec,
     seeds: DataFrame,

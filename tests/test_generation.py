@@ -274,3 +274,47 @@ def test_two_stage_answers_are_noted(spark, tmp_path):
 
     again = gen.two_stage_rows(requests, closed, 2, 3, Journal(f"{folder}/notes", 4))
     assert sorted(map(tuple, again.collect())) == want and len(want) == 9
+
+
+def test_noted_waves_share_a_job(spark, tmp_path):
+    """Small waves cost no job each where answers are noted; without notes a wave is still a job."""
+    spec, known = GenerationSpec(n_samples=40, backend="openai"), seeds(spark, ["a", "b", "c"])
+    for every, stored in ((1, 1), (0, 10)):
+        root = tmp_path / f"every-{every}"
+        rows = generate_cached(spec, known, echo, str(root), wave_rows=4, journal_every=every, delay=0)
+        assert sorted(r["id"] for r in rows.collect()) == list(range(40))
+        assert len(list(root.glob("raw/*.jsonl/*/_SUCCESS"))) == stored
+
+
+def test_only_what_no_wave_holds_is_made(spark, tmp_path):
+    """Gaps between stored waves are filled, whatever their sizes; a wave without its mark counts as none."""
+    spec, known = GenerationSpec(n_samples=10, backend="openai"), seeds(spark, ["s"])
+    generate_cached(spec, known, echo, str(tmp_path), wave_rows=4, journal_every=0, delay=0)
+    (mark,) = tmp_path.glob("raw/*.jsonl/4-8/_SUCCESS")
+    mark.unlink()
+
+    def numbered():
+        return lambda prompt: ("new", 1)
+
+    rows = generate_cached(spec, known, numbered, str(tmp_path), wave_rows=3, journal_every=0, delay=0)
+    assert sorted(r["id"] for r in rows.collect()) == list(range(10))
+    assert sorted(r["id"] for r in rows.filter("text = 'new'").collect()) == [4, 5, 6, 7]
+
+
+def test_a_folder_that_appears_while_it_is_listed(tmp_path):
+    """Tasks start together: one looks for the notes' folder just before another makes it."""
+    from pyarrow import fs
+
+    from finetide.operators.journal import TaskJournal
+
+    notes = TaskJournal(tmp_path.as_uri().replace("file://", "file:") + "/notes", 0, 2, 1)
+
+    class Raced:
+        def get_file_info(self, selector):
+            if selector.allow_not_found:
+                (tmp_path / "notes").mkdir()
+                raise FileNotFoundError("Cannot list directory")
+            return fs.LocalFileSystem().get_file_info(selector)
+
+    notes.store = Raced()
+    assert notes._listed(str(tmp_path / "notes")) == []

@@ -29,6 +29,11 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, target = _target(spark, path)
+    files.mkdirs(target)
+
+
 def listed(spark: SparkSession, folder: str) -> dict[str, float]:
     """What lies directly in a folder: names with the seconds since 1970 of their last change."""
     files, target = _target(spark, folder)

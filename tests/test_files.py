@@ -406,3 +406,31 @@ def test_columns_of_untyped_nulls_are_stored_as_strings(spark, tmp_path):
     assert dict(load_splits(spark, cache).dtypes)["nothing"] == "string"
     folders = sinks.hand_off(df, str(tmp_path / "out"))
     assert sum(files.read_parquet(spark, p).count() for p in folders.values()) == 4
+
+
+def test_rows_as_files(spark, tmp_path):
+    """A file per row: nothing else is left below the root, and nothing is written outside it."""
+    rows = [(f"key={i}/part-0.txt", f"text {i}\n".encode()) for i in range(30)] + [("top", b""), ("a/b/c.bin", bytes(range(256)))]
+    data = spark.createDataFrame(rows, "path string, content binary").repartition(5)
+    root = str(tmp_path / "files")
+    assert artifacts.write_files(data, root) == 32
+    assert artifacts.write_files(data, root) == 32  # again: the same files
+    found = {str(p.relative_to(root)): p.read_bytes() for p in (tmp_path / "files").rglob("*") if p.is_file()}
+    assert found == dict(rows)
+    assert {r["path"] for r in artifacts.inventory(spark, root).collect()} == set(found)
+    assert artifacts.write_files(data.limit(0), str(tmp_path / "none")) == 0
+    assert artifacts.inventory(spark, str(tmp_path / "none")).collect() == []
+    for bad in [("../out", b"x"), (None, b"x"), ("a", None)]:
+        with pytest.raises(PySparkException, match="no file to write"):
+            artifacts.write_files(spark.createDataFrame([bad], "path string, content binary"), root)
+
+
+def test_inventory_query_leaves_no_files_but_its_own(spark, tmp_path, monkeypatch):
+    """One file per supplier; checksum files and marks of a job beside each would double the work."""
+    from registry import queries
+
+    monkeypatch.setattr(queries, "scratch_path", lambda *_: str(tmp_path / "made"))
+    folder = "/root/testdata/sf0.001"
+    n = queries.QUERIES["artifact_inventory"](spark, folder).count()
+    assert n == spark.read.parquet(f"{folder}/supplier.parquet").count()
+    assert n == sum(p.is_file() for p in (tmp_path / "made").rglob("*"))

@@ -13,7 +13,7 @@ pair per copy, and no link between different groups is lost.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -78,23 +78,28 @@ def band_keys(found: np.ndarray, rows: int) -> np.ndarray:
     return keys
 
 
-def sketched(rows: DataFrame, threshold: float) -> DataFrame:
-    """(id, shingles, keys) from (id, words), words as 64-bit hashes."""
-    per_band = rows_per_band(threshold)
+def _per_text(rows: DataFrame, name: str, made: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """(id, ``name``) from (id, words), words as 64-bit hashes: 64-bit numbers made of each text's shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column(1)
             off, values = words.offsets.to_numpy(), words.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            sets, keys = [], []
-            for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
-                found = shingles(values[a:b])
-                sets.append(found.view(np.int64))
-                keys.append(band_keys(found, per_band).view(np.int64))
-            kind = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, kind), pa.array(keys, kind)], names=["id", "shingles", "keys"])
+            numbers = [made(shingles(values[a:b])).view(np.int64) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(numbers, pa.list_(pa.int64()))], names=["id", name])
+
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, {name} array<bigint>")
+
+
+def sketched(rows: DataFrame, threshold: float) -> DataFrame:
+    """(id, keys) from (id, words)."""
+    per_band = rows_per_band(threshold)
+    return _per_text(rows, "keys", lambda found: band_keys(found, per_band))
+
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, shingles array<bigint>, keys array<bigint>")
+def shingle_sets(rows: DataFrame) -> DataFrame:
+    """(id, shingles) from (id, words)."""
+    return _per_text(rows, "shingles", lambda found: found)
 
 
 def word_hashes(text: Column) -> Column:
@@ -102,24 +107,32 @@ def word_hashes(text: Column) -> Column:
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose sets overlap enough."""
+    """The pairs (a, b) whose sets (id, shingles, n) overlap enough."""
+    size = lambda end, n: sets.select(F.col("id").alias(end), F.col("n").alias(n))
+    # Sizes rule most pairs out before a set is moved for them.
+    near = pairs.join(size("a", "n_a"), "a").join(size("b", "n_b"), "b").filter(F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
+    near = written(near.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n")), "pairs")
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("one"))
     other = sets.select(F.col("id").alias("b"), F.col("shingles").alias("other"))
-    sizes = F.least(F.size("one"), F.size("other")) >= threshold * F.greatest(F.size("one"), F.size("other"))
-    # Sizes rule most others out; the overlap is bound once, as an exploded array keeps it from being repeated.
-    both = pairs.join(one, "a").join(other, "b").filter(sizes)
-    both = both.select("a", "b", (F.size("one") + F.size("other")).alias("n"), F.explode(F.array(F.size(F.array_intersect("one", "other")))).alias("shared"))
+    both = near.join(one, "a").join(other, "b")
+    # The overlap is bound once, as an exploded array keeps it from being repeated.
+    both = both.select("a", "b", "n", F.explode(F.array(F.size(F.array_intersect("one", "other")))).alias("shared"))
     return both.filter(F.col("shared") / (F.col("n") - F.col("shared")) >= threshold).select("a", "b")
 
 
-def near_copies(rows: DataFrame, threshold: float) -> DataFrame:
-    """(node, root) for rows of (id, words) that are linked to others; ``root`` is the least id of the group."""
-    sketches = written(sketched(rows, threshold), "sketches")
-    sets = sketches.select("id", "shingles")
+def near_copies(words: Callable[[DataFrame], DataFrame], ids: DataFrame, threshold: float) -> DataFrame:
+    """(node, root) for the ``ids`` that are linked to others; ``root`` is the least id of the group.
+
+    ``words`` gives the rows (id, words) of a table of ids. It is asked twice: shingle sets, larger
+    than the texts, are made, stored and shuffled only for rows that share a bucket.
+    """
+    sketches = written(sketched(words(ids), threshold), "sketches")
     bands = sketches.select("id", F.posexplode("keys").alias("band", "key"))
     buckets = bands.groupBy("band", "key").agg(F.min("id").alias("least"), F.max("id").alias("last"))
     shared = written(buckets.filter("least < last").select("band", "key", "least"), "buckets")
     members = written(bands.join(shared, ["band", "key"]), "members")
+    sharing = written(members.select("id").distinct(), "sharing")
+    sets = written(shingle_sets(words(sharing)).withColumn("n", F.size("shingles")), "sets")
     stars = members.filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     links = written(_similar(stars, sets, threshold), "links")
     named = members.join(groups(links, "a", "b").withColumnRenamed("node", "id"), "id", "left")
@@ -143,6 +156,10 @@ def near_first_rows(df: DataFrame, order_col: str, threshold: float, key: str |
     """
     text = F.col(key or text_key(df))
     first = written(first_rows(df, order_col, key), "first-rows")
-    words = df.join(first, order_col, "left_semi").select(F.col(order_col).alias("id"), word_hashes(text_or_none(text)).alias("words"))
-    later = near_copies(words, threshold).filter("node <> root").select(F.col("node").alias(order_col))
+
+    def words(ids: DataFrame) -> DataFrame:
+        rows = df.join(ids.withColumnRenamed("id", order_col), order_col, "left_semi")
+        return rows.select(F.col(order_col).alias("id"), word_hashes(text_or_none(text)).alias("words"))
+
+    later = near_copies(words, first.withColumnRenamed(order_col, "id"), threshold).filter("node <> root").select(F.col("node").alias(order_col))
     return first.join(later, order_col, "left_anti")

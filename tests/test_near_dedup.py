@@ -118,3 +118,24 @@ def test_groups_of_chains(spark):
     found = groups(spark.createDataFrame(links, "a long, b long"), "a", "b")
     want = roots({n for link in links[:-1] for n in link}, links)
     assert {r["node"]: r["root"] for r in found.collect()} == want
+
+
+def test_sets_are_stored_only_for_rows_that_share_a_bucket(spark, monkeypatch):
+    """Shingle sets outweigh the texts: those of rows without a candidate are neither stored nor shuffled."""
+    stored = {}
+
+    def noting(df, name):
+        stored.setdefault(name, []).append(kept(df, name))
+        return stored[name][-1]
+
+    kept = near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", noting)
+    base = " ".join(f"c{j}" for j in range(200))
+    rows = [(i, " ".join(f"t{i}w{j}" for j in range(200))) for i in range(60)]
+    rows += [(100, base), (101, base + " more"), (102, base[:300]), (103, f"{base} {base.replace('c', 'd')}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in deduplicate(df, "doc_id", threshold=0.8).collect()) == plain(rows, 0.8)
+    holding = [t for tables in stored.values() for t in tables if "shingles" in t.columns]
+    assert len(holding) == 1 and {100, 101} <= {r["id"] for r in holding[0].collect()} <= {100, 101, 102, 103}
+    # Sizes decide first: 102 and 103 are too short and too long to be a copy of 100.
+    assert {(r["a"], r["b"]) for t in stored["pairs"] for r in t.collect()} == {(100, 101)}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
+from typing import Any
 
 import pandas as pd
 import pyarrow as pa
@@ -24,6 +25,10 @@ from pyspark.sql.types import (
 )
 
 from finetide.errors import DataError
+from finetide.functions.memory import hand_back
+
+#: Text that is turned into pandas objects at once.
+PART_BYTES = 2 * 1024 * 1024
 
 
 def map_columns(df: DataFrame, columns: Mapping[str, Column], remove: Sequence[str] = ()) -> DataFrame:
@@ -35,11 +40,22 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
     """Map by a user's function over Arrow batches, for what no Column can express."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return (fn(batch) for batch in batches)
+        return one_at_a_time(fn, batches)
 
     return df.mapInPandas(run, schema)
 
 
+def one_at_a_time(fn: Callable[[Any], Any], batches: Iterator[Any]) -> Iterator[Any]:
+    """``fn`` of each batch. A batch and its result are let go, and their memory handed back, before
+    the next is read, so a worker's memory is that of one batch however many it has seen."""
+    for batch in batches:
+        out = fn(batch)
+        del batch
+        yield out
+        del out
+        hand_back()
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str) -> DataFrame:
     """Map by a user's function over Arrow batches as they come: nested, decimal and binary columns
     pass through unchanged, and no column becomes a pandas object. Columns are matched by name."""
@@ -63,8 +79,37 @@ def filter_rows(df: DataFrame, predicate: Column | Callable[..., pd.Series], *in
         return df.filter(predicate)
     if not inputs:
         raise DataError("name the columns the predicate reads", "inputs")
-    udf = F.arrow_udf if arrow else F.pandas_udf
-    return df.filter(udf(predicate, "boolean")(*inputs))
+    several = len(inputs) > 1
+    if not arrow and all(isinstance(f.dataType, StringType) for f in df.select(*inputs).schema.fields):
+        return df.filter(F.arrow_udf(_by_parts(predicate, several), "boolean", F.ArrowUDFType.SCALAR_ITER)(*inputs))
+
+    def run(batches: Iterator[Any]) -> Iterator[Any]:
+        return one_at_a_time(lambda batch: predicate(*batch) if several else predicate(batch), batches)
+
+    udf = F.arrow_udf(run, "boolean", F.ArrowUDFType.SCALAR_ITER) if arrow else F.pandas_udf(run, "boolean", F.PandasUDFType.SCALAR_ITER)
+    return df.filter(udf(*inputs))
+
+
+def _by_parts(predicate: Callable[..., pd.Series], several: bool) -> Callable[[Iterator[Any]], Iterator[pa.Array]]:
+    """The predicate over text columns that become pandas objects ``PART_BYTES`` at a time: whole
+    batches of long texts would be in memory as Arrow and as objects."""
+
+    def answers(columns: tuple[pa.Array, ...]) -> Iterator[pa.Array]:
+        rows = len(columns[0])
+        if rows > 1 and sum(c.nbytes for c in columns) > PART_BYTES:
+            for start, n in ((0, rows // 2), (rows // 2, rows - rows // 2)):
+                yield from answers(tuple(c.slice(start, n) for c in columns))
+            return
+        found = predicate(*[c.to_pandas() for c in columns])
+        if len(found) != rows:
+            raise DataError(f"the predicate gave {len(found)} answers for {rows} rows", "predicate")
+        found = pd.Series(found)
+        yield pa.Array.from_pandas(found, mask=found.isnull().to_numpy(), type=pa.bool_(), safe=False)
+
+    def whole(batch: Any) -> pa.Array:
+        return pa.concat_arrays(answers(batch if several else (batch,)))
+
+    return lambda batches: one_at_a_time(whole, batches)
 
 
 def from_columns(batches: DataFrame, columns: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:

@@ -5,6 +5,7 @@ import re
 from datetime import datetime
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -166,3 +167,23 @@ def test_arrow_rewards_and_tokens(spark):
     assert {r["id"]: r["reward"] for r in scored.collect()} == {0: 4.0, 1: 0.0, 2: 4.0}
     tokens = rl.tokenize(df, 1, lambda t: pa.array([[1, 2, 3]] * len(t)), keep=("id",), arrow=True)
     assert all(r["input_ids"] == [1] for r in tokens.collect()) and tokens.columns == ["id", "input_ids"]
+
+
+def test_a_predicate_sees_long_texts_in_parts(spark, monkeypatch):
+    """A batch of long texts never becomes pandas objects as a whole; the answers are those of the rows."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def odd(text: pd.Series, other: pd.Series) -> pd.Series:
+        if text.str.len().sum() + other.str.len().sum() > 3_000_000 and len(text) > 1:
+            raise RuntimeError("too much at once")
+        seen.add(len(text))
+        found = text.str.endswith("1").astype(object)
+        return found.where(other != "none", None)
+
+    row = F.col("id").cast("string")
+    text = F.when(F.col("id") % 50 == 7, F.lit(None)).otherwise(F.concat(F.repeat(F.lit("x"), 20_000), row))
+    df = spark.range(0, 1000, 1, 1).select("id", text.alias("text"), F.when(F.col("id") == 11, "none").otherwise(row).alias("other"))
+    got = sorted(r["id"] for r in ops.filter_rows(df, odd, "text", "other").select("id").collect())
+    assert got == [i for i in range(1000) if i % 10 == 1 and i != 11] and seen.value == 1000
+    with pytest.raises(PySparkException, match="answers for"):
+        ops.filter_rows(df, lambda text: text.iloc[:-1].isnull(), "text").count()

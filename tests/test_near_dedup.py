@@ -139,3 +139,21 @@ def test_sets_are_stored_only_for_rows_that_share_a_bucket(spark, monkeypatch):
     assert len(holding) == 1 and {100, 101} <= {r["id"] for r in holding[0].collect()} <= {100, 101, 102, 103}
     # Sizes decide first: 102 and 103 are too short and too long to be a copy of 100.
     assert {(r["a"], r["b"]) for t in stored["pairs"] for r in t.collect()} == {(100, 101)}
+
+
+def test_the_plan_stores_sets_of_candidates_only(spark, monkeypatch):
+    """The main plan at the configured similarity: filtered rows without a candidate have no stored set."""
+    stored = []
+
+    def noting(df, name):
+        stored.append(kept(df, name))
+        return stored[-1]
+
+    kept = near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", noting)
+    rows = [(i, " ".join(f"t{i}w{j}" for j in range(50))) for i in range(40)] + [(90 + i, " ".join(f"c{j}" for j in range(100 + i))) for i in range(3)]
+    docs = spark.createDataFrame([*rows, (99, "short")], "doc_id long, text string")
+    filters = Filters(min_length=20, max_length=20_000, dedup_threshold=0.85, near_copies=True)
+    assert sorted(r["doc_id"] for r in preprocess(docs, "doc_id", filters=filters).collect()) == plain(rows, 0.85) == [*range(40), 90]
+    sets = [t for t in stored if "shingles" in t.columns]
+    assert len(sets) == 1 and sorted(r["id"] for r in sets[0].collect()) == [90, 91, 92]

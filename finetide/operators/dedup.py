@@ -22,14 +22,14 @@ def first_rows(df: DataFrame, order_col: str, key: str | None = None) -> DataFra
     is bucketed by them.
     """
     column = F.col(key or text_key(df))
-    first = (
-        df.select(order_col, digest(text_or_none(column)).alias("_digest"))
-        .groupBy("_digest")
-        .agg(F.min(order_col).alias(order_col))
-        .select(order_col)
-    )
+    return first_of(df.select(order_col, digest(text_or_none(column)).alias("_digest")), order_col)
+
+
+def first_of(digests: DataFrame, order_col: str) -> DataFrame:
+    """:func:`first_rows` from (order value, ``_digest``)."""
+    first = digests.groupBy("_digest").agg(F.min(order_col).alias(order_col)).select(order_col)
     message = F.concat(F.lit(f"{order_col} is null or repeats: "), F.col("_bad"))
-    checked = first.withColumn("_bad", bad_value(df, order_col).scalar())
+    checked = first.withColumn("_bad", bad_value(digests, order_col).scalar())
     return checked.filter(F.when(F.col("_bad").isNull(), True).otherwise(F.raise_error(message).cast("boolean"))).select(order_col)
 
 

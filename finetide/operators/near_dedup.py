@@ -8,6 +8,10 @@ No pair is made inside a group of copies beyond need. Texts of one normalised fo
 beforehand. In each bucket the members first meet its least one alone; only those that are then in
 another group than the bucket's meet the members of other groups. So a bucket of many copies costs a
 pair per copy, and no link between different groups is lost.
+
+Families of texts that are alike, but not enough, still make as many pairs as they have. Those move
+a few bytes each: sizes and cells (see :func:`cells`) give a bound of the overlap, and only pairs that
+may reach the threshold by it are decided by their sets.
 """
 
 from __future__ import annotations
@@ -19,13 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from finetide.errors import DataError
-from finetide.functions.text import normalize, text_or_none
+from finetide.functions.text import digest, normalize, text_or_none
 from finetide.operators.components import groups
-from finetide.operators.dedup import first_rows
+from finetide.operators.dedup import first_of
 from finetide.operators.normalize import text_key
-from finetide.session import written
+from finetide.session import estimated_bytes, written
 
 SHINGLE_WORDS = 5
 BANDS = 24
@@ -35,6 +40,8 @@ _SEED = 20_240_229
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Shingles whose signatures are worked out at once.
 _PART = 4096
+#: Stored bytes of the ids that are sent to the texts; for more, the texts are shuffled to the ids.
+SENT_BYTES = 4 * 1024 * 1024
 
 
 def rows_per_band(threshold: float) -> int:
@@ -78,40 +85,74 @@ def band_keys(found: np.ndarray, rows: int) -> np.ndarray:
     return keys
 
 
-def _per_text(rows: DataFrame, name: str, made: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """(id, ``name``) from (id, words), words as 64-bit hashes: 64-bit numbers made of each text's shingles."""
+def cells(found: np.ndarray) -> np.ndarray:
+    """A bit for each cell that holds a shingle, as 64-bit words. There are 2 to 4 cells a shingle, 64 at
+    least, a power of two; a shingle's is its lowest bits, so half the words laid over the other
+    half are the cells of half that number."""
+    count = max(64, 1 << (2 * len(found) - 1).bit_length())
+    held = np.zeros(count, np.uint8)
+    held[found & np.uint64(count - 1)] = 1
+    return np.packbits(held, bitorder="little").view(np.uint64)
+
+
+def _per_text(rows: DataFrame, made: dict[str, Callable[[np.ndarray], np.ndarray]]) -> DataFrame:
+    """``rows`` with arrays of 64-bit numbers made of each text's shingles in place of ``words``, which
+    holds the words as 64-bit hashes."""
+    others = [f for f in rows.schema.fields if f.name != "words"]
+    schema = StructType([*others, *[StructField(name, ArrayType(LongType())) for name in made]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column(1)
+            words = batch.column("words")
             off, values = words.offsets.to_numpy(), words.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            numbers = [made(shingles(values[a:b])).view(np.int64) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(numbers, pa.list_(pa.int64()))], names=["id", name])
+            numbers = {name: [] for name in made}
+            for start, end in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+                found = shingles(values[start:end])
+                for name, make in made.items():
+                    numbers[name].append(make(found).view(np.int64))
+            columns = [batch.column(f.name) for f in others] + [pa.array(n, pa.list_(pa.int64())) for n in numbers.values()]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, {name} array<bigint>")
+    return rows.mapInArrow(run, schema)
 
 
 def sketched(rows: DataFrame, threshold: float) -> DataFrame:
-    """(id, keys) from (id, words)."""
+    """(id, ..., keys) from (id, ..., words)."""
     per_band = rows_per_band(threshold)
-    return _per_text(rows, "keys", lambda found: band_keys(found, per_band))
+    return _per_text(rows, {"keys": lambda found: band_keys(found, per_band)})
 
 
 def shingle_sets(rows: DataFrame) -> DataFrame:
-    """(id, shingles) from (id, words)."""
-    return _per_text(rows, "shingles", lambda found: found)
+    """(id, shingles, cells) from (id, words)."""
+    return _per_text(rows, {"shingles": lambda found: found, "cells": cells})
 
 
 def word_hashes(text: Column) -> Column:
     return F.transform(F.split(normalize(text), " "), lambda w: F.xxhash64(w))
 
 
+def _folded(x: Column, y: Column) -> Column:
+    """The cells ``x`` as many as those of ``y``, where they are twice as many."""
+    n = F.size(y)
+    halves = F.zip_with(F.slice(x, 1, n), F.slice(x, n + 1, n), lambda p, q: p.bitwiseOR(q))
+    return F.when(F.size(x) > n, halves).otherwise(x)
+
+
+def _only(x: Column, y: Column) -> Column:
+    """How many cells ``x`` holds and ``y`` does not: each has a shingle that the other set lacks."""
+    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda total, n: total + n)
+
+
 def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose sets (id, shingles, n) overlap enough."""
-    size = lambda end, n: sets.select(F.col("id").alias(end), F.col("n").alias(n))
-    # Sizes rule most pairs out before a set is moved for them.
-    near = pairs.join(size("a", "n_a"), "a").join(size("b", "n_b"), "b").filter(F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
-    near = written(near.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n")), "pairs")
+    """The pairs (a, b) whose sets (id, shingles, cells, n) overlap enough."""
+    ends = lambda end: sets.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("cells").alias(f"cells_{end}"))
+    # Sizes and cells rule most pairs out before a set is moved for them. With a threshold of a half or
+    # more, sets that pass by their sizes have as many cells, or one twice those of the other.
+    near = pairs.join(ends("a"), "a").join(ends("b"), "b").filter(F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
+    cells_a, cells_b = _folded(F.col("cells_a"), F.col("cells_b")), _folded(F.col("cells_b"), F.col("cells_a"))
+    most = F.least(F.col("n_a") - _only(cells_a, cells_b), F.col("n_b") - _only(cells_b, cells_a))
+    near = near.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), F.explode(F.array(most)).alias("most"))
+    near = written(near.filter(F.col("most") / (F.col("n") - F.col("most")) >= threshold).drop("most"), "pairs")
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("one"))
     other = sets.select(F.col("id").alias("b"), F.col("shingles").alias("other"))
     both = near.join(one, "a").join(other, "b")
@@ -120,13 +161,13 @@ def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.filter(F.col("shared") / (F.col("n") - F.col("shared")) >= threshold).select("a", "b")
 
 
-def near_copies(words: Callable[[DataFrame], DataFrame], ids: DataFrame, threshold: float) -> DataFrame:
-    """(node, root) for the ``ids`` that are linked to others; ``root`` is the least id of the group.
+def near_copies(words: Callable[[DataFrame], DataFrame], sketches: DataFrame, threshold: float) -> DataFrame:
+    """(node, root) for the rows of ``sketches`` (id, keys) that are linked to others; ``root`` is the
+    least id of the group.
 
-    ``words`` gives the rows (id, words) of a table of ids. It is asked twice: shingle sets, larger
-    than the texts, are made, stored and shuffled only for rows that share a bucket.
+    ``words`` gives the rows (id, words) of a table of ids: shingle sets, larger than the texts, are
+    made, stored and shuffled only for rows that share a bucket.
     """
-    sketches = written(sketched(words(ids), threshold), "sketches")
     bands = sketches.select("id", F.posexplode("keys").alias("band", "key"))
     buckets = bands.groupBy("band", "key").agg(F.min("id").alias("least"), F.max("id").alias("last"))
     shared = written(buckets.filter("least < last").select("band", "key", "least"), "buckets")
@@ -154,12 +195,19 @@ def near_first_rows(df: DataFrame, order_col: str, threshold: float, key: str |
     are what links connect. A null cell reads ``None``; blank texts are copies of each other. Order
     values must be unique and not null, as for exact copies.
     """
-    text = F.col(key or text_key(df))
-    first = written(first_rows(df, order_col, key), "first-rows")
+    text = text_or_none(F.col(key or text_key(df)))
+    read = df.select(F.col(order_col).alias("id"), digest(text).alias("_digest"), word_hashes(text).alias("words"))
+    # Digests and band keys, a tenth of the texts, are made where the texts lie.
+    every = written(sketched(read, threshold), "every-sketch")
+    first = written(first_of(every.select(F.col("id").alias(order_col), "_digest"), order_col), "first-rows")
+    ids = first.withColumnRenamed(order_col, "id")
+    sketches = written(every.select("id", "keys").join(ids, "id", "left_semi"), "sketches")
 
     def words(ids: DataFrame) -> DataFrame:
-        rows = df.join(ids.withColumnRenamed("id", order_col), order_col, "left_semi")
-        return rows.select(F.col(order_col).alias("id"), word_hashes(text_or_none(text)).alias("words"))
+        named = ids.withColumnRenamed("id", order_col)
+        sent = F.broadcast(named) if estimated_bytes(ids) <= SENT_BYTES else named
+        rows = df.join(sent, order_col, "left_semi")
+        return rows.select(F.col(order_col).alias("id"), word_hashes(text).alias("words"))
 
-    later = near_copies(words, first.withColumnRenamed(order_col, "id"), threshold).filter("node <> root").select(F.col("node").alias(order_col))
+    later = near_copies(words, sketches, threshold).filter("node <> root").select(F.col("node").alias(order_col))
     return first.join(later, order_col, "left_anti")

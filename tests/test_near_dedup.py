@@ -157,3 +157,50 @@ def test_the_plan_stores_sets_of_candidates_only(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in preprocess(docs, "doc_id", filters=filters).collect()) == plain(rows, 0.85) == [*range(40), 90]
     sets = [t for t in stored if "shingles" in t.columns]
     assert len(sets) == 1 and sorted(r["id"] for r in sets[0].collect()) == [90, 91, 92]
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.85, 1.0])
+def test_cells_lose_no_pair(spark, threshold):
+    """The overlap by cells is a bound, also of sets of different sizes with different numbers of cells."""
+    draw = np.random.Generator(np.random.PCG64(3))
+    sets = {}
+    for i in range(60):
+        base = draw.integers(0, 1 << 63, int(draw.choice([1, 2, 31, 33, 64, 65, 300])), dtype=np.uint64)
+        less = base[: max(1, int(len(base) * draw.choice([0.5, 0.85, 0.86, 1.0])))]
+        more = np.concatenate([base[: max(1, int(len(base) * draw.choice([0.5, 0.9, 1.0])))], draw.integers(0, 1 << 63, int(len(base) * draw.choice([0, 0.1, 0.5])), dtype=np.uint64)])
+        sets |= {3 * i + k: np.unique(s) for k, s in enumerate((base, less, more))}
+    rows = [(i, s.view(np.int64).tolist(), near_dedup.cells(s).view(np.int64).tolist(), len(s)) for i, s in sets.items()]
+    pairs = [(3 * i + a, 3 * i + b) for i in range(60) for a, b in ((0, 1), (2, 0), (1, 2))] + [(i, i + 3) for i in range(170)]
+    table = spark.createDataFrame(rows, "id long, shingles array<long>, cells array<long>, n int")
+    found = near_dedup._similar(spark.createDataFrame(pairs, "a long, b long"), table, threshold)
+    overlap = lambda a, b: len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b]))
+    want = {p for p in pairs if overlap(*p) >= threshold}
+    assert {tuple(r) for r in found.collect()} == want and want
+
+
+def test_a_family_below_the_threshold_moves_no_sets(spark, monkeypatch):
+    """Texts that share half of their shingles meet in buckets; what moves for each such pair is small."""
+    stored, plans = {}, {}
+
+    def noting(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        stored.setdefault(name, []).append(kept(df, name))
+        return stored[name][-1]
+
+    kept = near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", noting)
+    base = " ".join(f"c{j}" for j in range(200))
+    rows = [(i, base + " " + " ".join(f"t{i}w{j}" for j in range(100))) for i in range(30)]
+    rows += [(60 + i, rows[0][1].upper() + " x" * i) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sorted(r["doc_id"] for r in deduplicate(df, "doc_id", threshold=0.8).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == plain(rows, 0.8)
+    met = sum(t.count() for t in stored["members"])
+    moved = {(r["a"], r["b"]) for t in stored["pairs"] for r in t.collect()}
+    assert met > 100 and all(len(shingles(dict(rows)[a]) & shingles(dict(rows)[b])) > 200 for a, b in moved)
+    # Candidates' texts are picked where they lie, by the ids.
+    assert len(plans["sets"]) == 1 and "BroadcastHashJoin" in plans["sets"][0] and "SortMergeJoin" not in plans["sets"][0]

@@ -13,10 +13,18 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import (
     ArrayType,
+    BinaryType,
+    BooleanType,
+    ByteType,
     DataType,
+    DateType,
     DecimalType,
     DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
     NullType,
+    ShortType,
     StringType,
     StructField,
     StructType,
@@ -29,6 +37,13 @@ from finetide.functions.memory import hand_back
 
 #: Text that is turned into pandas objects at once.
 PART_BYTES = 2 * 1024 * 1024
+ARROW_TYPES = {
+    StringType: pa.string(), BinaryType: pa.binary(), BooleanType: pa.bool_(), ByteType: pa.int8(), ShortType: pa.int16(), IntegerType: pa.int32(),
+    LongType: pa.int64(), FloatType: pa.float32(), DoubleType: pa.float64(), DateType: pa.date32(),
+}
+#: Columns whose values need neither a time zone nor their inner types to become pandas objects.
+PLAIN = (*ARROW_TYPES, DecimalType)
+DTYPES = {BooleanType: "bool", ByteType: "int8", ShortType: "int16", IntegerType: "int32", LongType: "int64", FloatType: "float32", DoubleType: "float64"}
 
 
 def map_columns(df: DataFrame, columns: Mapping[str, Column], remove: Sequence[str] = ()) -> DataFrame:
@@ -37,12 +52,70 @@ def map_columns(df: DataFrame, columns: Mapping[str, Column], remove: Sequence[s
 
 
 def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """Map by a user's function over Arrow batches, for what no Column can express."""
+    """Map by a user's function over batches of rows, for what no Column can express.
+
+    Rows of plain columns become pandas objects ``PART_BYTES`` at a time, so batches of long texts come
+    to the function in parts. With nested columns or instants a batch is an Arrow batch.
+    """
+    fields, read = StructType.fromDDL(schema).fields, df.schema.fields
+    if not all(isinstance(f.dataType, PLAIN) for f in [*fields, *read]) or len({f.name for f in read}) < len(read):
+        return df.mapInPandas(lambda batches: one_at_a_time(fn, batches), schema)
+    types = {f.name: _arrow_type(f.dataType) for f in fields}
+    kinds = [DTYPES.get(type(f.dataType)) for f in read]
+    safe = df.sparkSession.conf.get("spark.sql.execution.pandas.convertToArrowArraySafely") == "true"
+
+    def of_part(part: pa.RecordBatch) -> pa.RecordBatch:
+        columns = {n: _series(c, kind) for n, c, kind in zip(part.schema.names, part.columns, kinds, strict=True)}
+        return _to_arrow(fn(pd.DataFrame(columns, index=range(len(part)))), types, safe)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from one_at_a_time(of_part, _parts(batch))
+
+    return df.mapInArrow(run, schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return one_at_a_time(fn, batches)
 
-    return df.mapInPandas(run, schema)
+def _arrow_type(kind: DataType) -> pa.DataType:
+    return pa.decimal128(kind.precision, kind.scale) if isinstance(kind, DecimalType) else ARROW_TYPES[type(kind)]
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of ``PART_BYTES`` at most, or of one row."""
+    n = len(batch)
+    if n <= 1 or batch.nbytes <= PART_BYTES:
+        yield batch
+        return
+    yield from _parts(batch.slice(0, n // 2))
+    yield from _parts(batch.slice(n // 2))
+
+
+def _series(column: pa.Array, kind: str | None) -> pd.Series:
+    """As Spark hands a column to a pandas function: integers with nulls are floats, booleans with nulls objects."""
+    found = column.to_pandas(date_as_object=True)
+    if kind is None or (column.null_count and kind == "bool"):
+        return found
+    return found.astype("float64" if column.null_count and kind.startswith("int") else kind, copy=False)
+
+
+def _to_arrow(found: pd.DataFrame, types: Mapping[str, pa.DataType], safe: bool) -> pa.RecordBatch:
+    """A result's columns, matched as Spark does: by name where the function gave names, else by position."""
+    if not isinstance(found, pd.DataFrame):
+        raise DataError(f"the function gave a {type(found).__name__}, not a pandas DataFrame", "schema")
+    if found.empty and not len(found.columns):
+        return pa.RecordBatch.from_pydict({n: pa.array([], t) for n, t in types.items()})
+    named = any(isinstance(n, str) for n in found.columns)
+    if named and (odd := set(types) ^ set(found.columns[: len(types)])):
+        raise DataError(f"the function's columns and the schema differ in {', '.join(sorted(map(str, odd)))}", "schema")
+    if len(found.columns) < len(types):
+        raise DataError(f"the function gave {len(found.columns)} columns for {len(types)}", "schema")
+    columns = {}
+    for i, (name, kind) in enumerate(types.items()):
+        column = found[name] if named else found.iloc[:, i]
+        if isinstance(column.dtype, pd.CategoricalDtype):
+            column = column.astype(column.dtype.categories.dtype)
+        mask = None if hasattr(column.array, "__arrow_array__") else column.isnull().to_numpy()
+        columns[name] = pa.Array.from_pandas(column, mask=mask, type=kind, safe=safe)
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def one_at_a_time(fn: Callable[[Any], Any], batches: Iterator[Any]) -> Iterator[Any]:

@@ -2,7 +2,7 @@
 
 import random
 import re
-from datetime import datetime
+from datetime import date, datetime
 from decimal import Decimal
 
 import pandas as pd
@@ -187,3 +187,38 @@ def test_a_predicate_sees_long_texts_in_parts(spark, monkeypatch):
     assert got == [i for i in range(1000) if i % 10 == 1 and i != 11] and seen.value == 1000
     with pytest.raises(PySparkException, match="answers for"):
         ops.filter_rows(df, lambda text: text.iloc[:-1].isnull(), "text").count()
+
+
+def test_a_map_sees_long_texts_in_parts(spark):
+    """A batch of long texts never becomes pandas objects as a whole; the rows are those of the table."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def lengths(batch: pd.DataFrame) -> pd.DataFrame:
+        if len(batch) > 1 and batch["text"].str.len().sum() > 3_000_000:
+            raise RuntimeError("too much at once")
+        seen.add(len(batch))
+        return pd.DataFrame({"n": batch["text"].str.len().astype("Int64"), "id": batch["id"]})
+
+    text = F.when(F.col("id") % 50 == 7, F.lit(None)).otherwise(F.concat(F.repeat(F.lit("x"), 20_000), F.col("id").cast("string")))
+    df = spark.range(0, 1000, 1, 1).select("id", F.when(F.col("id") == 3, F.repeat(F.lit("y"), 5_000_000)).otherwise(text).alias("text"))
+    got = {r["id"]: r["n"] for r in ops.map_rows(df, lengths, "id bigint, n bigint").collect()}
+    assert got == {i: None if i % 50 == 7 else 5_000_000 if i == 3 else 20_000 + len(str(i)) for i in range(1000)} and seen.value == 1000
+
+
+def test_a_map_gives_what_spark_gives(spark):
+    """Plain columns are converted in parts as ``mapInPandas`` converts whole batches."""
+    schema = "s string, b binary, t boolean, i tinyint, j int, k bigint, f float, d double, day date, m decimal(20,4)"
+    values = [("a", bytearray(b"\x00"), True, 1, 2, 2**53 + 1, 1.5, float("nan"), date(2024, 1, 2), Decimal("1.1000")), (None,) * 10, ("", bytearray(), False, -1, 0, 7, 0.0, -0.0, date(1, 1, 1), Decimal(0))]
+    for rows in (values, values[:1], []):
+        df = spark.createDataFrame(rows, schema).coalesce(1)
+        kinds = lambda b: pd.DataFrame({"n": [len(b)], "kinds": [",".join(f"{n}:{t}" for n, t in b.dtypes.items())]})
+        for fn, out in ((lambda b: b[b.columns[::-1]], schema), (lambda b: b.set_axis(range(10), axis=1), schema), (kinds, "kinds string, n bigint"), (lambda b: pd.DataFrame(), schema)):
+            want = df.mapInPandas(lambda batches, fn=fn: map(fn, batches), out)
+            got = ops.map_rows(df, fn, out)
+            assert got.schema == want.schema and list(map(repr, got.collect())) == list(map(repr, want.collect()))
+    one = spark.createDataFrame(values[:1], schema)
+    for wrong, message in ((lambda b: b.rename(columns={"s": "u"}), "differ in s, u"), (lambda b: b["s"], "not a pandas"), (lambda b: b.set_axis(range(10), axis=1)[[0, 1]], "gave 2 columns")):
+        with pytest.raises(PySparkException, match=message):
+            ops.map_rows(one, wrong, schema).collect()
+    nested = spark.createDataFrame([([1, 2], datetime(2024, 1, 2))], "a array<int>, at timestamp")
+    assert ops.map_rows(nested, lambda b: b, "a array<int>, at timestamp").collect() == nested.collect()
